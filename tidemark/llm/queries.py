@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, mixing, packing, quality, simhash, tokens, toxicity, warc
+from tidemark.llm import chat, licences, mixing, packing, quality, simhash, tokens, toxicity, vectors, warc
 from tidemark.llm.common import Workspace
 
 
@@ -20,6 +20,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted", *toxicity.KINDS)
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
@@ -46,6 +50,22 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"))
 
 
+def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+OP5_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND NOT list_bool_or(list_transform(embedding, lambda x: x IS NULL OR NOT isfinite(x)))
+    AND list_sum(list_transform(embedding, lambda x: abs(x))) > 0),
+l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id)::BIGINT AS n_links, c.m AS component_id, e.vec_id = c.m AS kept
+FROM embeddings e JOIN (SELECT a, min(b) AS m FROM r GROUP BY a) c ON c.a = e.vec_id
+"""
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = Workspace(spark, "warc").path("archive")
     warc.archive(table(spark, sf_dir, "pages"), path)
@@ -84,5 +104,5 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_chat_format, op4_quality_rules, op6_warc, op7_mixing, op8_token_counts, op9_packing, op10_simhash)}
-ORACLES = {"op3_chat_format": OP3_SQL, "op6_warc": OP6_SQL}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_licences, op3_chat_format, op4_quality_rules, op5_vectors, op6_warc, op7_mixing, op8_token_counts, op9_packing, op10_simhash)}
+ORACLES = {"op3_chat_format": OP3_SQL, "op5_vectors": OP5_SQL, "op6_warc": OP6_SQL}
