@@ -1,0 +1,11 @@
+"""Change-data capture and incremental marts on Spark DataFrames.
+
+Change packages and full snapshots of nested business objects are shaped into flat typed tables, merged with exact
+rules, and kept in derived marts. Layers: ``functions`` (column expressions), ``operators`` (frame to frame),
+``sources`` (packages, metadata, snapshots), ``plans`` (snapshot store, state, full loads, marts), ``streaming``.
+"""
+
+from tidemark.operators.merge import MergeResult, mark_missing, mark_orphans, merge
+from tidemark.spec import TableSpec
+
+__all__ = ["MergeResult", "TableSpec", "mark_missing", "mark_orphans", "merge"]
