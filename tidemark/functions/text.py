@@ -36,7 +36,7 @@ def readable(c: Column) -> Column:
     return excerpt(visible(decoded(F.trim(c))))
 
 
-@F.udf(T.ArrayType(T.StringType()))
+@F.udf(returnType=T.ArrayType(T.StringType()), useArrow=False)
 def _descriptions(body: str) -> list[str] | None:
     """Descriptions along the chain of nested causes, without those that another one contains.
 
