@@ -50,8 +50,8 @@ def evolve(table: DataFrame, batch: DataFrame, key: list[str]) -> tuple[DataFram
 def widened(table: DataFrame, column: str, scale: int) -> DataFrame:
     """A number column with fewer decimals and so more whole digits; nothing is rounded away silently."""
     c = F.col(column)
-    fits = c.cast(T.DecimalType(38, scale))
-    return table.withColumn(column, F.when(c == fits, fits).when(c.isNull(), None).otherwise(F.raise_error(F.lit(f"{column} has more than {scale} decimals"))))
+    lost = F.regexp_extract(c.cast("string"), rf"\.\d{{{scale}}}(\d*)", 1).rlike("[1-9]")
+    return table.withColumn(column, F.when(lost, F.raise_error(F.lit(f"{column} has more than {scale} decimals"))).otherwise(c.cast(T.DecimalType(38, scale))))
 
 
 def retained(log: DataFrame, stamp: str, oldest: str) -> DataFrame:

@@ -150,7 +150,8 @@ class Store:
 
     def _written(self, name: str, rows: DataFrame, old: Version | None, by: str | None, at: int) -> Version:
         kept = rows.where(F.col(ACTION) != "removed").drop(ACTION)
-        schema, path = kept.schema.json(), f"{self.root}/{name}/v={at + 1}-{uuid.uuid4().hex[:8]}"
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept.schema]).json()
+        path = f"{self.root}/{name}/v={at + 1}-{uuid.uuid4().hex[:8]}"
         if by is None:
             kept.write.parquet(path)
             return Version(at + 1, {"": path}, schema)
