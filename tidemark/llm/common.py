@@ -110,7 +110,7 @@ def keep_rows(docs: DataFrame, text_col: str, keep: Callable[[list[bytes]], np.n
             ok = [keep(t) for t in chunks(b.column(place).cast(pa.binary()))]
             yield b.filter(pa.array(np.concatenate(ok) if ok else np.zeros(0, bool)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return arrow(docs, run, docs.schema)
 
 
 def components(ws: Workspace, edges: DataFrame) -> DataFrame:

@@ -1,0 +1,27 @@
+"""The package's own code for Python workers that don't have it on their path."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import SparkSession
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give executors the package once per application, by Spark's own file server."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    here = Path(__file__).resolve().parent
+    folder = os.path.realpath(tempfile.mkdtemp(prefix="tidemark-"))
+    path = f"{folder}/tidemark.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f"tidemark/{f.relative_to(here)}")
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
