@@ -115,8 +115,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose id is its component's smallest; of repeated rows with that id, one stays."""
+    """Rows of ``docs`` whose id is its component's smallest; of repeated rows with that id, one stays.
+
+    Rows are made unique by id first, with a partial pass before the shuffle, and the join reuses that partitioning: the
+    texts are shuffled once, whatever the number of kept ids.
+    """
     found = near_duplicates(docs, id_col, text_col)
-    best = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    joined = docs.join(best, F.col(id_col).eqNullSafe(F.col("__kept")), "left_semi")
-    return joined.dropDuplicates([id_col])
+
+    def key(c: str) -> dict[str, F.Column]:
+        return {"__none": F.col(c).isNull(), "__key": F.coalesce(F.col(c).cast("long"), F.lit(0))}
+
+    best = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).withColumns(key("doc_id")).select("__none", "__key").distinct()
+    one = docs.withColumns(key(id_col)).dropDuplicates(["__none", "__key"])
+    return one.join(best, ["__none", "__key"], "left_semi").select(*docs.columns)
