@@ -246,6 +246,29 @@ def test_vectors(spark):
     assert vectors.near_duplicates(df.where("embedding is null")).collect()[0]["n_links"] == 0
 
 
+def test_dense_group_is_searched_in_pieces(spark):
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=16)
+    v = [(base + rng.normal(size=16) * 0.05).tolist() for _ in range(300)] + [x.tolist() for x in rng.normal(size=(100, 16))]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(v)], "vec_id long, embedding array<double>")
+    links, label = exact(v, 0.95)
+    got = {r["vec_id"]: r for r in vectors.near_duplicates(df, shard_rows=40).collect()}
+    assert {k: r["component_id"] for k, r in got.items()} == label
+    assert sum(r["n_links"] for r in got.values()) >= 0.98 * sum(links.values())
+
+
+def test_unite_joins_chains():
+    rng = np.random.default_rng(1)
+    parent, label = np.arange(200), {k: k for k in range(200)}
+    for _ in range(5):
+        a, b = rng.integers(0, 200, (2, 30))
+        vectors.unite(parent, a, b)
+        for x, y in zip(a.tolist(), b.tolist()):
+            low, high = sorted((label[x], label[y]))
+            label = {k: low if r == high else r for k, r in label.items()}
+    assert parent.tolist() == list(label.values())
+
+
 def test_workspace_is_in_the_shared_folder(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(common, "shared_dir", lambda _: f"file://{tmp_path}")
     ws = Workspace(spark, "x")

@@ -20,6 +20,10 @@ FIT_ROWS, MOST_CENTRES = 20_000, 1_000
 AUDIT_ROWS = 200
 #: Queries that a task searches for at once.
 BLOCK = 256
+#: Neighbours that a range search looks at in one step.
+SPREAD = 1 << 19
+#: How far under the threshold rows still lead a search on, and from which cosine two centres count as one.
+SLACK = 0.05
 
 
 def units(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -55,6 +59,15 @@ def centres(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray
     return c
 
 
+def apart(c: np.ndarray, most: float) -> np.ndarray:
+    """Centres without those that lie at cosine ``most`` or more to an earlier one, which would part a dense group."""
+    near = c @ c.T >= most
+    kept = np.zeros(len(c), bool)
+    for k in range(len(c)):
+        kept[k] = not (near[k] & kept).any()
+    return c[kept]
+
+
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     rows = column.to_pylist()
     return np.frombuffer(b"".join(rows), np.float64).reshape(len(rows), -1)
@@ -89,54 +102,93 @@ def prune(x: np.ndarray, degree: int, near: int = 64, far: int = 32, alpha: floa
     out = np.full((n, degree), -1, np.int32)
     if n < 2:
         return out
-    sim = (x @ x.T).astype(np.float32)
-    np.fill_diagonal(sim, -2)
+    y = x.astype(np.float32)
     k = min(near, n - 1)
-    cand = np.argpartition(-sim, k - 1, axis=1)[:, :k].astype(np.int32)
-    if n > k + 1:
-        cand = np.concatenate([cand, rng.integers(0, n, (n, far), dtype=np.int32)], axis=1)
-    own = np.arange(n)
-    dist = np.sqrt(np.maximum(0, 2 - 2 * np.take_along_axis(sim, cand, 1)))
-    dist[cand == own[:, None]] = np.inf
-    for d in range(degree):
-        best = np.argmin(dist, axis=1)
-        ok = np.isfinite(dist[own, best])
-        pick = cand[own, best]
-        out[ok, d] = pick[ok]
-        between = np.sqrt(np.maximum(0, 2 - 2 * np.maximum(sim[pick[:, None], cand], -1)))
-        between[cand == pick[:, None]] = 0
-        dist[alpha * between <= dist] = np.inf
-        if not ok.any():
-            break
+    for at in range(0, n, BLOCK):
+        own = np.arange(at, min(at + BLOCK, n))
+        row = np.arange(len(own))
+        sim = y[own] @ y.T
+        sim[row, own] = -2
+        cand = np.argpartition(-sim, k - 1, axis=1)[:, :k]
+        if n > k + 1:
+            cand = np.concatenate([cand, rng.integers(0, n, (len(own), far))], axis=1)
+        dist = np.sqrt(np.maximum(0, 2 - 2 * np.take_along_axis(sim, cand, 1)))
+        dist[cand == own[:, None]] = np.inf
+        z = y[cand]
+        inner = z @ z.transpose(0, 2, 1)
+        for d in range(degree):
+            best = np.argmin(dist, axis=1)
+            ok = np.isfinite(dist[row, best])
+            if not ok.any():
+                break
+            pick = cand[row, best]
+            out[own[ok], d] = pick[ok]
+            between = np.sqrt(np.maximum(0, 2 - 2 * inner[row, best]))
+            between[cand == pick[:, None]] = 0
+            dist[alpha * between <= dist] = np.inf
     return out
 
 
-def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, threshold: float, beam: int, slack: float = 0.05) -> np.ndarray:
-    """Which rows each query finds at ``threshold`` or more: greedy from the medoid, then outwards while rows are in range."""
+class Graph:
+    """Adjacency lists end to end: a hub's long list costs its own length, not a column for every row."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, n: int):
+        """Links (a, b) among ``n`` rows, taken in both directions, repeats once."""
+        pair = np.unique(np.concatenate([a, b]).astype(np.int64) * n + np.concatenate([b, a]))
+        self.to = pair % n
+        self.width = np.bincount(pair // n, minlength=n)
+        self.first = np.cumsum(self.width) - self.width
+
+    def padded(self, rows: np.ndarray) -> np.ndarray:
+        """One line of neighbours per row, filled up with -1."""
+        width = self.width[rows]
+        place = np.arange(width.max(initial=0))
+        inside = place < width[:, None]
+        out = np.full(inside.shape, -1, np.int64)
+        out[inside] = self.to[(self.first[rows][:, None] + place)[inside]]
+        return out
+
+    def spread(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of ``rows``, its neighbour) for all neighbours of all rows."""
+        width = self.width[rows]
+        of = np.repeat(np.arange(len(rows)), width)
+        return of, self.to[np.arange(len(of)) + np.repeat(self.first[rows] - (np.cumsum(width) - width), width)]
+
+    def portions(self, rows: np.ndarray, most: int) -> Iterator[slice]:
+        """Runs of ``rows`` with about ``most`` neighbours each."""
+        part = np.cumsum(self.width[rows]) // most
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(rows)]])
+        for a, b in zip(edge[:-1], edge[1:]):
+            yield slice(int(a), int(b))
+
+
+def search(x: np.ndarray, graph: Graph, queries: np.ndarray, own: np.ndarray, threshold: float, beam: int, slack: float = SLACK) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query, row) pairs of cosine ``threshold`` or more, a block of queries at a time.
+
+    Greedy from the medoid, then outwards while rows are in range. ``own`` is the row that a query is itself, or -1.
+    """
     n = len(x)
+    if not n:
+        return
     start = int(np.argmax(x @ x.sum(axis=0)))
-    found = np.zeros((len(queries), n), bool)
     for at in range(0, len(queries), BLOCK):
-        q = queries[at : at + BLOCK]
-        m = len(q)
+        xq = queries[at : at + BLOCK]
+        m = len(xq)
         row = np.arange(m)
-        xq = x[q]
         seen = np.zeros((m, n), bool)
         seen[:, start] = True
-        ids = np.full((m, beam), -1, np.int32)
+        ids = np.full((m, beam), -1, np.int64)
         sims = np.full((m, beam), -np.inf)
         done = np.ones((m, beam), bool)
         ids[:, 0], sims[:, 0], done[:, 0] = start, xq @ x[start], False
-        hit_q, hit_v = [row], [np.full(m, start, np.int32)]
-        hit_s = [sims[:, 0].copy()]
+        hit_q, hit_v, hit_s = [row], [np.full(m, start)], [sims[:, 0].copy()]
         while True:
-            open_ = np.where(done, -np.inf, sims)
-            k = np.argmax(open_, axis=1)
-            live = np.flatnonzero(np.isfinite(open_[row, k]))
+            k = np.argmax(np.where(done, -np.inf, sims), axis=1)
+            live = np.flatnonzero(~done[row, k])
             if not len(live):
                 break
             done[live, k[live]] = True
-            nb = graph[ids[live, k[live]]]
+            nb = graph.padded(ids[live, k[live]])
             new = (nb >= 0) & ~seen[live[:, None], nb]
             i, j = np.nonzero(new)
             v = nb[i, j]
@@ -153,46 +205,45 @@ def search(x: np.ndarray, graph: np.ndarray, queries: np.ndarray, threshold: flo
             done[live] = np.take_along_axis(np.concatenate([done[live], ~new], axis=1), top, 1)
         fq, fv, fs = np.concatenate(hit_q), np.concatenate(hit_v), np.concatenate(hit_s)
         while len(fq):
-            ok = fs >= threshold
-            found[at + fq[ok], fv[ok]] = True
+            ok = (fs >= threshold) & (own[at + fq] != fv)
+            yield at + fq[ok], fv[ok]
             grow = fs >= threshold - slack
-            nb = graph[fv[grow]]
-            pair = (np.repeat(fq[grow], nb.shape[1]) * n + nb.ravel())[nb.ravel() >= 0]
-            pair = np.unique(pair[~seen.ravel()[pair]])
-            fq, fv = pair // n, (pair % n).astype(np.int32)
-            seen[fq, fv] = True
-            fs = np.einsum("ij,ij->i", xq[fq], x[fv])
-            keep = fs >= threshold - slack
-            fq, fv, fs = fq[keep], fv[keep], fs[keep]
-        found[at + row, q] = False
-    return found
-
-
-def _roots(found: np.ndarray, queries: np.ndarray, n: int) -> np.ndarray:
-    """Smallest row reachable over found links, by row."""
-    label = np.arange(n)
-    some = np.flatnonzero(found.any(axis=1))
-    while len(some):
-        was = label.copy()
-        for at in range(0, len(some), BLOCK):
-            rows = some[at : at + BLOCK]
-            hit = found[rows]
-            low = np.minimum(np.where(hit, label, n).min(axis=1), label[queries[rows]])
-            label[queries[rows]] = low
-            label = np.minimum(label, np.where(hit, low[:, None], n).min(axis=0))
-        label = label[label]
-        if (label == was).all():
-            break
-    return label
+            fq, fv = fq[grow], fv[grow]
+            grown = []
+            for part in graph.portions(fv, SPREAD):
+                of, nb = graph.spread(fv[part])
+                pair = fq[part][of] * n + nb
+                pair = np.unique(pair[~seen.ravel()[pair]])
+                q, v = pair // n, pair % n
+                seen[q, v] = True
+                s = np.concatenate([np.einsum("ij,ij->i", xq[q[p : p + SPREAD // 8]], x[v[p : p + SPREAD // 8]]) for p in range(0, len(q), SPREAD // 8)] or [np.zeros(0)])
+                keep = s >= threshold - slack
+                grown.append((q[keep], v[keep], s[keep]))
+            fq, fv, fs = (np.concatenate(c) for c in zip(*grown))
+
+
+def unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the groups of each pair (a, b) in place; ``parent`` names each row's smallest joined row before and after."""
+    while True:
+        a, b = parent[a], parent[b]
+        apart = a != b
+        if not apart.any():
+            return
+        pair = np.unique(np.maximum(a[apart], b[apart]) * len(parent) + np.minimum(a[apart], b[apart]))
+        a, b = pair // len(parent), pair % len(parent)
+        np.minimum.at(parent, a, b)
+        while (parent[parent] != parent).any():
+            parent[:] = parent[parent]
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding", shard_rows: int = 2_000, overlap: int = 3, degree: int = 24, beam: int = 24, least_recall: float = 0.98) -> DataFrame:
     """One row per input row: vec_id, n_links (other rows linked directly) and component_id (smallest id reachable).
 
     Equal directions form a class that links within itself and is searched for once. Classes are dealt to the shards of
-    their nearest centres; each shard's graph is built alone, a class's neighbours from all its shards are united, and
-    each class is searched for in its home shard over the united lists. Every found link is verified by its cosine in
-    double precision. Links counted exactly for a bounded set of classes measure recall; below ``least_recall`` the run
+    their nearest centres, centres close to each other taken as one so that a dense group stays together, and a large
+    shard is built and searched in pieces. Each graph is built alone, a class's neighbours from all its shards are
+    united, and each class is searched for in its home shard over the united lists. Every found link is verified by its
+    cosine in double precision. Links counted exactly for a bounded set of classes measure recall; below ``least_recall`` the run
     is repeated with a wider overlap and beam, and after three runs the last is returned and its recall logged.
 
     Vectors that are null, empty, zero or hold null or non-finite components have no link and are their own component.
@@ -232,19 +283,29 @@ def _linked(ws: Workspace, classes: DataFrame, threshold: float, shard_rows: int
     for attempt in range(3):
         width = overlap + 2 * attempt
         k = max(1, min(-(-n * width // shard_rows), MOST_CENTRES, len(sample) // 4))
-        centre = centres(fit, k) if k > 1 else np.zeros((1, len(classes.first()["unit"]) // 8))
+        centre = apart(centres(fit, k), threshold - SLACK) if k > 1 else np.zeros((1, len(classes.first()["unit"]) // 8))
         shards = ws.save(deal(nodes, centre, width), "shards")
-        found = ws.save(_searched(ws, shards, nodes, threshold, degree, beam * (1 + attempt)), "found")
+        found = ws.save(_searched(ws, shards, nodes, threshold, degree, beam * (1 + attempt), 2 * shard_rows), "found")
         ws.drop(shards)
         recall = _recall(nodes, found, threshold, n)
-        log.info("recall %.4f with %d shards, each vector in %d", recall, k, width)
-        if recall >= least_recall or k == 1:
+        log.info("recall %.4f with %d shards, each vector in %d", recall, len(centre), width)
+        if recall >= least_recall:
             return found
     log.warning("recall %.4f after three runs", recall)
     return found
 
 
-def _searched(ws: Workspace, shards: DataFrame, nodes: DataFrame, threshold: float, degree: int, beam: int) -> DataFrame:
+def _searched(ws: Workspace, shards: DataFrame, nodes: DataFrame, threshold: float, degree: int, beam: int, most: int) -> DataFrame:
+    """(node, links, root): one row of each node's links, and rows with links -1 that are edges towards components.
+
+    A shard of more than ``most`` rows, such as a dense group that no centres can part, is cut into pieces by hash. Each
+    piece has a graph of its own and the shard's queries are searched for in each, a cell of query piece and graph piece
+    a task. So every link is within reach, and a task's rows are bounded whatever the size of a group.
+    """
+    pieces = F.ceil(F.col("rows") / most).cast("int")
+    sizes = F.broadcast(shards.groupBy("shard").agg(F.count(F.lit(1)).alias("rows")))  # at most MOST_CENTRES rows
+    placed = shards.join(sizes, "shard").select("shard", pieces.alias("pieces"), F.pmod(F.xxhash64("node", F.lit(7)), pieces.cast("long")).cast("int").alias("piece"), "home", "node", "unit")
+
     def build(t: pa.Table) -> pa.Table:
         node = t["node"].to_numpy()
         order = np.argsort(node)
@@ -253,40 +314,41 @@ def _searched(ws: Workspace, shards: DataFrame, nodes: DataFrame, threshold: flo
         lists = [node[r[r >= 0]].tolist() for r in g]
         return pa.table([pa.array(node), pa.array(lists, pa.list_(pa.int64()))], names=["node", "next"])
 
-    lists = shards.select("shard", "node", "unit").groupBy("shard").applyInArrow(build, "node long, next array<long>")
+    lists = placed.select("shard", "piece", "node", "unit").groupBy("shard", "piece").applyInArrow(build, "node long, next array<long>")
     united = ws.save(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("next"))).alias("next")), "graph")  # at most overlap x degree
 
     def look(t: pa.Table) -> pa.Table:
         node = t["node"].to_numpy()
         order = np.argsort(node)
         t = t.take(pa.array(order))
-        node, x, weight, home = node[order], _matrix(t["unit"]), t["n"].to_numpy(), t["home"].to_numpy(zero_copy_only=False)
-        n = len(node)
-        lists = t["next"].combine_chunks()
-        to, of = lists.flatten().to_numpy(), np.repeat(np.arange(n), np.diff(lists.offsets.to_numpy()))
-        at = np.minimum(np.searchsorted(node, to), n - 1)
-        inside = node[at] == to
-        a, b = np.concatenate([of[inside], at[inside]]), np.concatenate([at[inside], of[inside]])  # both directions
-        pair = np.unique(a.astype(np.int64) * n + b)
-        a, b = pair // n, pair % n
-        width = np.bincount(a, minlength=n)
-        first = np.concatenate([[0], np.cumsum(width)])[:-1]
-        graph = np.full((n, max(1, int(width.max(initial=1)))), -1, np.int32)
-        graph[a, np.arange(len(a)) - first[a]] = b
-        queries = np.flatnonzero(home)
-        found = search(x, graph, queries, threshold, beam)
-        label = _roots(found, queries, n)
-        links = found @ weight if len(queries) else np.zeros(0, np.int64)
-        # rows that are no query here still carry an edge to what they were found with
-        extra = np.flatnonzero((label != np.arange(n)) & ~home)
-        who = np.concatenate([queries, extra])
-        return pa.table(
-            [pa.array(node[who]), pa.array(np.concatenate([links, np.full(len(extra), -1)]).astype(np.int64)), pa.array(node[label[who]])], names=["node", "links", "root"]
-        )
-
-    ready = shards.join(united, "node").join(nodes.select("node", "n"), "node").select("shard", "home", "node", "unit", "n", "next")
-    raw = ready.groupBy("shard").applyInArrow(look, "node long, links long, root long")
-    return raw
+        node, x, weight = node[order], _matrix(t["unit"]), t["n"].to_numpy()
+        ask, data = (np.flatnonzero(t[c].to_numpy()) for c in ("ask", "data"))
+        inner = node[data]
+        lists = t["next"].take(pa.array(data)).combine_chunks()
+        to, of = lists.flatten().to_numpy(), np.repeat(np.arange(len(data)), np.diff(lists.offsets.to_numpy()))
+        at = np.minimum(np.searchsorted(inner, to), len(data) - 1)
+        inside = inner[at] == to if len(data) else np.zeros(0, bool)
+        graph = Graph(of[inside], at[inside], max(1, len(data)))
+        own = np.full(len(node), -1)
+        own[data] = np.arange(len(data))
+        links, parent = np.zeros(len(ask)), np.arange(len(node))
+        for q, v in search(x[data], graph, x[ask], own[ask], threshold, beam):
+            links += np.bincount(q, weight[data[v]], minlength=len(ask))
+            unite(parent, ask[q], data[v])
+        joined = np.flatnonzero(parent != np.arange(len(node)))
+        links = np.concatenate([links.astype(np.int64), np.full(len(joined), -1)])
+        return pa.table([pa.array(node[np.concatenate([ask, joined])]), pa.array(links), pa.array(node[np.concatenate([ask, parent[joined]])])], names=["node", "links", "root"])
+
+    ready = placed.join(united, "node").join(nodes.select("node", "n"), "node")
+    cell = lambda q, g, data: F.struct(q.alias("query_piece"), g.alias("graph_piece"), data.alias("data"), (F.col("home") & (q == F.col("piece"))).alias("ask"))
+    every = F.sequence(F.lit(0), F.col("pieces") - 1)
+    as_query = F.transform(every, lambda p: cell(F.col("piece"), p, p == F.col("piece")))
+    as_data = F.transform(F.filter(every, lambda p: p != F.col("piece")), lambda p: cell(p, F.col("piece"), F.lit(True)))
+    cells = ready.withColumn("c", F.explode(F.concat(as_query, as_data))).select("shard", "c.*", "node", "unit", "n", "next").where("data or ask")
+    cells = cells.withColumn("next", F.when(F.col("data"), F.col("next")))
+    raw = ws.save(cells.groupBy("shard", "query_piece", "graph_piece").applyInArrow(look, "node long, links long, root long"), "raw")
+    total = raw.where("links >= 0").groupBy("node").agg(F.sum("links").alias("links")).select("node", "links", F.col("node").alias("root"))
+    return total.unionByName(raw.where("links < 0"))
 
 
 def _recall(nodes: DataFrame, found: DataFrame, threshold: float, n: int) -> float:
