@@ -257,6 +257,25 @@ def test_dense_group_is_searched_in_pieces(spark):
     assert sum(r["n_links"] for r in got.values()) >= 0.98 * sum(links.values())
 
 
+def test_recall_sees_lost_links_of_isolated_pairs(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(2500, 32))
+    x[1:120:2] = x[0:120:2] + rng.normal(size=(60, 32)) * 0.05  # 60 pairs, then a dense group of many copies
+    x[2300:] = x[2300] + rng.normal(size=(200, 32)) * 0.05
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    nodes = spark.createDataFrame([(k, v.tobytes(), 50 if k >= 2300 else 1) for k, v in enumerate(x)], "node long, unit binary, n long")
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    others, links = near.sum(axis=1), near @ np.where(np.arange(2500) >= 2300, 50, 1)
+
+    def recall(lost):
+        rows = [(k, 0, 0, k) if k in lost else (k, int(links[k]), int(others[k]), k) for k in range(2500)]
+        return vectors._recall(nodes, spark.createDataFrame(rows, "node long, links long, others long, root long"), 0.95, 2500)
+
+    assert recall(set()) == 1.0
+    assert recall(set(range(0, 48))) < 0.9  # 48 of 320 linked rows
+
+
 def test_unite_joins_chains():
     rng = np.random.default_rng(1)
     parent, label = np.arange(200), {k: k for k in range(200)}

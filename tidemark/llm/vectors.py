@@ -16,8 +16,8 @@ log = logging.getLogger(__name__)
 
 #: Vectors that cluster centres are fitted on, at most, and centres of one fit.
 FIT_ROWS, MOST_CENTRES = 20_000, 1_000
-#: Vectors whose links are counted exactly, to measure recall.
-AUDIT_ROWS = 200
+#: Linked vectors that recall is measured on, at least; vectors drawn for that in one step, and most steps.
+AUDIT_ROWS, AUDIT_STEP, AUDIT_STEPS = 200, 4_096, 8
 #: Queries that a task searches for at once.
 BLOCK = 256
 #: Neighbours that a range search looks at in one step.
@@ -243,8 +243,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     their nearest centres, centres close to each other taken as one so that a dense group stays together, and a large
     shard is built and searched in pieces. Each graph is built alone, a class's neighbours from all its shards are
     united, and each class is searched for in its home shard over the united lists. Every found link is verified by its
-    cosine in double precision. Links counted exactly for a bounded set of classes measure recall; below ``least_recall`` the run
-    is repeated with a wider overlap and beam, and after three runs the last is returned and its recall logged.
+    cosine in double precision. Links counted exactly for classes drawn whatever was found measure recall; below ``least_recall``
+    the run is repeated with a wider overlap and beam, and after three runs the last is returned and its recall logged.
 
     Vectors that are null, empty, zero or hold null or non-finite components have no link and are their own component.
     Vectors of different lengths never link. Rows with one id are rows of their own; a null id is carried and names a
@@ -274,7 +274,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
 
 
 def _linked(ws: Workspace, classes: DataFrame, threshold: float, shard_rows: int, overlap: int, degree: int, beam: int, least_recall: float) -> DataFrame:
-    """(node, links, root): what each class of one vector length links to, counted in rows, and an edge towards its component."""
+    """(node, links, others, root): what each class of one vector length links to, counted in rows, and an edge towards its component."""
     n = classes.count()
     share = min(1.0, FIT_ROWS / n)
     sample = classes.where(F.pmod(F.xxhash64("node", F.lit(9)), F.lit(1_000_000)) < int(1_000_000 * share)).select("unit").limit(2 * FIT_ROWS).collect()
@@ -285,8 +285,9 @@ def _linked(ws: Workspace, classes: DataFrame, threshold: float, shard_rows: int
         k = max(1, min(-(-n * width // shard_rows), MOST_CENTRES, len(sample) // 4))
         centre = apart(centres(fit, k), threshold - SLACK) if k > 1 else np.zeros((1, len(classes.first()["unit"]) // 8))
         shards = ws.save(deal(nodes, centre, width), "shards")
-        found = ws.save(_searched(ws, shards, nodes, threshold, degree, beam * (1 + attempt), 2 * shard_rows), "found")
-        ws.drop(shards)
+        raw = _searched(ws, shards, nodes, threshold, degree, beam * (1 + attempt), 2 * shard_rows)
+        found = ws.save(_summed(raw), "found")
+        ws.drop(shards, raw)
         recall = _recall(nodes, found, threshold, n)
         log.info("recall %.4f with %d shards, each vector in %d", recall, len(centre), width)
         if recall >= least_recall:
@@ -295,8 +296,14 @@ def _linked(ws: Workspace, classes: DataFrame, threshold: float, shard_rows: int
     return found
 
 
+def _summed(raw: DataFrame) -> DataFrame:
+    """(node, links, others, root): one row of each node's links, and rows with links -1 that are edges towards components."""
+    total = raw.where("links >= 0").groupBy("node").agg(F.sum("links").alias("links"), F.sum("others").alias("others"))
+    return total.select("node", "links", "others", F.col("node").alias("root")).unionByName(raw.where("links < 0"))
+
+
 def _searched(ws: Workspace, shards: DataFrame, nodes: DataFrame, threshold: float, degree: int, beam: int, most: int) -> DataFrame:
-    """(node, links, root): one row of each node's links, and rows with links -1 that are edges towards components.
+    """(node, links, others, root): each node's links within its home shard, counted in rows and in nodes, and rows with links -1 that are edges towards components.
 
     A shard of more than ``most`` rows, such as a dense group that no centres can part, is cut into pieces by hash. Each
     piece has a graph of its own and the shard's queries are searched for in each, a cell of query piece and graph piece
@@ -331,13 +338,14 @@ def _searched(ws: Workspace, shards: DataFrame, nodes: DataFrame, threshold: flo
         graph = Graph(of[inside], at[inside], max(1, len(data)))
         own = np.full(len(node), -1)
         own[data] = np.arange(len(data))
-        links, parent = np.zeros(len(ask)), np.arange(len(node))
+        links, others, parent = np.zeros(len(ask)), np.zeros(len(ask), np.int64), np.arange(len(node))
         for q, v in search(x[data], graph, x[ask], own[ask], threshold, beam):
             links += np.bincount(q, weight[data[v]], minlength=len(ask))
+            others += np.bincount(q, minlength=len(ask))
             unite(parent, ask[q], data[v])
         joined = np.flatnonzero(parent != np.arange(len(node)))
-        links = np.concatenate([links.astype(np.int64), np.full(len(joined), -1)])
-        return pa.table([pa.array(node[np.concatenate([ask, joined])]), pa.array(links), pa.array(node[np.concatenate([ask, parent[joined]])])], names=["node", "links", "root"])
+        links, others = (np.concatenate([c.astype(np.int64), np.full(len(joined), -1)]) for c in (links, others))
+        return pa.table([pa.array(node[np.concatenate([ask, joined])]), pa.array(links), pa.array(others), pa.array(node[np.concatenate([ask, parent[joined]])])], names=["node", "links", "others", "root"])
 
     ready = placed.join(united, "node").join(nodes.select("node", "n"), "node")
     cell = lambda q, g, data: F.struct(q.alias("query_piece"), g.alias("graph_piece"), data.alias("data"), (F.col("home") & (q == F.col("piece"))).alias("ask"))
@@ -346,31 +354,45 @@ def _searched(ws: Workspace, shards: DataFrame, nodes: DataFrame, threshold: flo
     as_data = F.transform(F.filter(every, lambda p: p != F.col("piece")), lambda p: cell(p, F.col("piece"), F.lit(True)))
     cells = ready.withColumn("c", F.explode(F.concat(as_query, as_data))).select("shard", "c.*", "node", "unit", "n", "next").where("data or ask")
     cells = cells.withColumn("next", F.when(F.col("data"), F.col("next")))
-    raw = ws.save(cells.groupBy("shard", "query_piece", "graph_piece").applyInArrow(look, "node long, links long, root long"), "raw")
-    total = raw.where("links >= 0").groupBy("node").agg(F.sum("links").alias("links")).select("node", "links", F.col("node").alias("root"))
-    return total.unionByName(raw.where("links < 0"))
+    return ws.save(cells.groupBy("shard", "query_piece", "graph_piece").applyInArrow(look, "node long, links long, others long, root long"), "raw")
 
 
 def _recall(nodes: DataFrame, found: DataFrame, threshold: float, n: int) -> float:
-    """Links found over links counted exactly, for a bounded set of classes against all, in blocks."""
-    part = F.pmod(F.xxhash64("node", F.lit(4)), F.lit(1_000_000)) < max(1, int(1_000_000 * min(1.0, AUDIT_ROWS / n)))
-    linked = found.where("links > 0").select("node").distinct().orderBy(F.xxhash64("node")).limit(AUDIT_ROWS)
-    asked = nodes.join(F.broadcast(linked), "node").unionByName(nodes.where(part)).distinct().collect()
-    if not asked:
+    """Share of true links found, by a seeded sample of classes that were compared with all: the lower of the mean over linked classes and the share of all their links.
+
+    Classes are drawn whatever was found for them, step by step until AUDIT_ROWS of them have a true link, and links
+    count once whatever copies they stand for.
+    """
+    order = F.pmod(F.xxhash64("node", F.lit(4)), F.lit(1_000_000_000))
+    step = max(1, int(1_000_000_000 * min(1.0, AUDIT_STEP / n)))
+    got, true = [], []
+    for at in range(0, min(1_000_000_000, step * AUDIT_STEPS), step):
+        asked = nodes.where((order >= at) & (order < at + step)).select("node", "unit").collect()
+        if asked:
+            exact = _exact(nodes, asked, threshold)
+            pairs = exact.join(found.where("links >= 0").select("node", "others"), "node", "left").select(F.col("true"), F.coalesce("others", F.lit(0))).collect()
+            true += [t for t, _ in pairs]
+            got += [g for _, g in pairs]
+        if len(true) >= AUDIT_ROWS:
+            break
+    if not true:
         return 1.0
-    ids = [r["node"] for r in asked]
+    return min(sum(got) / sum(true), sum(g / t for g, t in zip(got, true)) / len(true))
+
+
+def _exact(nodes: DataFrame, asked: list, threshold: float) -> DataFrame:
+    """(node, true): other classes that each of ``asked`` links to, of those that have any."""
+    ids = np.array([r["node"] for r in asked])
     x = np.frombuffer(b"".join(r["unit"] for r in asked), np.float64).reshape(len(asked), -1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(ids), np.int64)
         for b in batches:
-            node, w = b.column(0).to_numpy(), b.column(2).to_numpy()
-            for at in range(0, b.num_rows, 4096):
-                s = _matrix(b.column(1).slice(at, 4096)) @ x.T >= threshold
-                s &= node[at : at + 4096, None] != np.array(ids)[None, :]
-                total += w[at : at + 4096] @ s
+            for at in range(0, b.num_rows, 1024):
+                part = b.slice(at, 1024)
+                s = _matrix(part.column(1)) @ x.T >= threshold
+                s &= part.column(0).to_numpy()[:, None] != ids
+                total += s.sum(axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["node", "true"])
 
-    true = nodes.mapInArrow(count, "node long, true long").groupBy("node").agg(F.sum("true").alias("true"))
-    got = found.where("links >= 0").select("node", "links").join(F.broadcast(true), "node").agg(F.sum("links").alias("l"), F.sum("true").alias("t")).first()
-    return 1.0 if not got["t"] else got["l"] / got["t"]
+    return F.broadcast(nodes.select("node", "unit").mapInArrow(count, "node long, true long").groupBy("node").agg(F.sum("true").alias("true")).where(F.col("true") > 0))
