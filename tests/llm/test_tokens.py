@@ -276,6 +276,21 @@ def test_recall_sees_lost_links_of_isolated_pairs(spark):
     assert recall(set(range(0, 48))) < 0.9  # 48 of 320 linked rows
 
 
+def test_links_across_shards_are_complete(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(2400, 32))
+    x[1200:] = x[:1200] + rng.normal(size=(1200, 32)) * 0.29
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.95
+    want = (near.sum(axis=1) - 1).tolist()
+    assert sum(want) > 600
+    for options in ({}, {"degree": 1, "beam": 1, "least_recall": 1.01}):  # the latter ends in exact comparison
+        got = {r["vec_id"]: r for r in vectors.near_duplicates(df, shard_rows=40, **options).collect()}
+        assert [got[k]["n_links"] for k in range(2400)] == want
+        assert all(got[k + 1200]["component_id"] == got[k]["component_id"] for k in range(1200) if near[k, k + 1200])
+
+
 def test_unite_joins_chains():
     rng = np.random.default_rng(1)
     parent, label = np.arange(200), {k: k for k in range(200)}

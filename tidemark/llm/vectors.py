@@ -18,6 +18,8 @@ log = logging.getLogger(__name__)
 FIT_ROWS, MOST_CENTRES = 20_000, 1_000
 #: Linked vectors that recall is measured on, at least; vectors drawn for that in one step, and most steps.
 AUDIT_ROWS, AUDIT_STEP, AUDIT_STEPS = 200, 4_096, 8
+#: Vectors that are compared exactly with as many others at once, across shards.
+PACK = 2_048
 #: Queries that a task searches for at once.
 BLOCK = 256
 #: Neighbours that a range search looks at in one step.
@@ -243,8 +245,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     their nearest centres, centres close to each other taken as one so that a dense group stays together, and a large
     shard is built and searched in pieces. Each graph is built alone, a class's neighbours from all its shards are
     united, and each class is searched for in its home shard over the united lists. Every found link is verified by its
-    cosine in double precision. Links counted exactly for classes drawn whatever was found measure recall; below ``least_recall``
-    the run is repeated with a wider overlap and beam, and after three runs the last is returned and its recall logged.
+    cosine in double precision. Links to classes that weren't dealt to a class's home shard are found by exact comparison
+    with all shards that the threshold lets them be in, so none is lost at the shards' borders.
+    Links counted exactly for classes drawn whatever was found measure recall; below ``least_recall`` the run is repeated
+    with a wider overlap and beam, and after three runs all shards within reach are compared exactly, which loses none.
 
     Vectors that are null, empty, zero or hold null or non-finite components have no link and are their own component.
     Vectors of different lengths never link. Rows with one id are rows of their own; a null id is carried and names a
@@ -284,16 +288,19 @@ def _linked(ws: Workspace, classes: DataFrame, threshold: float, shard_rows: int
         width = overlap + 2 * attempt
         k = max(1, min(-(-n * width // shard_rows), MOST_CENTRES, len(sample) // 4))
         centre = apart(centres(fit, k), threshold - SLACK) if k > 1 else np.zeros((1, len(classes.first()["unit"]) // 8))
+        across = _across(ws, nodes, centre, width, threshold) if len(centre) > width else None
         shards = ws.save(deal(nodes, centre, width), "shards")
         raw = _searched(ws, shards, nodes, threshold, degree, beam * (1 + attempt), 2 * shard_rows)
-        found = ws.save(_summed(raw), "found")
-        ws.drop(shards, raw)
+        found = ws.save(_summed(raw if across is None else raw.unionByName(across)), "found")
+        ws.drop(shards, raw, *([] if across is None else [across]))
         recall = _recall(nodes, found, threshold, n)
         log.info("recall %.4f with %d shards, each vector in %d", recall, len(centre), width)
         if recall >= least_recall:
             return found
-    log.warning("recall %.4f after three runs", recall)
-    return found
+        ws.drop(found)
+    log.warning("recall %.4f after three runs: comparing exactly", recall)
+    none = nodes.select("node", F.lit(0).cast("long").alias("links"), F.lit(0).cast("long").alias("others"), F.col("node").alias("root"))
+    return ws.save(_summed(_across(ws, nodes, centre, width, threshold, whole=True).unionByName(none)), "found")
 
 
 def _summed(raw: DataFrame) -> DataFrame:
@@ -302,6 +309,93 @@ def _summed(raw: DataFrame) -> DataFrame:
     return total.select("node", "links", "others", F.col("node").alias("root")).unionByName(raw.where("links < 0"))
 
 
+def _across(ws: Workspace, nodes: DataFrame, centre: np.ndarray, width: int, threshold: float, whole: bool = False) -> DataFrame:
+    """Raw links, as of ``_searched``, to nodes that weren't dealt to the home shard of the node that asks; all links if ``whole``.
+
+    Rows of one home shard are compared exactly with those of another, but for rows that lie farther from the plane
+    between both centres than the threshold's angle and so can't link across it. Nodes are packed into blocks of about
+    PACK rows, whole shards or pieces of a large one; a task reads pairs of blocks.
+    """
+    spark = ws.spark
+    margin = np.sqrt(1 - threshold**2) + 1e-6 if threshold > 0 else np.inf
+    homes = deal(nodes, centre, 1).select(F.col("shard").alias("home"), "node", "unit")
+    first, sizes = 0, []
+    filled = 0
+    for r in homes.groupBy("home").count().orderBy("home").collect():  # at most MOST_CENTRES rows
+        pieces = -(-r["count"] // PACK)
+        if filled and filled + r["count"] > PACK:
+            first, filled = first + 1, 0
+        sizes.append((r["home"], first, pieces))
+        filled += r["count"]
+        if pieces > 1:
+            first, filled = first + pieces, 0
+    table = F.broadcast(spark.createDataFrame(sizes, "home int, first int, pieces int"))
+    placed = homes.join(table, "home").join(nodes.select("node", "n"), "node")
+    placed = placed.select((F.col("first") + F.pmod(F.xxhash64("node", F.lit(7)), F.col("pieces").cast("long"))).cast("int").alias("block"), "home", "node", "n", "unit")
+
+    def pack(t: pa.Table) -> pa.Table:
+        t = t.take(pa.array(np.lexsort((t["node"].to_numpy(), t["home"].to_numpy()))))
+        one = [t["block"][:1].combine_chunks()] + [pa.array([t[c].to_numpy().astype(k).tobytes()], pa.binary()) for c, k in (("home", np.int32), ("node", np.int64), ("n", np.int64))]
+        return pa.table([*one, pa.array([b"".join(t["unit"].to_pylist())], pa.binary())], names=["block", "home", "node", "n", "unit"])
+
+    packed = ws.save(placed.groupBy("block").applyInArrow(pack, "block int, home binary, node binary, n binary, unit binary"), "packed")
+
+    def near(x: np.ndarray) -> np.ndarray:
+        return np.argsort(-(x @ centre.T), axis=1, kind="stable")[:, :width]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                same = r["block"] == r["block_b"]
+                sides = [{c: np.frombuffer(r[c + end], k) for c, k in (("home", np.int32), ("node", np.int64), ("n", np.int64))} | {"x": np.frombuffer(r["unit" + end], np.float64).reshape(len(r["node" + end]) // 8, -1)} for end in ("", "_b")]
+                a, b = sides
+                base = 0 if same else len(a["node"])
+                node, weight = (a[c] if same else np.concatenate([a[c], b[c]]) for c in ("node", "n"))
+                links, others, parent = np.zeros(len(node), np.int64), np.zeros(len(node), np.int64), np.arange(len(node))
+                dealt = [near(s["x"]) for s in sides]
+                for i in np.unique(a["home"]).tolist():
+                    for j in np.unique(b["home"]).tolist():
+                        if i == j and not whole or same and i > j:
+                            continue
+                        p, q = (np.flatnonzero(s["home"] == h) for s, h in ((a, i), (b, j)))
+                        if i != j:
+                            across = centre[i] - centre[j]
+                            far = margin * np.linalg.norm(across)
+                            p, q = p[a["x"][p] @ across <= far], q[b["x"][q] @ across >= -far]
+                        if not len(p) or not len(q):
+                            continue
+                        there, here = (dealt[1][q] == i).any(axis=1), (dealt[0][p] == j).any(axis=1)  # what the home shards search for
+                        for at in range(0, len(p), BLOCK):
+                            u, v = np.nonzero(a["x"][p[at : at + BLOCK]] @ b["x"][q].T >= threshold)
+                            u += at
+                            if same and i == j:
+                                u, v = u[u < v], v[u < v]
+                            out, back = (np.ones(len(u), bool),) * 2 if whole else (~there[v], ~here[u])
+                            for one, other, ok in ((p[u], base + q[v], out), (base + q[v], p[u], back)):
+                                np.add.at(links, one[ok], weight[other[ok]])
+                                np.add.at(others, one[ok], 1)
+                                unite(parent, one[ok], other[ok])
+                asked, joined = np.flatnonzero(others), np.flatnonzero(parent != np.arange(len(node)))
+                mark = np.full(len(joined), -1)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[np.concatenate([asked, joined])]), pa.array(np.concatenate([links[asked], mark])), pa.array(np.concatenate([others[asked], mark])), pa.array(node[np.concatenate([asked, parent[joined]])])],
+                    names=["node", "links", "others", "root"],
+                )
+
+    other = packed.select(*[F.col(c).alias(f"{c}_b") for c in packed.columns])
+    turn = (F.col("block") + F.col("block_b")) % 2 == 1  # each pair once, and as many for each block
+    pairs = packed.coalesce(64).crossJoin(other.coalesce(64)).where((F.col("block") == F.col("block_b")) | ((F.col("block") < F.col("block_b")) == turn))
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "1")  # a row holds two blocks
+    try:
+        raw = ws.save(pairs.mapInArrow(compare, "node long, links long, others long, root long"), "across")
+    finally:
+        spark.conf.set(key, was)
+    ws.drop(packed)
+    return raw
+
+
 def _searched(ws: Workspace, shards: DataFrame, nodes: DataFrame, threshold: float, degree: int, beam: int, most: int) -> DataFrame:
     """(node, links, others, root): each node's links within its home shard, counted in rows and in nodes, and rows with links -1 that are edges towards components.
 
