@@ -257,3 +257,17 @@ def test_licence_templates_are_recognised():
         for t in texts:
             found, p, confirmed = m.classify(t)
             assert (found, confirmed) == (family, True), t
+
+
+def test_every_planted_kind_of_line_is_confirmed(spark):
+    planted = {
+        "All rights reserved.": "Proprietary",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "Licensed under CC BY-NC 4.0.": "CC-BY-NC",
+        "Released under the MIT License.": "MIT",
+        "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    }
+    texts = [f"Some words before.\n{line}\nAnd some after." for line in planted] + ["All rights reserved.\nReleased under the MIT License.", "All the rights of others were reserved."]
+    got = {r["doc_id"]: r for r in licences.scan(docs(spark, *texts)).collect()}
+    assert [got[k]["licence"] for k in range(7)] == [*planted.values(), "MIT", None]
+    assert all(got[k]["n_confirmed"] == 1 for k in range(5)) and got[5]["families"] == ["MIT", "Proprietary"]

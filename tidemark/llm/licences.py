@@ -73,7 +73,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work. CC0 1.0 Universal",
         "This work is dedicated to the public domain.",
     ),
-    "Proprietary": ("All rights reserved. No part of this publication may be reproduced without prior written permission.",),
+    "Proprietary": ("All rights reserved.", "All rights reserved. No part of this publication may be reproduced without prior written permission.",),
 }
 # Statements of unnamed or other terms, and words that no terminal may consist of alone.
 OTHER = (
@@ -85,6 +85,8 @@ COMMON = set("the of to and a in is it for on you not this that be or any as at
 
 TOKEN = re.compile(r"[a-z0-9]+")
 NONE, UNKNOWN = "none", "unknown"
+#: The family that grants nothing; its notice also opens texts of other licences, which then name the licence.
+RESERVED = "Proprietary"
 SHINGLE, CONFIRM = 5, 0.8
 
 
@@ -202,8 +204,8 @@ def train(seed: int = 1, copies: int = 16) -> Model:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: its paragraphs, and what licences they state.
 
-    doc_id; n_paragraphs (lines with a word); licence (of the surest confirmed paragraph, else null) with its
-    probability; families (all confirmed ones, sorted); n_confirmed, n_unconfirmed and n_unknown count paragraphs.
+    doc_id; n_paragraphs (lines with a word); licence (of the surest confirmed paragraph, of one that reserves all rights only if
+    no other is confirmed, else null) with its probability; families (all confirmed ones, sorted); n_confirmed, n_unconfirmed and n_unknown count paragraphs.
     Null and empty texts have no paragraph. Each paragraph of the whole text is classified; one without any word that
     the model knows is none, as its score is then the bias alone. Repeated rows give repeated results.
     """
@@ -222,7 +224,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             elif ok:
                 confirmed += 1
                 families.add(family)
-                if p > sure or (p == sure and licence is not None and family < licence):
+                better = (licence == RESERVED) - (family == RESERVED) or p - sure
+                if licence is None or better > 0 or (better == 0 and family < licence):
                     sure, licence = p, family
         return n, licence, sure if licence else None, sorted(families), confirmed, un, unknown
 
