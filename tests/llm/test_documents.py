@@ -271,3 +271,22 @@ def test_every_planted_kind_of_line_is_confirmed(spark):
     got = {r["doc_id"]: r for r in licences.scan(docs(spark, *texts)).collect()}
     assert [got[k]["licence"] for k in range(7)] == [*planted.values(), "MIT", None]
     assert all(got[k]["n_confirmed"] == 1 for k in range(5)) and got[5]["families"] == ["MIT", "Proprietary"]
+
+
+def test_wrapped_notices_are_found(spark):
+    import textwrap
+
+    before, after = "Some words about a house\nand a page of text.", "More text comes here\nand then it ends."
+    texts, want = [], []
+    for family, templates in licences.TEMPLATES.items():
+        for t in templates:
+            for width, gap, mark in ((70, "\n\n", ""), (40, "\n", " * "), (25, "\n", "# ")):
+                texts.append(before + gap + textwrap.fill(t, width, initial_indent=mark, subsequent_indent=mark) + gap + after)
+                want.append(family)
+    got = {r["doc_id"]: r for r in licences.scan(docs(spark, *texts)).collect()}
+    for k, family in enumerate(want):
+        assert (got[k]["licence"], got[k]["n_confirmed"]) == (family, 1), texts[k]
+    mit = licences.TEMPLATES["MIT"][2]
+    apart = [textwrap.fill(mit, 60).replace("\n", "\n" + "Another line of many other words. " * 9 + "\n"), "All rights\n\nreserved.", textwrap.fill(mit, 60) + "\n\nx\n" + textwrap.fill(mit, 50)]
+    got = {r["doc_id"]: (r["licence"], r["n_confirmed"]) for r in licences.scan(docs(spark, *apart)).collect()}
+    assert got == {0: (None, 0), 1: (None, 0), 2: ("MIT", 2)}

@@ -119,7 +119,9 @@ class Model:
 
     def classify(self, paragraph: str) -> tuple[str, float, bool]:
         """(family, none or unknown; probability; whether a template confirms the family)."""
-        tokens = _tokens(paragraph)
+        return self.judge(_tokens(paragraph))
+
+    def judge(self, tokens: list[str]) -> tuple[str, float, bool]:
         if self.anchors.isdisjoint(tokens):
             return NONE, 1.0, False
         p = self.probabilities(tokens)
@@ -142,6 +144,60 @@ class Model:
         return len(s & have) / len(s)
 
 
+@lru_cache(maxsize=1)
+def _parts() -> tuple[frozenset, dict, list]:
+    """First three words of all template parts; (template, part) numbers by a part's words; words and distinct parts of each template.
+
+    A part is a shingle, or the whole of a template shorter than one.
+    """
+    where: dict[tuple[str, ...], list[tuple[int, int]]] = {}
+    lengths = []
+    for k, t in enumerate(t for ts in TEMPLATES.values() for t in ts):
+        want = _tokens(t)
+        found = _shingles(want)
+        lengths.append((len(want), len(found)))
+        for n, part in enumerate(sorted(found)):
+            where.setdefault(part, []).append((k, n))
+    return frozenset(p[:3] for p in where), where, lengths
+
+
+def notices(lines: list[list[str]], at: list[int]) -> Iterator[tuple[int, int, list[str]]]:
+    """(first line, last line, words) of each place where lines joined hold CONFIRM of a template's parts, and no single line does.
+
+    ``at`` has the lines' numbers in the text; a template shorter than a shingle doesn't run over empty lines.
+    """
+    starts, where, lengths = _parts()
+    words = [w for line in lines for w in line]
+    of = [k for k, line in enumerate(lines) for _ in line]
+    sizes = sorted({len(p) for p in where})
+    hits: dict[int, list[tuple[int, int]]] = {}
+    for p, key in enumerate(zip(words, words[1:], words[2:])):
+        if key in starts:
+            for n in sizes:
+                for k, part in where.get(tuple(words[p : p + n]), ()):
+                    hits.setdefault(k, []).append((p, part))
+    for k, found in hits.items():
+        length, parts = lengths[k]
+        end = min(length, SHINGLE)
+        run: dict[int, int] = {}  # the last place of each part, in order
+
+        def place() -> Iterator[tuple[int, int, list[str]]]:
+            if len(run) >= CONFIRM * parts:
+                p, q = next(iter(run.values())), next(reversed(run.values())) + end
+                a, b = of[p], of[q - 1]
+                if a < b and (length >= SHINGLE or at[b] - at[a] == b - a):
+                    more = max(0, length - (q - p))  # words that set the family apart may be in the missing parts
+                    yield a, b, words[max(0, p - more) : q + more]
+
+        for p, part in found:
+            if run and (p - next(reversed(run.values())) > length or part in run and len(run) >= CONFIRM * parts):
+                yield from place()
+                run.clear()
+            run.pop(part, None)
+            run[part] = p
+        yield from place()
+
+
 @lru_cache(maxsize=1)
 def train(seed: int = 1, copies: int = 16) -> Model:
     """Sparse logistic regression on word n-grams, trained on noisy copies of the templates and of other statements.
@@ -205,29 +261,42 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """One row per input row: its paragraphs, and what licences they state.
 
     doc_id; n_paragraphs (lines with a word); licence (of the surest confirmed paragraph, of one that reserves all rights only if
-    no other is confirmed, else null) with its probability; families (all confirmed ones, sorted); n_confirmed, n_unconfirmed and n_unknown count paragraphs.
+    no other is confirmed, else null) with its probability;
+    families (all confirmed ones, sorted); n_confirmed, n_unconfirmed and n_unknown count paragraphs.
     Null and empty texts have no paragraph. Each paragraph of the whole text is classified; one without any word that
     the model knows is none, as its score is then the bias alone. Repeated rows give repeated results.
+    A notice that is wrapped over lines is found where the joined lines hold its template, and counts as one confirmed
+    paragraph in place of its lines.
     """
     model = train()
+
     def look(text: str) -> tuple:
-        lines = [x for x in text.split("\n") if x and not x.isspace()]
-        n, sure, licence, families, confirmed, un, unknown = len(lines), 0.0, None, set(), 0, 0, 0
-        if model.anchors.isdisjoint(_tokens(text)):
+        numbered = [(k, x) for k, x in enumerate(text.split("\n")) if x and not x.isspace()]
+        at, lines = [k for k, _ in numbered], [_tokens(x) for _, x in numbered]
+        n, sure, licence, families = len(lines), 0.0, None, set()
+        if all(map(model.anchors.isdisjoint, lines)):
             lines = []
-        for line in lines:
-            family, p, ok = model.classify(line)
-            if family == UNKNOWN:
-                unknown += 1
-            elif family != NONE and not ok:
-                un += 1
-            elif ok:
-                confirmed += 1
-                families.add(family)
-                better = (licence == RESERVED) - (family == RESERVED) or p - sure
-                if licence is None or better > 0 or (better == 0 and family < licence):
-                    sure, licence = p, family
-        return n, licence, sure if licence else None, sorted(families), confirmed, un, unknown
+        judged = [model.judge(line) for line in lines]
+        wrapped: list[tuple[int, int, str, float]] = []
+        last: dict[str, int] = {}
+        for a, b, words in sorted(notices(lines, at)):
+            family, p, ok = model.judge(words)
+            if ok and a > last.get(family, -1):
+                wrapped.append((a, b, family, p))
+                last[family] = b
+        inside = {}
+        for a, b, family, _ in wrapped:
+            for k in range(a, b + 1):
+                inside.setdefault(k, set()).add(family)
+        found = [(f, p) for _, _, f, p in wrapped] + [(f, p) for k, (f, p, ok) in enumerate(judged) if ok and f not in inside.get(k, ())]
+        un = sum(f not in (NONE, UNKNOWN) and not ok for k, (f, _, ok) in enumerate(judged) if k not in inside)
+        unknown = sum(f == UNKNOWN for k, (f, _, _) in enumerate(judged) if k not in inside)
+        for family, p in found:
+            families.add(family)
+            better = (licence == RESERVED) - (family == RESERVED) or p - sure
+            if licence is None or better > 0 or (better == 0 and family < licence):
+                sure, licence = p, family
+        return n, licence, sure if licence else None, sorted(families), len(found), un, unknown
 
     kinds = [pa.int64(), pa.string(), pa.float64(), pa.list_(pa.string()), pa.int64(), pa.int64(), pa.int64()]
     names = ["n_paragraphs", "licence", "probability", "families", "n_confirmed", "n_unconfirmed", "n_unknown"]
