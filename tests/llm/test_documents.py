@@ -144,6 +144,16 @@ def test_near_duplicates(spark, odd):
     assert kept.columns == odd.columns and sorted(x["doc_id"] for x in kept.collect()) == [1, 4, 5, 6]
 
 
+def test_repeated_ids_keep_their_texts(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(200)) for x in "abc")
+    rows = [(5, a), (5, b), (3, a), (9, c), (9, c.upper()), (None, "one of no id"), (None, "two without any id at all"), (7, b)]
+    for turn in (rows, rows[::-1]):
+        kept = simhash.keep_first(spark.createDataFrame(turn, "doc_id long, text string").coalesce(1)).collect()
+        assert sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"].lower()) for r in kept) == [(-1, "one of no id"), (-1, "two without any id at all"), (3, a), (5, b), (9, c)]
+    many = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["text"] for r in simhash.keep_first(many).collect()} == {r["text"] for r in simhash.keep_first(many.repartition(5)).collect()}
+
+
 # ---- toxicity
 
 

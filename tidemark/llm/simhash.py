@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Workspace, components, sized, utf8
@@ -36,15 +36,21 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(np.packbits(2 * bits > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): one row per input row, fp a signed long with the fingerprint's 64 bits."""
+def _hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp): one row per input row, fp a signed long with the fingerprint's 64 bits; with ``hashed``, also a hash of the text."""
+    more = ["text"] if hashed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]], names=["doc_id", "fp", *more])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("t")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), utf8(text_col).alias("t"), *[_hash(text_col).alias(c) for c in more])
+    return rows.mapInArrow(run, "doc_id long, fp long" + ", text long" * hashed)
 
 
 def masks(distance: int, spare: int = 2) -> list[int]:
@@ -101,6 +107,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     ws = Workspace(docs.sparkSession, "simhash")
     fps = ws.save(fingerprints(docs, id_col, text_col, shingle), "fps")
+    return fps.join(_named(ws, fps, distance), "fp").select("doc_id", "fp", "component_id")
+
+
+def _named(ws: Workspace, fps: DataFrame, distance: int, root: bool = False) -> DataFrame:
+    """(fp, component_id) for each distinct fingerprint; with ``root``, also its component's smallest fingerprint, which no other component has."""
     distinct = ws.save(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
     edges = ws.save(links(ws, distinct, distance), "links")
     comp = components(ws, edges)
@@ -108,23 +119,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     n = comp.count()
     members = distinct.join(sized(comp.withColumnRenamed("node", "fp"), n), "fp")
     lows = ws.save(members.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
-    linked = comp.join(sized(lows, n), "root").select(F.col("node").alias("fp"), "component_id")
-    named = distinct.join(sized(linked, n), "fp", "left").select("fp", F.coalesce("component_id", "low").alias("component_id"))
-    named = ws.save(named, "named")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    more = ["root"] if root else []
+    linked = comp.join(sized(lows, n), "root").select(F.col("node").alias("fp"), "component_id", *more)
+    named = distinct.join(sized(linked, n), "fp", "left")
+    lone = F.col("root").isNull() if root else F.col("component_id").isNull()
+    named = named.select("fp", F.when(lone, F.col("low")).otherwise(F.col("component_id")).alias("component_id"), *[F.coalesce(c, "fp").alias(c) for c in more])
+    return ws.save(named, "named")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of ``docs`` whose id is its component's smallest; of repeated rows with that id, one stays.
+    """One row of ``docs`` for each component, with its smallest id; of several texts with that id, that of the smallest fingerprint.
 
-    Rows are made unique by id first, with a partial pass before the shuffle, and the join reuses that partitioning: the
-    texts are shuffled once, whatever the number of kept ids.
+    Rows are made unique by id and text first, with a partial pass before the shuffle, and the join reuses that
+    partitioning: the texts are shuffled once, whatever the number of kept rows. Texts are told apart by a 64-bit hash
+    among the rows of one id.
     """
-    found = near_duplicates(docs, id_col, text_col)
+    ws = Workspace(docs.sparkSession, "simhash")
 
-    def key(c: str) -> dict[str, F.Column]:
-        return {"__none": F.col(c).isNull(), "__key": F.coalesce(F.col(c).cast("long"), F.lit(0))}
+    def key(c: str, text: Column) -> dict[str, Column]:
+        return {"__none": F.col(c).isNull(), "__key": F.coalesce(F.col(c).cast("long"), F.lit(0)), "__text": text}
 
-    best = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).withColumns(key("doc_id")).select("__none", "__key").distinct()
-    one = docs.withColumns(key(id_col)).dropDuplicates(["__none", "__key"])
-    return one.join(best, ["__none", "__key"], "left_semi").select(*docs.columns)
+    found = ws.save(fingerprints(docs, id_col, text_col, hashed=True), "fps")
+    found = found.join(_named(ws, found, 2, root=True), "fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    best = found.groupBy("root").agg(F.min(F.struct("fp", "text", "doc_id")).alias("x")).select("x.*").withColumns(key("doc_id", F.col("text"))).select("__none", "__key", "__text")
+    one = docs.withColumns(key(id_col, _hash(text_col))).dropDuplicates(["__none", "__key", "__text"])
+    return one.join(best, ["__none", "__key", "__text"], "left_semi").select(*docs.columns)
