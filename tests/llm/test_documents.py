@@ -250,6 +250,15 @@ def test_mix_of_overlapping_sources(spark):
     assert abs(got - 900) <= 30 and {s: t for s, (_, t, _) in m.report.items()} == {"a": 450, "b": 450}
 
 
+def test_empty_membership_is_the_source_null(spark):
+    d = spark.createDataFrame([(k, "w " * 10, [[], None, [None], ["a"]][k % 4]) for k in range(80)], "doc_id long, text string, m array<string>")
+    m = mixing.mix(d, mixing.words("text"), F.col("m"), weights=(1,))
+    got = Counter()
+    for r in m.attach(d, mixing.words("text"), F.col("m")).collect():
+        got[(r["m"] or [None])[0], r["m"] == []] += r["copies"] * 10
+    assert m.report[None][0] == 600 and abs(got[None, True] + got[None, False] - m.report[None][2]) <= 10 and got[None, True] > 0
+
+
 # ---- licences
 
 

@@ -142,8 +142,9 @@ class Mix:
 
 
 def _pattern(members: Column) -> Column:
-    """A set of sources as one string: sorted, each marked as a name or as null, with its length before it."""
-    names = F.array_sort(F.array_distinct(F.coalesce(members, F.array(F.lit(None).cast("string")))))
+    """A set of sources as one string: sorted, each marked as a name or as null, with its length before it; no or an empty set is that of null."""
+    some = F.when(F.size(members) > 0, members)
+    names = F.array_sort(F.array_distinct(F.coalesce(some, F.array(F.lit(None).cast("string")))))
     return F.array_join(F.transform(names, lambda s: F.when(s.isNull(), F.lit("-")).otherwise(F.concat(F.char_length(s), F.lit(":"), s))), ",")
 
 
@@ -170,7 +171,6 @@ def mix(docs: DataFrame, size: Column, members: Column, id_col: str = "doc_id",
     spark = docs.sparkSession
     ws = Workspace(spark, "mixing")
     row = docs.select(_id(id_col).alias("id"), size.alias("size"), members.alias("members"))
-    row = row.withColumn("members", F.when(F.size("members") > 0, F.col("members")))
     row = row.withColumn("pattern", _pattern(F.col("members")))
     rows = ws.save(row.groupBy("pattern", "id", "size").agg((F.col("size") * F.count(F.lit(1))).alias("words"), F.any_value("members").alias("members")), "rows")
     found = rows.groupBy("pattern").agg(F.sum("words").alias("words"), F.any_value("members").alias("members")).limit(MOST_PATTERNS + 1).collect()
