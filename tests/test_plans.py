@@ -143,6 +143,14 @@ def test_page_size():
     assert p.size == 1
 
 
+def test_full_load_in_windows_reads_entries_without_a_date(spark, store):
+    d = docs(spark, ("a", 1, 1), ("b", 5, 2), ("c", 6, 3)).withColumn("Date", F.when(F.col("Ref_Key") != "c", F.col("Date")))
+    source = fl.FrameSnapshot({"Document_D": d, "Document_D_Rows": parts(spark, ("a", 1, "x"), ("c", 1, "y"))}, {"Document_D": ("Document_D_Rows",)})
+    when = datetime(2024, 7, 1)
+    assert fl.full_load(store, source, SPECS, "Document_D", "Date", started_at=when, now=when + timedelta(hours=1), limit=1) == 5
+    assert rows(store.read("Document_D"), "Ref_Key") == [("a",), ("b",), ("c",)] and rows(store.read("Document_D_Rows"), "Ref_Key") == [("a",), ("c",)]
+
+
 def test_full_load_marks_what_vanished_and_is_idle_after(spark, store):
     source = fl.FrameSnapshot({"Document_D": docs(spark, ("a", 1, 1), ("b", 2, 2), ("c", 5, 3)).drop("exchange_message_no"), "Document_D_Rows": parts(spark, ("a", 1, "x"), ("b", 1, "y"))}, {"Document_D": ("Document_D_Rows",)})
     run = lambda n, **more: fl.full_load(store, source, SPECS, "Document_D", "Date", started_at=datetime(2024, 1, 1) + timedelta(days=n), now=datetime(2024, 1, 1) + timedelta(days=n, hours=1), limit=1, **more)

@@ -23,12 +23,15 @@ PAGE_TARGET_BYTES, PAGE_SHRINK, SMALLEST_PAGE = 32 << 20, 4, 1
 
 @dataclass(frozen=True)
 class Window:
-    """[start, end): open where a side is None."""
+    """[start, end): open where a side is None. ``undated``: the entries without a date instead."""
 
     start: datetime | None
     end: datetime | None
+    undated: bool = False
 
     def condition(self, c: Column) -> Column:
+        if self.undated:
+            return c.isNull()
         return filters.in_window(c, self.start, self.end)
 
 
@@ -124,7 +127,7 @@ class FrameSnapshot:
     def _whole(self, spec: TableSpec, field: str | None, window: Window) -> DataFrame:
         """Rows of the window; of a recorder's register, whole groups of which one row is in it."""
         f = self.frames[spec.name]
-        if field is None or (window.start is None and window.end is None):
+        if field is None or (window.start is None and window.end is None and not window.undated):
             return f
         hit = f.where(window.condition(F.col(field)))
         return f.join(hit.select(*spec.group_key).distinct(), list(spec.group_key), "left_semi") if spec.group_key else hit
@@ -138,7 +141,7 @@ class FrameSnapshot:
 
 
 def plan_windows(source: Snapshot, spec: TableSpec, date_field: str | None, now: datetime, limit: int) -> list[Window]:
-    """The windows that a full load reads: the object whole if it is small or has no period, else the walk over its period."""
+    """The windows that a full load reads: the object whole if it is small or has no period, else the walk over its period and what has no date."""
     everything = Window(None, None)
     if date_field is None or source.count(spec, None, everything) <= limit:
         return [everything]
@@ -148,7 +151,8 @@ def plan_windows(source: Snapshot, spec: TableSpec, date_field: str | None, now:
         n = source.count(spec, date_field, w)
         return Read(n, not (may_refuse and n > limit))
 
-    return walk(read, newest or now, oldest)
+    undated = Window(None, None, undated=True)
+    return walk(read, newest or now, oldest) + [undated] * (source.count(spec, date_field, undated) > 0)
 
 
 def full_load(
