@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -52,14 +53,27 @@ def _spans(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.ui
     return _mix((total[ends] - total[starts]) * _powers(inverse, len(values) + 1)[starts])
 
 
-def _twice(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each key, whether it occurs twice or more, and whether an equal one stands before it."""
+def _twice(key: np.ndarray, same: Callable[[np.ndarray, np.ndarray], np.ndarray], exact: Callable[[int], bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """For each item, whether an equal one exists, and whether an equal one stands before it.
+
+    Equal hashes only propose: ``same`` compares neighbours of one hash, and a hash that unequal items share is settled
+    by their contents, which ``exact`` gives.
+    """
     order = np.argsort(key, kind="stable")
     s = key[order]
-    same = np.concatenate([[False], s[1:] == s[:-1]])
+    near = np.flatnonzero(s[1:] == s[:-1])
+    equal = np.zeros(max(len(key) - 1, 0), bool)
+    equal[near] = same(order[near], order[near + 1])
+    if wrong := set(s[near[~equal[near]]].tolist()):
+        label = np.concatenate([[0], np.cumsum(s[1:] != s[:-1])])[np.argsort(order, kind="stable")] if len(key) else key
+        shared: dict[bytes, int] = {}
+        for k in np.flatnonzero(np.isin(key, np.array(sorted(wrong), key.dtype))).tolist():
+            label[k] = len(key) + shared.setdefault(exact(k), len(shared))
+        order = np.argsort(label, kind="stable")
+        equal = label[order][1:] == label[order][:-1]
     twice, later = np.zeros(len(key), bool), np.zeros(len(key), bool)
-    later[order] = same
-    twice[order] = same | np.concatenate([same[1:], [False]])
+    later[order[1:]] = equal
+    twice[order] = np.concatenate([[False], equal]) | np.concatenate([equal, [False]]) if len(key) else False
     return twice, later
 
 
@@ -71,9 +85,14 @@ def _covered(hits: np.ndarray, width: int, n: int) -> np.ndarray:
 
 
 def measure(texts: list[bytes], lengths: tuple[int, ...]) -> dict[str, np.ndarray]:
-    """Counts of each text, by name; ``chars_n`` are word characters inside n-grams of n words found twice or more."""
+    """Counts of each text, by name; ``chars_n`` are word characters inside n-grams of n words found twice or more.
+
+    Equal words have one number, so words are told apart exactly; n-grams and lines that share a rolling hash are
+    compared before they count as equal.
+    """
     docs = len(texts)
-    raw = np.frombuffer(b"".join(t + b"\n" for t in texts), np.uint8)
+    data = b"".join(t + b"\n" for t in texts)
+    raw = np.frombuffer(data, np.uint8)
     stop = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, docs))
     space = _SPACE[raw]
     before = np.concatenate([[True], space[:-1]])
@@ -84,12 +103,22 @@ def measure(texts: list[bytes], lengths: tuple[int, ...]) -> dict[str, np.ndarra
     per = lambda at, w=None: np.bincount(at, w, minlength=docs).astype(np.int64)
     out = {"n_words": per(doc), "word_chars": per(doc, chars), "n_symbols": per(np.searchsorted(stop, np.flatnonzero(_SYMBOL[raw]), "right"))}
     salt = _mix(np.arange(docs, dtype=np.uint64) + np.uint64(1))
-    word = _spans(_RANDOM[raw], start, end, _BASE)
-    n = len(word)
+    number: defaultdict[bytes, int] = defaultdict()
+    number.default_factory = number.__len__
+    ids = np.fromiter(map(number.__getitem__, data.split()), np.int64, len(start))
+    word, n = _mix(ids.astype(np.uint64)), len(ids)
     for k in lengths:
         at = np.arange(max(n - k + 1, 0))
         at = at[doc[at] == doc[at + k - 1]]
-        twice, _ = _twice(_spans(word, at, at + k, _STEP) + salt[doc[at]])
+
+        def same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            p, q = at[a], at[b]
+            ok = doc[p] == doc[q]
+            for j in range(k):
+                ok &= ids[p + j] == ids[q + j]
+            return ok
+
+        twice, _ = _twice(_spans(word, at, at + k, _STEP) + salt[doc[at]], same, lambda i: b"%d " % doc[at[i]] + ids[at[i] : at[i] + k].tobytes())
         inside = _covered(at[twice], k, n)
         out[f"words_{k}"], out[f"chars_{k}"] = per(doc[inside]), per(doc[inside], chars[inside])
     cut = np.flatnonzero(raw == 10)
@@ -97,7 +126,14 @@ def measure(texts: list[bytes], lengths: tuple[int, ...]) -> dict[str, np.ndarra
     full = np.searchsorted(start, cut) > np.searchsorted(start, first)  # lines with a word
     first, cut = first[full], cut[full]
     at = np.searchsorted(stop, first, "right")
-    _, later = _twice(_spans(_RANDOM[raw], first, cut, _BASE) + salt[at])
+
+    def line(i: int) -> bytes:
+        return data[first[i] : cut[i]]
+
+    def equal(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return (at[a] == at[b]) & np.fromiter((line(i) == line(j) for i, j in zip(a.tolist(), b.tolist())), bool, len(a))
+
+    _, later = _twice(_spans(_RANDOM[raw], first, cut, _BASE) + salt[at], equal, lambda i: b"%d " % at[i] + line(i))
     out["n_dup_lines"] = per(at[later])
     out["line_chars"] = per(at[later], (whole[cut] - whole[first])[later])
     return out
@@ -137,7 +173,11 @@ def score(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_
 
 
 def accepted(docs: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns; verdicts travel with the rows, so nothing is joined."""
+    """The rows of ``docs`` that the rules keep, with all their columns; verdicts travel with the rows, so nothing is joined.
+
+    Null and empty texts have no words, so they go; repeated rows stay or go together; ids may be null or repeat; an
+    empty table gives none; columns of any name pass through unchanged. A text is looked at whole, however long.
+    """
     lengths = tuple(dict.fromkeys((rules.window, *(n for n, _ in rules.ngrams))))
 
     def keep(texts: list[bytes]) -> np.ndarray:
