@@ -10,30 +10,80 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import chunks, keep_rows, sized, utf8
+from tidemark.llm.common import Workspace, keep_rows, sized, utf8
 
 #: Labelled rows that a fit looks at, at most, by hash of their id; the parameter ``sample`` overrides it.
 SAMPLE = 20_000
-#: Terminals that a fit keeps, at most; the parameter ``terminals`` overrides it.
-TERMINALS = 4_000
 #: Words longer than this keep their first so many letters as a form of their own.
 STEMS = (5, 7)
+#: Characters on either side of a word that tell its place from others.
+BESIDE = 12
 
 # Closed word classes of the grammar, in English, German, French and Spanish.
-TARGET = set("you your yours u he him his she her they them their du dich dir dein deine ihr euch sie er tu te toi ton vous votre ils elles tú ti usted ustedes ellos".split())
+ADDRESSED = set("you your yours u du dich dir dein deine ihr euch tu te toi ton vous votre tú ti usted ustedes".split())
+PERSONS = set("he him his she her they them their sie er il elle ils elles ellos él ella".split())
+NAMED = set("the a an this that these those is are was were der die das den dem des ein eine einen einer einem ist sind le la les un une ce cette des est sont el los las una esta este es son".split())
 NEGATION = set("not no never nor without isn aren wasn weren don doesn didn nicht kein keine keinen nie ne pas jamais sin nunca".split())
 REPORT = set("said says say saying called calls wrote quoted quote quotes claims claimed alleged reported sagte sagt schrieb nannte dit disait écrit appelé dijo dice escribió llamó".split()) | set('"“”«»„')
 INTENT = set("will gonna going shall ll must should werde werden wirst vais va allons voy vamos".split())
 VIOLENCE = set("kill hurt destroy beat stab shoot burn punch hang strangle murder töten schlagen verprügeln umbringen tuer frapper matar golpear".split())
+CLASSES = {"y": ADDRESSED, "q": PERSONS, "p": NAMED, "n": NEGATION, "r": REPORT, "w": INTENT, "v": VIOLENCE}
 
 TOKEN = re.compile(r"[^\W\d_]+|[\"“”«»„]")
 WORDS = re.compile(r"[^\W\d_]+")
 CLAUSE = re.compile(r"[.!?;:\n|]+")
-#: What a path through the composed transducers makes of a clause.
-KINDS = ("plain", "targeted", "negated", "reported", "threat")
+#: What a path through the composed transducers makes of an insult in its clause; an insult on no such path counts nothing.
+KINDS = ("targeted", "attached", "addressed", "heaped", "negated", "reported", "threat")
+#: What each kind's matched clauses weigh before labels say more.
+PRIOR = (1.2, 1.0, 1.0, 1.0, 0.5, 0.4, 3.0)
+
+
+class Lexicon:
+    """A letter transducer with weighted arcs: reads a word and gives its symbol and weight.
+
+    Words of the closed classes give their class. A learned form gives ``i`` with the weight on its last arc; a stem's
+    last arc leads to a state that takes any further letters. Of several paths the whole word's wins, then the longest stem's.
+    """
+
+    def __init__(self, terminals: dict[str, float]):
+        self.root: dict = {}
+        for c, words in CLASSES.items():
+            for w in words:
+                self._state(w)["word"] = (c, 0.0)
+        for form, weight in terminals.items():
+            stem = form.endswith("*")
+            self._state(form.removesuffix("*")).setdefault("stem" if stem else "word", ("i", weight))
+        self.known: dict[str, tuple[str, float]] = {}
+
+    def _state(self, word: str) -> dict:
+        at = self.root
+        for letter in word:
+            at = at.setdefault(letter, {})
+        return at
+
+    def __getstate__(self):
+        return {"root": self.root, "known": {}}
+
+    def read(self, word: str) -> tuple[str, float]:
+        found = self.known.get(word)
+        if found is None:
+            if len(self.known) > 200_000:
+                self.known.clear()
+            found = self.known[word] = self._read(word)
+        return found
+
+    def _read(self, word: str) -> tuple[str, float]:
+        at, best = self.root, ("o", 0.0)
+        for letter in word:
+            best = at.get("stem", best)
+            at = at.get(letter)
+            if at is None:
+                return best
+        return at.get("word", best)
 
 
 @dataclass(frozen=True)
@@ -58,17 +108,37 @@ def _scope(opener: str, marks: dict[str, str], reach: int | None) -> Transducer:
     return Transducer(tuple(arcs), tuple(0 if k == 0 else (n if reach is None else k - 1) for k in range(n + 1)))
 
 
-#: i: insult, n: negation, r: report, t: target, w: intent, v: violence, o: other. Marked insults: j targeted, k negated,
-#: l reported; x: threat. A threat is intent, then violence, then a target, each within four tokens of the one before.
+#: i: insult; y: who is addressed, q: another person, p: an article, pronoun or copula; n: negation, r: report, w: intent,
+#: v: violence, o: other. Marked insults: j targeted, a attached, d addressed, h heaped, k negated, l reported; x: threat.
 NEGATED = _scope("n", {"i": "k", "v": "o"}, 3)
 REPORTED = _scope("r", {"i": "l", "k": "l", "v": "o"}, None)
-TARGETED = _scope("t", {"i": "j"}, 4)
+_FEW = 2
+#: An insult that no path has taken yet, with how many tokens come before it in its clause where these are few.
+_OPEN = ("i", *(f"i{k}" for k in range(_FEW + 1)))
+#: Whoever is named in the clause takes its insults, a person before a mere article.
+TARGETED = Transducer(
+    (
+        {"y": ("y", 2), "q": ("q", 2), "x": ("x", 2), "p": ("p", 1)},
+        {"y": ("y", 2), "q": ("q", 2), "x": ("x", 2)} | {i: ("a", 1) for i in _OPEN},
+        {i: ("j", 2) for i in (*_OPEN, "a")},
+    ),
+    (0, 1, 2),
+)
+HEAPED = Transducer(({i: (i, 1) for i in (*_OPEN, "h")}, {i: ("h", 1) for i in _OPEN}), (0, 1))
+#: An insult is an address of its own at either edge of its clause, or where at most two other tokens are in it: the first
+#: pass tells how many come before, the second, from the clause's end, how many follow.
+BEFORE = Transducer(tuple({"i": (f"i{k}", k)} for k in range(_FEW + 1)) + ({},), tuple(min(k + 1, _FEW + 1) for k in range(_FEW + 2)))
+AFTER = Transducer(
+    tuple({f"i{b}": ("d" if not b or b + k <= _FEW else "i", k) for b in range(_FEW + 1)} | ({"i": ("d", k)} if not k else {}) for k in range(_FEW + 2)),
+    tuple(min(k + 1, _FEW + 1) for k in range(_FEW + 2)),
+)
+#: Intent, then violence, then a person, each within four tokens of the one before.
 _WAIT = 4
 THREAT = Transducer(
     (
         {"w": ("w", 1)},
         *({"w": ("w", 1), "v": ("v", _WAIT + 1)} for _ in range(_WAIT)),
-        *({"t": ("x", 0), "v": ("v", _WAIT + 1)} for _ in range(_WAIT)),
+        *({"y": ("x", 0), "q": ("x", 0), "v": ("v", _WAIT + 1)} for _ in range(_WAIT)),
     ),
     (0, *(k + 1 if k < _WAIT else 0 for k in range(1, _WAIT + 1)), *(k + 1 if k < 2 * _WAIT else 0 for k in range(_WAIT + 1, 2 * _WAIT + 1))),
 )
@@ -101,8 +171,16 @@ class Composition:
         return out
 
 
-GRAMMAR = Composition(NEGATED, REPORTED, TARGETED, THREAT)
-_KIND = {"i": 0, "j": 1, "k": 2, "l": 3, "x": 4}
+#: A clause is read forwards, then what that gives backwards, so that a target may stand on either side of an insult.
+FORWARDS = Composition(NEGATED, REPORTED, THREAT, TARGETED, HEAPED, BEFORE)
+BACKWARDS = Composition(TARGETED, HEAPED, AFTER)
+_KIND = {"j": 0, "a": 1, "d": 2, "h": 3, "k": 4, "l": 5, "x": 6}
+
+
+def paths(symbols: list[str]) -> list[str]:
+    """The marked form of each symbol of a clause; ``i`` stays where no path takes the insult."""
+    out = BACKWARDS.run(FORWARDS.run(symbols)[::-1])[::-1]
+    return ["i" if o[0] == "i" else o for o in out]
 
 
 @dataclass
@@ -111,48 +189,45 @@ class Model:
 
     terminals: dict[str, float] = field(default_factory=dict)
     bias: float = -2.0
-    kinds: tuple[float, ...] = (1.0, 1.2, 0.6, 0.5, 3.0)
-    several: float = 0.5
+    kinds: tuple[float, ...] = PRIOR
 
     def __post_init__(self):
-        self.prefixes = {k[:-1] for k in self.terminals if k.endswith("*")}
-        self.heads = {k.rstrip("*")[: STEMS[0]] for k in self.terminals}
-
-    def weight(self, word: str) -> float:
-        for form in (word, *(f"{word[:n]}*" for n in reversed(STEMS) if len(word) > n)):
-            if form in self.terminals:
-                return self.terminals[form]
-        return 0.0
+        self.lexicon = Lexicon(self.terminals)
 
     def features(self, text: str) -> np.ndarray:
-        """By kind, the weight of the different forms on such paths, at most 12; then how many forms beyond the first, at most 4."""
-        out = np.zeros(len(KINDS) + 1)
+        """By kind of path, the weight of the text's matched clauses, as log(1 + sum).
+
+        A clause counts on each kind of path with its heaviest insult there; clauses that the same form leads count
+        once, on the first kind of KINDS that one of them has. A clause with a threat counts 1. An insult that no path
+        takes counts nothing, however often it stands.
+        """
+        out = np.zeros(len(KINDS))
         low = text.casefold()
-        words = set(WORDS.findall(low))
-        found = {w: x for w in words if w[: STEMS[0]] in self.heads and (x := self.weight(w)) > 0}
-        threat = not VIOLENCE.isdisjoint(words) and not INTENT.isdisjoint(words)
-        if not found and not threat:
+        read = self.lexicon.read
+        if not any(read(w)[0] in "iv" for w in set(WORDS.findall(low))):
             return out
-        best: dict[str, int] = {}
+        leads: dict[str, int] = {}
         for clause in CLAUSE.split(low):
-            tokens = TOKEN.findall(clause)
-            if not any(t in found or t in VIOLENCE for t in tokens):
+            words = TOKEN.findall(clause)
+            told = [read(t) for t in words]
+            symbols = [s for s, _ in told]
+            if "i" not in symbols and "v" not in symbols:
                 continue
-            symbols = ["i" if t in found else "t" if t in TARGET else "n" if t in NEGATION else "r" if t in REPORT else "w" if t in INTENT else "v" if t in VIOLENCE else "o" for t in tokens]
-            for t, o in zip(tokens, GRAMMAR.run(symbols)):
-                if o == "x":
-                    out[4] += 1
-                elif t in found and o in _KIND:
-                    kind = _KIND[o]
-                    best[t] = kind if t not in best else min(best[t], kind, key=lambda k: (-self.kinds[k], k))
-        for t, kind in best.items():
-            out[kind] += found[t]
-        out[:5] = np.minimum(out[:5], 12)
-        out[5] = min(max(len(best) - 1, 0), 4)
-        return out
+            heaviest: dict[int, tuple[float, str]] = {}
+            for o, (_, weight), w in zip(paths(symbols), told, words):
+                kind = _KIND.get(o)
+                if kind is not None:
+                    heaviest[kind] = max(heaviest.get(kind, (0.0, "")), (weight, w))
+            if heaviest.pop(_KIND["x"], None):
+                out[-1] += 1
+            for kind, (_, w) in heaviest.items():
+                leads[w] = min(kind, leads.get(w, kind))
+        for w, kind in leads.items():
+            out[kind] += read(w)[1]
+        return np.log1p(out)
 
     def score(self, f: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.bias + f @ np.array([*self.kinds, self.several]))))
+        return 1 / (1 + np.exp(-(self.bias + f @ np.array(self.kinds))))
 
 
 def held_out(id_col: str = "doc_id") -> F.Column:
@@ -173,72 +248,103 @@ def _logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, strength: float =
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE, terminals: int = TERMINALS) -> Model:
+def _forms(word: str) -> list[str]:
+    return [word, *(f"{word[:n]}*" for n in STEMS if len(word) > n)]
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> Model:
     """Learn from labelled rows that are not held out, at most about ``sample`` of them by hash of their id.
 
-    A form (a word or a stem) becomes a terminal if the 2.5-sigma lower bound of its log ratio of document frequencies,
-    toxic to not, is at least 1; that bound is its weight. Then path weights are fitted by logistic regression, pulled
-    to the grammar's own weights, so kinds that the labels don't show keep theirs. Without rows of both labels, the
-    grammar's own weights stay. A null label is no label; a document labelled twice is toxic if one label says so.
+    A form (a word or a stem) counts in toxic rows once for all whose first place of it has the same characters on both
+    sides, so that copies and near copies of a text count as one; in other rows it counts in each. It becomes a terminal if the
+    2.5-sigma lower bound of its log ratio of frequencies is at least 1; that bound is its weight. Words of the closed
+    classes never do. Then path weights are fitted by logistic regression on the clauses' paths, pulled to the grammar's
+    own weights, so kinds that the labels don't show keep theirs. Without rows of both labels, the grammar's own weights
+    stay. How many terminals there are follows from ``sample`` alone: each stands in three places of the sample at least.
+
+    A null label is no label; a document labelled twice is toxic if one label says so; null and empty texts have no
+    forms; a null id is never learned from; an empty table leaves the grammar's own weights. Other columns are not read.
     """
+    ws = Workspace(docs.sparkSession, "toxicity")
     own = labels.where(F.col("toxic").isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     n = own.count()
     if n > sample:
         own = own.where(F.pmod(F.xxhash64(F.lit(11), id_col), F.lit(1_000_000)) < int(1_000_000 * sample / n))
-    own = own.groupBy(F.col(id_col).cast("long").alias("__id")).agg(F.max(F.col("toxic").cast("int")).alias("y"))
-    rows = docs.select(F.col(id_col).cast("long").alias("__id"), utf8(text_col).alias("t")).join(sized(own, min(n, sample + sample // 5)), "__id").select("t", "y")
+    own = own.groupBy(F.col(id_col).cast("long").alias("__id")).agg(F.max((F.col("toxic") > 0).cast("int")).alias("y"))
+    rows = ws.save(docs.select(F.col(id_col).cast("long").alias("__id"), utf8(text_col).alias("t")).join(sized(own, min(n, sample + sample // 5)), "__id").select("t", "y"), "sample")
+    held = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
+    if not held.get(0) or not held.get(1):
+        return Model()
 
-    def forms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, docs_ = (Counter(), Counter()), [0, 0]
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def table() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([f for f, _ in seen], pa.string()), pa.array([p for _, p in seen], pa.int64())], names=["form", "place"])
+
+        seen: set[tuple[str, int]] = set()
         for b in batches:
-            for t, y in zip(b.column(0), b.column(1)):
-                words = set(WORDS.findall(t.as_py().decode("utf-8", "replace").casefold()))
-                kind = int(y.as_py() > 0)
-                docs_[kind] += 1
-                seen[kind].update(words | {f"{w[:k]}*" for w in words for k in STEMS if len(w) > k})
-                if len(seen[0]) + len(seen[1]) > 400_000:
-                    yield table(seen)
-                    seen = (Counter(), Counter())
-        seen[0][""], seen[1][""] = docs_
-        yield table(seen)
-
-    def table(seen: tuple[Counter, Counter]) -> pa.RecordBatch:
-        keys = list(seen[0].keys() | seen[1].keys())
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([seen[1][k] for k in keys], pa.int64()), pa.array([seen[0][k] for k in keys], pa.int64())], names=["form", "p", "q"])
-
-    counts = rows.mapInArrow(forms, "form string, p long, q long").groupBy("form").agg(F.sum("p").alias("p"), F.sum("q").alias("q")).where("p >= 3 or form = ''")
-    half = 0.5
-    total = counts.where("form = ''").first()
-    if total is None or not total["p"] or not total["q"]:
-        return Model()
-    ratio = F.log((F.col("p") + half) / (total["p"] + 1)) - F.log((F.col("q") + half) / (total["q"] + 1))
-    bound = ratio - 2.5 * F.sqrt(1 / (F.col("p") + half) + 1 / (F.col("q") + half))
-    top = counts.where("form <> ''").select("form", bound.alias("w")).where("w >= 1").orderBy(F.desc("w"), "form").limit(terminals).collect()
-    model = Model({r["form"]: r["w"] for r in top})
+            for t in b.column(0):
+                low, own_forms = t.as_py().decode("utf-8", "replace").casefold(), set()
+                for m in WORDS.finditer(low):
+                    w, (i, j) = m[0], m.span()
+                    if w not in own_forms:
+                        place = xxhash.xxh64_intdigest(f"{low[max(0, i - BESIDE) : i]}\n{low[j : j + BESIDE]}") >> 1
+                        new = [f for f in _forms(w) if f not in own_forms]
+                        own_forms.update(new)
+                        seen.update((f, place) for f in new)
+                if len(seen) > 400_000:
+                    yield table()
+                    seen = set()
+        yield table()
+
+    often = rows.where("y = 1").select("t").mapInArrow(places, "form string, place long").distinct().groupBy("form").count().where("count >= 3").collect()
+    closed = set().union(*CLASSES.values())
+    p = {r["form"]: r["count"] for r in often if r["form"] not in closed}
+
+    def other(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for b in batches:
+            for t in b.column(0):
+                seen.update({f for w in set(WORDS.findall(t.as_py().decode("utf-8", "replace").casefold())) for f in _forms(w) if f in p})
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["form", "n"])
+
+    q = dict(rows.where("y = 0").select("t").mapInArrow(other, "form string, n long").groupBy("form").agg(F.sum("n").alias("n")).collect())
+    half, terminals = 0.5, {}
+    for f, k in p.items():
+        ratio = math.log((k + half) / (held[1] + 1)) - math.log((q.get(f, 0) + half) / (held[0] + 1))
+        bound = ratio - 2.5 * math.sqrt(1 / (k + half) + 1 / (q.get(f, 0) + half))
+        if bound >= 1:
+            terminals[f] = bound
+    model = Model(terminals)
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            f = np.array([model.features(t.as_py().decode("utf-8", "replace")) for t in b.column(0)]).reshape(b.num_rows, len(KINDS) + 1)
-            yield pa.RecordBatch.from_arrays([b.column(1), *(pa.array(f[:, k]) for k in range(f.shape[1]))], names=["y", *(f"f{k}" for k in range(f.shape[1]))])
+            f = _features(model, b.column(0))
+            yield pa.RecordBatch.from_arrays([b.column(1), *(pa.array(f[:, k]) for k in range(f.shape[1]))], names=["y", *names])
 
-    names = [f"f{k}" for k in range(len(KINDS) + 1)]
-    data = rows.mapInArrow(featured, "y int, " + ", ".join(f"{c} double" for c in names)).groupBy(*[F.round(c, 3).alias(c) for c in names], "y").count().collect()
+    names = [f"f{k}" for k in range(len(KINDS))]
+    data = rows.mapInArrow(featured, "y int, " + ", ".join(f"{c} double" for c in names)).groupBy(*[F.round(c, 2).alias(c) for c in names], "y").count().collect()
+    ws.drop(rows)
     x = np.array([[r[c] for c in names] for r in data])
     y = np.array([r["y"] for r in data], float)
     times = np.array([r["count"] for r in data], int)
-    w = _logistic(np.repeat(x, times, axis=0), np.repeat(y, times), np.array([model.bias, *model.kinds, model.several]))
-    return Model(model.terminals, float(w[0]), tuple(float(v) for v in np.maximum(w[1:6], 0)), float(w[6]))
+    w = _logistic(np.repeat(x, times, axis=0), np.repeat(y, times), np.array([model.bias, *model.kinds]))
+    return Model(terminals, float(w[0]), tuple(float(v) for v in np.maximum(w[1:], 0)))
+
+
+def _features(model: Model, texts: pa.Array) -> np.ndarray:
+    return np.array([model.features((t.as_py() or b"").decode("utf-8", "replace")) for t in texts]).reshape(len(texts), len(KINDS))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score, predicted, and the weight by kind of path) for each row; null and empty texts get the bias's score.
+    """(doc_id, score, predicted, and by kind of path the weight of the matched clauses) for each row.
 
-    Whole texts are looked at; ids, labels and other columns are not read for the score. Repeated rows score alike.
+    Null and empty texts get the bias's score. Whole texts are looked at; ids, labels and other columns are not read for
+    the score. Repeated rows score alike; null ids are carried; an empty table gives no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            f = np.array([model.features(t.as_py().decode("utf-8", "replace")) for t in b.column(1)]).reshape(b.num_rows, len(KINDS) + 1)
+            f = _features(model, b.column(1))
             s = model.score(f)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(s), pa.array((s >= 0.5).astype(np.int32)), *(pa.array(f[:, k]) for k in range(len(KINDS)))], names=["doc_id", "score", "predicted", *KINDS]
@@ -249,10 +355,14 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that score below 0.5, with all their columns."""
+    """The rows of ``docs`` that score below 0.5, with all their columns.
+
+    Null and empty texts stay, as they match no clause; repeated rows stay or go together; ids are not read; an empty
+    table gives none; columns of any name pass through unchanged.
+    """
 
     def keep(texts: list[bytes]) -> np.ndarray:
-        f = np.array([model.features(t.decode("utf-8", "replace")) for t in texts]).reshape(len(texts), len(KINDS) + 1)
+        f = np.array([model.features(t.decode("utf-8", "replace")) for t in texts]).reshape(len(texts), len(KINDS))
         return model.score(f) < 0.5
 
     return keep_rows(docs, text_col, keep)
