@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of two or three longs that one broadcast may hold (about 8 MB); beyond it the join shuffles.
@@ -24,10 +24,12 @@ _OWN: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder that all executors share: ``spark.checkpoint.dir``; a temporary one only in local mode where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN:
         _OWN[app] = tempfile.mkdtemp(prefix="tidemark-")
@@ -82,6 +84,26 @@ def sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def running(df: DataFrame, keys: list[str], order: str, value: str, out: str, width: int = 1024) -> DataFrame:
+    """``df`` with ``out``: the sum of ``value`` over the rows of equal ``keys`` that come before in ``order``.
+
+    ``df`` has one row for each keys and ``order``, which counts from 0 without large gaps. Sums run within ranges of
+    ``width`` numbers, on top of the totals of the lower ranges, so a task orders ``width`` rows or the ranges of one key.
+    Null keys are a key of their own; an empty table gives none.
+    """
+    df = df.withColumn("__range", F.floor(F.col(order) / width).cast("long"))
+    lower = lambda *by: Window.partitionBy(*[F.col(c) for c in keys], *by)
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    whole = lower() if keys else Window.partitionBy(F.lit(0))
+    ranges = df.groupBy(*keys, "__range").agg(F.sum(value).alias("__sum"))
+    ranges = ranges.select(*[F.col(c).alias(f"__k{n}") for n, c in enumerate(keys)], F.col("__range").alias("__r"), F.coalesce(F.sum("__sum").over(before(whole.orderBy("__range"))), F.lit(0)).alias("__base"))
+    on = F.col("__range") == F.col("__r")
+    for n, c in enumerate(keys):
+        on = on & F.col(c).eqNullSafe(F.col(f"__k{n}"))
+    within = F.coalesce(F.sum(value).over(before(lower("__range").orderBy(order))), F.lit(0))
+    return df.withColumn("__within", within).join(ranges, on).withColumn(out, F.col("__base") + F.col("__within")).select(*[c for c in df.columns if c != "__range"], out)
+
+
 def utf8(c: str | Column) -> Column:
     """Text as its UTF-8 bytes, null as no bytes."""
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")).cast("binary")
@@ -102,7 +124,10 @@ def chunks(column: pa.Array) -> Iterator[list[bytes]]:
 
 
 def keep_rows(docs: DataFrame, text_col: str, keep: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
-    """The rows of ``docs`` whose text ``keep`` accepts, all columns as they are; a null text is shown to it as empty."""
+    """The rows of ``docs`` whose text ``keep`` accepts, all columns as they are; a null text is shown to it as empty.
+
+    Rows are judged one by one, so repeated ones stay or go together; an empty table gives none.
+    """
     place = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,13 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, Workspace, sized
+from tidemark.llm.common import WORD, Workspace, running, sized
 
 #: Membership patterns that the driver plans with. A pattern is a set of source names, so their number follows the
 #: sources, not the documents.
 MOST_PATTERNS = 50_000
-#: Parts of a pattern's seeded order; the order within one part is settled document by document.
-PARTS = 1024
+#: A pattern's seeded order is cut into parts of about so many rows of the corpus, and 1,024 at least; the order within
+#: one part is settled document by document.
+PART_ROWS, LEAST_PARTS = 5_000, 1024
 #: Rounds that fill what is left before the first document too large for it.
 FILLS = 3
 
@@ -128,17 +129,24 @@ class Mix:
     chosen: DataFrame  # rows of the part that the cut falls in, and fills
     n_chosen: int
     seed: int
+    parts: int
 
-    def attach(self, docs: DataFrame, size: Column, members: Column, id_col: str = "doc_id") -> DataFrame:
-        """``docs`` with ``copies``: no shuffle of the documents unless very many rows are settled one by one."""
+    def attach(self, docs: DataFrame, size: Column, members: Column, id_col: str = "doc_id", out_col: str = "copies") -> DataFrame:
+        """``docs`` with ``out_col``, how often the mix takes each row, in place of a column of that name.
+
+        No shuffle of the documents unless very many rows are settled one by one. ``size`` and ``members`` are what the
+        mix was planned with: a null or empty membership is the source null, null ids are one id, rows that repeat in
+        id, size and membership are taken alike, and a row that the plan doesn't know is taken 0 times.
+        """
         named = docs.withColumns({"__size": size, "__pattern": _pattern(members), "__id": _id(id_col)})
         named = named.withColumn("__hash", _hash("__id", self.seed))
         named = named.join(F.broadcast(self.plan), named["__pattern"] == self.plan["__plan"], "left")
         more = self.chosen.select(F.col("id").alias("__cid"), F.col("size").alias("__csize"), F.col("pattern").alias("__cpattern"), F.lit(1).alias("__more"))
         on = (named["__id"] == more["__cid"]) & (named["__size"] == more["__csize"]) & (named["__pattern"] == more["__cpattern"])
         named = named.join(sized(more, self.n_chosen), on, "left")
-        copies = F.col("__base") + F.when(F.col("__more").isNotNull() | (_part("__hash") < F.col("__cut")), 1).otherwise(0)
-        return named.withColumn("copies", F.coalesce(copies, F.lit(0)).cast("long")).select(*docs.columns, "copies")
+        copies = F.col("__base") + F.when(F.col("__more").isNotNull() | (_part("__hash", self.parts) < F.col("__cut")), 1).otherwise(0)
+        taken = F.coalesce(copies, F.lit(0)).cast("long").alias("__taken")
+        return named.select(*[named[c] for c in docs.columns if c != out_col], taken).withColumnRenamed("__taken", out_col)
 
 
 def _pattern(members: Column) -> Column:
@@ -156,8 +164,8 @@ def _id(c: str) -> Column:
     return F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63)))
 
 
-def _part(c: str) -> Column:
-    return F.pmod(F.col(c), F.lit(PARTS)).cast("int")
+def _part(c: str, parts: int) -> Column:
+    return F.pmod(F.col(c), F.lit(parts)).cast("int")
 
 
 def mix(docs: DataFrame, size: Column, members: Column, id_col: str = "doc_id", weights: tuple[float, ...] = (5, 2, 1), most: int = 3, share: float = 1.0, seed: int = 7) -> Mix:
@@ -196,18 +204,18 @@ def mix(docs: DataFrame, size: Column, members: Column, id_col: str = "doc_id",
     base = {p: (routed[p] // n if n else 0) for p, n in capacity.items()}
     left = [(name[p], base[p], routed[p] - base[p] * n) for p, n in capacity.items()]
     wanted = spark.createDataFrame(left, "pattern string, base int, rest long")
-    h = rows.withColumn("hash", _hash("id", seed)).withColumn("part", _part("hash"))
+    parts = max(LEAST_PARTS, -(-rows.count() // PART_ROWS))
+    h = rows.withColumn("hash", _hash("id", seed)).withColumn("part", _part("hash", parts))
     sums = h.groupBy("pattern", "part").agg(F.sum("words").alias("words"))
-    upto = Window.partitionBy("pattern").orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
-    cut = sums.withColumn("total", F.sum("words").over(upto)).join(F.broadcast(wanted), "pattern")
+    cut = running(sums, ["pattern"], "part", "words", "before").withColumn("total", F.col("before") + F.col("words")).join(F.broadcast(wanted), "pattern")
     cut = cut.where(F.col("total") > F.col("rest")).groupBy("pattern").agg(F.min("part").alias("cut"), F.min_by(F.col("total") - F.col("words"), "part").alias("before"))
     cuts = {r["pattern"]: (r["cut"], r["before"]) for r in cut.collect()}
-    state = [(q, b, *cuts.get(q, (PARTS, 0)), r) for q, b, r in left]
-    cut_at = spark.createDataFrame([(q, c, r - x) for q, _, c, x, r in state if c < PARTS], "pattern string, cut int, gap long")
+    state = [(q, b, *cuts.get(q, (parts, 0)), r) for q, b, r in left]
+    cut_at = spark.createDataFrame([(q, c, r - x) for q, _, c, x, r in state if c < parts], "pattern string, cut int, gap long")
     edge = h.join(F.broadcast(cut_at), "pattern").where("part = cut")
-    running = Window.partitionBy("pattern").orderBy("hash", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    chosen = ws.save(edge.withColumn("run", F.sum("words").over(running)).where("run <= gap").select("pattern", "id", "size", "words"), "chosen")
-    gaps = {q: r - x for q, _, c, x, r in state if c < PARTS}
+    so_far = Window.partitionBy("pattern").orderBy("hash", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    chosen = ws.save(edge.withColumn("run", F.sum("words").over(so_far)).where("run <= gap").select("pattern", "id", "size", "words"), "chosen")
+    gaps = {q: r - x for q, _, c, x, r in state if c < parts}
     for r in chosen.groupBy("pattern").agg(F.sum("words").alias("n")).collect():
         gaps[r["pattern"]] -= r["n"]
     fills: list[tuple] = []
@@ -231,4 +239,4 @@ def mix(docs: DataFrame, size: Column, members: Column, id_col: str = "doc_id",
         chosen = chosen.union(spark.createDataFrame(fills, "pattern string, id long, size long, words long"))
     plan = spark.createDataFrame([(q, b, c if r else 0) for q, b, c, _, r in state], "__plan string, __base int, __cut int")
     report = {s: (sizes[s], goal[s], by_source[s]) for s in sorted(sizes, key=order_key)}
-    return Mix(report, plan, chosen, chosen.count(), seed)
+    return Mix(report, plan, chosen, chosen.count(), seed, parts)

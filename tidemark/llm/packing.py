@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Workspace, utf8
+from tidemark.llm.common import Workspace, running, utf8
 from tidemark.llm.tokens import encoder
 
 #: Largest capacity that is planned exactly on the driver: the histogram has at most so many rows, whatever the corpus.
@@ -135,6 +135,8 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id
     """(doc_id, piece, start, length, ids_crc32[, ids]): each row's ids with the end id, cut only if longer than the capacity.
 
     The first piece of a cut document takes the remainder, the others are full. A null or empty text is the end id alone.
+    Texts of any length are encoded whole; repeated rows give repeated pieces; null ids are carried; an empty table
+    gives none; other columns are not read.
     """
     names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     end = np.array([end_id], "<u4").tobytes()
@@ -187,17 +189,15 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id_c
         raise ValueError(f"capacity must be 2 to {MOST}")
     spark = docs.sparkSession
     ws = Workspace(spark, "packing")
-    cut = ws.save(pieces(docs, path, capacity, end_id, id_col, text_col, with_ids), "pieces")
+    cut = ws.save(pieces(docs, path, capacity, end_id, id_col, text_col, with_ids).withColumn("__salt", F.xxhash64(F.monotonically_increasing_id())), "pieces")
     blocks = max(64, -(-cut.count() // BLOCK_ROWS))
-    block = F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(blocks)).cast("int")
-    keyed = cut.withColumn("block", block)
+    keyed = cut.withColumn("block", F.pmod("__salt", F.lit(blocks)).cast("int"))  # by place, as rows may repeat without end
     by_block = ws.save(keyed.groupBy("length", "block").agg(F.count(F.lit(1)).alias("n")), "blocks")
     counts = {r["length"]: r["n"] for r in by_block.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     packed, _ = plan(counts, capacity)
     table = slots(packed)
-    lower = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = by_block.select("length", "block", F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("before"))
-    order = Window.partitionBy("length", "block").orderBy("doc_id", "piece", "start", "ids_crc32")
+    offsets = running(by_block, ["length"], "block", "n", "before").select("length", "block", "before")
+    order = Window.partitionBy("length", "block").orderBy("__salt", "doc_id", "piece", "ids_crc32")
     ranked = keyed.withColumn("at", F.row_number().over(order) - 1).join(offsets, ["length", "block"]).withColumn("rank", F.col("before") + F.col("at"))
 
     rows: dict[int, list] = defaultdict(list)
@@ -217,6 +217,6 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, id_c
                 sequence[here], offset[here] = first[k] + r // each[k], at[k] + r % each[k] * s
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(sequence), pa.array(offset)], names=[*b.schema.names[:-1], "sequence_id", "offset"])
 
-    out = cut.columns
-    schema = ", ".join(f"{c} {t}" for c, t in cut.dtypes) + ", sequence_id long, offset long"
+    out = [c for c in cut.columns if c != "__salt"]
+    schema = ", ".join(f"{c} {t}" for c, t in cut.dtypes if c != "__salt") + ", sequence_id long, offset long"
     return ranked.select(*out, "rank").mapInArrow(place, schema)

@@ -10,10 +10,10 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Workspace, utf8
+from tidemark.llm.common import Workspace, running, utf8
 
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
@@ -60,7 +60,10 @@ def _text(v: pa.Scalar) -> str:
 
 
 def lengths(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_tokens): encoded length of each row's whole text; null and empty texts have 0."""
+    """(doc_id, n_tokens): encoded length of each row's whole text; null and empty texts have 0.
+
+    Repeated rows give repeated results; null ids are carried; an empty table gives none; other columns are not read.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
@@ -86,17 +89,10 @@ def length_histogram(docs: DataFrame, path: str, text_col: str = "text") -> Data
     counts = ws.save(
         lengths(docs.withColumn("__none", F.lit(None).cast("long")), path, "__none", text_col).groupBy(F.col("n_tokens").alias("length")).agg(F.count(F.lit(1)).alias("n_docs")),
         "counts",
-    ).withColumn("n_tokens", F.col("length") * F.col("n_docs")).withColumn("r", F.shiftright("length", 10))
-    ranges = counts.groupBy("r").agg(F.sum("n_docs").alias("d"), F.sum("n_tokens").alias("t"))
-    below = Window.partitionBy(F.lit(0)).orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(F.lit(0))
-    ranges = ws.save(
-        ranges.select("r", F.coalesce(F.sum("d").over(below), F.lit(0)).alias("d0"), F.coalesce(F.sum("t").over(below), F.lit(0)).alias("t0"), F.sum("d").over(whole).alias("all_docs")),
-        "ranges",
-    )
-    upto = Window.partitionBy("r").orderBy("length").rowsBetween(Window.unboundedPreceding, 0)
-    s = counts.join(ranges, "r").select(
-        "length", "n_docs", "n_tokens", (F.col("d0") + F.sum("n_docs").over(upto)).alias("docs_up_to"), (F.col("t0") + F.sum("n_tokens").over(upto)).alias("tokens_up_to"), "all_docs"
+    ).withColumn("n_tokens", F.col("length") * F.col("n_docs"))
+    all_docs = counts.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
+    s = running(running(counts, [], "length", "n_docs", "d0"), [], "length", "n_tokens", "t0").select(
+        "length", "n_docs", "n_tokens", (F.col("d0") + F.col("n_docs")).alias("docs_up_to"), (F.col("t0") + F.col("n_tokens")).alias("tokens_up_to"), F.lit(all_docs).cast("long").alias("all_docs")
     )
     longer = F.col("all_docs") - F.col("docs_up_to")
     return s.select(
@@ -107,10 +103,13 @@ def length_histogram(docs: DataFrame, path: str, text_col: str = "text") -> Data
 
 
 def truncated_totals(histogram: DataFrame, limits: list[int]) -> DataFrame:
-    """(context, total_tokens, kept_tokens, cut_docs) for each context limit, from the histogram alone."""
+    """(context, total_tokens, kept_tokens, cut_docs) for each context limit, from the histogram alone.
+
+    A limit given twice counts once; the histogram of an empty table gives no rows; longer histograms cost no more memory.
+    """
     if not limits:
         raise ValueError("give one context limit at least")
-    h = histogram.withColumn("context", F.explode(F.array(*[F.lit(int(x)).cast("long") for x in limits])))
+    h = histogram.withColumn("context", F.explode(F.array(*[F.lit(x).cast("long") for x in dict.fromkeys(map(int, limits))])))
     return h.groupBy("context").agg(
         F.sum("n_tokens").alias("total_tokens"),
         F.sum(F.col("n_docs") * F.least("length", "context")).alias("kept_tokens"),
