@@ -1,16 +1,18 @@
 """Quality rules, SimHash, toxicity, mixing and licences against plain versions and on odd tables."""
 
+import os
 import re
 from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.llm import licences, mixing, quality, simhash, toxicity
+from tidemark.llm import licences, mixing, quality, queries, simhash, toxicity
 from tidemark.llm.common import Workspace, components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -58,6 +60,22 @@ def test_quality_counts(texts):
         assert {n: int(v[k]) for n, v in got.items()} == plain_quality(t, (2, 3, 8))
 
 
+def test_quality_tells_equal_hashes_apart(monkeypatch):
+    bits = [0]
+    for _ in range(10):
+        bits += [1 - b for b in bits]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))  # equal under any polynomial modulo 2^64
+    assert quality.measure([f"{one}\n{two}\n{one}".encode()], (2,))["n_dup_lines"].tolist() == [1]
+    text = " ".join(one) + " | " + " ".join(two)
+    assert quality.measure([text.encode()], (1024,))["words_1024"].tolist() == [0]
+    spans = quality._spans
+    monkeypatch.setattr(quality, "_spans", lambda *a: spans(*a) & np.uint64(3))  # nearly all hashes collide
+    texts = ["a b a b\nb a\na b a b\nc c c", "c c c c\nd\nd\n\n", "", "x y z " * 9]
+    got = quality.measure([t.encode() for t in texts], (2, 3, 8))
+    for k, t in enumerate(texts):
+        assert {n: int(v[k]) for n, v in got.items()} == plain_quality(t, (2, 3, 8))
+
+
 def test_quality_verdicts(spark, odd):
     good = " ".join(f"word{k}" for k in range(60))
     texts = [good, "a b c", "the same eight words come again and again here " * 5, good + "\n" + " ".join(f"|{k}" for k in range(30)), "\n".join([good[:60]] * 6) + good, good + " odd " + good[:40]]
@@ -158,17 +176,42 @@ def test_repeated_ids_keep_their_texts(spark):
 
 
 def test_grammar_marks_clauses():
-    run = lambda s: "".join(toxicity.GRAMMAR.run(list(s)))
-    assert run("oio") == "oio" and run("toi") == "toj" and run("ni") == "nk" and run("nooooi") == "nooooi"
-    assert run("roooi") == "roool" and run("rni") == "rnl" and run("woovt") == "woovx" and run("vt") == "vt" and run("nv") == "no"
+    run = lambda s: "".join(toxicity.paths(list(s)))
+    assert run("yoooooi") == "yoooooj" and run("ioooooq") == "joooooq" and run("opoioooo") == "opoaoooo" and run("oooioopo") == "oooaoopo"
+    assert run("oooiooo") == "oooiooo" and run("oio") == "odo" and run("iooooo") == "dooooo" and run("oooooi") == "oooood"
+    assert run("oooioooiooo") == "ooohooohooo" and run("ni") == "nk" and run("noooyi") == "noooyj" and run("ryoooi") == "ryoool" and run("rni") == "rnl"
+    assert run("woovy")[-1] == "x" and run("vy") == "vy" and run("nv") == "no" and run("wooooovy") == "wooooovy"
+
+
+def test_lexicon_reads_words_by_weighted_arcs():
+    x = toxicity.Lexicon({"idiot": 3.0, "achli*": 2.0, "achlich*": 1.0, "achlichs": 4.0})
+    assert x.read("idiot") == ("i", 3.0) and x.read("idiots") == ("o", 0.0) and x.read("idio") == ("o", 0.0)
+    assert x.read("achli") == ("o", 0.0) and x.read("achlix") == ("i", 2.0) and x.read("achlichx") == ("i", 1.0) and x.read("achlichs") == ("i", 4.0)
+    assert x.read("you") == ("y", 0.0) and x.read("nicht")[0] == "n" and x.read("")[0] == "o"
+
+
+def test_model_scores_clauses_and_no_isolated_words():
+    m = toxicity.Model({"idiot": 3.0, "clown": 3.0, "achli*": 2.0})
+    kinds = lambda t: {k: round(float(np.expm1(v)), 6) for k, v in zip(toxicity.KINDS, m.features(t)) if v}
+    assert kinds("You are an idiot. He said: IDIOT! I will kill you") == {"targeted": 3.0, "threat": 1.0}
+    assert kinds("not an idiot") == {"negated": 3.0} and kinds("someone called him idiot") == {"reported": 3.0} and kinds("that house achlichber stands") == {"attached": 2.0}
+    assert kinds("Idiot! some words. Clown") == {"addressed": 6.0} and not kinds("") and not kinds("you he the a")
+    assert kinds("You clown. You idiot. You idiot.") == {"targeted": 6.0} and kinds("you clown, you idiot") == {"targeted": 3.0}  # a form that leads several clauses counts once
+    assert not kinds("water flows past old idiot houses near big rivers. " * 50)  # no path takes it
+    s = lambda t: m.score(m.features(t)[None])[0]
+    assert s("You idiot.") > s("The idiot went there.") > s("He said something about some idiot.") > s("nothing") == s("grey stones under idiot bridges carry trains")
 
 
-def test_model_scores_clauses():
-    m = toxicity.Model({"idiot": 3.0, "achli*": 2.0})
-    f = m.features("You are an idiot. He said: IDIOT! You are not an idiot, I will kill you")
-    assert f[1] == 3.0 and f[4] == 1 and m.features("achlichber und")[0] == 2.0 and not m.features("").any()
-    s = lambda t: m.score(m.features(t)[None])[0]
-    assert s("You idiot.") > s("Some idiot.") > s("He said idiot.") > s("nothing") and s("not an idiot") < s("an idiot")
+def test_copies_of_a_text_teach_once(spark):
+    import random
+
+    rnd = random.Random(3)
+    word = lambda: f"w{rnd.randrange(2000)}"
+    toxic = [" ".join([word() for _ in range(20)] + ["zorp"] + [word() for _ in range(20)]) for _ in range(60)]
+    copied = " ".join(["rare", *(word() for _ in range(20)), "zorp", "seldom", word()])
+    texts = toxic + [copied] * 200 + [" ".join(word() for _ in range(40)) for _ in range(500)]
+    m = toxicity.fit(docs(spark, *texts), spark.createDataFrame([(k, int(k < 260)) for k in range(760)], "doc_id long, toxic int"))
+    assert "zorp" in m.terminals and not {"rare", "seldom"} & set(m.terminals)
 
 
 def test_fit_learns_terms_and_leaves_held_out_alone(spark, odd):
@@ -181,6 +224,7 @@ def test_fit_learns_terms_and_leaves_held_out_alone(spark, odd):
         toxic = k % 4 == 0
         words = [f"w{rnd.randrange(300)}" for _ in range(40)] + (["zorp", "blat"] if toxic else [])
         rnd.shuffle(words)
+        words.insert(20, "the")
         rows.append(" ".join(words))
         held = zlib.crc32(str(k).encode()) % 5 == 0
         labels.append((k, int(toxic != held)))  # held-out labels are wrong: learning from them would show
@@ -188,7 +232,7 @@ def test_fit_learns_terms_and_leaves_held_out_alone(spark, odd):
     m = toxicity.fit(d, spark.createDataFrame(labels, "doc_id long, toxic int"))
     assert {"zorp", "blat"} <= set(m.terminals)
     got = {r["doc_id"]: r for r in toxicity.score(d, m).withColumn("h", toxicity.held_out()).collect()}
-    assert all(got[k]["predicted"] == (k % 4 == 0) for k in range(400))
+    assert all(got[k]["predicted"] == (k % 4 == 0) for k in range(400))  # of forty words without a point, an insult is found by who stands beside it
     assert all(got[k]["h"] == (zlib.crc32(str(k).encode()) % 5 == 0) for k in range(400))
     assert {r["doc_id"] for r in toxicity.clean(d, m).collect()} == {k for k in range(400) if k % 4}
     r = toxicity.score(odd, m).collect()
@@ -197,6 +241,22 @@ def test_fit_learns_terms_and_leaves_held_out_alone(spark, odd):
     assert toxicity.score(odd.limit(0), m).count() == 0
 
 
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+def test_toxicity_query_on_held_out_rows(spark):
+    """The query itself: labels of held-out rows are read by this test alone."""
+    got = queries.op1_toxicity(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic"), "doc_id", "left").collect()
+    assert len(got) == spark.read.parquet(f"{SF}/documents.parquet").count() and all(r["predicted"] == (r["score"] >= 0.5) for r in got)
+    clean = [r for r in got if r["held_out"] and r["toxic"] == 0]
+    assert clean and not any(r["predicted"] for r in clean)
+    toxic = [r for r in got if r["toxic"] == 1]
+    assert sum(r["predicted"] for r in toxic) >= 0.85 * len(toxic)
+    for r in got:  # every positive has a path
+        assert not r["predicted"] or any(r[k] for k in toxicity.KINDS)
+
+
 # ---- mixing
 
 
@@ -243,6 +303,66 @@ def test_mix_comes_near_its_targets(spark, odd):
     assert len(_taken(spark, odd)[1]) == 8 and _taken(spark, odd.limit(0))[1] == []
 
 
+def plain_mix(rows, m):
+    """Copies by (id, size, source), row by row: ``rows`` has (id, size, source, hash of the id)."""
+    out = {}
+    for s, (size, _, routed) in m.report.items():
+        held = Counter()
+        for i, n, source, h in rows:
+            if source == s:
+                held[h % m.parts, h, i, n] += n
+        base, rest = divmod(routed, size) if size else (0, 0)
+        out |= {(i, n, s): base for _, _, i, n in held}
+        if not rest:
+            continue
+        order = sorted(held)
+        total, cut, gap = 0, m.parts, 0
+        for p in sorted({k[0] for k in order}):
+            words = sum(held[k] for k in order if k[0] == p)
+            if total + words > rest:
+                cut, gap = p, rest - total
+                break
+            total += words
+        more = {k for k in order if k[0] < cut}
+        run = 0
+        for k in (k for k in order if k[0] == cut):
+            run += held[k]
+            if run <= gap:
+                more.add(k)
+        gap = rest - sum(held[k] for k in more)
+        for _ in range(mixing.FILLS):
+            free = [k for k in order if k not in more and k[0] >= cut and 0 < held[k] < 2 * gap]
+            if gap <= 0 or not free:
+                break
+            best = min(free, key=lambda k: (abs(gap - held[k]), k[1], k[2], k[3]))
+            more.add(best)
+            gap -= held[best]
+        for _, _, i, n in more:
+            out[i, n, s] += 1
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_selection_equals_the_plain_one(spark, seed):
+    import random
+
+    rnd = random.Random(seed)
+    data = [(rnd.randrange(700), "w " * rnd.choice([0, 1, 5, 30, 200, 2000]), rnd.choice(["a", "b", "b", "c", None])) for _ in range(800)]
+    d = spark.createDataFrame(data + data[:40], "doc_id long, text string, source string")  # repeated ids and rows
+    m, got = _taken(spark, d, weights=(5, 2, 1), seed=seed)
+    hashed = d.select("doc_id", (mixing.words("text")), "source", F.xxhash64(F.lit(seed), "doc_id")).collect()
+    want = plain_mix([tuple(r) for r in hashed], m)
+    assert all(r["copies"] == want[r["doc_id"], len(r["text"]) // 2, r["source"]] for r in got) and len(got) == 840
+
+
+def test_copies_may_be_a_column_already(spark):
+    d = spark.createDataFrame([(k, "w " * 10, "a", "mine") for k in range(9)], "doc_id long, text string, source string, copies string")
+    m = mixing.mix(d, mixing.words("text"), F.array("source"))
+    got = m.attach(d, mixing.words("text"), F.array("source"), out_col="times")
+    assert got.columns == [*d.columns, "times"] and {(r["copies"], r["times"]) for r in got.collect()} == {("mine", 1)}
+    assert m.attach(d, mixing.words("text"), F.array("source")).columns == d.columns
+
+
 def test_mix_of_overlapping_sources(spark):
     d = spark.createDataFrame([(k, "w " * 10, ["a"] if k % 3 == 0 else ["b", "a"] if k % 3 == 1 else ["b"]) for k in range(90)], "doc_id long, text string, m array<string>")
     m = mixing.mix(d, mixing.words("text"), F.col("m"), weights=(1,))

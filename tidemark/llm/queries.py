@@ -50,6 +50,34 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"))
 
 
+def _op4_grams(n: int) -> str:
+    """SQL of a table (rid, place): the places of words inside n-grams of n words found twice or more in their text."""
+    return f"""g{n} AS (SELECT rid, unnest(range(1, len(ws) - {n} + 2)) AS i, ws FROM d),
+k{n} AS (SELECT rid, i, array_to_string(ws[i : i + {n - 1}], ' ') AS g FROM g{n}),
+c{n} AS (SELECT DISTINCT rid, unnest(range(i, i + {n})) AS place FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM k{n}) WHERE n > 1),
+s{n} AS (SELECT c.rid, count(*) AS words, sum(length(d.ws[place])) AS chars FROM c{n} c JOIN d USING (rid) GROUP BY c.rid)"""
+
+
+OP4_SQL = (
+    r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+"""
+    + ",\n".join(map(_op4_grams, (8, 4, 16)))
+    + r""",
+l AS (SELECT rid, line, count(*) - 1 AS again, length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) AS chars FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid, line),
+ls AS (SELECT rid, sum(again) AS n, sum(again * chars) AS chars FROM l GROUP BY rid),
+m AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
+  len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(ls.n, 0)::BIGINT AS n_dup_lines, coalesce(s8.words, 0)::BIGINT AS n_repeat_words,
+  coalesce(ls.chars, 0)::BIGINT AS line_chars, coalesce(s8.chars, 0)::BIGINT AS chars_8, coalesce(s4.chars, 0)::BIGINT AS chars_4, coalesce(s16.chars, 0)::BIGINT AS chars_16
+  FROM d LEFT JOIN ls USING (rid) LEFT JOIN s8 USING (rid) LEFT JOIN s4 USING (rid) LEFT JOIN s16 USING (rid)),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND line_chars <= 0.30::DOUBLE * word_chars AND chars_4 <= 0.40::DOUBLE * word_chars AND chars_8 <= 0.30::DOUBLE * word_chars
+  AND chars_16 <= 0.20::DOUBLE * word_chars AND n_symbols <= 0.20::DOUBLE * n_words AS kept FROM b
+"""
+)
+
+
 def op5_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
     return found.select("vec_id", "n_links", "component_id", F.col("vec_id").eqNullSafe(F.col("component_id")).alias("kept"))
@@ -84,7 +112,8 @@ FROM r
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.words("text").alias("size"))
+    ws = Workspace(spark, "mix")
+    docs = ws.save(table(spark, sf_dir, "documents").select("doc_id", "source", mixing.words("text").alias("size")), "sizes")  # words are counted once
     mix = mixing.mix(docs, F.col("size"), F.array("source"))
     report = spark.createDataFrame([(s, n, t) for s, (n, t, _) in mix.report.items()], "source string, source_size long, target double")
     rows = mix.attach(docs, F.col("size"), F.array("source")).join(F.broadcast(report.withColumnRenamed("source", "__s")), F.col("source").eqNullSafe(F.col("__s")))
@@ -105,4 +134,4 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_licences, op3_chat_format, op4_quality_rules, op5_vectors, op6_warc, op7_mixing, op8_token_counts, op9_packing, op10_simhash)}
-ORACLES = {"op3_chat_format": OP3_SQL, "op5_vectors": OP5_SQL, "op6_warc": OP6_SQL}
+ORACLES = {"op3_chat_format": OP3_SQL, "op4_quality_rules": OP4_SQL, "op5_vectors": OP5_SQL, "op6_warc": OP6_SQL}
