@@ -263,14 +263,14 @@ def test_recall_sees_lost_links_of_isolated_pairs(spark):
     x[1:120:2] = x[0:120:2] + rng.normal(size=(60, 32)) * 0.05  # 60 pairs, then a dense group of many copies
     x[2300:] = x[2300] + rng.normal(size=(200, 32)) * 0.05
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    nodes = spark.createDataFrame([(k, v.tobytes(), 50 if k >= 2300 else 1) for k, v in enumerate(x)], "node long, unit binary, n long")
+    nodes = spark.createDataFrame([(k, v.tobytes(), 50 if k >= 2300 else 1) for k, v in enumerate(x)], "node long, vec binary, n long")
     near = x @ x.T >= 0.95
     np.fill_diagonal(near, False)
     others, links = near.sum(axis=1), near @ np.where(np.arange(2500) >= 2300, 50, 1)
 
     def recall(lost):
         rows = [(k, 0, 0, k) if k in lost else (k, int(links[k]), int(others[k]), k) for k in range(2500)]
-        return vectors._recall(nodes, spark.createDataFrame(rows, "node long, links long, others long, root long"), 0.95, 2500)
+        return vectors._recall(nodes, "f8", spark.createDataFrame(rows, "node long, links long, others long, root long"), 0.95, 2500)
 
     assert recall(set()) == 1.0
     assert recall(set(range(0, 48))) < 0.9  # 48 of 320 linked rows
@@ -285,10 +285,19 @@ def test_links_across_shards_are_complete(spark):
     near = x @ x.T >= 0.95
     want = (near.sum(axis=1) - 1).tolist()
     assert sum(want) > 600
-    for options in ({}, {"degree": 1, "beam": 1, "least_recall": 1.01}):  # the latter ends in exact comparison
+    for options, share in (({}, 0.98), ({"beam": 4, "probes": 1, "least_recall": 1.0}, 1.0)):  # the latter widens until nothing is lost
         got = {r["vec_id"]: r for r in vectors.near_duplicates(df, shard_rows=40, **options).collect()}
-        assert [got[k]["n_links"] for k in range(2400)] == want
-        assert all(got[k + 1200]["component_id"] == got[k]["component_id"] for k in range(1200) if near[k, k + 1200])
+        found = [got[k]["n_links"] for k in range(2400)]
+        assert sum(found) >= share * sum(want) and all(a <= b for a, b in zip(found, want))
+        joined = [got[k + 1200]["component_id"] == got[k]["component_id"] for k in range(1200) if near[k, k + 1200]]
+        assert sum(joined) >= share * len(joined)
+
+
+def test_links_that_several_shards_show_count_once():
+    rng = np.random.default_rng(3)
+    near_q, near_v, rank = rng.integers(0, 6, (200, 4)), rng.integers(0, 6, (200, 2)), rng.integers(0, 4, 200)
+    want = [bool(set(q[:r].tolist()) & set(v.tolist())) for q, v, r in zip(near_q, near_v, rank)]
+    assert vectors._met_before(near_q, rank, near_v).tolist() == want
 
 
 def test_unite_joins_chains():

@@ -7,45 +7,82 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.common import Workspace, components, sized
 
 log = logging.getLogger(__name__)
 
-#: Vectors that cluster centres are fitted on, at most, and centres of one fit.
-FIT_ROWS, MOST_CENTRES = 20_000, 1_000
+#: Vectors that cluster centres are fitted on: at least and at most; centres at most.
+FIT_ROWS, MOST_FIT_ROWS, MOST_CENTRES = 20_000, 200_000, 50_000
 #: Linked vectors that recall is measured on, at least; vectors drawn for that in one step, and most steps.
 AUDIT_ROWS, AUDIT_STEP, AUDIT_STEPS = 200, 4_096, 8
-#: Vectors that are compared exactly with as many others at once, across shards.
-PACK = 2_048
-#: Queries that a task searches for at once.
-BLOCK = 256
+#: Queries that a task searches for at once, and rows of one product of matrices.
+BLOCK, PRODUCT = 256, 2_048
 #: Neighbours that a range search looks at in one step.
 SPREAD = 1 << 19
 #: How far under the threshold rows still lead a search on, and from which cosine two centres count as one.
 SLACK = 0.05
 
 
+def _normed(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(directions in double precision, which rows have one): scaled first, so that components near the ends of the range don't overflow or vanish."""
+    x = x.astype(np.float64)
+    big = np.abs(x).max(axis=1, initial=0)
+    ok = np.isfinite(big) & (big > 0)
+    x = x[ok] / big[ok][:, None]
+    return x / np.linalg.norm(x, axis=1, keepdims=True) + 0.0, ok
+
+
 def units(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(vec_id, unit): the direction as float64 bytes; null for vectors that are null, empty, zero or hold null or non-finite components."""
+    """(vec_id, key, vec): a digest of the direction and the components' bytes, as 4-byte numbers if the column has these, else as 8-byte ones.
+
+    Null both for vectors that are null, empty, zero or hold null or non-finite components. Equal directions have equal
+    keys. Repeated rows give repeated results; null ids are carried; other columns are not read; an empty table gives none.
+    """
+    kind = width(vectors, vec_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
-            for v in b.column(1).to_pylist():
-                x = np.array([np.nan if c is None else c for c in v or ()], np.float64)
-                big = np.abs(x).max(initial=0)
-                if not np.isfinite(big) or not big:
-                    out.append(None)
-                    continue
-                x = x / big  # components near the ends of the range don't overflow or vanish
-                out.append((x / np.linalg.norm(x)).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["vec_id", "unit"])
-
-    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("v"))
-    return rows.mapInArrow(run, "vec_id long, unit binary")
+            col = b.column(1)
+            size = pc.fill_null(pc.list_value_length(col), 0).to_numpy()
+            first = np.cumsum(size) - size
+            values = pc.fill_null(pc.list_flatten(col), np.nan).to_numpy()
+            key, vec = [None] * b.num_rows, [None] * b.num_rows
+            for d in np.unique(size[size > 0]).tolist():
+                rows = np.flatnonzero(size == d)
+                x = values[first[rows][:, None] + np.arange(d)]
+                u, ok = _normed(x)
+                for k, r, v in zip(rows[ok].tolist(), u, x[ok].astype(kind)):
+                    key[k], vec[k] = xxhash.xxh128_digest(r.tobytes()), v.tobytes()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(key, pa.binary()), pa.array(vec, pa.binary())], names=["vec_id", "key", "vec"])
+
+    rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast(f"array<{'float' if kind == 'f4' else 'double'}>").alias("v"))
+    return rows.mapInArrow(run, "vec_id long, key binary, vec binary")
+
+
+def width(vectors: DataFrame, vec_col: str) -> str:
+    """The numpy type that holds the column's components exactly."""
+    t = vectors.schema[vec_col].dataType
+    return "f4" if isinstance(t, T.ArrayType) and isinstance(t.elementType, T.FloatType) else "f8"
+
+
+def _nearest(x: np.ndarray, c: np.ndarray, most: int = 1) -> np.ndarray:
+    """For each row the ``most`` centres of the largest cosine, nearest first, a block of rows at a time."""
+    out = [np.zeros((0, min(most, len(c))), np.int32)]
+    for at in range(0, len(x), PRODUCT):
+        sim = x[at : at + PRODUCT] @ c.T
+        if most < len(c):
+            top = np.argpartition(-sim, most - 1, axis=1)[:, :most]
+            order = np.argsort(-np.take_along_axis(sim, top, 1), axis=1, kind="stable")
+            out.append(np.take_along_axis(top, order, 1).astype(np.int32))
+        else:
+            out.append(np.argsort(-sim, axis=1, kind="stable").astype(np.int32))
+    return np.concatenate(out)
 
 
 def centres(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray:
@@ -53,7 +90,7 @@ def centres(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray
     rng = np.random.default_rng(seed)
     c = x[rng.choice(len(x), min(k, len(x)), replace=False)]
     for _ in range(rounds):
-        at = np.argmax(x @ c.T, axis=1)
+        at = _nearest(x, c)[:, 0]
         total = np.zeros_like(c)
         np.add.at(total, at, x)
         norm = np.linalg.norm(total, axis=1, keepdims=True)
@@ -63,34 +100,40 @@ def centres(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray
 
 def apart(c: np.ndarray, most: float) -> np.ndarray:
     """Centres without those that lie at cosine ``most`` or more to an earlier one, which would part a dense group."""
-    near = c @ c.T >= most
-    kept = np.zeros(len(c), bool)
-    for k in range(len(c)):
-        kept[k] = not (near[k] & kept).any()
-    return c[kept]
-
-
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    kept = np.zeros((0, c.shape[1]))
+    for at in range(0, len(c), BLOCK):
+        some = c[at : at + BLOCK]
+        some = some[~(some @ kept.T >= most).any(axis=1)]
+        near, ok = some @ some.T >= most, np.zeros(len(some), bool)
+        for k in range(len(some)):
+            ok[k] = not (near[k] & ok).any()
+        kept = np.concatenate([kept, some[ok]])
+    return kept
+
+
+def _matrix(column: pa.ChunkedArray | pa.Array, kind: str) -> np.ndarray:
+    """Directions of the rows, all of one length."""
     rows = column.to_pylist()
-    return np.frombuffer(b"".join(rows), np.float64).reshape(len(rows), -1)
+    return _normed(np.frombuffer(b"".join(rows), kind).reshape(len(rows), -1))[0]
 
 
-def deal(rows: DataFrame, centre: np.ndarray, overlap: int) -> DataFrame:
-    """(shard, home, node, unit): each vector in the shards of its ``overlap`` nearest centres, the nearest its home."""
+def deal(rows: DataFrame, centre: np.ndarray, most: int, kind: str) -> DataFrame:
+    """``rows`` once for each of the ``most`` nearest centres: with shard (the centre), rank (0 is the nearest) and near (all of them, as bytes)."""
+    names, at = rows.columns, rows.columns.index("vec")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            sim = _matrix(b.column(1)) @ centre.T
-            near = np.argsort(-sim, axis=1, kind="stable")[:, :overlap]
+            near = _nearest(_matrix(b.column(at), kind), centre, most)
             n, k = near.shape
+            lists = pa.array([r.tobytes() for r in near], pa.binary())
             take = pa.array(np.repeat(np.arange(n), k))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(near.ravel().astype(np.int32)), pa.array(np.tile(np.arange(k) == 0, n)), b.column(0).take(take), b.column(1).take(take)], names=["shard", "home", "node", "unit"]
+                [pa.array(near.ravel()), pa.array(np.tile(np.arange(k, dtype=np.int32), n)), lists.take(take), *(c.take(take) for c in b.columns)], names=["shard", "rank", "near", *names]
             )
 
-    return rows.select("node", "unit").mapInArrow(run, "shard int, home boolean, node long, unit binary")
+    return rows.mapInArrow(run, "shard int, rank int, near binary, " + ", ".join(f"{c} {t}" for c, t in rows.dtypes))
 
 
 def prune(x: np.ndarray, degree: int, near: int = 64, far: int = 32, alpha: float = 1.2, seed: int = 3) -> np.ndarray:
@@ -238,30 +281,30 @@ def unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             parent[:] = parent[parent]
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding", shard_rows: int = 2_000, overlap: int = 3, degree: int = 24, beam: int = 24, least_recall: float = 0.98) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding", shard_rows: int = 2_000, overlap: int = 3, probes: int = 4, degree: int = 24, beam: int = 24, least_recall: float = 0.98) -> DataFrame:
     """One row per input row: vec_id, n_links (other rows linked directly) and component_id (smallest id reachable).
 
-    Equal directions form a class that links within itself and is searched for once. Classes are dealt to the shards of
-    their nearest centres, centres close to each other taken as one so that a dense group stays together, and a large
-    shard is built and searched in pieces. Each graph is built alone, a class's neighbours from all its shards are
-    united, and each class is searched for in its home shard over the united lists. Every found link is verified by its
-    cosine in double precision. Links to classes that weren't dealt to a class's home shard are found by exact comparison
-    with all shards that the threshold lets them be in, so none is lost at the shards' borders.
-    Links counted exactly for classes drawn whatever was found measure recall; below ``least_recall`` the run is repeated
-    with a wider overlap and beam, and after three runs all shards within reach are compared exactly, which loses none.
+    Equal directions form a class that links within itself and is searched for once. Classes are held in the shards of
+    their ``overlap`` nearest centres, centres close to each other taken as one so that a dense group stays together,
+    and a large shard is built and searched in pieces. Each graph is built alone, a class's neighbours from all its
+    shards are united, and each class is searched for in the shards of its ``probes`` nearest centres over the united
+    lists. A link that several shards show counts in the first of them. Every found link is verified by its cosine in
+    double precision. Links counted exactly for classes drawn whatever was found measure recall; while it is below
+    ``least_recall`` the run is repeated with twice the probes and beam, until every shard is searched whole.
 
     Vectors that are null, empty, zero or hold null or non-finite components have no link and are their own component.
     Vectors of different lengths never link. Rows with one id are rows of their own; a null id is carried and names a
     component only if no other id is in it. An empty table gives no rows; other columns are not read.
     """
     spark = vectors.sparkSession
-    ws = Workspace(spark, "vectors")
+    ws, kind = Workspace(spark, "vectors"), width(vectors, vec_col)
     rows = ws.save(units(vectors, id_col, vec_col), "units")
-    classes = ws.save(rows.where("unit is not null").groupBy("unit").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("n")).withColumn("node", F.xxhash64("unit", "low")), "classes")
-    dims = [r["d"] for r in classes.select(F.length("unit").alias("d")).distinct().collect()]
+    groups = rows.where("key is not null").groupBy("key").agg(F.min("vec_id").alias("low"), F.count(F.lit(1)).alias("n"), F.min("vec").alias("vec"))
+    classes = ws.save(groups.withColumn("node", F.xxhash64("key", "low")), "classes")
+    dims = [r["d"] for r in classes.select(F.length("vec").alias("d")).distinct().collect()]
     found = None
     for d in dims:
-        one = _linked(ws, classes.where(F.length("unit") == d), threshold, shard_rows, overlap, degree, beam, least_recall)
+        one = _linked(ws, classes.where(F.length("vec") == d), kind, threshold, shard_rows, overlap, probes, degree, beam, least_recall)
         found = one if found is None else found.unionByName(one)
     if found is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
@@ -270,159 +313,89 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     n = comp.count()
     low = comp.join(classes.select("node", "low"), "node").groupBy("root").agg(F.min("low").alias("component_id"))
     named = comp.join(sized(low, n), "root").select("node", "component_id")
-    full = classes.join(found.where("links >= 0").select("node", "links"), "node").join(sized(named, n), "node", "left")
-    full = ws.save(full.select("unit", (F.col("links") + F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "low").alias("component_id")), "full")
-    out = rows.where("unit is not null").join(full, "unit").select("vec_id", "n_links", "component_id")
-    alone = rows.where("unit is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    full = classes.select("key", "low", "n", "node").join(found.where("links >= 0").select("node", "links"), "node").join(sized(named, n), "node", "left")
+    full = ws.save(full.select("key", (F.col("links") + F.col("n") - 1).alias("n_links"), F.coalesce("component_id", "low").alias("component_id")), "full")
+    out = rows.where("key is not null").select("vec_id", "key").join(full, "key").select("vec_id", "n_links", "component_id")
+    alone = rows.where("key is null").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return out.unionByName(alone)
 
 
-def _linked(ws: Workspace, classes: DataFrame, threshold: float, shard_rows: int, overlap: int, degree: int, beam: int, least_recall: float) -> DataFrame:
-    """(node, links, others, root): what each class of one vector length links to, counted in rows, and an edge towards its component."""
+def _linked(ws: Workspace, classes: DataFrame, kind: str, threshold: float, shard_rows: int, overlap: int, probes: int, degree: int, beam: int, least_recall: float) -> DataFrame:
+    """(node, links, others, root): what each class of one vector length links to, counted in rows, and edges towards components."""
     n = classes.count()
-    share = min(1.0, FIT_ROWS / n)
-    sample = classes.where(F.pmod(F.xxhash64("node", F.lit(9)), F.lit(1_000_000)) < int(1_000_000 * share)).select("unit").limit(2 * FIT_ROWS).collect()
-    fit = np.frombuffer(b"".join(r["unit"] for r in sample), np.float64).reshape(len(sample), -1) if sample else None
-    nodes = classes.select("node", "unit", "n")
-    for attempt in range(3):
-        width = overlap + 2 * attempt
-        k = max(1, min(-(-n * width // shard_rows), MOST_CENTRES, len(sample) // 4))
-        centre = apart(centres(fit, k), threshold - SLACK) if k > 1 else np.zeros((1, len(classes.first()["unit"]) // 8))
-        across = _across(ws, nodes, centre, width, threshold) if len(centre) > width else None
-        shards = ws.save(deal(nodes, centre, width), "shards")
-        raw = _searched(ws, shards, nodes, threshold, degree, beam * (1 + attempt), 2 * shard_rows)
-        found = ws.save(_summed(raw if across is None else raw.unionByName(across)), "found")
-        ws.drop(shards, raw, *([] if across is None else [across]))
-        recall = _recall(nodes, found, threshold, n)
-        log.info("recall %.4f with %d shards, each vector in %d", recall, len(centre), width)
-        if recall >= least_recall:
+    wanted = min(-(-n * overlap // shard_rows), MOST_CENTRES)
+    fit_rows = min(max(FIT_ROWS, 4 * wanted), MOST_FIT_ROWS)
+    share = min(1.0, fit_rows / n)
+    sample = classes.where(F.pmod(F.xxhash64("node", F.lit(9)), F.lit(1_000_000)) < int(1_000_000 * share)).select("vec").limit(2 * fit_rows).collect()
+    k = max(1, min(wanted, len(sample) // 4))
+    centre = np.zeros((1, len(classes.first()["vec"]) // int(kind[1])))
+    if k > 1:
+        centre = apart(centres(_matrix(pa.array([r["vec"] for r in sample], pa.binary()), kind), k), threshold - SLACK)
+    nodes = classes.select("node", "vec", "n")
+    overlap = min(overlap, len(centre))
+    united = _graphs(ws, nodes, centre, kind, overlap, degree, 2 * shard_rows)
+    while True:
+        probes = min(max(probes, overlap), len(centre))
+        found = _searched(ws, nodes, united, centre, kind, overlap, probes, threshold, beam, 2 * shard_rows)
+        recall = _recall(nodes, kind, found, threshold, n)
+        log.info("recall %.4f with %d shards, each vector in %d and sought in %d", recall, len(centre), overlap, probes)
+        if recall >= least_recall or probes == len(centre) and beam > 2 * shard_rows:
+            ws.drop(united)
             return found
         ws.drop(found)
-    log.warning("recall %.4f after three runs: comparing exactly", recall)
-    none = nodes.select("node", F.lit(0).cast("long").alias("links"), F.lit(0).cast("long").alias("others"), F.col("node").alias("root"))
-    return ws.save(_summed(_across(ws, nodes, centre, width, threshold, whole=True).unionByName(none)), "found")
+        probes, beam = 2 * probes, 2 * beam
 
 
-def _summed(raw: DataFrame) -> DataFrame:
-    """(node, links, others, root): one row of each node's links, and rows with links -1 that are edges towards components."""
-    total = raw.where("links >= 0").groupBy("node").agg(F.sum("links").alias("links"), F.sum("others").alias("others"))
-    return total.select("node", "links", "others", F.col("node").alias("root")).unionByName(raw.where("links < 0"))
+def _pieces(shard_rows: str, most: int) -> F.Column:
+    return F.greatest(F.lit(1), F.ceil(F.col(shard_rows) / most)).cast("int")
 
 
-def _across(ws: Workspace, nodes: DataFrame, centre: np.ndarray, width: int, threshold: float, whole: bool = False) -> DataFrame:
-    """Raw links, as of ``_searched``, to nodes that weren't dealt to the home shard of the node that asks; all links if ``whole``.
+def _piece(pieces: str) -> F.Column:
+    return F.pmod(F.xxhash64("node", F.lit(7)), F.col(pieces).cast("long")).cast("int")
+
+
+def _shards(nodes: DataFrame, centre: np.ndarray, kind: str, overlap: int, probes: int, most: int) -> DataFrame:
+    """(s, graphs, queries): into how many pieces each shard's rows and the queries for it are cut, so that a task's rows are bounded whatever the size of a group."""
+    held = deal(nodes.select("vec"), centre, probes, kind).groupBy(F.col("shard").alias("s")).agg(F.sum((F.col("rank") < overlap).cast("long")).alias("rows"), F.count(F.lit(1)).alias("asked"))
+    return F.broadcast(held.select("s", _pieces("rows", most).alias("graphs"), _pieces("asked", 2 * most).alias("queries")))  # at most MOST_CENTRES rows
 
-    Rows of one home shard are compared exactly with those of another, but for rows that lie farther from the plane
-    between both centres than the threshold's angle and so can't link across it. Nodes are packed into blocks of about
-    PACK rows, whole shards or pieces of a large one; a task reads pairs of blocks.
-    """
-    spark = ws.spark
-    margin = np.sqrt(1 - threshold**2) + 1e-6 if threshold > 0 else np.inf
-    homes = deal(nodes, centre, 1).select(F.col("shard").alias("home"), "node", "unit")
-    first, sizes = 0, []
-    filled = 0
-    for r in homes.groupBy("home").count().orderBy("home").collect():  # at most MOST_CENTRES rows
-        pieces = -(-r["count"] // PACK)
-        if filled and filled + r["count"] > PACK:
-            first, filled = first + 1, 0
-        sizes.append((r["home"], first, pieces))
-        filled += r["count"]
-        if pieces > 1:
-            first, filled = first + pieces, 0
-    table = F.broadcast(spark.createDataFrame(sizes, "home int, first int, pieces int"))
-    placed = homes.join(table, "home").join(nodes.select("node", "n"), "node")
-    placed = placed.select((F.col("first") + F.pmod(F.xxhash64("node", F.lit(7)), F.col("pieces").cast("long"))).cast("int").alias("block"), "home", "node", "n", "unit")
-
-    def pack(t: pa.Table) -> pa.Table:
-        t = t.take(pa.array(np.lexsort((t["node"].to_numpy(), t["home"].to_numpy()))))
-        one = [t["block"][:1].combine_chunks()] + [pa.array([t[c].to_numpy().astype(k).tobytes()], pa.binary()) for c, k in (("home", np.int32), ("node", np.int64), ("n", np.int64))]
-        return pa.table([*one, pa.array([b"".join(t["unit"].to_pylist())], pa.binary())], names=["block", "home", "node", "n", "unit"])
-
-    packed = ws.save(placed.groupBy("block").applyInArrow(pack, "block int, home binary, node binary, n binary, unit binary"), "packed")
-
-    def near(x: np.ndarray) -> np.ndarray:
-        return np.argsort(-(x @ centre.T), axis=1, kind="stable")[:, :width]
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                same = r["block"] == r["block_b"]
-                sides = [{c: np.frombuffer(r[c + end], k) for c, k in (("home", np.int32), ("node", np.int64), ("n", np.int64))} | {"x": np.frombuffer(r["unit" + end], np.float64).reshape(len(r["node" + end]) // 8, -1)} for end in ("", "_b")]
-                a, b = sides
-                base = 0 if same else len(a["node"])
-                node, weight = (a[c] if same else np.concatenate([a[c], b[c]]) for c in ("node", "n"))
-                links, others, parent = np.zeros(len(node), np.int64), np.zeros(len(node), np.int64), np.arange(len(node))
-                dealt = [near(s["x"]) for s in sides]
-                for i in np.unique(a["home"]).tolist():
-                    for j in np.unique(b["home"]).tolist():
-                        if i == j and not whole or same and i > j:
-                            continue
-                        p, q = (np.flatnonzero(s["home"] == h) for s, h in ((a, i), (b, j)))
-                        if i != j:
-                            across = centre[i] - centre[j]
-                            far = margin * np.linalg.norm(across)
-                            p, q = p[a["x"][p] @ across <= far], q[b["x"][q] @ across >= -far]
-                        if not len(p) or not len(q):
-                            continue
-                        there, here = (dealt[1][q] == i).any(axis=1), (dealt[0][p] == j).any(axis=1)  # what the home shards search for
-                        for at in range(0, len(p), BLOCK):
-                            u, v = np.nonzero(a["x"][p[at : at + BLOCK]] @ b["x"][q].T >= threshold)
-                            u += at
-                            if same and i == j:
-                                u, v = u[u < v], v[u < v]
-                            out, back = (np.ones(len(u), bool),) * 2 if whole else (~there[v], ~here[u])
-                            for one, other, ok in ((p[u], base + q[v], out), (base + q[v], p[u], back)):
-                                np.add.at(links, one[ok], weight[other[ok]])
-                                np.add.at(others, one[ok], 1)
-                                unite(parent, one[ok], other[ok])
-                asked, joined = np.flatnonzero(others), np.flatnonzero(parent != np.arange(len(node)))
-                mark = np.full(len(joined), -1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(node[np.concatenate([asked, joined])]), pa.array(np.concatenate([links[asked], mark])), pa.array(np.concatenate([others[asked], mark])), pa.array(node[np.concatenate([asked, parent[joined]])])],
-                    names=["node", "links", "others", "root"],
-                )
-
-    other = packed.select(*[F.col(c).alias(f"{c}_b") for c in packed.columns])
-    turn = (F.col("block") + F.col("block_b")) % 2 == 1  # each pair once, and as many for each block
-    pairs = packed.coalesce(64).crossJoin(other.coalesce(64)).where((F.col("block") == F.col("block_b")) | ((F.col("block") < F.col("block_b")) == turn))
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    was = spark.conf.get(key)
-    spark.conf.set(key, "1")  # a row holds two blocks
-    try:
-        raw = ws.save(pairs.mapInArrow(compare, "node long, links long, others long, root long"), "across")
-    finally:
-        spark.conf.set(key, was)
-    ws.drop(packed)
-    return raw
-
-
-def _searched(ws: Workspace, shards: DataFrame, nodes: DataFrame, threshold: float, degree: int, beam: int, most: int) -> DataFrame:
-    """(node, links, others, root): each node's links within its home shard, counted in rows and in nodes, and rows with links -1 that are edges towards components.
-
-    A shard of more than ``most`` rows, such as a dense group that no centres can part, is cut into pieces by hash. Each
-    piece has a graph of its own and the shard's queries are searched for in each, a cell of query piece and graph piece
-    a task. So every link is within reach, and a task's rows are bounded whatever the size of a group.
-    """
-    pieces = F.ceil(F.col("rows") / most).cast("int")
-    sizes = F.broadcast(shards.groupBy("shard").agg(F.count(F.lit(1)).alias("rows")))  # at most MOST_CENTRES rows
-    placed = shards.join(sizes, "shard").select("shard", pieces.alias("pieces"), F.pmod(F.xxhash64("node", F.lit(7)), pieces.cast("long")).cast("int").alias("piece"), "home", "node", "unit")
+
+def _graphs(ws: Workspace, nodes: DataFrame, centre: np.ndarray, kind: str, overlap: int, degree: int, most: int) -> DataFrame:
+    """(node, next): each node's neighbours, united from the graphs of all shards that hold it."""
 
     def build(t: pa.Table) -> pa.Table:
         node = t["node"].to_numpy()
         order = np.argsort(node)
-        node, x = node[order], _matrix(t["unit"])[order]
-        g = prune(x, degree)
-        lists = [node[r[r >= 0]].tolist() for r in g]
+        node, x = node[order], _matrix(t["vec"], kind)[order]
+        lists = [node[r[r >= 0]].tolist() for r in prune(x, degree)]
         return pa.table([pa.array(node), pa.array(lists, pa.list_(pa.int64()))], names=["node", "next"])
 
-    lists = placed.select("shard", "piece", "node", "unit").groupBy("shard", "piece").applyInArrow(build, "node long, next array<long>")
-    united = ws.save(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("next"))).alias("next")), "graph")  # at most overlap x degree
+    shards = _shards(nodes, centre, kind, overlap, overlap, most)
+    placed = deal(nodes.select("node", "vec"), centre, overlap, kind).join(shards, F.col("shard") == F.col("s")).select("shard", _piece("graphs").alias("piece"), "node", "vec")
+    lists = placed.groupBy("shard", "piece").applyInArrow(build, "node long, next array<long>")
+    return ws.save(lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("next"))).alias("next")), "graph")  # at most overlap x degree
+
+
+def _met_before(near_q: np.ndarray, rank: np.ndarray, near_v: np.ndarray) -> np.ndarray:
+    """Whether the query of each pair was sought in a nearer shard that holds the row too."""
+    out = np.zeros(len(rank), bool)
+    for r in range(int(rank.max(initial=0))):
+        out |= (rank > r) & (near_q[:, r, None] == near_v).any(axis=1)
+    return out
+
+
+def _searched(ws: Workspace, nodes: DataFrame, united: DataFrame, centre: np.ndarray, kind: str, overlap: int, probes: int, threshold: float, beam: int, most: int) -> DataFrame:
+    """(node, links, others, root): each node's links within the shards it is sought in, counted in rows and in nodes, and rows with links -1 that are edges towards components.
+
+    Each piece of a shard has a graph of its own and the shard's queries are searched for in each, a cell of query piece
+    and graph piece a task.
+    """
 
     def look(t: pa.Table) -> pa.Table:
-        node = t["node"].to_numpy()
-        order = np.argsort(node)
+        order = np.argsort(t["node"].to_numpy(), kind="stable")
         t = t.take(pa.array(order))
-        node, x, weight = node[order], _matrix(t["unit"]), t["n"].to_numpy()
+        node, x, weight, rank = t["node"].to_numpy(), _matrix(t["vec"], kind), t["n"].to_numpy(), t["rank"].to_numpy()
+        near = np.frombuffer(b"".join(t["near"].to_pylist()), np.int32).reshape(len(node), -1)
         ask, data = (np.flatnonzero(t[c].to_numpy()) for c in ("ask", "data"))
         inner = node[data]
         lists = t["next"].take(pa.array(data)).combine_chunks()
@@ -432,26 +405,37 @@ def _searched(ws: Workspace, shards: DataFrame, nodes: DataFrame, threshold: flo
         graph = Graph(of[inside], at[inside], max(1, len(data)))
         own = np.full(len(node), -1)
         own[data] = np.arange(len(data))
-        links, others, parent = np.zeros(len(ask)), np.zeros(len(ask), np.int64), np.arange(len(node))
+        links, others, parent = np.zeros(len(ask), np.int64), np.zeros(len(ask), np.int64), np.arange(len(node))
         for q, v in search(x[data], graph, x[ask], own[ask], threshold, beam):
-            links += np.bincount(q, weight[data[v]], minlength=len(ask))
-            others += np.bincount(q, minlength=len(ask))
-            unite(parent, ask[q], data[v])
+            for p in range(0, len(q), SPREAD // 8):
+                i, j = q[p : p + SPREAD // 8], data[v[p : p + SPREAD // 8]]
+                new = ~_met_before(near[ask[i]], rank[ask[i]], near[j, :overlap])
+                np.add.at(links, i[new], weight[j[new]])
+                others += np.bincount(i[new], minlength=len(ask))
+                unite(parent, ask[i[new]], j[new])
         joined = np.flatnonzero(parent != np.arange(len(node)))
-        links, others = (np.concatenate([c.astype(np.int64), np.full(len(joined), -1)]) for c in (links, others))
-        return pa.table([pa.array(node[np.concatenate([ask, joined])]), pa.array(links), pa.array(others), pa.array(node[np.concatenate([ask, parent[joined]])])], names=["node", "links", "others", "root"])
-
-    ready = placed.join(united, "node").join(nodes.select("node", "n"), "node")
-    cell = lambda q, g, data: F.struct(q.alias("query_piece"), g.alias("graph_piece"), data.alias("data"), (F.col("home") & (q == F.col("piece"))).alias("ask"))
-    every = F.sequence(F.lit(0), F.col("pieces") - 1)
-    as_query = F.transform(every, lambda p: cell(F.col("piece"), p, p == F.col("piece")))
-    as_data = F.transform(F.filter(every, lambda p: p != F.col("piece")), lambda p: cell(p, F.col("piece"), F.lit(True)))
-    cells = ready.withColumn("c", F.explode(F.concat(as_query, as_data))).select("shard", "c.*", "node", "unit", "n", "next").where("data or ask")
-    cells = cells.withColumn("next", F.when(F.col("data"), F.col("next")))
-    return ws.save(cells.groupBy("shard", "query_piece", "graph_piece").applyInArrow(look, "node long, links long, others long, root long"), "raw")
+        mark = np.full(len(joined), -1)
+        return pa.table(
+            [pa.array(node[np.concatenate([ask, joined])]), pa.array(np.concatenate([links, mark])), pa.array(np.concatenate([others, mark])), pa.array(node[np.concatenate([ask, parent[joined]])])],
+            names=["node", "links", "others", "root"],
+        )
+
+    shards = _shards(nodes, centre, kind, overlap, probes, most)
+    ready = deal(nodes.join(united, "node"), centre, probes, kind).join(shards, F.col("shard") == F.col("s"))
+    ready = ready.withColumns({"g": _piece("graphs"), "q": _piece("queries"), "held": F.col("rank") < overlap})
+    cell = lambda q, g, ask, data: F.struct(q.alias("query_piece"), g.alias("graph_piece"), ask.alias("ask"), data.alias("data"))
+    asks = F.transform(F.sequence(F.lit(0), F.col("graphs") - 1), lambda g: cell(F.col("q"), g, F.lit(True), F.col("held") & (g == F.col("g"))))
+    other = F.filter(F.sequence(F.lit(0), F.col("queries") - 1), lambda q: F.col("held") & (q != F.col("q")))
+    cells = ready.withColumn("c", F.explode(F.concat(asks, F.transform(other, lambda q: cell(q, F.col("g"), F.lit(False), F.lit(True))))))
+    cells = cells.select("shard", "c.*", "rank", "near", "node", "vec", "n", F.when(F.col("c.data"), F.col("next")).alias("next"))
+    raw = ws.save(cells.groupBy("shard", "query_piece", "graph_piece").applyInArrow(look, "node long, links long, others long, root long"), "raw")
+    total = raw.where("links >= 0").groupBy("node").agg(F.sum("links").alias("links"), F.sum("others").alias("others"))
+    found = ws.save(total.select("node", "links", "others", F.col("node").alias("root")).unionByName(raw.where("links < 0")), "found")
+    ws.drop(raw)
+    return found
 
 
-def _recall(nodes: DataFrame, found: DataFrame, threshold: float, n: int) -> float:
+def _recall(nodes: DataFrame, kind: str, found: DataFrame, threshold: float, n: int) -> float:
     """Share of true links found, by a seeded sample of classes that were compared with all: the lower of the mean over linked classes and the share of all their links.
 
     Classes are drawn whatever was found for them, step by step until AUDIT_ROWS of them have a true link, and links
@@ -461,9 +445,9 @@ def _recall(nodes: DataFrame, found: DataFrame, threshold: float, n: int) -> flo
     step = max(1, int(1_000_000_000 * min(1.0, AUDIT_STEP / n)))
     got, true = [], []
     for at in range(0, min(1_000_000_000, step * AUDIT_STEPS), step):
-        asked = nodes.where((order >= at) & (order < at + step)).select("node", "unit").collect()
+        asked = nodes.where((order >= at) & (order < at + step)).select("node", "vec").collect()
         if asked:
-            exact = _exact(nodes, asked, threshold)
+            exact = _exact(nodes, kind, asked, threshold)
             pairs = exact.join(found.where("links >= 0").select("node", "others"), "node", "left").select(F.col("true"), F.coalesce("others", F.lit(0))).collect()
             true += [t for t, _ in pairs]
             got += [g for _, g in pairs]
@@ -474,19 +458,19 @@ def _recall(nodes: DataFrame, found: DataFrame, threshold: float, n: int) -> flo
     return min(sum(got) / sum(true), sum(g / t for g, t in zip(got, true)) / len(true))
 
 
-def _exact(nodes: DataFrame, asked: list, threshold: float) -> DataFrame:
+def _exact(nodes: DataFrame, kind: str, asked: list, threshold: float) -> DataFrame:
     """(node, true): other classes that each of ``asked`` links to, of those that have any."""
     ids = np.array([r["node"] for r in asked])
-    x = np.frombuffer(b"".join(r["unit"] for r in asked), np.float64).reshape(len(asked), -1)
+    x = _matrix(pa.array([r["vec"] for r in asked], pa.binary()), kind)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(len(ids), np.int64)
         for b in batches:
             for at in range(0, b.num_rows, 1024):
                 part = b.slice(at, 1024)
-                s = _matrix(part.column(1)) @ x.T >= threshold
+                s = _matrix(part.column(1), kind) @ x.T >= threshold
                 s &= part.column(0).to_numpy()[:, None] != ids
                 total += s.sum(axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total)], names=["node", "true"])
 
-    return F.broadcast(nodes.select("node", "unit").mapInArrow(count, "node long, true long").groupBy("node").agg(F.sum("true").alias("true")).where(F.col("true") > 0))
+    return F.broadcast(nodes.select("node", "vec").mapInArrow(count, "node long, true long").groupBy("node").agg(F.sum("true").alias("true")).where(F.col("true") > 0))
