@@ -12,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from test_documents import docs, odd  # noqa: F401
+from tokenizers import Tokenizer
 
 from tidemark.llm import chat, common, packing, tokens, vectors, warc
 from tidemark.llm.common import Workspace
@@ -154,12 +155,39 @@ def test_broken_strings_are_refused():
 
 def test_mask_by_binary_search_equals_a_plain_scan():
     rnd = random.Random(5)
-    for _ in range(200):
+    for _ in range(400):
         cuts = sorted(rnd.sample(range(1, 60), rnd.randint(1, 20)))
         offsets = list(zip([0, *cuts], [*cuts, 60]))
-        spans = sorted(tuple(sorted(rnd.sample(range(60), 2))) for _ in range(1))
-        on, covered = chat.mask(*chat.extents(offsets), spans)
+        edges = sorted(rnd.sample(range(60), 2 * rnd.randint(1, 5)))
+        spans = list(zip(edges[::2], edges[1::2]))
+        on, covered, beyond = chat.mask(*map(np.array, zip(*offsets)), spans)
         assert on.tolist() == [any(a < e and s < b for a, b in spans) for s, e in offsets] and covered == spans
+        assert beyond == sum(sum(s < a < e or s < b < e for s, e in offsets) for a, b in spans)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["a", " ", "é", "日", "\U0001f600", "[INST]", "!", "<|endoftext|>", "\n", "word"]), max_size=30).map("".join))
+def test_tokens_are_located_as_by_the_library(text):
+    ids, start, end = tokens.encoder(PATH).located(text)
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    assert ids.tolist() == t.encode(text, add_special_tokens=False).ids
+    data = t.decode(ids.tolist(), skip_special_tokens=False)
+    assert data == text and (not len(ids) or (start[0] == 0 and end[-1] == len(text)))
+    for (a, b), (c, d) in zip(zip(start, end), zip(start[1:], end[1:])):
+        assert a < b <= len(text) and (c == b or (c == b - 1 and ord(text[c]) > 127))  # they tile the text, a split character is in all its tokens
+
+
+def test_tokens_beyond_a_text_are_counted(spark):
+    rows = [(k, 0, "assistant", c + " ok" + c) for k, c in enumerate([".", ",", ")", ");", '"', "!!", ":", "", "é"])] + [(1, 1, "user", ", ok,")]
+    total = 0
+    for r in chat.format_chats(spark.createDataFrame(rows, CONV), PATH).collect():
+        ids, start, end = tokens.encoder(PATH).located(r["formatted"])
+        a, b = r["loss_spans"][0]
+        assert r["n_beyond"] == sum(bool(s < a < e or s < b < e) for s, e in zip(start, end))
+        assert [i for i, m in zip(r["ids"], r["loss_mask"]) if m] == [i for i, s, e in zip(ids.tolist(), start, end) if s < b and e > a]
+        total += r["n_beyond"]
+    assert total > 0
 
 
 def test_format_chats(spark):

@@ -5,13 +5,14 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.tokens import encoder
+
 # The template's control strings. A turn is <s>[INST]role[/INST]text</s>.
 OPEN, ROLE, TEXT, CLOSE = "<s>", "[INST]", "[/INST]", "</s>"
 _HEAD = re.compile(r"(?=<s>|</s>|\[INST\]|\[/INST\])(.)", re.S)
@@ -52,39 +53,23 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return found
 
 
-def extents(offsets: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end character of each token. Tokens tile the text: white space that trimmed offsets leave out belongs to
-    the token after it, and the tokens of one split character all have that character."""
-    if not offsets:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    start, end = np.array(offsets, np.int64).T
-    end = np.maximum.accumulate(end)
-    return np.minimum(start, np.concatenate([[0], end[:-1]])), end
-
-
-def mask(start: np.ndarray, end: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Which tokens touch the sorted spans, and the characters of the spans that those tokens cover."""
+def mask(start: np.ndarray, end: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray, list[tuple[int, int]], int]:
+    """Which tokens touch the sorted spans, the characters of the spans that those tokens cover, and how many of the tokens reach beyond a span."""
     on = np.zeros(len(start), bool)
-    covered = []
+    covered, beyond = [], 0
     for a, b in spans:
         i, j = int(np.searchsorted(end, a, "right")), int(np.searchsorted(start, b, "left"))
         if a < b and i < j:
             on[i:j] = True
             covered.append((max(a, int(start[i])), min(b, int(end[j - 1]))))
-    return on, covered
-
-
-@lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    from tokenizers import Tokenizer
-
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True  # a special token's string in a text is ordinary text
-    return t
+            first, last = start[i] < a, end[j - 1] > b
+            beyond += int(first or last) if j - i == 1 else int(first) + int(last)
+    return on, covered, beyond
 
 
 def format_chats(conversations: DataFrame, path: str, learn: tuple[str, ...] = ("assistant",), id_col: str = "conv_id") -> DataFrame:
-    """One row per conversation: conv_id, formatted, ids, loss_mask (by token) and loss_spans (characters under the mask).
+    """One row per conversation: conv_id, formatted, ids, loss_mask (by token), loss_spans (characters under the mask) and
+    n_beyond (tokens under the mask that reach from a learned text into the template's characters beside it).
 
     Rows come by turn (ties by role, then text; null turns first). A null text or role is empty; rows with a null id
     are one conversation; repeated rows are repeated turns; other columns are not read; an empty table gives no rows. A
@@ -94,15 +79,20 @@ def format_chats(conversations: DataFrame, path: str, learn: tuple[str, ...] = (
 
     def finish(conv: int | None, turns: list[tuple[str, str]]) -> tuple:
         text, spans = render(turns)
-        e = _tokenizer(path).encode(text, add_special_tokens=False)
-        on, covered = mask(*extents(e.offsets), [s for s, (role, _) in zip(spans, turns) if role in learn])
-        return conv, text, e.ids, on.tolist(), [{"a": a, "b": b} for a, b in covered]
+        ids, start, end = encoder(path).located(text)
+        on, covered, beyond = mask(start, end, [s for s, (role, _) in zip(spans, turns) if role in learn])
+        return conv, text, ids, on, [{"a": a, "b": b} for a, b in covered], beyond
+
+    def lists(values: tuple[np.ndarray, ...], kind: pa.DataType) -> pa.Array:
+        edges = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(values), kind))
 
-    kinds = [pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.bool_()), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))]
-    names = ["conv_id", "formatted", "ids", "loss_mask", "loss_spans"]
+    names = ["conv_id", "formatted", "ids", "loss_mask", "loss_spans", "n_beyond"]
 
     def batch(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+        conv, text, ids, on, spans, beyond = zip(*rows)
+        span = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+        return pa.RecordBatch.from_arrays([pa.array(conv, pa.int64()), pa.array(text, pa.string()), lists(ids, pa.int32()), lists(on, pa.bool_()), pa.array(spans, span), pa.array(beyond, pa.int64())], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, turns, done, size, some = None, [], [], 0, False
@@ -124,11 +114,15 @@ def format_chats(conversations: DataFrame, path: str, learn: tuple[str, ...] = (
 
     rows = conversations.select(F.col(id_col).cast("long").alias("conv_id"), "turn", F.coalesce("role", F.lit("")).cast("binary").alias("role"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
-    return rows.mapInArrow(run, "conv_id long, formatted string, ids array<int>, loss_mask array<boolean>, loss_spans array<struct<a:long,b:long>>")
+    return rows.mapInArrow(run, "conv_id long, formatted string, ids array<int>, loss_mask array<boolean>, loss_spans array<struct<a:long,b:long>>, n_beyond long")
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What can be read back from formatted conversations: turns parsed from the string, text taken from under the mask."""
+    """What can be read back from formatted conversations: turns parsed from the string, text taken from under the mask.
+
+    Null ids are carried, empty texts have the digest of nothing, repeated rows give repeated results, an empty table none;
+    a string that is no rendered conversation raises an error. Other columns are not read.
+    """
 
     def sha(s: str) -> str:
         return hashlib.sha256(s.encode()).hexdigest()
@@ -136,11 +130,11 @@ def digests(formatted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for conv, text, spans in zip(*(c.to_pylist() for c in b.columns)):
+            for conv, text, spans, beyond in zip(*(c.to_pylist() for c in b.columns)):
                 turns = parse(text)
                 loss = "".join(unescape(text[s["a"] : s["b"]]) for s in spans)
-                out.append((conv, len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss), len(text)))
+                out.append((conv, len(turns), sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), sha(loss), len(text), beyond))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) if k else pa.array(c, pa.int64()) for k, c in enumerate(zip(*out))], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) if k else pa.array(c, pa.int64()) for k, c in enumerate(zip(*out))], names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "n_beyond"])
 
-    return formatted.select("conv_id", "formatted", "loss_spans").mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return formatted.select("conv_id", "formatted", "loss_spans", "n_beyond").mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_beyond long")

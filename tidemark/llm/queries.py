@@ -27,7 +27,7 @@ def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    return chat.digests(chat.format_chats(rows, tokens.vocabulary()))
+    return chat.digests(chat.format_chats(rows, tokens.vocabulary())).drop("n_beyond")  # tokens are beyond SQL
 
 
 OP3_SQL = r"""

@@ -30,11 +30,14 @@ class Encoder:
 
     def __init__(self, path: str):
         ranks = Path(path).with_suffix(".tiktoken")
+        self.sizes = None
         if not ranks.exists():
             from tokenizers import Tokenizer
 
-            t = Tokenizer.from_file(path)
+            t, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+            plain.encode_special_tokens = True
             self.encode = lambda text: np.array(t.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            self.plain = lambda text: plain.encode(text, add_special_tokens=False)
             return
         import public_tokenizers
         import tiktoken
@@ -44,6 +47,30 @@ class Encoder:
         core = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=special)._core_bpe
         names = set(special)
         self.encode = lambda text: bytes(core.encode_to_tiktoken_buffer(text, names))
+        self.plain = lambda text: bytes(core.encode_to_tiktoken_buffer(text, set()))
+        self.sizes = np.zeros(max(table.values()) + 1, np.int64)
+        self.sizes[list(table.values())] = list(map(len, table))
+
+    def located(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first character, end) of each token in one encoding; a special token's string in the text is ordinary text.
+
+        Tokens tile the text, and all tokens of one split character have that character.
+        """
+        if self.sizes is None:
+            e = self.plain(text)
+            if not e.ids:
+                return np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+            start, end = np.array(e.offsets, np.int64).T
+            end = np.maximum.accumulate(end)
+            return np.array(e.ids, np.int32), np.minimum(start, np.concatenate([[0], end[:-1]])), end
+        ids = np.frombuffer(self.plain(text), "<u4").astype(np.int32)
+        end = np.cumsum(self.sizes[ids])
+        start = end - self.sizes[ids]
+        raw = text.encode("utf-8", "replace")
+        if len(raw) == len(text):
+            return ids, start, end
+        seen = np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)  # characters begun up to and with a byte
+        return ids, seen[start] - 1, seen[end - 1]
 
     def __call__(self, text: str) -> bytes:
         return self.encode(text)
