@@ -429,3 +429,36 @@ def test_wrapped_notices_are_found(spark):
     apart = [textwrap.fill(mit, 60).replace("\n", "\n" + "Another line of many other words. " * 9 + "\n"), "All rights\n\nreserved.", textwrap.fill(mit, 60) + "\n\nx\n" + textwrap.fill(mit, 50)]
     got = {r["doc_id"]: (r["licence"], r["n_confirmed"]) for r in licences.scan(docs(spark, *apart)).collect()}
     assert got == {0: (None, 0), 1: (None, 0), 2: ("MIT", 2)}
+
+
+#: Wordings that no training row has, some of them without any licence.
+UNSEEN = (
+    ("You may use this library under the MIT licence, see LICENSE.", "MIT"), ("MIT-licensed software", "MIT"), ("Use is permitted by the Apache 2.0 license.", "Apache-2.0"),
+    ("Our code is offered under Apache License 2.0", "Apache-2.0"), ("Foo is free software under the GNU GPL v3.", "GPL-3.0"), ("you can share it under the terms of the GNU General Public License version 3", "GPL-3.0"),
+    ("made available to you under the GNU General Public License v2", "GPL-2.0"), ("covered by the GNU Lesser General Public License", "LGPL"), ("this server is AGPLv3 software", "AGPL-3.0"),
+    ("Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.", "BSD"), ("subject to the Mozilla Public License 2.0", "MPL-2.0"), ("ISC licensed, have fun", "ISC"),
+    ("Text is available under the Creative Commons Attribution-ShareAlike License", "CC-BY-SA"), ("All photos CC BY-NC 4.0 unless noted", "CC-BY-NC"), ("figures are shared with a Creative Commons Attribution 4.0 licence", "CC-BY"),
+    ("To the public domain under CC0", "CC0"), ("available under the Boost Software License", "BSL-1.0"), ("under the Eclipse Public License", "EPL-2.0"),
+    ("Drivers need a license to drive a car.", None), ("SPDX-License-Identifier: Foo-1.0", None), ("SPDX-License-Identifier: LicenseRef-Acme", None), ("Licensed under the Sample Code License, version 4.", None),
+    ("The house was licensed to sell wine.", None), ("the terms of the agreement were read in public", None), ("He said the software is provided to all of them.", None), ("a licence fee applies to every general user", None),
+)
+
+
+def test_licences_by_wordings_never_seen():
+    m = licences.train()
+    right = [(f if f not in (licences.NONE, licences.UNKNOWN) else None) == want for t, want in UNSEEN for f, _, confirmed in [m.classify(t)] if not confirmed or want]
+    assert sum(right) >= 0.85 * len(UNSEEN)
+    assert not any(m.classify(t)[2] for t, want in UNSEEN if want is None)  # nothing false is confirmed
+    assert m.classify("SPDX-License-Identifier: Frobnicate-2.0")[0] == licences.UNKNOWN and m.classify("SPDX-License-Identifier: ISC")[::2] == ("ISC", True)
+
+
+def test_whole_texts_and_paragraphs(spark):
+    import textwrap
+
+    mit = "Copyright (c) 2020 Someone\n\n" + "\n\n".join(textwrap.fill(t, 72, initial_indent=" * ", subsequent_indent=" * ") for t in licences.TEMPLATES["MIT"][2:5])
+    own = textwrap.fill("This archive and everything in it is offered to all readers under the GNU General Public License version 3 with no further terms.", 60, initial_indent="# ", subsequent_indent="# ")
+    texts = [mit, own, "SPDX-License-Identifier: MIT\nSPDX-License-Identifier: Apache-2.0", "A house stood there.\nAnd another one."]
+    got = {r["doc_id"]: r for r in licences.scan(docs(spark, *texts)).collect()}
+    assert (got[0]["licence"], got[0]["n_confirmed"], got[0]["n_unconfirmed"]) == ("MIT", 3, 0)
+    assert (got[1]["licence"], got[1]["n_paragraphs"], got[1]["n_unconfirmed"]) == (None, 1, 1)  # no template words it, the classifier names it
+    assert got[2]["families"] == ["Apache-2.0", "MIT"] and got[3]["n_paragraphs"] == 2

@@ -27,6 +27,8 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Released under the MIT License.",
         "This project is licensed under the terms of the MIT license.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+        "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
         "SPDX-License-Identifier: MIT",
     ),
     "GPL-3.0": (
@@ -50,6 +52,9 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "BSD": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
         "Licensed under the BSD 3-Clause License.",
         "SPDX-License-Identifier: BSD-3-Clause",
     ),
@@ -57,6 +62,28 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
         "SPDX-License-Identifier: MPL-2.0",
     ),
+    "ISC": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "Licensed under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+    ),
+    "Zlib": (
+        "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.",
+        "SPDX-License-Identifier: Zlib",
+    ),
+    "BSL-1.0": (
+        "Distributed under the Boost Software License, Version 1.0.",
+        "SPDX-License-Identifier: BSL-1.0",
+    ),
+    "EPL-2.0": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+        "SPDX-License-Identifier: EPL-2.0",
+    ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain.",
+        "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+        "SPDX-License-Identifier: Unlicense",
+    ),
     "CC-BY": (
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -75,6 +102,28 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "Proprietary": ("All rights reserved.", "All rights reserved. No part of this publication may be reproduced without prior written permission.",),
 }
+# How texts name the families, for short statements to learn from.
+NAMES: dict[str, tuple[str, ...]] = {
+    "Apache-2.0": ("Apache License 2.0", "Apache 2.0", "Apache-2.0", "Apache License, Version 2.0", "Apache License v2.0", "Apache Software License"),
+    "MIT": ("MIT License", "MIT", "MIT licence", "Expat License"),
+    "GPL-3.0": ("GNU General Public License v3", "GNU GPL v3", "GPLv3", "GPL version 3", "GPL-3.0", "GNU General Public License, version 3 or later"),
+    "GPL-2.0": ("GNU General Public License v2", "GNU GPL v2", "GPLv2", "GPL version 2", "GPL-2.0", "GNU General Public License, version 2 only"),
+    "LGPL": ("GNU Lesser General Public License", "LGPL", "GNU LGPL", "LGPLv3", "LGPL-2.1", "Lesser GPL"),
+    "AGPL-3.0": ("GNU Affero General Public License", "AGPL", "AGPLv3", "GNU AGPL", "AGPL-3.0"),
+    "BSD": ("BSD License", "BSD 2-Clause License", "BSD 3-Clause License", "3-clause BSD", "BSD-style license", "New BSD License"),
+    "MPL-2.0": ("Mozilla Public License", "MPL 2.0", "Mozilla Public License 2.0", "MPL"),
+    "ISC": ("ISC License", "ISC"),
+    "Zlib": ("zlib License", "zlib/libpng license"),
+    "BSL-1.0": ("Boost Software License", "Boost Software License 1.0", "BSL-1.0"),
+    "EPL-2.0": ("Eclipse Public License", "Eclipse Public License 2.0", "EPL"),
+    "Unlicense": ("Unlicense", "The Unlicense"),
+    "CC-BY": ("CC BY 4.0", "Creative Commons Attribution 4.0", "CC-BY", "Creative Commons Attribution License"),
+    "CC-BY-SA": ("CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0", "CC-BY-SA 3.0", "Creative Commons Attribution-ShareAlike License"),
+    "CC-BY-NC": ("CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0", "CC-BY-NC", "Creative Commons Attribution-NonCommercial License"),
+    "CC0": ("CC0", "CC0 1.0", "Creative Commons Zero", "CC0 1.0 Universal"),
+}
+# What is said of a named licence.
+FRAMES = ("Licensed under the {}.", "Released under {}", "This project is licensed under the terms of the {}", "Distributed under the {}, see the file COPYING", "published under {}", "The code is {} licensed", "License: {}")
 # Statements of unnamed or other terms, and words that no terminal may consist of alone.
 OTHER = (
     "Licensed under the terms of the agreement.", "See the license file for details.", "This software is provided under a custom license.",
@@ -202,12 +251,13 @@ def notices(lines: list[list[str]], at: list[int]) -> Iterator[tuple[int, int, l
 def train(seed: int = 1, copies: int = 16) -> Model:
     """Sparse logistic regression on word n-grams, trained on noisy copies of the templates and of other statements.
 
-    Copies lose and gain words and run into other text. Half of the copies fit the weights; the temperature that makes
+    Copies lose and gain words and run into other text. Short statements name each family as texts do, and others name
+    licences that don't exist. Half of the copies fit the weights; the temperature that makes
     probabilities honest is chosen on the other half.
     """
     rng = np.random.default_rng(seed)
     families = [*TEMPLATES, UNKNOWN, NONE]
-    held = {w for ts in TEMPLATES.values() for t in ts for w in _tokens(t)}
+    held = {w for ts in (*TEMPLATES.values(), *NAMES.values()) for t in ts for w in _tokens(t)} | {w for t in FRAMES for w in _tokens(t)}
     filler = [w for w in COMMON if len(w) > 1] + ["lorem", "anea", "thered", "data", "page", "text", "house", "value", "2020", "note"]
     rows: list[tuple[list[str], int]] = []
 
@@ -217,9 +267,19 @@ def train(seed: int = 1, copies: int = 16) -> Model:
             out.insert(int(rng.integers(0, len(out) + 1)), str(rng.choice(filler)))
         return [*rng.choice(filler, rng.integers(0, 12)).tolist(), *out, *rng.choice(filler, rng.integers(0, 12)).tolist()]
 
+    def letters() -> str:
+        return "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(3, 9)))
+
     for k, f in enumerate(families):
         for t in TEMPLATES.get(f, OTHER if f == UNKNOWN else ()):
             rows += [(noisy(_tokens(t), 0.05 if f in TEMPLATES else 0.1), k) for _ in range(copies)] + [(_tokens(t), k)] * 4
+        for name in NAMES.get(f, ()):
+            rows += [(noisy(_tokens(frame.format(name)), 0.03), k) for frame in FRAMES for _ in range(2)]
+    for _ in range(copies * 10):  # names that no family has
+        name = " ".join(letters().title() for _ in range(rng.integers(1, 3)))
+        version = str(rng.choice(["", " 1.0", " 2.0", " v3", " 4.0"]))
+        frame = str(rng.choice([*FRAMES, "Licensed under the {} License, version 2", "Licensed under the {} Public License", "SPDX-License-Identifier: {}", "SPDX-License-Identifier: {}", "SPDX-License-Identifier: LicenseRef-{}"]))
+        rows.append((noisy(_tokens(frame.format(name + version)), 0), families.index(UNKNOWN)))
     pool = sorted(held)
     for _ in range(copies * 12):  # words of the templates in no order are no licence
         some = rng.choice(pool, rng.integers(2, 12)).tolist()
@@ -257,25 +317,51 @@ def train(seed: int = 1, copies: int = 16) -> Model:
     return Model(families, kept, w[some].astype(np.float64), b.astype(np.float64), temperature, anchors)
 
 
+_MARK = re.compile(r"^\s*(?://+|/\*+|\*+/?|#+|--+|;+|%+|<!--|rem\b)?\s*|\s*(?:\*+/|-->)?\s*$", re.I)
+_TAG = re.compile(r"[\w-]+:(\s|$)")
+#: A line of so many characters may be one that was wrapped.
+FULL = 40
+
+
+def paragraphs(lines: list[tuple[int, str]]) -> list[list[int]]:
+    """Places of the lines that run on into each other, without comment marks; ``lines`` has (number in the text, line).
+
+    A line runs on if it ends no sentence, is no tag and is followed at once by one that begins with a small letter, or
+    by any other if it is long enough to have been wrapped.
+    """
+    out: list[list[int]] = []
+    before, number = "", -2
+    for k, (n, line) in enumerate(lines):
+        bare = _MARK.sub("", line)
+        on = n == number + 1 and bare and before and before[-1] not in ".!?:" and not _TAG.match(bare) and not _TAG.match(before) and (bare[0].islower() or len(before) >= FULL)
+        if on:
+            out[-1].append(k)
+        else:
+            out.append([k])
+        before, number = bare, n
+    return out
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: its paragraphs, and what licences they state.
 
-    doc_id; n_paragraphs (lines with a word); licence (of the surest confirmed paragraph, of one that reserves all rights only if
+    doc_id; n_paragraphs; licence (of the surest confirmed paragraph, of one that reserves all rights only if
     no other is confirmed, else null) with its probability;
     families (all confirmed ones, sorted); n_confirmed, n_unconfirmed and n_unknown count paragraphs.
     Null and empty texts have no paragraph. Each paragraph of the whole text is classified; one without any word that
     the model knows is none, as its score is then the bias alone. Repeated rows give repeated results.
-    A notice that is wrapped over lines is found where the joined lines hold its template, and counts as one confirmed
-    paragraph in place of its lines.
+    A paragraph is a line that a template confirms alone, lines that hold a template when joined, or what is left of
+    lines that run on into each other; so a wrapped notice is one, whether a template words it or not. Null ids are
+    carried; other columns are not read; an empty table gives no rows; texts are looked at whole, however long.
     """
     model = train()
 
     def look(text: str) -> tuple:
         numbered = [(k, x) for k, x in enumerate(text.split("\n")) if x and not x.isspace()]
         at, lines = [k for k, _ in numbered], [_tokens(x) for _, x in numbered]
-        n, sure, licence, families = len(lines), 0.0, None, set()
+        sure, licence, families = 0.0, None, set()
         if all(map(model.anchors.isdisjoint, lines)):
-            lines = []
+            return len(paragraphs(numbered)), None, None, [], 0, 0, 0
         judged = [model.judge(line) for line in lines]
         wrapped: list[tuple[int, int, str, float]] = []
         last: dict[str, int] = {}
@@ -289,8 +375,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             for k in range(a, b + 1):
                 inside.setdefault(k, set()).add(family)
         found = [(f, p) for _, _, f, p in wrapped] + [(f, p) for k, (f, p, ok) in enumerate(judged) if ok and f not in inside.get(k, ())]
-        un = sum(f not in (NONE, UNKNOWN) and not ok for k, (f, _, ok) in enumerate(judged) if k not in inside)
-        unknown = sum(f == UNKNOWN for k, (f, _, _) in enumerate(judged) if k not in inside)
+        rest = [k for k in range(len(lines)) if k not in inside and not judged[k][2]]
+        left = [[rest[j] for j in p] for p in paragraphs([numbered[k] for k in rest])]
+        kinds_left = [model.judge([w for k in p for w in lines[k]])[0] if len(p) > 1 else judged[p[0]][0] for p in left]
+        unknown = kinds_left.count(UNKNOWN)
+        un = len(kinds_left) - unknown - kinds_left.count(NONE)
+        n = len(found) + len(left)
         for family, p in found:
             families.add(family)
             better = (licence == RESERVED) - (family == RESERVED) or p - sure
