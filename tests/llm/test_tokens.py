@@ -1,6 +1,7 @@
 """Token ids, length histogram, packing, chats, archives and vectors against plain versions and on odd tables."""
 
 import hashlib
+import io
 import itertools
 import random
 import zlib
@@ -230,7 +231,7 @@ def test_archive_round_trip(spark, tmp_path):
 
 def test_broken_archive_is_refused():
     with pytest.raises(ValueError):
-        list(warc.parse(b"junk"))
+        list(warc.parse(io.BytesIO(b"junk")))
 
 
 # ---- vectors

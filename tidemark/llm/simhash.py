@@ -18,7 +18,7 @@ BITS = 64
 
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
-    """SimHash of the text's word shingles, as an unsigned 64-bit number; 0 without words."""
+    """SimHash of the whole text's word shingles, repeats included, as an unsigned 64-bit number; 0 without words."""
     words = text.lower().split()
     if not words:
         return 0
@@ -41,7 +41,10 @@ def _hash(text_col: str) -> Column:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, hashed: bool = False) -> DataFrame:
-    """(doc_id, fp): one row per input row, fp a signed long with the fingerprint's 64 bits; with ``hashed``, also a hash of the text."""
+    """(doc_id, fp): one row per input row, fp a signed long with the fingerprint's 64 bits; with ``hashed``, also a hash of the text.
+
+    A null or empty text has fingerprint 0; null ids are carried; other columns are not read; an empty table gives none.
+    """
     more = ["text"] if hashed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,9 +69,10 @@ def signed(x: int) -> int:
 
 
 def links(ws: Workspace, distinct: DataFrame, distance: int = 2, hot: int = 48) -> DataFrame:
-    """Edges (a, b) that connect exactly what Hamming ``distance`` 2 or less connects among the distinct ``fp``.
+    """Edges (a, b) that connect exactly what Hamming ``distance`` 2 or less connects among the distinct ``fp``: by a join on blocks, and for blocks of more than ``hot`` fingerprints by points that close ones share.
 
-    Every block key holds a mask's bits. Keys of at most ``hot`` fingerprints are joined with themselves and verified.
+    The fingerprints are distinct and not null, however many rows or texts each stands for; none gives no edge. Every
+    block key holds a mask's bits. Keys of at most ``hot`` fingerprints are joined with themselves and verified.
     For fingerprints under a hotter key the pairs could be quadratic; two fingerprints within distance 2 share a point
     at distance 1 or less from both, so those emit their 65 points and each point links its at most 65 owners in a star.
     That is exact too, and linear.
@@ -132,7 +136,10 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     Rows are made unique by id and text first, with a partial pass before the shuffle, and the join reuses that
     partitioning: the texts are shuffled once, whatever the number of kept rows. Texts are told apart by a 64-bit hash
-    among the rows of one id.
+    among the rows of one id. Which row stays is the same in every run, but among rows of one id and one text.
+
+    A null id comes after all others: its row stays where its component has no other id. Null and empty texts are one
+    component; an empty table gives none; columns of any name pass through unchanged.
     """
     ws = Workspace(docs.sparkSession, "simhash")
 

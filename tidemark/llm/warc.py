@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,37 +78,43 @@ def archive(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", id_
     rows.select(lines.alias("value")).write.option("compression", "gzip").option("maxRecordsPerFile", each).text(path)
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
-    """(fields, block) of each record of an uncompressed archive; field names in lower case."""
-    at, view = 0, memoryview(data)
-    while at < len(data):
-        stop = data.find(b"\r\n\r\n", at)
-        if stop < 0 or data[at : at + 5] != b"WARC/":
-            raise ValueError(f"no record at byte {at}")
+def parse(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(fields, block) of each record of an uncompressed archive, one record in memory at a time; field names in lower case.
+
+    What doesn't begin like a record, or ends within one, raises an error.
+    """
+    while first := stream.readline():
+        if not first.startswith(b"WARC/"):
+            raise ValueError(f"no record at {first[:40]!r}")
         fields = {}
-        for line in data[at:stop].decode().split(END)[1:]:
-            k, _, v = line.partition(":")
+        while (line := stream.readline()) not in (b"\r\n", b""):
+            k, _, v = line.decode().partition(":")
             fields[k.strip().lower()] = v.strip()
         n = int(fields["content-length"])
-        yield fields, view[stop + 4 : stop + 4 + n]
-        at = stop + 4 + n + 4
+        block, end = stream.read(n), stream.read(4)
+        if len(block) < n or end != b"\r\n\r\n":
+            raise ValueError(f"the record {fields.get('warc-record-id')} is cut")
+        yield fields, block
 
 
 def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
-    """One row per record of the archives under ``path``. ``payload`` false leaves the payload bytes out, not their digest."""
+    """One row per record of the archives under ``path``. ``payload`` false leaves the payload bytes out, not their digest.
+
+    A task holds a compressed file and unpacks it record by record. Empty blocks have no payload bytes; records that
+    repeat are rows that repeat; fields that a record lacks are null; a folder without archives gives no rows.
+    """
     names = ["type", "record_id", "concurrent_to", "refers_to", "target_uri", "payload_digest", "declared_bytes", "payload_bytes", "found_digest", "about", *(["payload"] if payload else [])]
 
     def rows(content: bytes) -> Iterator[tuple]:
-        for f, block in parse(gzip.decompress(content)):
+        for f, block in parse(gzip.open(io.BytesIO(content))):
             kind = f["warc-type"]
             declared = size = found = about = body = None
             if kind in ("response", "revisit"):
-                raw = bytes(block)
-                head, _, body = raw.partition(b"\r\n\r\n")
+                head, _, body = block.partition(b"\r\n\r\n")
                 declared = next((int(x[15:]) for x in head.decode("latin-1").split(END) if x.lower().startswith("content-length:")), None)
                 size, found = len(body), hashlib.sha256(body).hexdigest()
             elif kind == "metadata":
-                about = bytes(block).decode()
+                about = block.decode()
             row = (kind, f["warc-record-id"], f.get("warc-concurrent-to"), f.get("warc-refers-to"), f.get("warc-target-uri"), f.get("warc-payload-digest"), declared, size, found, about)
             yield (*row, body) if payload else row
 
@@ -134,7 +142,8 @@ def captures(records: DataFrame) -> DataFrame:
     """One nested row per capture: capture_id, times (how often it was archived), request, main and metadata.
 
     Records meet under the identifier that they are concurrent to. ``main`` is the response or revisit; a capture
-    without one has it null, as for a missing request or metadata record.
+    without one has it null, as for a missing request or metadata record. Of records that repeat, one of each kind
+    stays. An empty table gives none.
     """
     whole = F.struct(*records.columns)
     of = lambda *kinds: F.max(F.when(F.col("type").isin(*kinds), whole))
@@ -145,7 +154,11 @@ def captures(records: DataFrame) -> DataFrame:
 
 
 def resolved(found: DataFrame) -> DataFrame:
-    """Per archived page: page_id, url, payload_bytes, payload_digest, record_type and the page that a revisit refers to."""
+    """Per archived page: page_id, url, payload_bytes, payload_digest, record_type and the page that a revisit refers to.
+
+    A page that was archived several times is as many rows; null ids and addresses are carried; a capture without a
+    response or revisit is no page; a revisit whose origin is not in the archives has refers_to null.
+    """
     about = F.from_json("metadata.about", "page_id long, url string")
     ws = Workspace(found.sparkSession, "captures")
     rows = ws.save(found.where("times > 0").select("capture_id", "times", about.alias("about"), "main"), "captures")
