@@ -1,5 +1,7 @@
 """Packages in Atom XML to flat rows, metadata to specifications, and source text to values."""
 
+from decimal import Decimal
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -71,7 +73,7 @@ def test_catalog_with_parts(spark, specs):
     bare = entry("Catalog_X", "<d:Ref_Key>00000000-0000-0000-0000-000000000000</d:Ref_Key>")
     out = packages.entity_rows(frame(spark, full, empty, bare), specs["Catalog_X"], F.lit(5), {"Rows": specs["Catalog_X_Rows"]})
     got = {r["Ref_Key"]: r for r in out["Catalog_X"].collect()}
-    assert str(got[G1]["Num"]) == "9007199254740993.0000000000" and got[G1]["is_deleted_or_empty"] and got[G1]["Any_Guid"] == G2 and got[G1]["Any_Type"] == "Catalog_Y"
+    assert got[G1]["Num"] == 9007199254740993 and got[G1]["is_deleted_or_empty"] and got[G1]["Any_Guid"] == G2 and got[G1]["Any_Type"] == "Catalog_Y"
     assert got[G2]["Num"] is None and got[G2]["Any"] == "6.4" and got[G2]["Any_Guid"] is None and got[G2]["Any_Type"] == "Double" and not got[G2]["is_deleted_or_empty"]
     assert got["00000000-0000-0000-0000-000000000000"]["exchange_message_no"] == 5
     assert rows(out["Catalog_X_Rows"], "Ref_Key", "LineNumber", "V", "is_deleted_or_empty") == [(G1, 1, "a", True), (G1, 2, None, True), (G2, 1, None, True)]
@@ -82,6 +84,9 @@ def test_record_sets(spark, specs):
     full = entry("AccumulationRegister_S", head + f'<d:RecordSet m:type="Collection(x)"><d:element><d:LineNumber>1</d:LineNumber><d:Active>false</d:Active><d:Item_Key>{G2}</d:Item_Key><d:Qty/></d:element></d:RecordSet>')
     emptied = entry("AccumulationRegister_S", head.replace(G1, G2) + '<d:RecordSet m:type="Collection(x)"/>')
     unknown = entry("AccumulationRegister_S", '<d:RecordSet m:type="Collection(x)"/>')
+    assert packages.unplaced(frame(spark, full, emptied, unknown), specs["AccumulationRegister_S"]).count() == 1
+    flat = packages.register_rows(frame(spark, entry("AccumulationRegister_S", head + "<d:LineNumber>4</d:LineNumber><d:Qty>3</d:Qty>"), entry("AccumulationRegister_S", head)), specs["AccumulationRegister_S"], F.lit(7))
+    assert rows(flat, "Recorder", "LineNumber", "Qty", "is_deleted_or_empty") == [(G1, 0, 0, False), (G1, 4, 3, False)]  # no set arrived: nothing is emptied
     got = packages.register_rows(frame(spark, full, emptied, unknown), specs["AccumulationRegister_S"], F.lit(7))
     assert rows(got, "Recorder", "Recorder_Type", "LineNumber", "Qty", "is_deleted_or_empty") == [(G1, "Document_D", 1, 0, True), (G2, "Document_D", 1, None, True)]
 
@@ -89,7 +94,7 @@ def test_record_sets(spark, specs):
 def test_flat_register(spark, specs):
     e = entry("InformationRegister_P", "<d:Item/><d:Period>0001-01-01T00:00:00</d:Period><d:Price>1.5</d:Price>")
     r = packages.flat_register_rows(frame(spark, e), specs["InformationRegister_P"], F.lit(0)).first()
-    assert (r["Item"], r["Period"].year, str(r["Price"])) == ("", 1, "1.5000000000")
+    assert (r["Item"], r["Period"].year, r["Price"]) == ("", 1, Decimal("1.5"))
 
 
 def test_routing(spark):
@@ -101,8 +106,10 @@ def test_bad_text_is_null_and_told(spark):
     df = spark.createDataFrame([("6.4",), (G1.upper(),), ("00000000-0000-0000-0000-000000000000",), (f"{{{G1}}}",), (G1.replace("-", ""),), (None,)], "v string")
     got = rows(df, "v", convert.convert(F.col("v"), "Guid"), convert.rejected(F.col("v"), "Guid"))
     assert {(b, c) for _, b, c in got} == {(None, True), (None, False), (G1, False)}
-    n = spark.createDataFrame([("12345678901234567890.12",), ("1e2",), ("x",)], "v string")
-    assert [str(r[1]) for r in n.select("v", convert.convert(F.col("v"), "Double")).collect()] == ["12345678901234567890.1200000000", "100.0000000000", "None"]
+    n = spark.createDataFrame([(v,) for v in ("12345678901234567890.12", "1e2", "x", "-0.000000000000000001", "0.0000000000000000011", "1e-19", "1" * 21, f"urn:uuid:{G1}", f"uuid:{G1}", f"urn:{G1}")], "v string")
+    got = [r[0] for r in n.select(convert.convert(F.col("v"), "Double")).collect()]
+    assert got == [Decimal("12345678901234567890.12"), 100, None, Decimal("-0.000000000000000001"), *[None] * 6]  # exact or rejected, never rounded
+    assert [r[0] for r in n.select(convert.convert(F.col("v"), "Guid")).collect()][-3:] == [G1] * 3
 
 
 def test_fields_of_an_accounting_register():

@@ -18,7 +18,7 @@ def scalar(c: Column) -> Column:
 
 def canonical_guid(c: Column) -> Column:
     """Lower case with dashes, from plain, braced, urn or dashless forms; null for anything else."""
-    bare = F.regexp_replace(F.lower(F.trim(c)), r"^urn:|^uuid:|^urn:uuid:|[{}-]", "")
+    bare = F.regexp_replace(F.lower(F.trim(c)), r"^(?:urn:)?(?:uuid:)?|[{}-]", "")
     dashed = F.regexp_replace(bare, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
     return F.when(dashed.rlike(_GUID), dashed)
 
@@ -32,7 +32,11 @@ def convert(c: Column, declared: str) -> Column:
         return F.when(guid != EMPTY_GUID, guid)
     if declared == "DateTime":
         return c.try_cast("timestamp_ntz")
-    if declared in ("Int64", "Int32", "Int16", "Double"):
+    if declared == "Double":
+        number = F.trim(c).try_cast(NUMBER)
+        plain = F.trim(c).rlike(rf"^[+-]?\d*\.?\d{{0,{NUMBER.scale}}}0*$")
+        return F.when(plain | (number.cast("double") == F.trim(c).try_cast("double")) & F.lower(c).contains("e"), number)
+    if declared in ("Int64", "Int32", "Int16"):
         return F.trim(c).try_cast(spark_type(declared))
     return c
 

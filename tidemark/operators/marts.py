@@ -19,8 +19,8 @@ NO_MONTH, NO_DATE = "0000-00", "0001-01-01"
 
 
 def signed(qty: Column, kind: Column, deleted: Column) -> Column:
-    """Receipts count up, all else down; a deleted row counts nothing; an absent quantity stays absent."""
-    return F.when(qty.isNull(), None).when(deleted, F.lit(0)).when(kind == "Receipt", qty).otherwise(-qty)
+    """Receipts count up, all else down; a deleted row counts nothing; an absent quantity or an unknown deletion flag makes it absent."""
+    return F.when(qty.isNull() | deleted.isNull(), None).when(deleted, F.lit(0)).when(kind == "Receipt", qty).otherwise(-qty)
 
 
 def month(c: Column) -> Column:

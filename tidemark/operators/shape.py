@@ -64,8 +64,16 @@ def tombstones(entries: DataFrame, rows: Column, spec: TableSpec, message_no: Co
     first = {LINE_NUMBER: F.lit(1)} if LINE_NUMBER in spec.pk else {}
     cols = [(known.get(f) if f in known else first.get(f, convert.key_default(spec.fields[f]))).cast(spark_type(spec.fields[f])).alias(f) for f in spec.pk]
     resources = [F.lit(None).cast(spark_type(spec.fields[r])).alias(r) for r in spec.numeric_resources if r not in spec.pk]
-    told = reduce(lambda a, b: a & b, (c.isNotNull() for f, c in known.items() if not f.endswith("_Type")), F.lit(True))
-    return entries.where((F.size(rows) <= 0) & told).select(*cols, *resources, F.lit(True).alias(DELETED), message_no.cast("long").alias(MESSAGE_NO))
+    return entries.where((F.size(rows) <= 0) & _told(known)).select(*cols, *resources, F.lit(True).alias(DELETED), message_no.cast("long").alias(MESSAGE_NO))
+
+
+def _told(known: dict[str, Column]) -> Column:
+    return reduce(lambda a, b: a & b, (c.isNotNull() for f, c in known.items() if not f.endswith("_Type")), F.lit(True))
+
+
+def unplaced(entries: DataFrame, rows: Column, known: dict[str, Column]) -> DataFrame:
+    """Entries with an empty set whose owner isn't known: no tombstone can stand for them, so they have to be told."""
+    return entries.where((F.size(rows) <= 0) & ~_told(known))
 
 
 def accumulate(*frames: DataFrame) -> DataFrame:

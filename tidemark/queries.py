@@ -51,15 +51,15 @@ def register(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("Recorder"), F.lit(ORDER).alias("Recorder_Type"), F.row_number().over(order).cast("long").alias("LineNumber"), F.col("l_shipdate").alias("Period"),
         F.when(F.col("l_returnflag") == "R", "Expense").otherwise("Receipt").alias("RecordType"), F.col("l_partkey").alias("Item"), F.col("l_quantity").cast("decimal(18,2)").alias("Qty"),
-        F.col("l_linestatus").alias("Line"), F.col("l_returnflag").alias("Flag"), (F.col("l_suppkey") % 10 == 0).alias(DELETED), F.col("l_shipdate").alias(MERGED_ON),
+        F.col("l_linestatus").alias("Line"), F.col("l_returnflag").alias("Flag"), F.when(F.col("l_suppkey") % 7 != 3, F.col("l_suppkey") % 10 == 0).alias(DELETED), F.col("l_shipdate").alias(MERGED_ON),
     )
 
 
 REG = """reg AS (SELECT l_orderkey AS "Recorder", row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) AS "LineNumber",
   l_shipdate AS "Period", CASE WHEN l_returnflag = 'R' THEN 'Expense' ELSE 'Receipt' END AS "RecordType", l_partkey AS "Item", CAST(l_quantity AS DECIMAL(18,2)) AS "Qty",
-  l_linestatus AS line, l_returnflag AS flag, l_suppkey % 10 = 0 AS del, l_shipdate AS merged_on FROM lineitem)"""
+  l_linestatus AS line, l_returnflag AS flag, CASE WHEN l_suppkey % 7 <> 3 THEN l_suppkey % 10 = 0 END AS del, l_shipdate AS merged_on FROM lineitem)"""
 ROWS = f"""WITH {REG}, rws AS (SELECT coalesce(CAST(o_orderkey AS VARCHAR), '') AS "Number", CAST(coalesce(year(o_orderdate), 0) AS INTEGER) AS "Year", coalesce(p_name, '') AS "Artikul",
-  CASE WHEN del THEN 0 WHEN "RecordType" = 'Receipt' THEN "Qty" ELSE -"Qty" END AS qty, coalesce(CAST(date_trunc('month', o_orderdate) AS DATE), DATE '0001-01-01') AS "Period",
+  CASE WHEN del IS NULL THEN NULL WHEN del THEN 0 WHEN "RecordType" = 'Receipt' THEN "Qty" ELSE -"Qty" END AS qty, coalesce(CAST(date_trunc('month', o_orderdate) AS DATE), DATE '0001-01-01') AS "Period",
   "Recorder", "Item", reg.merged_on, o_orderdate AS doc_on FROM reg LEFT JOIN orders ON o_orderkey = "Recorder" LEFT JOIN part ON p_partkey = "Item")"""
 
 
@@ -86,7 +86,7 @@ def mart_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.grouped(group_rows(spark, sf_dir), lineage=False).select(*marts.GROUP, F.col("Qty").cast("decimal(28,2)").alias("Qty"), "Period")
 
 
-@query(f"""WITH {REG} SELECT "Recorder", "LineNumber", CAST(CASE WHEN del THEN 0 WHEN "RecordType" = 'Receipt' THEN "Qty" ELSE -"Qty" END AS DECIMAL(18,2)) AS "Qty", p_name AS "Artikul", del AS "is_deleted_or_empty"
+@query(f"""WITH {REG} SELECT "Recorder", "LineNumber", CAST(CASE WHEN del IS NULL THEN NULL WHEN del THEN 0 WHEN "RecordType" = 'Receipt' THEN "Qty" ELSE -"Qty" END AS DECIMAL(18,2)) AS "Qty", p_name AS "Artikul", del AS "is_deleted_or_empty"
 FROM reg LEFT JOIN part ON p_partkey = "Item" """)
 def mart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = marts.row_view(register(spark, sf_dir), catalog(spark, sf_dir))
@@ -133,9 +133,9 @@ def rebuild_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""{ROWS}, old AS (SELECT "Number", "Year", "Artikul", CAST(sum(qty) AS DECIMAL(28,2)) + 1 AS q, max("Period") AS p FROM rws GROUP BY "Number", "Year", "Artikul"),
-cur AS (SELECT "Number", "Year", "Artikul", CAST(sum(qty) AS DECIMAL(28,2)) AS q, max("Period") AS p FROM rws WHERE "Artikul" NOT LIKE 'blue%' GROUP BY "Number", "Year", "Artikul")
+cur AS (SELECT "Number", "Year", "Artikul", CAST(sum(qty) AS DECIMAL(28,2)) AS q, 1 AS here FROM rws WHERE "Artikul" NOT LIKE 'blue%' GROUP BY "Number", "Year", "Artikul")
 SELECT o."Number", o."Year", o."Artikul", CAST(CASE WHEN o.p = DATE '1998-06-01' THEN c.q ELSE o.q END AS DECIMAL(28,2)) AS "Qty" FROM old o LEFT JOIN cur c USING ("Number", "Year", "Artikul")
-WHERE o.p <> DATE '1998-06-01' OR c.q IS NOT NULL""")
+WHERE o.p <> DATE '1998-06-01' OR c.here IS NOT NULL""")
 def rebuild_month_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One month of a grouped mart replaced: its groups are recomputed, those that vanished go, other months stay."""
     rows = group_rows(spark, sf_dir)
@@ -282,7 +282,7 @@ def mark_orphan_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- shaping
 
 
-@query("""SELECT o_orderkey AS "Recorder", CAST(1 AS BIGINT) AS "LineNumber", CAST(0 AS BIGINT) AS "Item", CAST(NULL AS DECIMAL(38,10)) AS "Qty", true AS is_deleted_or_empty, CAST(7 AS BIGINT) AS exchange_message_no
+@query("""SELECT o_orderkey AS "Recorder", CAST(1 AS BIGINT) AS "LineNumber", CAST(0 AS BIGINT) AS "Item", CAST(NULL AS DECIMAL(38,18)) AS "Qty", true AS is_deleted_or_empty, CAST(7 AS BIGINT) AS exchange_message_no
 FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
 def tombstone_emptied_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A recorder whose record set is empty gives one row: line 1, marked, its numeric resources null."""
@@ -455,9 +455,9 @@ def error_text_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bodies.select("size", text.error_text(F.col("body")).alias("message"))
 
 
-@query("""SELECT * FROM (VALUES ('9007199254740993', CAST('9007199254740993' AS DECIMAL(38,10))), ('12345678901234567890.12', CAST('12345678901234567890.12' AS DECIMAL(38,10))), ('6.4', CAST('6.4' AS DECIMAL(38,10))), ('x', NULL)) t(source, value)""")
+@query("""SELECT * FROM (VALUES ('9007199254740993', CAST('9007199254740993' AS DECIMAL(38,18))), ('12345678901234567890.12', CAST('12345678901234567890.12' AS DECIMAL(38,18))), ('6.4', CAST('6.4' AS DECIMAL(38,18))), ('x', NULL), ('-0.000000000000000001', CAST('-0.000000000000000001' AS DECIMAL(38,18))), ('1.1234567890123456789', NULL), ('1.50000000000000000000', CAST('1.5' AS DECIMAL(38,18))), ('25e-1', CAST('2.5' AS DECIMAL(38,18))), ('1e-30', NULL)) t(source, value)""")
 def exact_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in ("9007199254740993", "12345678901234567890.12", "6.4", "x")])).alias("source"))
+    n = spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in ("9007199254740993", "12345678901234567890.12", "6.4", "x", "-0.000000000000000001", "1.1234567890123456789", "1.50000000000000000000", "25e-1", "1e-30")])).alias("source"))
     return n.select("source", convert.convert(F.col("source"), "Double").alias("value"))
 
 

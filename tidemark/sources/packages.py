@@ -81,17 +81,39 @@ def entity_rows(entries: DataFrame, spec: TableSpec, message_no: Column, parts:
 
 
 def register_rows(entries: DataFrame, spec: TableSpec, message_no: Column) -> DataFrame:
-    """Rows of record sets with their recorder from the entry; an emptied set gives a tombstone; numbers are zero-filled."""
-    recorder = [f for f in (*RECORDERS, RECORDER_TYPE) if f in spec.fields]
-    own = [f for f in _raw(spec)]
-    x = parsed(entries, _texts(recorder) + [T.StructField("d:RecordSet", _rows_of(own))])
-    at_entry = {f: (convert.type_name(_field(f)) if f == RECORDER_TYPE else convert.convert(convert.scalar(_field(f)), spec.fields[f])) for f in recorder}
-    sets = x.select(*[c.alias(f"__{f}") for f, c in at_entry.items()], F.coalesce(F.col("x.content.`m:properties`.`d:RecordSet`.`d:element`"), F.array()).alias("set"))
+    """Rows of record sets with their recorder from the entry; an emptied set gives a tombstone; numbers are zero-filled.
+
+    An entry in which no record set arrived, in any form, is a row itself and empties nothing.
+    """
+    recorder, own = _recorder(spec), _raw(spec)
+    sets = record_sets(entries, spec)
     kids = sets.select(*[f"__{f}" for f in recorder], F.explode("set").alias("element"))
     typed = kids.select(*[f"__{f}" for f in recorder], *shape.typed({f: F.col(f"element.`d:{f}`") for f in own}, spec, message_no, filled_later=tuple(recorder)))
     typed = typed.withColumns({f: F.coalesce(F.col(f), F.col(f"__{f}")) for f in recorder}).drop(*[f"__{f}" for f in recorder])
     empty = shape.tombstones(sets, F.col("set"), spec, message_no, {f: F.col(f"__{f}") for f in recorder})
-    return shape.accumulate(shape.zero_empty_numerics(typed, spec), empty)
+    return shape.accumulate(shape.zero_empty_numerics(typed, spec), empty, flat_register_rows(entries.where(~has_set()), spec, message_no))
+
+
+def has_set() -> Column:
+    """Whether a record set arrived in the entry, empty or not."""
+    return F.col("entry").rlike(r"<d:RecordSet[\s/>]")
+
+
+def _recorder(spec: TableSpec) -> list[str]:
+    return [f for f in (*RECORDERS, RECORDER_TYPE) if f in spec.fields]
+
+
+def record_sets(entries: DataFrame, spec: TableSpec) -> DataFrame:
+    """(the recorder's fields as ``__<field>``, set) of entries in which a record set arrived."""
+    recorder = _recorder(spec)
+    x = parsed(entries.where(has_set()), _texts(recorder) + [T.StructField("d:RecordSet", _rows_of(_raw(spec)))])
+    at_entry = {f: (convert.type_name(_field(f)) if f == RECORDER_TYPE else convert.convert(convert.scalar(_field(f)), spec.fields[f])) for f in recorder}
+    return x.select(*[c.alias(f"__{f}") for f, c in at_entry.items()], F.coalesce(F.col("x.content.`m:properties`.`d:RecordSet`.`d:element`"), F.array()).alias("set"))
+
+
+def unplaced(entries: DataFrame, spec: TableSpec) -> DataFrame:
+    """Emptied record sets of an unknown recorder."""
+    return shape.unplaced(record_sets(entries, spec), F.col("set"), {f: F.col(f"__{f}") for f in _recorder(spec)})
 
 
 def flat_register_rows(entries: DataFrame, spec: TableSpec, message_no: Column) -> DataFrame:

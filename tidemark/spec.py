@@ -18,8 +18,8 @@ NUMERIC = ("Int64", "Int32", "Int16", "Double")
 EMPTY_GUID = "00000000-0000-0000-0000-000000000000"
 EMPTY_DATE = "0001-01-01 00:00:00"
 
-#: Exact numbers keep ten decimals; a number whose whole part needs more digits than 28 is rejected, never rounded.
-NUMBER = T.DecimalType(38, 10)
+#: Exact numbers have up to 20 whole digits and 18 decimals; one that needs more is rejected, never rounded.
+NUMBER = T.DecimalType(38, 18)
 
 SPARK_TYPES: dict[str, T.DataType] = {
     "Guid": T.StringType(),
