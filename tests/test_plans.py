@@ -47,7 +47,7 @@ def test_versions_and_no_empty_commits(spark, store):
     assert rows(store.read("T"), "Ref_Key", "Sum") == [("a", 1), ("b", 3)]
     assert rows(store.read("T", 1), "Ref_Key", "Sum") == [("a", 1), ("b", 2)]
     assert totals(store.log())["T"] == {"inserted": 2, "updated": 1, "deleted": 0, "rows_modified": 3}
-    assert store.vacuum(keep=1) == 1 and store.read("T").count() == 2
+    assert store.vacuum(keep=1) == 0 and store.vacuum(keep=1, age=0) == 1 and store.read("T").count() == 2
 
 
 def test_partitioned_table_rewrites_touched_months(spark, store):

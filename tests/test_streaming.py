@@ -6,13 +6,14 @@ from http.server import BaseHTTPRequestHandler, HTTPServer
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 from test_shape import G1, G2, META, entry
 
 from tidemark.plans.store import Store
 from tidemark.sources import metadata
 from tidemark.sources.metadata import BadAnswer
 from tidemark.sources.transport import FolderTransport, HttpTransport
-from tidemark.streaming.replicator import FAILURES, Replicator
+from tidemark.streaming.replicator import FAILURES, PackageHeld, Replicator
 
 
 def feed(*entries):
@@ -105,6 +106,87 @@ def test_streaming_query_confirms_after_the_batch(world, tmp_path):
     assert transport.received() >= 1
 
 
+def test_streaming_holds_a_package_while_an_object_fails(world, tmp_path):
+    put, store, transport, r = world
+    put(1, catalog(G1, 1), catalog(G2, 2), catalog(G2, 3))  # one key twice, which shows in the merge alone
+    put(2, catalog(G1, 7))
+    for turn in range(FAILURES):
+        assert transport.received() == 0
+        q = r.stream(f"file://{tmp_path}/cp", {"folder": transport.folder}, {"processingTime": "0 seconds"})
+        try:
+            if turn < FAILURES - 1:
+                with pytest.raises(Exception, match="failed"):
+                    q.awaitTermination(60)
+                assert store.document(r.FAILED)[1] == {"Catalog_X": turn + 1} and store.read("Catalog_X") is None
+            else:
+                for _ in range(60):
+                    if transport.received() == 2:
+                        break
+                    q.awaitTermination(0.5)
+        finally:
+            q.stop()
+    assert [k for k, in rows(store.read("Catalog_X"), "Ref_Key")] == [G1] and transport.received() >= 1  # given up after three times, then on
+
+
+def test_stream_needs_the_lease(world, spark):
+    put, store, transport, r = world
+    other = Replicator(spark, store, transport, r.specs, owner="other")
+    assert other.lease.acquire()
+    with pytest.raises(PackageHeld):
+        r.take(spark.createDataFrame([(1, catalog(G1, 1))], "message_no long, entry string"), [1])
+    assert store.read("Catalog_X") is None
+
+
+def test_poison_behind_the_first_row_blocks_three_times_only(world):
+    put, store, transport, r = world
+    put(1, *[catalog(G1.replace("1", "abcdef0123456789"[k % 16]), k) for k in range(16)], catalog(G2, 1), catalog(G2, 2), entry("InformationRegister_P", "<d:Item>a</d:Item><d:Price>1</d:Price>"))
+    for _ in range(FAILURES - 1):
+        c = r.run_once()
+        assert c.failed == ["Catalog_X"] and not c.confirmed and store.read("InformationRegister_P").count() == 1
+    c = r.run_once()
+    assert c.confirmed and c.lost == ["Catalog_X"] and transport.received() == 1
+
+
+def test_unknown_fields_and_recorders_are_told(world, spark):
+    put, store, transport, r = world
+    put(1, entry("Catalog_X", f"<d:Ref_Key>{G1}</d:Ref_Key><d:New>n</d:New><d:Rows m:type=\"Collection(x)\"><d:element><d:LineNumber>1</d:LineNumber><d:Extra>o</d:Extra></d:element></d:Rows>"), entry("AccumulationRegister_S", '<d:RecordSet m:type="Collection(x)"/>'))
+    c = r.run_once()
+    assert c.confirmed and c.unplaced == {"AccumulationRegister_S": 1} and c.unknown_fields == {"Catalog_X": ["Extra", "New"]} and c.rows == 2 and c.entries == 2
+    assert rows(store.read("Catalog_X"), "Ref_Key", "New") == [(G1, "n")] and rows(store.read("Catalog_X_Rows"), "LineNumber", "Extra") == [(1, "o")]
+    put(2, catalog(G2, 1))
+    asked = []
+    fresh = Replicator(spark, store, transport, {}, read_metadata=lambda: asked.append(1) or metadata.parse(META))
+    assert fresh.run_once().confirmed and asked == [1]
+
+
+def test_a_batch_touches_its_buckets_only(world, spark):
+    put, store, transport, r = world
+    guid = lambda k: f"{k:08x}-0000-0000-0000-000000000000"
+    put(1, *[catalog(guid(k), k) for k in range(1, 300)])
+    r.run_once()
+    before = store.state()["Catalog_X"]
+    put(2, *[catalog(guid(k), -k) for k in (3, 4)])
+    assert r.run_once().modified == 2
+    after = store.state()["Catalog_X"]
+    moved = {b for b in after.paths if after.paths[b] != before.paths.get(b)}
+    assert 1 <= len(moved) <= 2 and len(before.paths) > 50 and store.read("Catalog_X").count() == 299
+    batch = store.read("Catalog_X").where(F.col("Ref_Key") == guid(3)).drop("merged_on", "inserted_on")
+    parts = store.touched("Catalog_X", batch)
+    plan = store.read("Catalog_X", parts=parts)
+    assert len(parts) == 1 and len(plan.inputFiles()) == 1 < len(store.read("Catalog_X").inputFiles())
+
+
+def test_full_load_claim_makes_every_row_a_change(world):
+    put, store, transport, r = world
+    put(1, catalog(G1, 1))
+    r.run_once(datetime(2024, 1, 1))
+    put(2, catalog(G1, 1))
+    with r.claims.hold("Catalog_X") as mine:
+        assert mine and r.under_full_load("Catalog_X") and r.under_full_load("Catalog_X_Rows") and r.run_once(datetime(2024, 1, 2)).modified == 1
+    put(3, catalog(G1, 1))
+    assert not r.under_full_load("Catalog_X") and r.run_once(datetime(2024, 1, 3)).modified == 0
+
+
 def test_http_answers_are_checked():
     class Handler(BaseHTTPRequestHandler):
         def log_message(self, *a):

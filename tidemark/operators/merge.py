@@ -16,10 +16,14 @@ ACTIONS = ("inserted", "updated", "deleted", "kept")
 
 @dataclass
 class MergeResult:
-    """``rows`` is the new table with ``_action``; nothing runs before it is read."""
+    """``rows`` is the new table, or the new content of its ``parts``, with ``_action``; nothing runs before it is read."""
 
     rows: DataFrame
     added_fields: tuple[str, ...] = ()
+    #: Labels of the table's parts that the rows are the whole of; None is all of them.
+    parts: list[str] | None = None
+    #: Number of the table's version that the merge was made from, where its maker says so.
+    base: int | None = None
 
     @property
     def table(self) -> DataFrame:

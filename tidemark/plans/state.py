@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import logging
+import threading
 import time
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from tidemark.plans.store import Conflict, Store
-from tidemark.spec import TableSpec
+from tidemark.plans.store import Conflict, Staged, Store
+from tidemark.spec import SUPPORTED, TableSpec
+
+log = logging.getLogger(__name__)
 
 # Fixed values, in seconds.
 LEASE_TTL, CLAIM_TTL, WRITE_TTL, CONFIRM_BUDGET, RETENTION = 900, 90, 90, 30, 30 * 86_400
@@ -48,14 +53,115 @@ class Lease:
 
     @contextmanager
     def hold(self) -> Iterator[bool]:
+        """Whether it was got; while held, a thread renews it three times per lifetime."""
         got = self.acquire()
+        over = threading.Event()
+
+        def renew() -> None:
+            while not over.wait(self.ttl / 3):
+                try:
+                    if not self.heartbeat():
+                        return
+                except Exception as e:  # the next beat may succeed; if none does, the lease runs out
+                    log.warning("lease %s isn't renewed: %s", self.name, e)
+
+        thread = threading.Thread(target=renew, name=f"{self.name} heartbeat", daemon=True)
         try:
+            if got:
+                thread.start()
             yield got
         finally:
+            over.set()
             if got:
+                thread.join()
                 self.release()
 
 
+class Claims:
+    """Which objects are being loaded in full, by whom: one thread at a time each, and it may claim again what it has."""
+
+    def __init__(self, store: Store, owner: str, ttl: float = CLAIM_TTL, clock: Callable[[], float] = time.time):
+        self.store, self.owner, self.ttl, self.clock = store, owner, ttl, clock
+        self._mine = threading.local()
+
+    def _lease(self, name: str) -> Lease:
+        return Lease(self.store, f"claim-{name}", f"{self.owner}-{threading.get_ident()}", self.ttl, self.clock)
+
+    @contextmanager
+    def hold(self, name: str) -> Iterator[bool]:
+        held = self._mine.__dict__.setdefault("names", {})
+        if name in held:
+            held[name] += 1
+            try:
+                yield True
+            finally:
+                held[name] -= 1
+            return
+        with self._lease(name).hold() as got:
+            if got:
+                held[name] = 1
+            try:
+                yield got
+            finally:
+                held.pop(name, None)
+
+    def still_mine(self, name: str) -> bool:
+        return self._lease(name).still_mine()
+
+    def live(self) -> set[str]:
+        """Objects under a claim whose owner lives."""
+        names = [n.removeprefix("lease-claim-") for n in self.store.files.names("_state") if n.startswith("lease-claim-")]
+        return {n for n in names if self._lease(n)._live(self.store.document(f"lease-claim-{n}")[1])}
+
+    def covers(self, name: str, owners: dict[str, str] | None = None) -> bool:
+        """Whether the object, or the owner of the table part, is under a claim."""
+        return bool({name, (owners or {}).get(name, name)} & self.live())
+
+
+class InFlight:
+    """Writes that were begun and not yet announced. A write that its process left behind is told to readers as a change."""
+
+    def __init__(self, store: Store, ttl: float = WRITE_TTL, clock: Callable[[], float] = time.time):
+        self.store, self.ttl, self.clock = store, ttl, clock
+
+    def writes(self) -> dict[str, Write]:
+        held = {n: self.store.document(n)[1] for n in self.store.files.names("_state") if n.startswith("write-")}
+        return {n: Write(tuple(w["objects"]), w["started_at"], w["heartbeat"], w.get("source", "")) for n, w in held.items() if w.get("objects")}
+
+    @contextmanager
+    def track(self, objects: Iterable[str], source: str = "") -> Iterator[None]:
+        """Registered before the write, renewed during it, and gone once it ended well; an error leaves it to ``deliver``."""
+        name, begun, over = f"write-{uuid.uuid4().hex}", self.clock(), threading.Event()
+        content = {"objects": sorted(objects), "started_at": begun, "source": source}
+        revision = [self.store.replace_document(name, 0, content | {"heartbeat": begun})]
+
+        def renew() -> None:
+            while not over.wait(self.ttl / 3):
+                revision[0] = self.store.replace_document(name, revision[0], content | {"heartbeat": self.clock()})
+
+        thread = threading.Thread(target=renew, daemon=True)
+        thread.start()
+        try:
+            yield
+        finally:
+            over.set()
+            thread.join()
+        self.store.files.delete(f"_state/{name}")
+
+    def boundary(self, objects: Iterable[str]) -> float:
+        return boundary(self.clock(), self.writes().values(), objects, self.ttl)
+
+    def deliver(self) -> list[Write]:
+        """Tell readers of the tables of abandoned writes as if these had changed, and forget the writes."""
+        gone = []
+        for name, w in self.writes().items():
+            if self.clock() - w.heartbeat > self.ttl:
+                self.store.put(Staged(), w.source or "abandoned write", forced=w.objects)
+                self.store.files.delete(f"_state/{name}")
+                gone.append(w)
+        return gone
+
+
 class Registry:
     """Known objects with their load state. Objects that the source no longer has are marked, never deleted."""
 
@@ -79,7 +185,7 @@ class Registry:
         return self.store.document(self.DOCUMENT)[1]
 
     def sync(self, specs: Iterable[TableSpec]) -> None:
-        found = {s.name: {"fields": s.fields, "pk": list(s.pk), "group_key": list(s.group_key)} for s in specs}
+        found = {s.name: {"fields": s.fields, "pk": list(s.pk), "group_key": list(s.group_key), "is_table_part": s.is_table_part} for s in specs}
 
         def change(held: dict) -> None:
             for name, told in found.items():
@@ -105,6 +211,11 @@ class Registry:
         told = {"full_load_is_required": False, "last_full_load_at": time.time() if now is None else now, "last_full_load_rows_modified": rows_modified, "last_full_load_minutes": round(minutes, 3)}
         self._change(lambda held: held.setdefault(name, {}).update(told))
 
+    def listed(self, absent: bool = False) -> list[str]:
+        """Objects of supported classes, without table parts and, unless asked for, without those the source no longer has."""
+        told = self.objects().items()
+        return sorted(n for n, o in told if n.startswith(tuple(f"{c}_" for c in SUPPORTED)) and not o.get("is_table_part") and (absent or not o.get("absent_from_metadata")))
+
     def pending(self) -> list[str]:
         return sorted(n for n, o in self.objects().items() if o.get("full_load_is_required") and not o.get("absent_from_metadata"))
 
@@ -124,6 +235,7 @@ class Write:
     objects: tuple[str, ...]
     started_at: float
     heartbeat: float
+    source: str = ""
 
 
 def boundary(now: float, writes: Iterable[Write], objects: Iterable[str], ttl: float = WRITE_TTL) -> float:

@@ -5,25 +5,32 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable
+from dataclasses import dataclass, field, replace
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.merge import ACTION, MergeResult
+from tidemark.spec import TableSpec
 
 
 class Conflict(RuntimeError):
     """Another writer committed first."""
 
 
+class LostLease(RuntimeError):
+    """Another owner has the lease under which something was to be announced."""
+
+
 class Files:
     """Small text files of any file system that Spark reaches."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.jvm, self.conf, self.root = spark._jvm, spark._jsc.hadoopConfiguration(), root.rstrip("/")
+        self.jvm, self.conf, self.root, self.gateway = spark._jvm, spark._jsc.hadoopConfiguration(), root.rstrip("/"), spark.sparkContext._gateway
         self.fs = self._path("").getFileSystem(self.conf)
 
     def _path(self, name: str):
@@ -44,7 +51,11 @@ class Files:
             stream.close()
 
     def create(self, name: str, text: str) -> bool:
-        """Write a file that doesn't exist yet; False if another was first. Readers never see a part of it."""
+        """Write a file that doesn't exist yet; False if another was first. Readers never see a part of it.
+
+        A whole file is put in place by a step that fails where the name is taken: a hard link on a local or mounted
+        disk, else a rename that doesn't replace, which HDFS has. Stores without such a rename must not be used.
+        """
         p, tmp = self._path(name), self._path(f"_tmp/{uuid.uuid4().hex}")
         if self.fs.exists(p):
             return False
@@ -52,21 +63,39 @@ class Files:
         stream.write(bytearray(text.encode()))
         stream.close()
         self.fs.mkdirs(p.getParent())
-        claim = self._path(f"_claims/{name.replace('/', '~')}")
-        if not self.fs.createNewFile(claim):
-            self._give_up_old(claim)
-            self.fs.delete(tmp, False)
+        try:
+            if self.fs.getUri().getScheme() == "file":
+                at = lambda x: self.jvm.java.io.File(x.toUri().getPath()).toPath()
+                self.jvm.java.nio.file.Files.createLink(at(p), at(tmp))
+            else:
+                context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(self.fs.getUri(), self.conf)
+                context.rename(tmp, p, self.gateway.new_array(getattr(self.jvm.org.apache.hadoop.fs, "Options$Rename"), 0))
+                return True
+        except Py4JJavaError as e:
+            if "AlreadyExists" not in e.java_exception.getClass().getName():
+                raise
             return False
-        return self.fs.rename(tmp, p)
+        finally:
+            if self.fs.exists(tmp):
+                self.fs.delete(tmp, False)
+        return True
 
-    def _give_up_old(self, claim) -> None:
-        """A writer that died between its claim and its file holds the name up for a minute."""
-        if self.fs.exists(claim) and time.time() * 1000 - self.fs.getFileStatus(claim).getModificationTime() > 60_000:
-            self.fs.delete(claim, False)
+    def write(self, name: str, data: bytes) -> None:
+        """Put or replace a file; large ones go in portions."""
+        stream = self.fs.create(self._path(name), True)
+        try:
+            for at in range(0, len(data), 4 << 20):
+                stream.write(bytearray(data[at : at + (4 << 20)]))
+        finally:
+            stream.close()
 
     def delete(self, name: str) -> None:
         self.fs.delete(self._path(name), True)
 
+    def age(self, name: str) -> float:
+        """Seconds since the file or folder was last changed."""
+        return time.time() - self.fs.getFileStatus(self._path(name)).getModificationTime() / 1000
+
 
 @dataclass
 class Version:
@@ -77,13 +106,61 @@ class Version:
     schema: str = ""
     partition: str | None = None
 
+    @property
+    def struct(self) -> T.StructType:
+        return T.StructType.fromJson(json.loads(self.schema))
+
+
+#: Buckets of a table that is laid out by key: a batch reads and rewrites those of its keys only.
+BUCKETS = 64
+#: Attempts to put a commit after one that touched other tables.
+ATTEMPTS = 20
+_SERVICE = "__part"
+
+
+def by_key(columns: Iterable[str], buckets: int = BUCKETS) -> str:
+    """The layout of a table by a hash of columns; by a date's months, a layout is the column's name."""
+    return f"#{buckets}:{','.join(columns)}"
+
+
+def layout_of(spec: TableSpec, buckets: int = BUCKETS) -> str:
+    """By group key, so that a group is in one bucket, else by primary key."""
+    return by_key(spec.group_key or spec.pk, buckets)
+
+
+def _label(layout: str, schema: T.StructType) -> Column:
+    """Which part a row belongs to; keys are hashed in their stored type."""
+    if layout.startswith("#"):
+        n, columns = layout[1:].split(":", 1)
+        return F.lpad(F.pmod(F.xxhash64(*[F.col(c).cast(schema[c].dataType) for c in columns.split(",")]), F.lit(int(n))).cast("string"), 6, "0")
+    return F.coalesce(F.date_format(layout, "yyyy-MM"), F.lit("0000-00"))
+
+
+@dataclass
+class Staged:
+    """Written files of some tables, not yet in any commit; ``base`` are the versions that they were made from."""
+
+    versions: dict[str, Version] = field(default_factory=dict)
+    counts: dict[str, dict] = field(default_factory=dict)
+    base: dict[str, int] = field(default_factory=dict)
+
+    def add(self, other: Staged) -> None:
+        self.versions |= other.versions
+        self.counts |= other.counts
+        self.base |= other.base
+
+    @property
+    def modified(self) -> int:
+        return sum(c[k] for c in self.counts.values() for k in ("inserted", "updated", "deleted"))
+
 
 class Store:
     """Tables under one root, changed by numbered commits.
 
-    A commit file holds the new versions of all tables it changes and what was done to each, so data and its
-    announcement cannot diverge. It is created if absent: of two writers with one number, one gets ``Conflict``. A table
-    partitioned by month is rewritten only in months that a merge touched, old and new month of a moved row included.
+    A commit file holds the new versions of all tables it changes, what was done to each and what readers carry along
+    (cursors), so data and its announcement cannot diverge. It is created if absent: of two writers with one number, one
+    gets it, and the other puts its commit behind if that touched none of its tables, else gets ``Conflict``. A table
+    laid out by key or by month is rewritten only in parts that a merge touched, old and new month of a moved row included.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -105,73 +182,113 @@ class Store:
         number = self.head() if number is None else number
         return {k: Version(**v) for k, v in self.commit(number)["tables"].items()} if number else {}
 
-    def read(self, table: str, number: int | None = None) -> DataFrame | None:
-        """The table at a commit, the last by default; None if it isn't there yet."""
+    def carried(self, name: str, number: int | None = None) -> dict:
+        """What the last commit up to ``number`` carries under a name: it changed together with that commit's data."""
+        number = self.head() if number is None else number
+        return self.commit(number)["state"].get(name, {}) if number else {}
+
+    def read(self, table: str, number: int | None = None, parts: Iterable[str] | None = None) -> DataFrame | None:
+        """The table at a commit, the last by default; None if it isn't there yet. ``parts``: only files of these labels."""
         v = self.state(number).get(table)
         if v is None:
             return None
-        schema = T.StructType.fromJson(json.loads(v.schema))
-        paths = sorted(set(v.paths.values()))
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        paths = sorted({p for k, p in v.paths.items() if parts is None or k in parts})
+        return self.spark.read.schema(v.struct).parquet(*paths) if paths else self.spark.createDataFrame([], v.struct)
+
+    def touched(self, table: str, batch: DataFrame) -> list[str] | None:
+        """Labels of the parts that rows with a batch's keys are in; None if the table isn't laid out by key."""
+        v = self.state().get(table)
+        if v is None or not (v.partition or "").startswith("#"):
+            return None
+        return sorted(r[0] for r in batch.select(_label(v.partition, v.struct)).distinct().collect())  # as many as buckets at most
 
     def versions(self) -> dict[str, int]:
         return {k: v.number for k, v in self.state().items()}
 
     def log(self, since: int = 0) -> list[dict]:
-        """What commits after ``since`` did: table, version, source, counts."""
-        return [e | {"version": n, "committed_at": c["committed_at"]} for n in range(since + 1, self.head() + 1) for c in [self.commit(n)] for e in c["log"]]
+        """What the commits after ``since`` that are still kept did: table, version, source, counts."""
+        kept = [int(n.split(".")[0]) for n in self.files.names("_commits")]
+        return [e | {"version": n, "committed_at": c["committed_at"]} for n in kept if n > since for c in [self.commit(n)] for e in c["log"]]
 
     # -- writing
 
-    def publish(self, changes: dict[str, MergeResult], source: str, partitions: dict[str, str] | None = None, state: dict | None = None, force: bool = False) -> dict[str, dict]:
-        """Commit merges of several tables at once; counts by table. A merge that changes nothing leaves its table's version."""
-        partitions, at = partitions or {}, self.head()
+    def stage(self, changes: dict[str, MergeResult], layouts: dict[str, str] | None = None, force: bool = False) -> Staged:
+        """Write merges of tables; all that could fail in them fails here, before anything is announced."""
+        at, out = self.head(), Staged()
         tables = self.state(at)
-        counts: dict[str, dict] = {}
         for name, result in changes.items():
-            rows = result.rows.cache()
+            rows, old = result.rows.cache(), tables.get(name)
+            out.base[name] = result.base if result.base is not None else old.number if old else 0
             try:
-                counts[name] = {k: int(v) for k, v in MergeResult(rows).counts().first().asDict().items()}
-                if name in tables and not force and not any(counts[name][k] for k in ("inserted", "updated", "deleted")):
+                out.counts[name] = {k: int(v) for k, v in MergeResult(rows).counts().first().asDict().items()}
+                if old and not force and not any(out.counts[name][k] for k in ("inserted", "updated", "deleted")):
                     continue
-                tables[name] = self._written(name, rows, tables.get(name), partitions.get(name), at)
+                layout = (layouts or {}).get(name) or (old.partition if old else None)
+                out.versions[name] = self._written(name, rows, old, layout, at, result.parts)
             finally:
                 rows.unpersist()
-        entry = {
-            "tables": {k: vars(v) for k, v in tables.items()},
-            "log": [{"table": k, "source": source} | c for k, c in counts.items()],
-            "state": state or {},
-            "committed_at": datetime.now(UTC).isoformat(),
-        }
-        if state or any(v.number == at + 1 for v in tables.values()):
-            if not self.files.create(f"_commits/{at + 1:012d}.json", json.dumps(entry)):
-                raise Conflict(f"commit {at + 1} is taken")
-        return counts
-
-    def _written(self, name: str, rows: DataFrame, old: Version | None, by: str | None, at: int) -> Version:
+        return out
+
+    def put(self, staged: Staged, source: str, state: dict | None = None, fence: Callable[[], bool] | None = None, forced: Iterable[str] = ()) -> int:
+        """Announce what was staged in one commit, together with ``state``; its number, 0 if there is nothing to announce.
+
+        ``fence`` is asked right before: if it says no, nothing is announced. ``forced`` tables are told without a change.
+        """
+        forced = list(forced)
+        if not staged.versions and not state and not forced:
+            return 0
+        for _ in range(ATTEMPTS):
+            at = self.head()
+            last = self.commit(at) if at else {"tables": {}, "state": {}}
+            tables = {k: Version(**v) for k, v in last["tables"].items()}
+            if any((tables[k].number if k in tables else 0) != n for k, n in staged.base.items()):
+                raise Conflict(f"{sorted(staged.base)} changed meanwhile")
+            for k, v in staged.versions.items():
+                tables[k] = replace(v, number=at + 1)
+            entry = {
+                "tables": {k: vars(v) for k, v in tables.items()},
+                "log": [{"table": k, "source": source} | c for k, c in staged.counts.items()] + [{"table": k, "source": source, "forced": True} for k in forced],
+                "state": last.get("state", {}) | (state or {}),
+                "committed_at": datetime.now(UTC).isoformat(),
+            }
+            if fence is not None and not fence():
+                raise LostLease(f"{source}: the lease is another's")
+            if self.files.create(f"_commits/{at + 1:012d}.json", json.dumps(entry)):
+                return at + 1
+        raise Conflict(f"{source} finds no free commit")
+
+    def publish(self, changes: dict[str, MergeResult], source: str, layouts: dict[str, str] | None = None, state: dict | None = None, force: bool = False, fence: Callable[[], bool] | None = None) -> dict[str, dict]:
+        """Commit merges of several tables at once; counts by table. A merge that changes nothing leaves its table's version."""
+        staged = self.stage(changes, layouts, force)
+        if staged.versions or state:
+            self.put(staged, source, state, fence)
+        return staged.counts
+
+    def _written(self, name: str, rows: DataFrame, old: Version | None, layout: str | None, at: int, parts: list[str] | None) -> Version:
         kept = rows.where(F.col(ACTION) != "removed").drop(ACTION)
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in kept.schema]).json()
+        struct = T.StructType([T.StructField(f.name, f.dataType) for f in kept.schema])
         path = f"{self.root}/{name}/v={at + 1}-{uuid.uuid4().hex[:8]}"
-        if by is None:
+        if layout is None:
             kept.write.parquet(path)
-            return Version(at + 1, {"": path}, schema)
-        month = F.coalesce(F.date_format(by, "yyyy-MM"), F.lit("0000-00"))
-        labelled = rows.withColumn("__month", month)
-        paths = dict(old.paths) if old is not None and old.partition == by else {}
-        if paths and old.schema == schema:
-            touched = [r[0] for r in labelled.where(F.col(ACTION) != "kept").select("__month").distinct().collect()]
-            touched += self._left_months(name, rows, old, by)
-            labelled = labelled.where(F.col("__month").isin(sorted(set(touched))))
-        else:
-            paths, touched = {}, []
-        labelled.where(F.col(ACTION) != "removed").drop(ACTION).repartition("__month").write.partitionBy("__month").parquet(path)
-        written = {n.split("=", 1)[1]: f"{path}/{n}" for n in Files(self.spark, path).names("") if n.startswith("__month=")}
-        return Version(at + 1, {m: p for m, p in paths.items() if m not in touched} | written, schema, by)
-
-    def _left_months(self, name: str, rows: DataFrame, old: Version, by: str) -> list[str]:
+            return Version(at + 1, {"": path}, struct.json())
+        labelled = rows.withColumn(_SERVICE, _label(layout, struct))
+        same = old is not None and old.partition == layout and {(f.name, f.dataType) for f in old.struct} <= {(f.name, f.dataType) for f in struct}
+        if parts is not None and not same:
+            raise ValueError(f"{name} was read in part but has to be rewritten whole")
+        paths, touched = (dict(old.paths) if same else {}), []
+        if paths:
+            touched = [r[0] for r in labelled.where(F.col(ACTION) != "kept").select(_SERVICE).distinct().collect()]
+            if not layout.startswith("#"):
+                touched += self._left_months(rows, old, layout)
+            labelled = labelled.where(F.col(_SERVICE).isin(sorted(set(touched))))
+        labelled.where(F.col(ACTION) != "removed").drop(ACTION).repartition(_SERVICE).write.partitionBy(_SERVICE).parquet(path)
+        written = {n.split("=", 1)[1]: f"{path}/{n}" for n in Files(self.spark, path).names("") if n.startswith(f"{_SERVICE}=")}
+        return Version(at + 1, {m: p for m, p in paths.items() if m not in touched} | written, struct.json(), layout)
+
+    def _left_months(self, rows: DataFrame, old: Version, by: str) -> list[str]:
         """Months that updated rows have left: those whose row count in the store isn't that of the new rows."""
-        month = F.coalesce(F.date_format(by, "yyyy-MM"), F.lit("0000-00")).alias("m")
-        before = self.spark.read.schema(T.StructType.fromJson(json.loads(old.schema))).parquet(*sorted(set(old.paths.values()))).groupBy(month).agg(F.count(F.lit(1)).alias("b"), F.sum(F.xxhash64(by).cast("decimal(38,0)")).alias("hb"))
+        month = _label(by, old.struct).alias("m")
+        before = self.spark.read.schema(old.struct).parquet(*sorted(set(old.paths.values()))).groupBy(month).agg(F.count(F.lit(1)).alias("b"), F.sum(F.xxhash64(by).cast("decimal(38,0)")).alias("hb"))
         after = rows.where(F.col(ACTION) != "removed").groupBy(month).agg(F.count(F.lit(1)).alias("a"), F.sum(F.xxhash64(by).cast("decimal(38,0)")).alias("ha"))
         moved = before.join(after, "m", "full_outer").where(~F.col("a").eqNullSafe(F.col("b")) | ~F.col("ha").eqNullSafe(F.col("hb")))
         return [r["m"] for r in moved.select("m").collect()]
@@ -193,15 +310,20 @@ class Store:
             self.files.delete(f"_state/{name}/{revision - 4:012d}.json")
         return revision + 1
 
-    def vacuum(self, keep: int = 5) -> int:
-        """Delete files that none of the last ``keep`` commits reads; how many version folders went."""
-        head = self.head()
-        used = {p for n in range(max(1, head - keep + 1), head + 1) for v in self.state(n).values() for p in v.paths.values()}
+    def vacuum(self, keep: int = 5, age: float = 86_400.0) -> int:
+        """Delete commits before the last ``keep`` and files that none of those reads; how many version folders went.
+
+        Files younger than ``age`` seconds stay, as a writer may be about to announce them.
+        """
+        kept = [int(n.split(".")[0]) for n in self.files.names("_commits")]
+        for n in kept[:-keep]:
+            self.files.delete(f"_commits/{n:012d}.json")
+        used = {p for n in kept[-keep:] for v in self.state(n).values() for p in v.paths.values()}
         gone = 0
         for table in (n for n in self.files.names("") if not n.startswith("_")):
             for v in self.files.names(table):
                 path = f"{self.root}/{table}/{v}"
-                if not any(u.startswith(path) for u in used):
+                if not any(u == path or u.startswith(f"{path}/") for u in used) and self.files.age(f"{table}/{v}") >= age:
                     self.files.delete(f"{table}/{v}")
                     gone += 1
         return gone

@@ -6,6 +6,7 @@ import json
 import logging
 import xml.etree.ElementTree as ET
 from collections.abc import Iterable
+from xml.parsers import expat
 
 from tidemark.spec import RECORDERS, SPARK_TYPES, SUPPORTED, TableSpec, group_key, owner_of, register_fields
 
@@ -47,6 +48,21 @@ def rooted(body: str | bytes, root: str) -> ET.Element:
     return found
 
 
+def checked(body: bytes, root: str) -> None:
+    """An error unless the document is whole and has the root, without building its tree."""
+    first: list[str] = []
+    parser = expat.ParserCreate()
+    parser.StartElementHandler = lambda name, _: first or first.append(name.rsplit(":", 1)[-1])
+    try:
+        for at in range(0, len(body), CHUNK_BYTES):
+            parser.Parse(body[at : at + CHUNK_BYTES], False)
+        parser.Parse(b"", True)
+    except expat.ExpatError as e:
+        raise BadAnswer(f"no XML: {e}") from e
+    if first != [root]:
+        raise BadAnswer(f"the answer is a <{first[0] if first else ''}>, not a <{root}>")
+
+
 def _fields(item: ET.Element, name: str) -> dict[str, str]:
     declared = {p.get("Name"): p.get("Type", "").removeprefix("Edm.") for p in item if _local(p.tag) == "Property"}
     out: dict[str, str] = {}

@@ -29,15 +29,9 @@ def _entry(fields: list[T.StructField]) -> T.StructType:
 
 
 def entries_of_feed(spark: SparkSession, path: str) -> DataFrame:
-    """(entry): the raw entries of feeds, split by Spark's XML reader, so that a large package is read in parts."""
-    rows = spark.read.text(path, wholetext=True).select(F.explode(F.regexp_extract_all("value", F.lit(r"(?s)(<entry\b.*?</entry>)"), 1)).alias("entry"))
-    return rows
-
-
-def checked_feed(body: Column, root: str = "feed") -> Column:
-    """The body, or an error where it has another root: an answer that is none never means that there is no data."""
-    ok = body.rlike(rf"(?s)^\s*(?:﻿)?(?:<\?xml.*?\?>)?\s*<{root}[\s>]")
-    return F.when(ok, body).otherwise(F.raise_error(F.lit(f"the answer has no <{root}>")).cast("string"))
+    """(entry): the raw entries of feeds in files. Files are cut at the entries' ends, so tasks share a large package."""
+    pieces = spark.read.option("lineSep", "</entry>").text(path)
+    return pieces.where(F.col("value").rlike(r"<entry\b")).select(F.concat(F.regexp_extract("value", r"(?s)(<entry\b.*)$", 1), F.lit("</entry>")).alias("entry"))
 
 
 def object_of(entry: Column) -> Column:
@@ -53,6 +47,13 @@ def parsed(entries: DataFrame, fields: list[T.StructField]) -> DataFrame:
     return entries.select("*", F.from_xml("entry", _entry(fields), _OPTIONS).alias("x"))
 
 
+def unknown_fields(entries: DataFrame, spec: TableSpec, parts: dict[str, TableSpec] | None = None) -> DataFrame:
+    """(field, entries) of fields that arrived, in the entry itself or in its rows, and that no specification names."""
+    known = {*spec.fields, *(parts or {}), "RecordSet", "element", *(f for p in (parts or {}).values() for f in p.fields)}
+    named = entries.select(F.explode(F.array_distinct(F.regexp_extract_all("entry", F.lit(r"<d:(\w+)[\s/>]"), 1))).alias("field"))
+    return named.where(~F.col("field").isin(*known)).groupBy("field").agg(F.count(F.lit(1)).alias("entries"))
+
+
 def _raw(spec: TableSpec) -> list[str]:
     return [f for f in spec.fields if not (f.endswith("_Guid") and f"{f.removesuffix('_Guid')}_Type" in spec.fields)]
 

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Protocol
 
-from tidemark.sources.metadata import CHUNK_BYTES, bounded, received_no, rooted
+from tidemark.sources.metadata import CHUNK_BYTES, bounded, checked, received_no
 
 # Answers that a retry cannot mend.
 PERMANENT = (400, 401, 403, 404, 405)
@@ -80,7 +80,7 @@ class HttpTransport:
 
     def package(self, number: int) -> bytes | None:
         body = self._open(f"SelectChanges?DataExchangePoint=ExchangePlan_{self.exchange}(guid'{self.node}')&MessageNo={number}", post=True)
-        rooted(body, "feed")
+        checked(body, "feed")
         return body
 
     def confirm(self, number: int) -> None:

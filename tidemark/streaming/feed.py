@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
-from tidemark.sources.metadata import rooted
+from tidemark.sources.metadata import checked
 from tidemark.sources.transport import FolderTransport, HttpTransport, Transport, entries
 
 
@@ -41,7 +41,7 @@ class _Reader(SimpleDataSourceStreamReader):
         body = self.transport.package(number)
         if body is None:
             return None
-        rooted(body, "feed")
+        checked(body, "feed")
         return [(number, e) for e in entries(body)]
 
     def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
