@@ -1,5 +1,6 @@
 """Store, full loads, leases, registry and the mart runner."""
 
+import threading
 from datetime import datetime, timedelta
 
 import pytest
@@ -11,8 +12,8 @@ from tidemark.operators.evolve import evolve, retired_name, widened
 from tidemark.operators.merge import merge, merge_mart
 from tidemark.plans import full_load as fl
 from tidemark.plans.mart_runner import MartRunner, checked, run_all
-from tidemark.plans.state import Lease, Registry, Write, boundary, expired, totals
-from tidemark.plans.store import Conflict, Store
+from tidemark.plans.state import Claims, InFlight, Lease, Registry, Write, boundary, expired, totals
+from tidemark.plans.store import Conflict, LostLease, Store
 from tidemark.spec import TableSpec
 
 DOC = TableSpec("Document_D", {"Ref_Key": "String", "Date": "DateTime", "Sum": "Double"}, ("Ref_Key",), parts=("Document_D_Rows",))
@@ -166,20 +167,157 @@ def test_full_load_marks_what_vanished_and_is_idle_after(spark, store):
         fl.full_load(store, source, SPECS, "Document_D", date_from="2024-01-01")
 
 
-def test_ordered_loads_back_off():
-    now, waits, done = [0.0], {}, []
+def test_ordered_loads_back_off(spark, store):
+    now, done = [0.0], []
+    registry = Registry(store)
+    for n in ("Document_Bad", "Document_Busy", "Document_Good"):
+        registry.require_full_load(n)
 
-    def load(n):
-        if n == "bad":
+    def load(n, stop):
+        if n == "Document_Bad":
             raise OSError("no")
-        return 1
-
-    run = lambda: dict(fl.run_pending(["bad", "good"], load, lambda *a: done.append(a[0]), waits, lambda: now[0]))
-    assert isinstance(run()["bad"], OSError) and done == ["good"] and "bad" not in run()
+        if n == "Document_Busy":
+            raise fl.Busy(n)
+        done.append(n)
+        return 3
+
+    pool = fl.FullLoads(registry, load, clock=lambda: now[0])
+    assert pool.dispatch() == ["Document_Bad", "Document_Busy", "Document_Good"]
+    pool.wait()
+    assert done == ["Document_Good"] and registry.pending() == ["Document_Bad", "Document_Busy"] and registry.objects()["Document_Good"]["last_full_load_rows_modified"] == 3
+    assert pool.dispatch() == ["Document_Busy"]  # the failed one is held back
+    pool.wait()
     now[0] = 121
-    assert "bad" in run() and waits["bad"][0] == 121 + 240
-    b = fl.Backoff(60)
-    assert b.failed(permanent=True) == 1800
+    assert "Document_Bad" in pool.dispatch()
+    pool.wait()
+    assert pool.waits["Document_Bad"][0] == 121 + 240 and isinstance(pool.failures["Document_Bad"], OSError)
+    pool.stop()
+    assert pool.dispatch() == []
+    assert fl.Backoff(60).failed(permanent=True) == 1800
+
+
+def test_cron():
+    at = datetime(2024, 2, 28, 23, 50)
+    assert fl.Cron("*/15 * * * *").after(at) == datetime(2024, 2, 29) and fl.Cron("0 0 29 2 *").after(at) == datetime(2024, 2, 29)
+    assert fl.Cron("30 4 * * 1-5").after(datetime(2024, 3, 1, 5)) == datetime(2024, 3, 4, 4, 30) and fl.Cron("0 12 13 * 5").after(datetime(2024, 3, 9)) == datetime(2024, 3, 13, 12)
+    assert fl.Cron("5 1 * * 7").after(at) == datetime(2024, 3, 3, 1, 5) and fl.Cron("0 0 29 2 *").after(datetime(2024, 3, 1)) == datetime(2028, 2, 29)
+    for bad in ("* * * *", "60 * * * *", "a * * * *", "0 0 31 2 *", "5-1 * * * *"):
+        with pytest.raises(ValueError):
+            fl.Cron(bad).after(at)
+
+
+def test_scheduled_loads(store):
+    now, ran, registry = [datetime(2024, 5, 1, 10, 0)], [], Registry(store)
+    cron = fl.FullLoadCron(registry, lambda n, since: ran.append((n, since)) or 1, {"Document_D": ("0 * * * *", 7)}, lambda: now[0])
+    assert cron.run_due() == {}
+    now[0] = datetime(2024, 5, 1, 13, 30)  # two ticks were missed: one load
+    assert cron.run_due() == {"Document_D": 1} and ran == [("Document_D", None)] and registry.was_fully_loaded("Document_D") and cron.run_due() == {}
+    told = registry.objects()["Document_D"]["last_full_load_at"]
+    now[0] = datetime(2024, 5, 1, 14, 0)
+    assert cron.run_due() and ran[-1] == ("Document_D", datetime(2024, 4, 24).date()) and registry.objects()["Document_D"]["last_full_load_at"] == told
+
+
+def test_full_load_of_a_period_takes_its_parts_only(spark, store):
+    frames = {"Document_D": docs(spark, ("a", 1, 1), ("b", 2, 2)).drop("exchange_message_no"), "Document_D_Rows": parts(spark, ("a", 1, "x"), ("b", 1, "y"))}
+    source = fl.FrameSnapshot(frames, {"Document_D": ("Document_D_Rows",)})
+    when = datetime(2024, 7, 1)
+    run = lambda n, **more: fl.full_load(store, source, SPECS, "Document_D", "Date", started_at=when + timedelta(days=n), now=when + timedelta(days=n, hours=1), **more)
+    assert run(0, date_from="2024-02-01") == 2 and rows(store.read("Document_D_Rows"), "Ref_Key") == [("b",)]
+    assert run(1) == 2
+    frames["Document_D"] = docs(spark, ("b", 2, 2)).drop("exchange_message_no")
+    assert run(2, date_from="2024-02-01") == 0  # what lies outside the period is not marked
+    assert run(3) == 2 and store.files.names("_keys") == []
+
+
+def test_marking_follows_what_was_loaded(spark, store):
+    """A row that vanishes from the source after its window was read is not marked by this load, a new one not spared."""
+    whole = docs(spark, ("a", 1, 1), ("b", 2, 2)).drop("exchange_message_no")
+    source = fl.FrameSnapshot({"Document_D": whole, "Document_D_Rows": parts(spark)}, {"Document_D": ("Document_D_Rows",)})
+    when = datetime(2024, 7, 1)
+    fl.full_load(store, source, SPECS, "Document_D", started_at=when, now=when + timedelta(hours=1))
+
+    class Moves(fl.FrameSnapshot):
+        def read(self, *a):
+            out = super().read(*a)
+            self.frames["Document_D"] = whole.limit(0)
+            return out
+
+    moving = Moves(dict(source.frames), source.parts)
+    assert fl.full_load(store, moving, SPECS, "Document_D", started_at=when + timedelta(days=1), now=when + timedelta(days=1, hours=1)) == 0
+    assert fl.full_load(store, moving, SPECS, "Document_D", started_at=when + timedelta(days=2), now=when + timedelta(days=2, hours=1)) == 2
+
+
+def test_full_load_with_another_type_or_key(spark, store):
+    when = datetime(2024, 7, 1)
+    source = fl.FrameSnapshot({"Document_D": docs(spark, ("a", 1, 1)).drop("exchange_message_no"), "Document_D_Rows": parts(spark)}, {"Document_D": ("Document_D_Rows",)})
+    run = lambda n: fl.full_load(store, source, SPECS, "Document_D", started_at=when + timedelta(days=n), now=when + timedelta(days=n, hours=1))
+    run(0)
+    source.frames["Document_D"] = docs(spark, ("a", 1, 1)).drop("exchange_message_no").withColumn("Sum", F.lit("one"))
+    assert run(1) == 1
+    t = store.read("Document_D")
+    old = [c for c in t.columns if c.startswith("Sum_Old_")]
+    assert rows(t, "Sum", *old) == [("one", 1)]
+    source.frames["Document_D"] = docs(spark, ("a", 1, 1)).drop("exchange_message_no").withColumn("Ref_Key", F.lit(7))
+    run(2)
+    assert rows(store.read("Document_D"), "Ref_Key") == [(7,)]
+    aside = [n for n in store.state() if n.startswith("Document_D_Old_")]
+    assert len(aside) == 1 and rows(store.read(aside[0]), "Ref_Key") == [("a",)]
+
+
+def test_claims_stop_and_orphaned_keys(spark, store):
+    source = fl.FrameSnapshot({"Document_D": docs(spark, ("a", 1, 1)).drop("exchange_message_no"), "Document_D_Rows": parts(spark)}, {"Document_D": ("Document_D_Rows",)})
+    mine, other = Claims(store, "one"), Claims(store, "two")
+    with mine.hold("Document_D") as a, mine.hold("Document_D") as again, other.hold("Document_D") as b:
+        assert a and again and not b and other.live() == {"Document_D"} and mine.covers("Document_D_Rows", {"Document_D_Rows": "Document_D"})
+        with pytest.raises(fl.Busy):
+            fl.full_load(store, source, SPECS, "Document_D", claims=other)
+    assert mine.live() == set()
+    stop = threading.Event()
+    stop.set()
+    with pytest.raises(fl.Stopped):
+        fl.full_load(store, source, SPECS, "Document_D", stop=stop)
+    assert store.head() == 0
+    fl.Keys(store, "x", clock=lambda: 1000.0).add(spark.range(1))
+    assert fl.Keys.drop_orphans(store, 1000 + 3600) == 0 and fl.Keys.drop_orphans(store, 1001 + 24 * 3600) == 1
+
+
+def test_abandoned_writes_are_told(store):
+    now = [100.0]
+    f = InFlight(store, ttl=90, clock=lambda: now[0])
+    with f.track(["A"]):
+        now[0] = 120
+        assert f.boundary(["A"]) == 100 and f.boundary(["B"]) == 120 and not f.deliver()
+    assert f.writes() == {} and f.boundary(["A"]) == 120
+    with pytest.raises(OSError), f.track(["A", "B"], "package 3"):
+        raise OSError("died")
+    now[0] = 205
+    assert not f.deliver()
+    now[0] = 300
+    assert [w.objects for w in f.deliver()] == [("A", "B")] and not f.writes()
+    assert [(e["table"], e["source"], e["forced"]) for e in store.log()] == [("A", "package 3", True), ("B", "package 3", True)]
+
+
+def test_commits_of_other_tables_are_put_behind(spark, store):
+    staged = store.stage({"T": merge(None, docs(spark, ("a", 1, 1)), DOC, at(0))})
+    store.publish({"U": merge(None, docs(spark, ("a", 1, 1)), DOC, at(0))}, "first")
+    late = store.stage({"U": merge(store.read("U"), docs(spark, ("a", 1, 2)), DOC, at(1))})
+    assert store.put(staged, "second") == 2 and store.versions() == {"T": 2, "U": 1}
+    store.publish({"U": merge(store.read("U"), docs(spark, ("a", 1, 3)), DOC, at(2))}, "third")
+    with pytest.raises(Conflict):
+        store.put(late, "from an older version")
+    with pytest.raises(LostLease):
+        store.put(store.stage({"U": merge(store.read("U"), docs(spark, ("a", 1, 4)), DOC, at(3))}), "fenced", fence=lambda: False)
+    assert store.head() == 3 and rows(store.read("U"), "Sum") == [(3,)]
+
+
+def test_a_held_lease_is_renewed(store):
+    import time
+
+    a, b = (Lease(store, "long", o, ttl=0.6) for o in "ab")
+    with a.hold() as mine:
+        time.sleep(1.5)
+        assert mine and a.still_mine() and not b.acquire()
+    assert b.acquire()
 
 
 def test_schema_changes(spark):

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+import logging
+import threading
 import time
-from collections.abc import Callable, Iterable, Iterator
+import uuid
+from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import filters
-from tidemark.operators.merge import MergeResult, mark_missing, mark_orphans, merge
-from tidemark.plans.store import Store
-from tidemark.spec import FULL_LOAD_MESSAGE, MESSAGE_NO, TableSpec
+from tidemark.operators.merge import mark_missing, mark_orphans
+from tidemark.plans import apply
+from tidemark.plans.state import Claims, InFlight, Registry
+from tidemark.plans.store import Staged, Store
+from tidemark.spec import FULL_LOAD_MESSAGE, MESSAGE_NO, OWNER_KEY, TableSpec
+
+log = logging.getLogger(__name__)
 
 # How a period is walked and a page is sized.
 WINDOW_DAYS, NARROWEST_DAYS, NARROWING, EMPTY_TO_STOP, MOST_PAGES = 30, 1, 3, 3, 10
@@ -155,14 +163,53 @@ def plan_windows(source: Snapshot, spec: TableSpec, date_field: str | None, now:
     return walk(read, newest or now, oldest) + [undated] * (source.count(spec, date_field, undated) > 0)
 
 
+class Stopped(RuntimeError):
+    """A load that was asked to end between two windows."""
+
+
+class Busy(RuntimeError):
+    """Another owner is loading the object."""
+
+
+class Keys:
+    """Keys that a load has seen, window by window, beside the tables; keys may repeat."""
+
+    FOLDER, OLDEST = "_keys", 24 * 3600
+
+    def __init__(self, store: Store, name: str, clock: Callable[[], float] = time.time):
+        self.store, self.path = store, f"{self.FOLDER}/{int(clock())}-{uuid.uuid4().hex[:8]}-{name}"
+
+    def add(self, keys: DataFrame) -> None:
+        keys.write.mode("append").parquet(f"{self.store.root}/{self.path}")
+
+    def read(self, spec: TableSpec) -> DataFrame:
+        if not self.store.files.names(self.path):
+            return self.store.spark.createDataFrame([], spec.schema).select(*spec.pk)
+        return self.store.spark.read.parquet(f"{self.store.root}/{self.path}")
+
+    def drop(self) -> None:
+        self.store.files.delete(self.path)
+
+    @classmethod
+    def drop_orphans(cls, store: Store, now: float | None = None) -> int:
+        """Forget keys of loads that died, by the age in their names; how many."""
+        old = [n for n in store.files.names(cls.FOLDER) if (now or time.time()) - int(n.split("-")[0]) > cls.OLDEST]
+        for n in old:
+            store.files.delete(f"{cls.FOLDER}/{n}")
+        return len(old)
+
+
 def full_load(
     store: Store, source: Snapshot, specs: dict[str, TableSpec], name: str, date_field: str | None = None, date_from: filters.Bound = None, date_to: filters.Bound = None,
-    started_at: datetime | None = None, now: datetime | None = None, limit: int = 1_000_000, always_touch: bool = False,
+    started_at: datetime | None = None, now: datetime | None = None, limit: int = 1_000_000, always_touch: bool = False, claims: Claims | None = None,
+    stop: threading.Event | None = None, buckets: int | None = None,
 ) -> int:
     """Load an object and its parts whole, and mark what its table has beyond that; how many rows really changed.
 
-    An unchanged source gives 0. Table parts are loaded with their owner. With a period, only rows within it are read
-    and only rows within it are marked, which needs the field as a column of the table.
+    An unchanged source gives 0. Table parts are loaded with their owner. With a period, only rows within it and their
+    parts are read and only rows within it are marked, which needs the field as a column of the table. The object is
+    under a claim meanwhile; what is marked is what the windows, as they were read, did not hold. A window whose tables
+    another writer changes is merged again; a stop ends the load between windows, before anything is marked.
     """
     spec = specs[name]
     if spec.is_table_part:
@@ -172,35 +219,49 @@ def full_load(
     began = started_at or datetime.now()
     stamp = F.lit(now or datetime.now()).cast("timestamp_ntz")
     start = F.lit(began).cast("timestamp_ntz")
-    windows = plan_windows(source, spec, date_field, began, limit)
+    claims = claims or Claims(store, "full load")
+    registry, flights, keys = Registry(store), InFlight(store), Keys(store, name)
     period = filters.in_period(F.col(date_field), date_from, date_to) if date_from is not None or date_to is not None else None
-    modified = 0
-    for w in windows:
-        page = source.read(spec, date_field, w)
-        if period is not None:
-            page[name] = page[name].where(period)
-        changes = {}
+
+    def merged(page: dict[str, DataFrame]) -> Staged:
+        out = Staged()
         for table, rows in page.items():
-            rows = rows.withColumn(MESSAGE_NO, F.lit(FULL_LOAD_MESSAGE).cast("long"))
-            changes[table] = merge(store.read(table), rows, specs[table], stamp, started_at=start, always_touch=always_touch)
-        modified += _modified(store.publish(changes, f"full load {name}"))
-    held = store.read(name)
-    if held is None:
-        return modified
-    if period is not None and date_field not in held.columns:
-        return modified  # nothing says which rows the period covers
-    seen = source.read(spec, None, Window(None, None))[name].select(*spec.pk)
-    marks: dict[str, MergeResult] = {name: mark_missing(held, seen, spec, stamp, start, period)}
-    modified += _modified(store.publish(marks, f"marking {name}"))
-    for part in spec.parts:
-        rows = store.read(part)
-        if rows is not None:
-            modified += _modified(store.publish({part: mark_orphans(rows, store.read(name), specs[part], stamp, start)}, f"orphans of {name}"))
-    return modified
-
-
-def _modified(counts: dict[str, dict]) -> int:
-    return sum(c["inserted"] + c["updated"] + c["deleted"] for c in counts.values())
+            out.add(apply.staged(store, rows, specs[table], stamp, start, always_touch, buckets, lambda _: registry.require_full_load(name)))
+        return out
+
+    with claims.hold(name) as mine:
+        if not mine:
+            raise Busy(f"{name} is being loaded already")
+        fence, modified = (lambda: claims.still_mine(name)), 0
+        try:
+            for w in plan_windows(source, spec, date_field, began, limit):
+                if stop is not None and stop.is_set():
+                    raise Stopped(name)
+                page = source.read(spec, date_field, w)
+                if period is not None:
+                    page[name] = page[name].where(period)
+                    for p in spec.parts:
+                        if p in page:
+                            page[p] = page[p].join(page[name].select(OWNER_KEY).distinct(), OWNER_KEY, "left_semi")
+                page = {t: rows.withColumn(MESSAGE_NO, F.lit(FULL_LOAD_MESSAGE).cast("long")).cache() for t, rows in page.items()}
+                try:
+                    with flights.track(page, f"full load {name}"):
+                        modified += apply.repeated(store, lambda page=page: merged(page), f"full load {name}", fence=fence).modified
+                        keys.add(page[name].select(*spec.pk))
+                finally:
+                    for rows in page.values():
+                        rows.unpersist()
+            held = store.read(name)
+            if held is None or period is not None and date_field not in held.columns:
+                return modified  # nothing is there, or nothing says which rows the period covers
+            seen = keys.read(spec)
+            with flights.track([name, *spec.parts], f"marking {name}"):
+                modified += apply.repeated(store, lambda: apply.marked(store, name, lambda t: mark_missing(t, seen, spec, stamp, start, period)), f"marking {name}", fence=fence).modified
+                for part in spec.parts:
+                    modified += apply.repeated(store, lambda part=part: apply.marked(store, part, lambda t: mark_orphans(t, store.read(name), specs[part], stamp, start)), f"orphans of {name}", fence=fence).modified
+            return modified
+        finally:
+            keys.drop()
 
 
 @dataclass
@@ -219,19 +280,135 @@ class Backoff:
         self.wait = 0.0
 
 
-def run_pending(names: Iterable[str], load: Callable[[str], int], loaded: Callable[[str, int, float], None], waits: dict[str, tuple[float, Backoff]], clock: Callable[[], float] = time.time) -> Iterator[tuple[str, int | Exception]]:
-    """Run ordered full loads that no back-off holds up; a failure keeps the order and lengthens the wait."""
-    for name in names:
-        until, backoff = waits.get(name, (0.0, Backoff(60.0)))
-        if clock() < until:
-            continue
-        began = clock()
+class FullLoads:
+    """Ordered full loads in the background, a few at a time, each in a scheduler pool of its own.
+
+    An object is queued once. A failure keeps the order and holds the object back, longer each time; one that another
+    owner is loading keeps its order without that; a stop ends running loads between windows and drops queued ones.
+    """
+
+    def __init__(self, registry: Registry, load: Callable[[str, threading.Event], int], threads: int = 2, clock: Callable[[], float] = time.time):
+        self.registry, self.load, self.clock = registry, load, clock
+        self.pool, self.stopping, self._lock = ThreadPoolExecutor(threads, "full-load"), threading.Event(), threading.Lock()
+        self.queued: dict[str, Future] = {}
+        self.waits: dict[str, tuple[float, Backoff]] = {}
+        self.failures: dict[str, Exception] = {}
+
+    def dispatch(self) -> list[str]:
+        """Queue what is ordered, neither queued nor held back; the names."""
+        out = []
+        with self._lock:
+            for name in self.registry.pending():
+                if not self.stopping.is_set() and name not in self.queued and self.clock() >= self.waits.get(name, (0.0, None))[0]:
+                    self.queued[name] = self.pool.submit(self._run, name)
+                    out.append(name)
+        return out
+
+    def _run(self, name: str) -> None:
+        context = self.registry.store.spark.sparkContext
+        context.setLocalProperty("spark.scheduler.pool", f"full-load-{name}")
+        began = self.clock()
         try:
-            modified = load(name)
-        except Exception as e:  # told to the caller, who decides; other objects go on
-            waits[name] = (clock() + backoff.failed(), backoff)
-            yield name, e
-            continue
-        waits.pop(name, None)
-        loaded(name, modified, (clock() - began) / 60)
-        yield name, modified
+            if self.stopping.is_set():
+                return
+            modified = self.load(name, self.stopping)
+            self.registry.mark_full_loaded(name, modified, (self.clock() - began) / 60)
+            self.waits.pop(name, None)
+            self.failures.pop(name, None)
+        except (Busy, Stopped) as e:
+            log.info("full load of %s: %s", name, e)
+        except Exception as e:  # told by name; other objects go on
+            backoff = self.waits.get(name, (0.0, Backoff(60.0)))[1]
+            self.waits[name] = (self.clock() + backoff.failed(), backoff)
+            self.failures[name] = e
+            log.warning("full load of %s failed: %s", name, e)
+        finally:
+            with self._lock:
+                self.queued.pop(name, None)
+
+    def wait(self) -> None:
+        """Until nothing is queued."""
+        while held := list(self.queued.values()):
+            wait(held)
+
+    def stop(self) -> None:
+        self.stopping.set()
+        self.pool.shutdown(wait=True, cancel_futures=True)
+
+
+class Cron:
+    """Five fields of a crontab, in local time: minute, hour, day, month, weekday (0 and 7 are Sunday)."""
+
+    BOUNDS = ((0, 59), (0, 23), (1, 31), (1, 12), (0, 7))
+
+    def __init__(self, text: str):
+        fields = text.split()
+        if len(fields) != len(self.BOUNDS):
+            raise ValueError(f"{text!r} hasn't five fields")
+        self.text, self.any_day, self.any_weekday = text, fields[2] == "*", fields[4] == "*"
+        self.minutes, self.hours, self.days, self.months, self.weekdays = (self._numbers(f, *b) for f, b in zip(fields, self.BOUNDS))
+        if 7 in self.weekdays:
+            self.weekdays |= {0}
+
+    @staticmethod
+    def _numbers(field: str, low: int, high: int) -> set[int]:
+        out: set[int] = set()
+        for item in field.split(","):
+            span, _, step = item.partition("/")
+            first, _, last = span.partition("-")
+            try:
+                a, b = (low, high) if span == "*" else (int(first), int(last or (high if step else first)))
+                found = set(range(a, b + 1, int(step or 1)))
+            except ValueError as e:
+                raise ValueError(f"{field!r} is no crontab field") from e
+            if not found or min(found) < low or max(found) > high:
+                raise ValueError(f"{field!r} goes beyond {low}-{high}")
+            out |= found
+        return out
+
+    def _on(self, day: datetime) -> bool:
+        by_day, by_weekday = day.day in self.days, day.isoweekday() % 7 in self.weekdays
+        hit = by_day and by_weekday if self.any_day or self.any_weekday else by_day or by_weekday
+        return day.month in self.months and hit
+
+    def after(self, moment: datetime) -> datetime:
+        """The first tick later than the moment."""
+        t = moment.replace(second=0, microsecond=0) + timedelta(minutes=1)
+        for _ in range(366 * 8):
+            if self._on(t):
+                ticks = [(h, m) for h in sorted(self.hours) for m in sorted(self.minutes) if (h, m) >= (t.hour, t.minute)]
+                if ticks:
+                    return t.replace(hour=ticks[0][0], minute=ticks[0][1])
+            t = (t + timedelta(days=1)).replace(hour=0, minute=0)
+        raise ValueError(f"{self.text!r} never comes")
+
+
+class FullLoadCron:
+    """Full loads at times of a crontab, of the last days only where a job says so.
+
+    A tick that was missed, as its load or another ran long, is skipped. An object that was never loaded in full is
+    loaded whole at its first tick; only that run marks it as loaded.
+    """
+
+    def __init__(self, registry: Registry, load: Callable[[str, date | None], int], jobs: dict[str, tuple[str, int | None]], clock: Callable[[], datetime] = datetime.now):
+        self.registry, self.load, self.clock = registry, load, clock
+        self.jobs = {n: (Cron(c), days) for n, (c, days) in jobs.items()}
+        self.next = {n: c.after(clock()) for n, (c, _) in self.jobs.items()}
+
+    def run_due(self) -> dict[str, int | Exception]:
+        out: dict[str, int | Exception] = {}
+        for name, (cron, days) in self.jobs.items():
+            if self.clock() < self.next[name]:
+                continue
+            whole = not self.registry.was_fully_loaded(name)
+            since = None if whole or days is None else self.clock().date() - timedelta(days=days)
+            began = self.clock()
+            try:
+                out[name] = self.load(name, since)
+                if whole:
+                    self.registry.mark_full_loaded(name, out[name], (self.clock() - began).total_seconds() / 60)
+            except Exception as e:  # told by name; the next tick tries again
+                log.warning("scheduled load of %s failed: %s", name, e)
+                out[name] = e
+            self.next[name] = cron.after(self.clock())
+        return out
