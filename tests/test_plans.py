@@ -11,9 +11,9 @@ from tidemark.operators import marts
 from tidemark.operators.evolve import evolve, retired_name, widened
 from tidemark.operators.merge import merge, merge_mart
 from tidemark.plans import full_load as fl
-from tidemark.plans.mart_runner import MartRunner, checked, run_all
+from tidemark.plans.mart_runner import MartContext, MartLoop, MartRunner, checked, run_all
 from tidemark.plans.state import Claims, InFlight, Lease, Registry, Write, boundary, expired, totals
-from tidemark.plans.store import Conflict, LostLease, Store
+from tidemark.plans.store import Conflict, LostLease, Staged, Store
 from tidemark.spec import TableSpec
 
 DOC = TableSpec("Document_D", {"Ref_Key": "String", "Date": "DateTime", "Sum": "Double"}, ("Ref_Key",), parts=("Document_D_Rows",))
@@ -387,10 +387,104 @@ def test_interrupted_rebuild_resumes(spark, store):
     assert store.read("sums").count() == 3
 
 
+def test_cursor_and_data_are_one_commit(spark, store):
+    store.publish({"Document_D": merge(None, docs(spark, ("a", 1, 1)), DOC, at(1))}, "package 1")
+    r = MartRunner(store, SumByMonth())
+    r.run_once()
+    store.publish({"Document_D": merge(store.read("Document_D"), docs(spark, ("b", 2, 2)), DOC, at(2))}, "package 2")
+    head = store.head()
+    assert r.run_once().ran == "increment" and store.head() == head + 1 and store.carried(r.document)["cursor"]["__commit"] == head and store.state()["sums"].number == head + 1
+
+
+def test_rebuild_longer_than_its_lease_keeps_it(spark, store):
+    import time
+
+    store.publish({"Document_D": merge(None, docs(spark, ("a", 1, 1), ("b", 2, 2)), DOC, at(1))}, "package 1")
+    others = []
+
+    class Slow(SumByMonth):
+        def rebuild(self, c):
+            for x in super().rebuild(c):
+                time.sleep(1.0)
+                others.append(MartRunner(store, SumByMonth(), "other", lease_ttl=0.6).run_once().ran)
+                yield x
+
+    assert MartRunner(store, Slow(), lease_ttl=0.6).run_once().blocks == ["2024-01", "2024-02"] and others == ["busy", "busy"]
+
+
+def test_lost_lease_announces_nothing(spark, store):
+    store.publish({"Document_D": merge(None, docs(spark, ("a", 1, 1), ("b", 2, 2)), DOC, at(1))}, "package 1")
+
+    class Robbed(SumByMonth):
+        def rebuild(self, c):
+            for n, x in enumerate(super().rebuild(c)):
+                if n:
+                    revision, _ = store.document("lease-mart-sums")
+                    store.replace_document("lease-mart-sums", revision, {"owner": "thief", "heartbeat": 9e18})
+                yield x
+
+    r = MartRunner(store, Robbed())
+    assert r.run_once().ran == "lost" and store.read("sums").count() == 1 and r.progress()["label"] == "2024-01"
+    revision, _ = store.document("lease-mart-sums")
+    store.replace_document("lease-mart-sums", revision, {"owner": None, "heartbeat": 0})
+    again = MartRunner(store, SumByMonth(), "next")
+    assert again.run_once().blocks == ["2024-02"] and again.progress()["building"] is None and again.run_once().ran == "idle"
+
+
+def test_new_order_during_a_rebuild_begins_anew(spark, store):
+    store.publish({"Document_D": merge(None, docs(spark, ("a", 1, 1), ("b", 2, 2)), DOC, at(1))}, "package 1")
+    r = MartRunner(store, SumByMonth())
+
+    class Ordered(SumByMonth):
+        def rebuild(self, c):
+            for x in super().rebuild(c):
+                if not r.wishes().get("order"):
+                    r.request_rebuild()
+                yield x
+
+    r.mart = Ordered()
+    assert r.run_once().blocks == ["2024-01"] and r.run_once().blocks == ["2024-01", "2024-02"] and r.run_once().ran == "idle"
+
+
+def test_marts_run_by_interval_and_by_abandoned_writes(spark, store):
+    now = [0.0]
+    store.publish({"Document_D": merge(None, docs(spark, ("a", 1, 1)), DOC, at(1))}, "package 1")
+
+    class Seldom(SumByMonth):
+        MIN_INTERVAL = 100
+
+    class Fails(SumByMonth):
+        NAME = "fails"
+
+        def rebuild(self, c):
+            raise OSError("no")
+
+    loop = MartLoop([MartRunner(store, Seldom()), MartRunner(store, Fails())], clock=lambda: now[0])
+    told = loop.run_pass()
+    assert told["sums"].ran == "rebuild" and isinstance(told["fails"], OSError) and loop.run_pass() == {}
+    now[0] = 61
+    assert set(loop.run_pass()) == {"fails"}
+    now[0] = 101
+    assert loop.run_pass()["sums"].ran == "idle"
+    store.put(Staged(), "abandoned write", forced=["Document_D"])
+    assert loop.run_pass()["sums"].ran == "increment"
+    loop.stop()
+    assert loop.run_pass() == {} and loop.run_forever() is None
+
+
+def test_context_runs_sql(spark, store):
+    c = MartContext(spark, store, "x", 0, {})
+    assert c.query("select id * 2 as n from {t} where id > :low", t=spark.range(4), low=2).collect() == [(6,)]
+    c.execute("select 1")
+    t = spark.createDataFrame([(datetime(2024, 1, d), datetime(2024, 2, 3 - d)) for d in (1, 2)], "a timestamp_ntz, b timestamp_ntz")
+    c.since = datetime(2024, 2, 1, 12)
+    assert t.where(c.changed_since("a", "b")).count() == 1
+
+
 def test_marts_are_checked():
     class Bad:
         NAME, ON = "x", "Document_D"
 
-    for m in (Bad(), SumByMonth, type("E", (), {"NAME": "e", "ON": [], "process_changes": print})(), type("E", (), {"NAME": "ё", "ON": ["a"], "process_changes": print})()):
+    for m in (Bad(), SumByMonth, type("E", (), {"NAME": "e", "ON": [], "process_changes": print})(), type("E", (), {"NAME": "ё", "ON": ["a"], "process_changes": print})(), type("E", (), {"NAME": "e", "ON": ["a"], "MIN_INTERVAL": -1, "process_changes": print})()):
         with pytest.raises((ValueError, TypeError)):
             checked(m)

@@ -2,16 +2,23 @@
 
 from __future__ import annotations
 
+import logging
 import re
+import threading
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Any, Protocol, runtime_checkable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.functions.filters import changed_since
 from tidemark.operators.merge import MergeResult
-from tidemark.plans.state import Lease
-from tidemark.plans.store import Conflict, Store
+from tidemark.plans.state import LEASE_TTL, Lease
+from tidemark.plans.store import ATTEMPTS, Conflict, LostLease, Store
+
+log = logging.getLogger(__name__)
 
 
 @dataclass
@@ -38,13 +45,30 @@ class MartContext:
     def mart(self) -> DataFrame | None:
         return self.store.read(self.name)
 
+    def query(self, sql: str, **values: Any) -> DataFrame:
+        """SQL over frames, named in braces, and values, named after a colon: ``query("select * from {t} where x > :low", t=frame, low=3)``."""
+        frames = {k: v for k, v in values.items() if isinstance(v, DataFrame)}
+        return self.spark.sql(sql, {k: v for k, v in values.items() if k not in frames}, **frames)
+
+    def execute(self, sql: str, **values: Any) -> None:
+        """A statement for its effect."""
+        self.query(sql, **values).collect()
+
+    def changed_since(self, *stamps: str) -> Column:
+        """Whether one of a row's stamps is later than ``since``; all rows where there is none."""
+        return changed_since(self.since, *[F.col(s) for s in stamps]) if self.since is not None else F.lit(True)
+
     def changed(self, table: str) -> bool:
         return self.store.state(self.pinned)[table].number > self.cursor.get(table, 0) if table in self.store.state(self.pinned) else False
 
 
 @runtime_checkable
 class Mart(Protocol):
-    """``ON``: names of source tables. Methods return merges; ``rebuild`` yields (label, merges) in ascending order of labels."""
+    """``ON``: names of source tables. Methods return merges; ``rebuild`` yields (label, merges) in ascending order of labels.
+
+    Optional: ``MIN_INTERVAL`` seconds between runs, ``ON_FULL_LOAD`` (whether full loads alone make it run), ``LAYOUTS``
+    of its tables, ``setup``, and ``rebuild``.
+    """
 
     NAME: str
     ON: list[str]
@@ -63,6 +87,9 @@ def checked(mart: Any) -> Any:
         raise ValueError(f"{name or mart}: ON has to be a list of table names that isn't empty")
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", name):
         raise ValueError(f"{name!r} is no name for a mart: ASCII letters, digits, dots, dashes and underscores")
+    interval = getattr(mart, "MIN_INTERVAL", 0)
+    if isinstance(interval, bool) or not isinstance(interval, (int, float)) or interval < 0:
+        raise ValueError(f"{name}: MIN_INTERVAL has to be a number of seconds")
     if not callable(getattr(mart, "process_changes", None)):
         raise ValueError(f"{name} has no process_changes")
     return mart
@@ -70,7 +97,7 @@ def checked(mart: Any) -> Any:
 
 @dataclass
 class Run:
-    ran: str  # "idle", "busy", "increment" or "rebuild"
+    ran: str  # "idle", "busy", "lost", "increment" or "rebuild"
     modified: int = 0
     blocks: list[str] = field(default_factory=list)
 
@@ -78,38 +105,52 @@ class Run:
 class MartRunner:
     """Runs one mart. Its cursor is the commit it has seen, so no change between two runs is missed or half seen.
 
-    Cursor and data change in one commit. A rebuild saves its block's label with the block, takes increments between
-    blocks in the same thread, and resumes after its last block. At-least-once: a run that fails is repeated from its
-    cursor, and merges make a repetition harmless.
+    Data, cursor and a rebuild's progress are carried by one commit, which is announced only while the lease, renewed by
+    a thread, is this runner's. So a run that fails or loses its lease leaves nothing behind and is repeated from the
+    cursor, by whoever has the lease then. A rebuild takes increments between blocks in the same thread, and resumes
+    after its last block; a new order begins it anew.
     """
 
-    def __init__(self, store: Store, mart: Mart, owner: str = "runner"):
+    def __init__(self, store: Store, mart: Mart, owner: str = "runner", lease_ttl: float = LEASE_TTL):
         self.store, self.mart, self.name = store, checked(mart), mart.NAME
-        self.lease, self._is_set_up = Lease(store, f"mart-{self.name}", owner), False
+        self.lease, self._is_set_up = Lease(store, f"mart-{self.name}", owner, lease_ttl), False
 
     @property
     def document(self) -> str:
         return f"mart-{self.name}"
 
-    def state(self) -> tuple[int, dict]:
-        return self.store.document(self.document)
+    def wishes(self) -> dict:
+        """What was ordered: order (how many rebuilds), disabled."""
+        return self.store.document(self.document)[1]
+
+    def _wish(self, change: Callable[[dict], dict]) -> None:
+        for _ in range(ATTEMPTS):
+            revision, held = self.store.document(self.document)
+            try:
+                self.store.replace_document(self.document, revision, held | change(held))
+                return
+            except Conflict:
+                continue
+        raise Conflict(f"the wishes for {self.name} change faster than they can be written")
 
     def request_rebuild(self) -> None:
-        revision, s = self.state()
-        self.store.replace_document(self.document, revision, s | {"rebuild": True, "label": None, "order": s.get("order", 0) + 1})
+        self._wish(lambda held: {"order": held.get("order", 0) + 1})
 
     def disable(self, yes: bool = True) -> None:
-        revision, s = self.state()
-        self.store.replace_document(self.document, revision, s | {"disabled": yes})
-
-    def pending(self, pinned: int, s: dict) -> bool:
-        now = self.store.state(pinned)
-        only_changes = not getattr(self.mart, "ON_FULL_LOAD", True)
-        moved = {t for t in self.mart.ON if t in now and now[t].number > s.get("cursor", {}).get(t, 0)}
-        if only_changes and moved:
-            told = [e for e in self.store.log(s.get("cursor", {}).get("__commit", 0)) if e["table"] in moved]
-            return any(not e["source"].startswith(("full load", "marking", "orphans")) for e in told)
-        return bool(moved)
+        self._wish(lambda _: {"disabled": yes})
+
+    def progress(self) -> dict:
+        """cursor, and of rebuilds: done (the last order that was met), building (the order being met), label."""
+        return self.store.carried(self.document)
+
+    def pending(self) -> bool:
+        """Whether a source has moved since the cursor, or a write to one was abandoned."""
+        cursor, now = self.progress().get("cursor", {}), self.store.state()
+        moved = {t for t in self.mart.ON if t in now and now[t].number > cursor.get(t, 0)}
+        told = [e for e in self.store.log(cursor.get("__commit", 0)) if e["table"] in self.mart.ON]
+        if moved and getattr(self.mart, "ON_FULL_LOAD", True) or any(e.get("forced") for e in told):
+            return True
+        return any(e["table"] in moved and not e["source"].startswith(("full load", "marking", "orphans")) for e in told)
 
     def run_once(self, rebuild: bool = False) -> Run:
         if rebuild:
@@ -117,15 +158,17 @@ class MartRunner:
         with self.lease.hold() as mine:
             if not mine:
                 return Run("busy")
-            _, s = self.state()
-            if s.get("disabled"):
+            wishes, done = self.wishes(), self.progress()
+            if wishes.get("disabled"):
                 return Run("idle")
-            if s.get("rebuild") or s.get("label") is not None or (not s.get("cursor") and hasattr(self.mart, "rebuild")):
-                return self._rebuild()
-            return self._increment()
+            ordered = wishes.get("order", 0) > done.get("done", -1) or done.get("building") is not None
+            try:
+                return self._rebuild() if ordered and hasattr(self.mart, "rebuild") else self._increment()
+            except LostLease:
+                return Run("lost")
 
-    def _context(self, s: dict, **more: Any) -> MartContext:
-        c = MartContext(self.store.spark, self.store, self.name, self.store.head(), s.get("cursor", {}), lease_is_mine=self.lease.still_mine, **more)
+    def _context(self, **more: Any) -> MartContext:
+        c = MartContext(self.store.spark, self.store, self.name, self.store.head(), self.progress().get("cursor", {}), lease_is_mine=self.lease.still_mine, **more)
         if not self._is_set_up:
             getattr(self.mart, "setup", lambda _: None)(c)
             self._is_set_up = True
@@ -134,55 +177,32 @@ class MartRunner:
     def _seen(self, pinned: int) -> dict[str, int]:
         return {"__commit": pinned} | {t: v.number for t, v in self.store.state(pinned).items() if t in self.mart.ON}
 
-    def _publish(self, changes: dict[str, MergeResult]) -> int:
-        counts = self.store.publish(changes, f"mart {self.name}") if changes else {}
+    def _publish(self, changes: dict[str, MergeResult], **progress: Any) -> int:
+        counts = self.store.publish(changes, f"mart {self.name}", getattr(self.mart, "LAYOUTS", None), {self.document: self.progress() | progress}, fence=self.lease.still_mine)
         return sum(c["inserted"] + c["updated"] + c["deleted"] for c in counts.values())
 
-    def _save(self, change: Callable[[dict], dict], order: int) -> None:
-        """Compare and set; an order that came meanwhile stays."""
-        for _ in range(10):
-            revision, s = self.state()
-            new = s | change(s)
-            if s.get("order", 0) != order:
-                new |= {"rebuild": True, "label": None}
-            try:
-                self.store.replace_document(self.document, revision, new)
-                return
-            except Conflict:
-                continue
-        raise Conflict(f"the state of {self.name} can't be saved")
-
     def _increment(self) -> Run:
-        _, s = self.state()
-        pinned = self.store.head()
-        if not self.pending(pinned, s):
+        if not self.pending():
             return Run("idle")
-        context = self._context(s)
-        modified = self._publish(self.mart.process_changes(context))
-        if not self.lease.still_mine():
-            self.request_rebuild()
-            return Run("increment", modified)
-        self._save(lambda _: {"cursor": self._seen(context.pinned)}, s.get("order", 0))
-        return Run("increment", modified)
+        context = self._context()
+        changes = self.mart.process_changes(context)
+        return Run("increment", self._publish(changes, cursor=self._seen(context.pinned)))
 
     def _rebuild(self) -> Run:
-        _, s = self.state()
-        order, pinned = s.get("order", 0), self.store.head()
-        if not s.get("cursor") or s.get("rebuild"):
-            self._save(lambda _: {"cursor": self._seen(pinned), "rebuild": True}, order)  # increments between blocks start here
-        _, s = self.state()
+        order = self.wishes().get("order", 0)
+        if self.progress().get("building") != order:  # increments between blocks start from here
+            self._publish({}, building=order, label=None, cursor=self._seen(self.store.head()))
         out = Run("rebuild")
-        context = self._context(s, full_rebuild=True, rebuild_from=s.get("label"))
+        context = self._context(full_rebuild=True, rebuild_from=self.progress().get("label"))
         for label, changes in self.mart.rebuild(context):
             if context.rebuild_from is not None and label <= context.rebuild_from:
                 continue
-            out.modified += self._publish(changes)
+            out.modified += self._publish(changes, label=label)
             out.blocks.append(label)
-            self._save(lambda _, label=label: {"label": label}, order)
-            if self.state()[1].get("order", 0) != order:
+            if self.wishes().get("order", 0) != order:
                 return out  # ordered anew: the next run begins from the first block
             out.modified += self._increment().modified
-        self._save(lambda _: {"rebuild": False, "label": None}, order)
+        self._publish({}, building=None, label=None, done=order)
         return out
 
 
@@ -195,3 +215,38 @@ def run_all(runners: list[MartRunner]) -> dict[str, Run | Exception]:
         except Exception as e:  # told by name
             out[r.name] = e
     return out
+
+
+class MartLoop:
+    """Passes over marts until stopped. A mart runs no sooner than its MIN_INTERVAL after its last run began, and one that failed after a delay."""
+
+    # Fixed values, in seconds.
+    RETRY_DELAY, IDLE_POLL = 60.0, 1.0
+
+    def __init__(self, runners: list[MartRunner], clock: Callable[[], float] = time.monotonic):
+        self.runners, self.clock, self.stopping = runners, clock, threading.Event()
+        self.next = {r.name: 0.0 for r in runners}
+
+    def run_pass(self) -> dict[str, Run | Exception]:
+        out: dict[str, Run | Exception] = {}
+        for r in self.runners:
+            began = self.clock()
+            if self.stopping.is_set() or began < self.next[r.name]:
+                continue
+            out |= run_all([r])
+            failed, ran = isinstance(out[r.name], Exception), getattr(out[r.name], "ran", "") in ("increment", "rebuild")
+            self.next[r.name] = self.clock() + self.RETRY_DELAY if failed else began + (float(getattr(r.mart, "MIN_INTERVAL", 0.0)) if ran else 0.0)
+        return out
+
+    def run_forever(self, max_passes: int | None = None) -> None:
+        n = 0
+        while not self.stopping.is_set() and (max_passes is None or n < max_passes):
+            told, n = self.run_pass(), n + 1
+            for name, r in told.items():
+                if isinstance(r, Exception):
+                    log.warning("mart %s failed: %s", name, r)
+            if not any(getattr(r, "ran", "") in ("increment", "rebuild") for r in told.values()):
+                self.stopping.wait(self.IDLE_POLL)
+
+    def stop(self) -> None:
+        self.stopping.set()
