@@ -1,0 +1,108 @@
+"""Paged snapshots from a service that orders, filters, counts and refuses pages."""
+
+import re
+import threading
+import urllib.parse
+from datetime import datetime, timedelta
+from http.server import BaseHTTPRequestHandler, HTTPServer
+
+import pytest
+from conftest import rows
+from test_shape import entry
+
+from tidemark.plans import full_load as fl
+from tidemark.plans.store import Store
+from tidemark.sources.odata import ODataSnapshot, literal, page_order, pages, window_filter
+from tidemark.sources.transport import HttpTransport
+from tidemark.spec import TableSpec
+from tidemark.streaming.replicator import rows_of
+
+DOC = TableSpec("Document_D", {"Ref_Key": "Guid", "Date": "DateTime", "Sum": "Double"}, ("Ref_Key",))
+SET = TableSpec("AccumulationRegister_R", {"Recorder": "Guid", "LineNumber": "Int64", "Period": "DateTime"}, ("Recorder", "LineNumber"), ("Recorder",))
+GUID = "{:08x}-0000-0000-0000-000000000000".format
+
+
+class Service(BaseHTTPRequestHandler):
+    """Serves ``data`` [(guid, date or None, sum)]; refuses pages of more than ``most`` entries."""
+
+    data: list = []
+    asked: list = []
+    most = 7
+
+    def log_message(self, *a):
+        pass
+
+    def do_GET(self):
+        path, _, query = urllib.parse.unquote(self.path).lstrip("/").partition("?")
+        q = dict(x.split("=", 1) for x in query.split("&") if x)
+        found = [r for r in self.data if self._in(r, q.get("$filter", ""))]
+        if path.endswith("/$count"):
+            return self._answer(str(len(found)).encode())
+        keys = q["$orderby"].split(",")
+        by = (lambda r: r[1]) if keys[0].startswith("Date") else (lambda r: r[0])
+        found = sorted(found, key=by, reverse=keys[0].endswith(" desc"))
+        top, skip = int(q["$top"]), int(q.get("$skip", 0))
+        self.asked.append((top, skip, q.get("$filter", "")))
+        if top > self.most:
+            return self._answer(b"too heavy", 500)
+        body = "".join(entry("Document_D", f"<d:Ref_Key>{g}</d:Ref_Key>" + (f"<d:Date>{d.isoformat()}</d:Date>" if d else "<d:Date/>") + f"<d:Sum>{s}</d:Sum>") for g, d, s in found[skip : skip + top])
+        self._answer(f'<feed xmlns="http://www.w3.org/2005/Atom">{body}</feed>'.encode())
+
+    def _in(self, r, told):
+        if "eq null" in told:
+            return r[1] is None
+        for op, text in re.findall(r"Date (ge|lt) datetime'([^']+)'", told):
+            at = datetime.fromisoformat(text)
+            if r[1] is None or (op == "ge" and r[1] < at) or (op == "lt" and r[1] >= at):
+                return False
+        return r[1] is not None if "ne null" in told else True
+
+    def _answer(self, body, code=200):
+        self.send_response(code)
+        self.end_headers()
+        self.wfile.write(body)
+
+
+@pytest.fixture
+def service():
+    Service.data = [(GUID(k), datetime(2024, 1, 1) + timedelta(days=5 * k), k) for k in range(50)] + [(GUID(900), None, 9)]
+    Service.asked, Service.most = [], 7
+    server = HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield HttpTransport(f"http://127.0.0.1:{server.server_port}", "Plan", GUID(1))
+    server.shutdown()
+
+
+def test_pages_shrink_and_stay_small(service):
+    found = [e for p in pages(service._open, "Document_D", ["Ref_Key"], "", fl.PageSize(100)) for e in p]
+    assert len(found) == len(set(found)) == 51
+    tops = [t for t, _, _ in Service.asked]
+    assert tops[:3] == [100, 25, 6] and set(tops[3:]) == {6}
+    Service.most = 0
+    with pytest.raises(Exception, match="500"):
+        list(pages(service._open, "Document_D", ["Ref_Key"], "", fl.PageSize(4)))
+
+
+def test_whole_object_in_windows_by_tasks(spark, service, tmp_path):
+    specs = {"Document_D": DOC}
+    source = ODataSnapshot(spark, service, lambda e, s: rows_of(e, s, specs, 0), page=20)
+    assert source.bounds(DOC, "Date") == (datetime(2024, 1, 1), datetime(2024, 1, 1) + timedelta(days=245))
+    assert source.count(DOC, None, fl.Window(None, None)) == 51 and source.count(DOC, "Date", fl.Window(None, datetime(2024, 1, 11))) == 2
+    windows = [fl.Window(None, datetime(2024, 3, 1)), fl.Window(datetime(2024, 3, 1), None), fl.Window(None, None, undated=True)]
+    read = source.entries(DOC, "Date", windows)
+    assert read.rdd.getNumPartitions() == 3 and read.count() == 51
+    store = Store(spark, f"file://{tmp_path}/store")
+    run = lambda n: fl.full_load(store, source, specs, "Document_D", "Date", started_at=datetime(2024, 12, n), now=datetime(2024, 12, n, 1), limit=10)
+    assert run(1) == 51 and run(2) == 0
+    Service.data = [r for r in Service.data if r[2] != 9] + [(GUID(901), datetime(2024, 2, 2), 1)]
+    assert run(3) == 3  # one with a date and one without vanished, one came
+    assert rows(store.read("Document_D").where("not is_deleted_or_empty"), "Ref_Key") == sorted((g,) for g, _, _ in Service.data)
+
+
+def test_literals_and_filters():
+    assert literal(datetime(209, 1, 2, 3, 4, 5, 999), "DateTime") == "datetime'0209-01-02T03:04:05'" and literal("O'N", "String") == "'O''N'"
+    assert literal(1e-7, "Double") == "0.0000001" and literal(True, "Boolean") == "true" and literal(GUID(1), "Guid") == f"guid'{GUID(1)}'" and literal(None, "String") == "null"
+    w = fl.Window(datetime(2024, 1, 1), datetime(2024, 2, 1))
+    assert window_filter(DOC, "Date", w) == "Date ge datetime'2024-01-01T00:00:00' and Date lt datetime'2024-02-01T00:00:00'"
+    assert window_filter(SET, "Period", w).startswith("RecordSet/any(r: r/Period ge") and window_filter(SET, None, w) == "" and window_filter(DOC, "Date", fl.Window(None, None)) == ""
+    assert page_order(SET) == ["Recorder"] and page_order(TableSpec("InformationRegister_I", {"Period": "DateTime", "K": "String"}, ("Period", "K"))) == ["Period", "K"]
