@@ -1,11 +1,22 @@
-"""Change-data capture and incremental marts on Spark DataFrames.
+"""Change data capture and incremental marts on Spark."""
 
-Change packages and full snapshots of nested business objects are shaped into flat typed tables, merged with exact
-rules, and kept in derived marts. Layers: ``functions`` (column expressions), ``operators`` (frame to frame),
-``sources`` (packages, metadata, snapshots), ``plans`` (snapshot store, state, full loads, marts), ``streaming``.
-"""
-
-from tidemark.operators.merge import MergeResult, mark_missing, mark_orphans, merge
+from tidemark.functions.names import NameBook, Names
+from tidemark.operators.merge import MergeResult, mark_missing, mark_orphans, merge, merge_mart
+from tidemark.plans.full_load import Cron, FrameSnapshot, FullLoadCron, FullLoads, full_load
+from tidemark.plans.mart_library import GroupMart, RowMart
+from tidemark.plans.mart_runner import Mart, MartContext, MartLoop, MartRunner
+from tidemark.plans.state import Claims, InFlight, Lease, Registry
+from tidemark.plans.store import Conflict, LostLease, Store
+from tidemark.sources.metadata import parse as parse_metadata
+from tidemark.sources.odata import ODataSnapshot
+from tidemark.sources.transport import FolderTransport, HttpTransport
 from tidemark.spec import TableSpec
+from tidemark.streaming.feed import ChangeFeed
+from tidemark.streaming.replicator import Cycle, PackageHeld, Replicator
 
-__all__ = ["MergeResult", "TableSpec", "mark_missing", "mark_orphans", "merge"]
+__version__ = "0.2.0"
+__all__ = [
+    "ChangeFeed", "Claims", "Conflict", "Cron", "Cycle", "FolderTransport", "FrameSnapshot", "FullLoadCron", "FullLoads", "GroupMart", "HttpTransport", "InFlight", "Lease", "LostLease",
+    "Mart", "MartContext", "MartLoop", "MartRunner", "MergeResult", "NameBook", "Names", "ODataSnapshot", "PackageHeld", "Registry", "Replicator", "RowMart", "Store", "TableSpec",
+    "full_load", "mark_missing", "mark_orphans", "merge", "merge_mart", "parse_metadata",
+]

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.spec import RESERVED
@@ -94,3 +95,44 @@ class Names:
         yield _suffixed(mapped, source)
         while True:
             yield _suffixed(mapped, source + uuid4().hex)
+
+
+def renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """Columns under their table names; what the mapping doesn't know keeps its own. Two columns of one name are an error."""
+    out = [names.get(c, c) for c in df.columns]
+    if len(set(out)) < len(out):
+        raise ValueError(f"two columns of one name in {out}")
+    return df.toDF(*out)
+
+
+def resolved(name: str, names: dict[str, str]) -> str:
+    """The source name that a source or table name stands for; an error if it is neither, or both of different ones."""
+    hits = {s for s, t in names.items() if name in (s, t)}
+    if len(hits) != 1:
+        raise ValueError(f"{name} is {'ambiguous' if hits else 'unknown'}")
+    return hits.pop()
+
+
+class NameBook:
+    """Names kept in the store, given by compare and set: of two writers that want one identifier, the second gets another."""
+
+    DOCUMENT = "names"
+
+    def __init__(self, store):
+        self.store = store
+
+    def mapping(self, scope: str, sources: Iterable[str]) -> dict[str, str]:
+        """Table names of the sources within the scope; new ones are allocated, all at once, and never change."""
+        sources = list(sources)
+        for _ in range(20):
+            revision, held = self.store.document(self.DOCUMENT)
+            book = Names({(s, n): t for s, given in held.items() for n, t in given.items()})
+            out = {n: book.allocate(scope, n) for n in sources}
+            if all(n in held.get(scope, {}) for n in sources):
+                return out
+            try:
+                self.store.replace_document(self.DOCUMENT, revision, held | {scope: held.get(scope, {}) | out})
+                return out
+            except RuntimeError:  # another writer was first: its names are taken now
+                continue
+        raise RuntimeError("names change faster than they can be written")

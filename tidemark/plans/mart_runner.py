@@ -42,8 +42,12 @@ class MartContext:
         """The source as the last run saw it."""
         return self.store.read(table, self.cursor["__commit"]) if self.cursor.get("__commit") else None
 
-    def mart(self) -> DataFrame | None:
-        return self.store.read(self.name)
+    def delta(self, table: str, key: list[str]) -> DataFrame | None:
+        """Rows of a source that were written since the last run, from parts that changed; all rows in a rebuild or a first run."""
+        return self.store.changes(table, key, 0 if self.full_rebuild else self.cursor.get("__commit", 0), self.pinned)
+
+    def mart(self, table: str | None = None, parts: list[str] | None = None) -> DataFrame | None:
+        return self.store.read(table or self.name, parts=parts)
 
     def query(self, sql: str, **values: Any) -> DataFrame:
         """SQL over frames, named in braces, and values, named after a colon: ``query("select * from {t} where x > :low", t=frame, low=3)``."""

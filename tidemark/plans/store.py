@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.merge import ACTION, MergeResult
-from tidemark.spec import TableSpec
+from tidemark.spec import MERGED_ON, TableSpec
 
 
 class Conflict(RuntimeError):
@@ -202,6 +202,16 @@ class Store:
             return None
         return sorted(r[0] for r in batch.select(_label(v.partition, v.struct)).distinct().collect())  # as many as buckets at most
 
+    def changes(self, table: str, key: Iterable[str], since: int, until: int | None = None) -> DataFrame | None:
+        """Rows of the table that are new or were written between two commits; only parts whose files differ are read."""
+        now, was = self.state(until).get(table), self.state(since).get(table) if since else None
+        if now is None or was is None or now.partition != was.partition:
+            return self.read(table, until)
+        parts = [k for k, p in now.paths.items() if was.paths.get(k) != p]
+        old = self.read(table, since, parts)
+        on = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (*key, MERGED_ON)]
+        return self.read(table, until, parts).alias("n").join(old.select(*key, MERGED_ON).alias("o"), on, "left_anti")
+
     def versions(self) -> dict[str, int]:
         return {k: v.number for k, v in self.state().items()}
 

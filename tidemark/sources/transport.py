@@ -8,7 +8,7 @@ import re
 import urllib.parse
 import urllib.request
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Protocol
 
 from tidemark.sources.metadata import CHUNK_BYTES, bounded, checked, received_no
@@ -55,10 +55,14 @@ class HttpTransport:
     exchange: str
     node: str
     user: str = ""
-    password: str = ""
+    password: str = field(default="", repr=False)
     timeout: float = 600.0
 
     def __post_init__(self):
+        if not self.timeout > 0:
+            raise ValueError("the timeout has to be positive")
+        if self.password and not self.user:
+            raise ValueError("a password needs a user")
         if urllib.parse.urlsplit(self.url).scheme not in ("http", "https"):
             raise ValueError("the address has to begin with http:// or https://")
         if not re.fullmatch(r"\w+", self.exchange):
