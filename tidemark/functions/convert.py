@@ -18,7 +18,7 @@ def scalar(c: Column) -> Column:
 
 def canonical_guid(c: Column) -> Column:
     """Lower case with dashes, from plain, braced, urn or dashless forms; null for anything else."""
-    bare = F.regexp_replace(F.lower(F.trim(c)), r"^(?:urn:)?(?:uuid:)?|[{}-]", "")
+    bare = F.regexp_replace(F.regexp_replace(F.lower(F.trim(c)), r"^(?:urn:)?(?:uuid:)?", ""), r"[{}-]", "")
     dashed = F.regexp_replace(bare, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
     return F.when(dashed.rlike(_GUID), dashed)
 

@@ -53,6 +53,11 @@ def supported(name: Column) -> Column:
     return F.substring_index(name, "_", 1).isin(*SUPPORTED)
 
 
+def listed(name: Column, is_table_part: Column, absent: Column) -> Column:
+    """Objects to offer: of a supported class, no table part, and still in the source."""
+    return F.coalesce(supported(name), F.lit(False)) & ~is_table_part.eqNullSafe(F.lit(True)) & ~absent.eqNullSafe(F.lit(True))
+
+
 def pending_full_loads() -> Column:
     return F.col("full_load_is_required") & ~F.col("absent_from_metadata").eqNullSafe(F.lit(True))
 

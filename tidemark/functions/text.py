@@ -72,6 +72,11 @@ def error_text(body: Column) -> Column:
     )
 
 
+def masked(c: Column) -> Column:
+    """Addresses without the user and password that they carry."""
+    return F.regexp_replace(c, r"://[^/\s@]+@", "://***@")
+
+
 def format_bytes(c: Column) -> Column:
     """Bytes as a whole number, larger units with one decimal, up to TB."""
     units = ("B", "KB", "MB", "GB", "TB")

@@ -91,6 +91,16 @@ def affected_groups(lineage: DataFrame, rows: DataFrame, changed: dict[str, Data
     return reduce(DataFrame.unionByName, now, before).distinct()
 
 
+def difference(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
+    """One row: missing (rows of ``right`` that ``left`` lacks or has otherwise), surplus (the other way) and total rows of ``right``; by one join on the key, which is unique in both."""
+    values = [c for c in right.columns if c not in key]
+    l, r = (f.select(*[F.col(c).alias(f"{s}_{c}") for c in key], F.struct(*values).alias(f"{s}_value"), F.lit(True).alias(s)) for f, s in ((left, "l"), (right, "r")))
+    both = l.join(r, reduce(lambda a, b: a & b, (F.col(f"l_{c}").eqNullSafe(F.col(f"r_{c}")) for c in key)), "full_outer")
+    same = F.col("l").isNotNull() & F.col("r").isNotNull() & F.col("l_value").eqNullSafe(F.col("r_value"))
+    count = lambda c: F.count(F.when(c, 1))
+    return both.agg(count(F.col("r").isNotNull() & ~same).alias("missing"), count(F.col("l").isNotNull() & ~same).alias("surplus"), count(F.col("r").isNotNull()).alias("total"))
+
+
 def row_months(register: DataFrame, period: str = "Period") -> DataFrame:
     """Blocks of a row mart's rebuild: the months that occur, and one bucket if a period is absent."""
     label = F.coalesce(F.date_format(period, "yyyy-MM"), F.lit(NO_MONTH)).alias("label")

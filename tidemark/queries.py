@@ -110,19 +110,22 @@ def mart_lineage_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {REG} SELECT "Recorder", "LineNumber" FROM reg LEFT JOIN part ON p_partkey = "Item" WHERE reg.merged_on > TIMESTAMP '1998-06-01' OR (p_partkey IS NOT NULL AND p_size > 40)""")
 def changed_keys_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("Ref_Key"), F.col("p_name").alias("Code"), F.when(F.col("p_size") > 40, stamp(NOW)).otherwise(stamp("1996-01-01 00:00:00")).alias(MERGED_ON))
-    v = marts.row_view(register(spark, sf_dir), c)
     cursor = stamp(STARTED)
-    return marts.rows_to_refresh(v, ["Recorder", "LineNumber"], [F.col(MERGED_ON) > cursor, F.col("catalog_merged_on") > cursor]).select("Recorder", "LineNumber")
+    return marts.changed_rows(marts.row_view(register(spark, sf_dir), c), ["Recorder", "LineNumber"], [F.col(MERGED_ON) > cursor, F.col("catalog_merged_on") > cursor])
 
 
-@query(f"""{ROWS}, changed AS (SELECT "Recorder" AS id FROM reg WHERE merged_on > TIMESTAMP '1998-06-01' UNION SELECT o_orderkey FROM orders WHERE o_orderdate > TIMESTAMP '1998-06-01')
-SELECT "Number", "Year" FROM rws WHERE "Recorder" IN (SELECT id FROM changed) UNION SELECT "Number", "Year" FROM rws WHERE merged_on > TIMESTAMP '1998-06-01' UNION SELECT "Number", "Year" FROM rws WHERE doc_on > TIMESTAMP '1998-06-01'""")
+@query(f"""{ROWS}, was AS (SELECT "Recorder", CAST(o_orderkey AS VARCHAR) AS "Number", CAST(year(CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderdate + INTERVAL 400 DAY ELSE o_orderdate END) AS INTEGER) AS "Year" FROM reg JOIN orders ON o_orderkey = "Recorder"),
+changed AS (SELECT "Recorder" AS id FROM reg WHERE merged_on > TIMESTAMP '1998-06-01' UNION SELECT o_orderkey FROM orders WHERE o_orderdate > TIMESTAMP '1998-06-01')
+SELECT "Number", "Year" FROM was WHERE "Recorder" IN (SELECT id FROM changed) UNION SELECT "Number", "Year" FROM rws WHERE merged_on > TIMESTAMP '1998-06-01' UNION SELECT "Number", "Year" FROM rws WHERE doc_on > TIMESTAMP '1998-06-01'""")
 def changed_groups_prev_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups that changed documents belonged to, by a lineage from before their dates changed, and groups they belong to now."""
     rows, cursor = group_rows(spark, sf_dir), stamp(STARTED)
+    was = documents(spark, sf_dir).withColumn("Date", F.when(F.col("Priority") == "1-URGENT", F.col("Date") + F.expr("INTERVAL 400 DAYS")).otherwise(F.col("Date")))
+    lineage = marts.lineage_table(marts.group_rows(register(spark, sf_dir), was, catalog(spark, sf_dir), ORDER))
     recorders = register(spark, sf_dir).where(F.col(MERGED_ON) > cursor).select(F.col("Recorder").alias("key")).union(documents(spark, sf_dir).where(F.col(MERGED_ON) > cursor).select("Ref_Key")).distinct()
     items = catalog(spark, sf_dir).where(F.col(MERGED_ON) > cursor).select(F.col("Ref_Key").alias("key"))
     when = [F.col(c) > cursor for c in (MERGED_ON, "document_merged_on", "catalog_merged_on")]
-    return marts.affected_groups(marts.lineage_table(rows), rows, {"Recorder": recorders, "Item": items}, when, ["Number", "Year"])
+    return marts.affected_groups(lineage, rows, {"Recorder": recorders, "Item": items}, when, ["Number", "Year"])
 
 
 @query("""SELECT DISTINCT coalesce(strftime(p, '%Y-%m'), '0000-00') AS label, CAST(date_trunc('month', p) AS DATE) AS begins, CAST(date_trunc('month', p) + INTERVAL 1 MONTH AS DATE) AS ends
@@ -147,7 +150,7 @@ def rebuild_month_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- merges
 
-_ORD_T = f"""t AS (SELECT o_orderkey AS k, o_orderstatus AS s, CAST(o_totalprice AS DECIMAL(18,2)) AS v, 1 AS m FROM orders WHERE o_orderpriority <> '1-URGENT'),
+ORD_T = f"""t AS (SELECT o_orderkey AS k, o_orderstatus AS s, CAST(o_totalprice AS DECIMAL(18,2)) AS v, 1 AS m FROM orders WHERE o_orderpriority <> '1-URGENT'),
 b AS (SELECT o_orderkey AS k, o_orderstatus AS s, CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderpriority = '2-HIGH' THEN 1 ELSE 0 END AS v, 2 AS m FROM orders WHERE o_orderstatus <> 'F')"""
 
 
@@ -166,7 +169,7 @@ def dated(c: str) -> Column:
     return F.col(c).cast("date").alias(c)
 
 
-@query(f"""WITH {_ORD_T} SELECT coalesce(t.k, b.k) AS "Ref_Key", CAST(CASE WHEN b.k IS NULL THEN t.v ELSE b.v END AS DECIMAL(18,2)) AS "Val",
+@query(f"""WITH {ORD_T} SELECT coalesce(t.k, b.k) AS "Ref_Key", CAST(CASE WHEN b.k IS NULL THEN t.v ELSE b.v END AS DECIMAL(18,2)) AS "Val",
 CAST(CASE WHEN t.k IS NULL OR (b.k IS NOT NULL AND (t.v <> b.v OR t.s <> b.s)) THEN 2 ELSE 1 END AS BIGINT) AS exchange_message_no,
 CASE WHEN t.k IS NULL OR (b.k IS NOT NULL AND (t.v <> b.v OR t.s <> b.s)) THEN DATE '2024-06-01' ELSE DATE '2001-12-01' END AS merged_on,
 CASE WHEN t.k IS NULL THEN DATE '2024-06-01' ELSE DATE '2001-12-01' END AS inserted_on FROM t FULL JOIN b ON t.k = b.k""")
@@ -175,7 +178,7 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.table.select("Ref_Key", "Val", MESSAGE_NO, dated(MERGED_ON), dated(INSERTED_ON))
 
 
-@query(f"""WITH {_ORD_T} SELECT t.k AS "Ref_Key", DATE '2001-12-01' AS merged_on, CAST(1 AS BIGINT) AS exchange_message_no, 'a' AS "DataVersion" FROM t""")
+@query(f"""WITH {ORD_T} SELECT t.k AS "Ref_Key", DATE '2001-12-01' AS merged_on, CAST(1 AS BIGINT) AS exchange_message_no, 'a' AS "DataVersion" FROM t""")
 def merge_noop_keeps_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A batch that differs in its message number and version alone leaves every row as it is."""
     t = stored_orders(spark, sf_dir)
@@ -183,7 +186,7 @@ def merge_noop_keeps_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge(t, b, ORDERS, stamp(NOW)).table.select("Ref_Key", dated(MERGED_ON), MESSAGE_NO, "DataVersion")
 
 
-@query(f"""WITH {_ORD_T} SELECT t.k AS "Ref_Key", DATE '2024-06-01' AS merged_on, CAST(9 AS BIGINT) AS exchange_message_no, 'c' AS "DataVersion" FROM t""")
+@query(f"""WITH {ORD_T} SELECT t.k AS "Ref_Key", DATE '2024-06-01' AS merged_on, CAST(9 AS BIGINT) AS exchange_message_no, 'c' AS "DataVersion" FROM t""")
 def merge_always_touch(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = stored_orders(spark, sf_dir)
     b = t.drop(MERGED_ON, INSERTED_ON).withColumns({"DataVersion": F.lit("c"), MESSAGE_NO: F.lit(9).cast("long")})
@@ -383,7 +386,7 @@ def boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.groupBy(F.col("object").alias("event_type")).agg(F.least(stamp("2024-02-01 00:00:00"), F.coalesce(F.min(F.when(live, F.col("started_at"))), stamp("2024-02-01 00:00:00"))).alias("boundary"))
 
 
-@query(f"""WITH {_ORD_T} SELECT count(*) FILTER (t.k IS NULL) AS inserted, count(*) FILTER (t.k IS NOT NULL AND b.k IS NOT NULL AND (t.v <> b.v OR t.s <> b.s)) AS updated, CAST(0 AS BIGINT) AS deleted, count(*) AS total FROM t FULL JOIN b ON t.k = b.k""")
+@query(f"""WITH {ORD_T} SELECT count(*) FILTER (t.k IS NULL) AS inserted, count(*) FILTER (t.k IS NOT NULL AND b.k IS NOT NULL AND (t.v <> b.v OR t.s <> b.s)) AS updated, CAST(0 AS BIGINT) AS deleted, count(*) AS total FROM t FULL JOIN b ON t.k = b.k""")
 def rows_modified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge(stored_orders(spark, sf_dir), changed_orders(spark, sf_dir), ORDERS, stamp(NOW)).counts()
 
@@ -423,7 +426,7 @@ def name_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "source string, name string")
 
 
-@query()
+@query("""SELECT * FROM (VALUES ('dimension', 0, 'Item_Key'), ('dimension', 1, 'Store_Key'), ('resource', 0, 'Qty'), ('resource', 1, 'Sum'), ('attribute', 0, 'Note')) t(role, position, field)""")
 def register_field_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = ["Recorder", "Recorder_Type", "LineNumber", "Period", "Active", "RecordType", "Item_Key", "Store_Key", "Qty", "Sum", "Note"]
     tables = {"AccumulationRegister_Sales_Balance": ["Item_Key", "QtyBalance"], "AccumulationRegister_Sales_Turnover": ["Period", "Item_Key", "Store_Key", "SumTurnover", "SumReceipt", "GoneTurnover"]}
@@ -464,7 +467,7 @@ def exact_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- feed
 
 
-@query()
+@query(f"""WITH {REG} SELECT CAST("Recorder" AS VARCHAR) AS "Recorder", 'Document_Order' AS "Recorder_Type", "LineNumber", "Item", CAST("Qty" AS DECIMAL(38,18)) AS "Qty", false AS is_deleted_or_empty, CAST(3 AS BIGINT) AS exchange_message_no FROM reg""")
 def xml_package_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as a change package of record sets in Atom XML, parsed back to register rows."""
     spec = TableSpec("AccumulationRegister_Lines", {"Recorder": "String", "Recorder_Type": "String", "LineNumber": "Int64", "Item": "Int64", "Qty": "Double"}, ("Recorder", "Recorder_Type", "LineNumber"), ("Recorder", "Recorder_Type"), resources=("Qty",))
@@ -505,8 +508,7 @@ def differential_except_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     fresh = marts.grouped(rows.join(touched, marts.GROUP, "left_semi"), lineage=False).drop("rows_merged_on")
     now = merge_mart(held, fresh, marts.GROUP, stamp(NOW), scope_keys=touched, delete=True).table.drop(MERGED_ON, INSERTED_ON)
     full = marts.grouped(rows, lineage=False).drop("rows_merged_on").select(*now.columns)
-    parts = full.exceptAll(now).select(F.lit("missing").alias("k")).union(now.exceptAll(full).select(F.lit("surplus").alias("k"))).union(full.select(F.lit("groups").alias("k")))
-    return parts.agg(*[F.count(F.when(F.col("k") == k, 1)).alias(k) for k in ("missing", "surplus", "groups")])
+    return marts.difference(now, full, marts.GROUP).select("missing", "surplus", F.col("total").alias("groups"))
 
 
 @query(f"""{ROWS} SELECT DISTINCT "Number", "Year" FROM rws WHERE "Item" IN (SELECT p_partkey FROM part WHERE p_size > 40)""")
@@ -515,3 +517,6 @@ def lineage_semi_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = group_rows(spark, sf_dir)
     keys = table(spark, sf_dir, "part").select(F.when(F.col("p_size") > 40, F.col("p_partkey")).alias("key"))
     return marts.affected_groups(marts.lineage_table(rows), rows, {"Item": keys}, [], ["Number", "Year"])
+
+
+from tidemark import more_queries as _more  # noqa: E402,F401  (registers further queries here)
