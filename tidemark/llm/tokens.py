@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import Workspace, running, utf8
 
+#: Lengths that one task sums up at most.
+RANGE = 128
+
+
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -109,8 +113,8 @@ def length_histogram(docs: DataFrame, path: str, text_col: str = "text") -> Data
     share of documents no longer. A limit between two lengths reads from the next lower row: truncated_total plus
     docs_longer for each token above it. An empty table gives no rows; repeated rows count each time.
 
-    Sums run within ranges of 1,024 lengths, offset by the totals of the lower ranges, of which there are as many as the
-    longest document has thousands of tokens.
+    Sums run within ranges of RANGE lengths, offset by the totals of the lower ranges, of which there are as many as the
+    longest document has tokens, divided by RANGE.
     """
     ws = Workspace(docs.sparkSession, "lengths")
     counts = ws.save(
@@ -118,7 +122,7 @@ def length_histogram(docs: DataFrame, path: str, text_col: str = "text") -> Data
         "counts",
     ).withColumn("n_tokens", F.col("length") * F.col("n_docs"))
     all_docs = counts.agg(F.coalesce(F.sum("n_docs"), F.lit(0))).first()[0]
-    s = running(running(counts, [], "length", "n_docs", "d0"), [], "length", "n_tokens", "t0").select(
+    s = running(running(counts, [], "length", "n_docs", "d0", RANGE), [], "length", "n_tokens", "t0", RANGE).select(
         "length", "n_docs", "n_tokens", (F.col("d0") + F.col("n_docs")).alias("docs_up_to"), (F.col("t0") + F.col("n_tokens")).alias("tokens_up_to"), F.lit(all_docs).cast("long").alias("all_docs")
     )
     longer = F.col("all_docs") - F.col("docs_up_to")
