@@ -72,8 +72,17 @@ def masked_sum(table: DataFrame, by: str, value: str) -> DataFrame:
 
 
 def changed_rows(view: DataFrame, key: list[str], conditions: Iterable[Column]) -> DataFrame:
-    """Keys of rows that any source changed: a union of one scan per source, each with a predicate that can be pushed."""
-    return reduce(DataFrame.unionByName, (view.where(c).select(*key) for c in conditions)).distinct()
+    """Keys of rows that any source changed, in one pass over the view: an unknown condition is none."""
+    return view.where(_any(conditions)).select(*key).distinct()
+
+
+def _any(conditions: Iterable[Column]) -> Column:
+    return reduce(lambda a, b: a | b, (F.coalesce(c, F.lit(False)) for c in conditions), F.lit(False))
+
+
+def union_of_keys(frames: Iterable[DataFrame]) -> DataFrame:
+    """Keys that any of the frames has: for sources that each give their changed keys from few files, as ``Store.changes`` does."""
+    return reduce(DataFrame.unionByName, frames).distinct()
 
 
 def rows_to_refresh(view: DataFrame, key: list[str], conditions: Iterable[Column]) -> DataFrame:
@@ -83,11 +92,12 @@ def rows_to_refresh(view: DataFrame, key: list[str], conditions: Iterable[Column
 def affected_groups(lineage: DataFrame, rows: DataFrame, changed: dict[str, DataFrame], conditions: Iterable[Column], group: list[str]) -> DataFrame:
     """Groups that changed keys belonged to before, and groups that they belong to now.
 
-    ``changed`` has, by source name, a frame of one column ``key``; a null key belongs to nothing.
+    Rows are looked at once, whatever the number of conditions. ``changed`` has, by source name, a frame of one column ``key``; a null key belongs to nothing.
     """
     keys = reduce(DataFrame.unionByName, (f.select(F.lit(s).alias("source"), F.col("key").cast("string").alias("key")) for s, f in changed.items())).where("key is not null")
     before = lineage.join(keys.distinct(), ["source", "key"], "left_semi").select(*group)
-    now = [rows.where(c).select(*group) for c in conditions]
+    conditions = list(conditions)
+    now = [rows.where(_any(conditions)).select(*group)] if conditions else []
     return reduce(DataFrame.unionByName, now, before).distinct()
 
 

@@ -108,12 +108,21 @@ def mart_lineage_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {REG} SELECT "Recorder", "LineNumber" FROM reg LEFT JOIN part ON p_partkey = "Item" WHERE reg.merged_on > TIMESTAMP '1998-06-01' OR (p_partkey IS NOT NULL AND p_size > 40)""")
-def changed_keys_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+def changed_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose movement or catalog entry changed since the cursor, in one pass over the joined view."""
     c = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("Ref_Key"), F.col("p_name").alias("Code"), F.when(F.col("p_size") > 40, stamp(NOW)).otherwise(stamp("1996-01-01 00:00:00")).alias(MERGED_ON))
     cursor = stamp(STARTED)
     return marts.changed_rows(marts.row_view(register(spark, sf_dir), c), ["Recorder", "LineNumber"], [F.col(MERGED_ON) > cursor, F.col("catalog_merged_on") > cursor])
 
 
+@query(f"""WITH {REG} SELECT "Recorder", "LineNumber" FROM reg LEFT JOIN part ON p_partkey = "Item" WHERE reg.merged_on > TIMESTAMP '1998-06-01' OR (p_partkey IS NOT NULL AND p_size > 40)""")
+def changed_keys_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a union of what each source gives: its own changed rows, and rows of changed catalog entries."""
+    key, reg = ["Recorder", "LineNumber"], register(spark, sf_dir)
+    items = table(spark, sf_dir, "part").where("p_size > 40").select(F.col("p_partkey").alias("Item"))
+    return marts.union_of_keys([reg.where(F.col(MERGED_ON) > stamp(STARTED)).select(*key), reg.join(items, "Item", "left_semi").select(*key)])
+
+
 @query(f"""{ROWS}, was AS (SELECT "Recorder", CAST(o_orderkey AS VARCHAR) AS "Number", CAST(year(CASE WHEN o_orderpriority = '1-URGENT' THEN o_orderdate + INTERVAL 400 DAY ELSE o_orderdate END) AS INTEGER) AS "Year" FROM reg JOIN orders ON o_orderkey = "Recorder"),
 changed AS (SELECT "Recorder" AS id FROM reg WHERE merged_on > TIMESTAMP '1998-06-01' UNION SELECT o_orderkey FROM orders WHERE o_orderdate > TIMESTAMP '1998-06-01')
 SELECT "Number", "Year" FROM was WHERE "Recorder" IN (SELECT id FROM changed) UNION SELECT "Number", "Year" FROM rws WHERE merged_on > TIMESTAMP '1998-06-01' UNION SELECT "Number", "Year" FROM rws WHERE doc_on > TIMESTAMP '1998-06-01'""")
