@@ -12,7 +12,7 @@ from tidemark.operators.evolve import evolve, retired_name, widened
 from tidemark.operators.merge import merge, merge_mart
 from tidemark.plans import full_load as fl
 from tidemark.plans.mart_runner import MartContext, MartLoop, MartRunner, checked, run_all
-from tidemark.plans.state import Claims, InFlight, Lease, Registry, Write, boundary, expired, totals
+from tidemark.plans.state import Claims, InFlight, Lease, Registry, Write, boundary, totals
 from tidemark.plans.store import Conflict, LostLease, Staged, Store
 from tidemark.spec import TableSpec
 
@@ -48,7 +48,8 @@ def test_versions_and_no_empty_commits(spark, store):
     assert rows(store.read("T"), "Ref_Key", "Sum") == [("a", 1), ("b", 3)]
     assert rows(store.read("T", 1), "Ref_Key", "Sum") == [("a", 1), ("b", 2)]
     assert totals(store.log())["T"] == {"inserted": 2, "updated": 1, "deleted": 0, "rows_modified": 3}
-    assert store.vacuum(keep=1) == 0 and store.vacuum(keep=1, age=0) == 1 and store.read("T").count() == 2
+    assert store.vacuum(keep=1, age=0, retention=3600) == 0 and store.head() == 2 and store.commit(1)
+    assert store.vacuum(keep=1) == 0 and store.vacuum(keep=1, age=0) == 1 and store.log() and len(store.files.names("_commits")) == 1 and store.read("T").count() == 2
 
 
 def test_partitioned_table_rewrites_touched_months(spark, store):
@@ -100,7 +101,6 @@ def test_registry(store):
 def test_boundary_and_retention():
     w = [Write(("A",), 5, 99), Write(("A", "B"), 3, 1), Write(("B",), 4, 95)]
     assert boundary(100, w, ["A"]) == 5 and boundary(100, w, ["B"]) == 4 and boundary(100, w, ["C"]) == 100
-    assert expired([{"at": 0}, {"at": 90}], 100, 50) == [{"at": 0}] and expired([{"at": 0}], 100, 0) == []
 
 
 def test_walk_covers_everything_in_touching_windows():

@@ -43,6 +43,7 @@ def test_package_is_saved_then_confirmed(world):
     assert r.run_once(datetime(2024, 1, 2)).modified == 1
     assert [(k, int(n), d, m) for k, n, d, m in rows(store.read("Catalog_X"), "Ref_Key", "Num", "is_deleted_or_empty", "exchange_message_no")] == [(G1, 5, True, 2), (G2, 2, False, 1)]
     assert not r.run_once().confirmed  # no package
+    assert [(e["message_no"], e["entries"], e["modified"], "confirmed_at" in e) for e in r.journal.entries()] == [(1, 2, 2, True), (2, 1, 1, True)]
 
 
 def test_repeated_package_changes_nothing(world, spark):

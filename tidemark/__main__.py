@@ -97,7 +97,7 @@ def main() -> None:
     finally:
         loads.stop()
         if s.retention_days:
-            store.vacuum(keep=100)
+            store.vacuum(retention=s.retention_days * 86_400)
 
 
 if __name__ == "__main__":

@@ -8,7 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# How long a message may be, what looks like base64, and which characters are invisible.
 MOST_CHARS = 500
+BASE64 = r"^[A-Za-z0-9+/\s]{40,}={0,2}$"
+INVISIBLE = r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x9F]"
 
 
 def excerpt(c: Column) -> Column:
@@ -21,15 +24,15 @@ def excerpt(c: Column) -> Column:
 def decoded(c: Column) -> Column:
     """Text that is base64 of UTF-8 text, decoded; anything else as it is."""
     bare = F.regexp_replace(c, r"\s", "")
-    raw = F.try_to_binary(F.when(c.rlike(r"^[A-Za-z0-9+/\s]{40,}={0,2}$") & (F.length(bare) % 4 == 0), bare), F.lit("base64")).cast("string")
+    raw = F.try_to_binary(F.when(c.rlike(BASE64) & (F.length(bare) % 4 == 0), bare), F.lit("base64")).cast("string")
     return F.when(F.is_valid_utf8(raw) & (F.trim(raw) != ""), raw).otherwise(c)
 
 
 def visible(c: Column) -> Column:
     """Control characters other than white space as their code in angle brackets."""
     parts = F.split(c, "")
-    shown = F.transform(parts, lambda ch: F.when(ch.rlike(r"^[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x9F]$"), F.concat(F.lit("<"), F.lpad(F.hex(F.ascii(ch)), 2, "0"), F.lit(">"))).otherwise(ch))
-    return F.when(c.rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x9F]"), F.array_join(shown, "")).otherwise(c)
+    shown = F.transform(parts, lambda ch: F.when(ch.rlike(f"^{INVISIBLE}$"), F.concat(F.lit("<"), F.lpad(F.hex(F.ascii(ch)), 2, "0"), F.lit(">"))).otherwise(ch))
+    return F.when(c.rlike(INVISIBLE), F.array_join(shown, "")).otherwise(c)
 
 
 def readable(c: Column) -> Column:
@@ -89,7 +92,7 @@ def format_bytes(c: Column) -> Column:
 
 
 def format_duration(c: Column) -> Column:
-    """0.1s, 1m 04s or 1h 05m 03s."""
+    """Seconds with one decimal under a minute, else whole minutes or hours with what is left, padded to two digits."""
     s = c.cast("double")
     whole = F.floor(s).cast("int")
     minutes = F.floor(whole / 60).cast("int")

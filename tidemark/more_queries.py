@@ -205,6 +205,17 @@ def renamed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return names.renamed(table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("Название"), "n_regionkey"), given)
 
 
+@query("""SELECT o_orderkey AS id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS told FROM orders""")
+def moment_literals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), filters.literal_moment(F.col("o_orderdate")).alias("told"))
+
+
+@query(values("source, name", ("Catalog_Номенклатура", "Catalog_Nomenklatura"), ("Подъезд", "Podezd"), ("Document_X_Ряды", "Document_X_Ryady")))
+def object_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = spark.range(1).select(F.explode(F.array(F.lit("Catalog_Номенклатура"), F.lit("Подъезд"), F.lit("Document_X_Ряды"))).alias("source"))
+    return n.select("source", names.object_identifier(F.col("source")).alias("name"))
+
+
 _GUIDS = (f"urn:uuid:{_G[0]}", f"uuid:{_G[0]}", f"urn:{_G[0]}", f"{{{_G[0].upper()}}}", _G[0].replace("-", ""), f" {_G[0]} ")
 
 

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.filters import untouched_since
 from tidemark.spec import DELETED, INSERTED_ON, MERGED_ON, MESSAGE_NO, NOISE, TableSpec
 
 ACTION = "_action"
@@ -139,7 +140,7 @@ def mark_missing(target: DataFrame, seen: DataFrame, spec: TableSpec, now: Colum
     ``seen`` may repeat keys. Numeric resources of marked rows become null.
     """
     rows = target.join(seen.select(*spec.pk).distinct().withColumn("__seen", F.lit(True)), list(spec.pk), "left")
-    hit = F.col("__seen").isNull() & ~F.coalesce(F.col(DELETED), F.lit(False)) & (F.col(MERGED_ON).isNull() | (F.col(MERGED_ON) < started_at))
+    hit = F.col("__seen").isNull() & ~F.coalesce(F.col(DELETED), F.lit(False)) & untouched_since(started_at)
     return _marked(rows, target, spec, now, F.coalesce(hit & scope if scope is not None else hit, F.lit(False)), reset=True)
 
 
@@ -147,7 +148,7 @@ def mark_orphans(parts: DataFrame, owners: DataFrame, spec: TableSpec, now: Colu
     """Rows of a table part whose owner is marked, by the owner's state; resources stay."""
     gone = owners.where(F.col(DELETED)).select(owner_key).distinct().withColumn("__gone", F.lit(True))
     rows = parts.join(gone, owner_key, "left").select(*[parts[c] for c in parts.columns], "__gone")
-    hit = F.col("__gone").isNotNull() & ~F.coalesce(F.col(DELETED), F.lit(False)) & (F.col(MERGED_ON).isNull() | (F.col(MERGED_ON) < started_at))
+    hit = F.col("__gone").isNotNull() & ~F.coalesce(F.col(DELETED), F.lit(False)) & untouched_since(started_at)
     return _marked(rows, parts, spec, now, F.coalesce(hit, F.lit(False)), reset=False)
 
 

@@ -16,7 +16,7 @@ from tidemark.spec import SUPPORTED, TableSpec
 log = logging.getLogger(__name__)
 
 # Fixed values, in seconds.
-LEASE_TTL, CLAIM_TTL, WRITE_TTL, CONFIRM_BUDGET, RETENTION = 900, 90, 90, 30, 30 * 86_400
+LEASE_TTL, CLAIM_TTL, WRITE_TTL, CONFIRM_BUDGET = 900, 90, 90, 30
 
 
 class Lease:
@@ -162,6 +162,27 @@ class InFlight:
         return gone
 
 
+class Journal:
+    """The last packages with what became of them; one without ``confirmed_at`` was not confirmed."""
+
+    DOCUMENT, LAST = "journal", 200
+
+    def __init__(self, store: Store):
+        self.store = store
+
+    def entries(self) -> list[dict]:
+        return self.store.document(self.DOCUMENT)[1].get("packages", [])
+
+    def note(self, message_no: int, **told) -> None:
+        """Add to the package's entry, or begin one; under the feed's lease, so one writer at a time."""
+        revision, held = self.store.document(self.DOCUMENT)
+        packages = held.get("packages", [])
+        if not packages or packages[-1]["message_no"] != message_no or "confirmed_at" in packages[-1]:
+            packages = [*packages, {"message_no": message_no, "started_at": time.time()}]
+        packages[-1] |= told
+        self.store.replace_document(self.DOCUMENT, revision, {"packages": packages[-self.LAST :]})
+
+
 class Registry:
     """Known objects with their load state. Objects that the source no longer has are marked, never deleted."""
 
@@ -247,11 +268,6 @@ def boundary(now: float, writes: Iterable[Write], objects: Iterable[str], ttl: f
     return min([now, *(w.started_at for w in writes if wanted & set(w.objects) and now - w.heartbeat <= ttl)])
 
 
-def expired(entries: list[dict], now: float, keep_seconds: float = RETENTION) -> list[dict]:
-    """Journal entries past their retention; 0 keeps all."""
-    return [e for e in entries if keep_seconds and now - e["at"] > keep_seconds]
-
-
 def totals(entries: Iterable[dict]) -> dict[str, dict[str, int]]:
     """Per table, counts accumulated over journal entries; marks count as deleted."""
     out: dict[str, dict[str, int]] = {}

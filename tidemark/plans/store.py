@@ -291,7 +291,10 @@ class Store:
             if not layout.startswith("#"):
                 touched += self._left_months(rows, old, layout)
             labelled = labelled.where(F.col(_SERVICE).isin(sorted(set(touched))))
-        labelled.where(F.col(ACTION) != "removed").drop(ACTION).repartition(_SERVICE).write.partitionBy(_SERVICE).parquet(path)
+        parts_of = labelled.where(F.col(ACTION) != "removed").drop(ACTION).repartition(_SERVICE)
+        if MERGED_ON in struct.names:  # so that statistics of row groups tell what a window of change times needs
+            parts_of = parts_of.sortWithinPartitions(_SERVICE, MERGED_ON)
+        parts_of.write.partitionBy(_SERVICE).parquet(path)
         written = {n.split("=", 1)[1]: f"{path}/{n}" for n in Files(self.spark, path).names("") if n.startswith(f"{_SERVICE}=")}
         return Version(at + 1, {m: p for m, p in paths.items() if m not in touched} | written, struct.json(), layout)
 
@@ -320,15 +323,17 @@ class Store:
             self.files.delete(f"_state/{name}/{revision - 4:012d}.json")
         return revision + 1
 
-    def vacuum(self, keep: int = 5, age: float = 86_400.0) -> int:
-        """Delete commits before the last ``keep`` and files that none of those reads; how many version folders went.
+    def vacuum(self, keep: int = 5, age: float = 86_400.0, retention: float = 0.0) -> int:
+        """Delete commits and files that are no longer needed; how many version folders went.
 
-        Files younger than ``age`` seconds stay, as a writer may be about to announce them.
+        The last ``keep`` commits stay, and those within ``retention`` seconds; files that none of them reads go, unless
+        they are younger than ``age`` seconds, as a writer may be about to announce them.
         """
         kept = [int(n.split(".")[0]) for n in self.files.names("_commits")]
-        for n in kept[:-keep]:
+        old = [n for n in kept[:-keep] if self.files.age(f"_commits/{n:012d}.json") >= retention]
+        for n in old:
             self.files.delete(f"_commits/{n:012d}.json")
-        used = {p for n in kept[-keep:] for v in self.state(n).values() for p in v.paths.values()}
+        used = {p for n in kept if n not in old for v in self.state(n).values() for p in v.paths.values()}
         gone = 0
         for table in (n for n in self.files.names("") if not n.startswith("_")):
             for v in self.files.names(table):

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import shape
 from tidemark.plans import apply
 from tidemark.plans.full_load import Backoff
-from tidemark.plans.state import CONFIRM_BUDGET, Claims, InFlight, Lease, Registry
+from tidemark.plans.state import CONFIRM_BUDGET, Claims, InFlight, Journal, Lease, Registry
 from tidemark.plans.store import Conflict, Staged, Store
 from tidemark.sources import metadata, packages
 from tidemark.sources.transport import PERMANENT, Transport
@@ -81,7 +81,7 @@ class Replicator:
         confirm: bool = True, clock: Callable[[], float] = time.monotonic, read_metadata: Callable[[], dict[str, TableSpec]] | None = None, buckets: int | None = None,
     ):
         self.spark, self.store, self.transport, self.specs = spark, store, transport, dict(specs)
-        self.registry, self.lease, self.flights, self.claims = Registry(store), Lease(store, "feed", owner), InFlight(store), Claims(store, owner)
+        self.registry, self.journal, self.lease, self.flights, self.claims = Registry(store), Journal(store), Lease(store, "feed", owner), InFlight(store), Claims(store, owner)
         self.under_full_load = under_full_load or (lambda name: self.claims.covers(name, {p: s.name for s in self.specs.values() for p in s.parts}))
         self.confirm, self.clock, self.read_metadata, self.buckets = confirm, clock, read_metadata, buckets
         self._looked_up: set[str] = set()
@@ -194,17 +194,20 @@ class Replicator:
                 return Cycle()
             metadata.checked(body, "feed")
             landed = f"_inbox/msg{number}.xml"
+            self.journal.note(number)
             self.store.files.write(landed, body)
             del body
             try:
                 cycle = self.apply(packages.entries_of_feed(self.spark, f"{self.store.root}/{landed}"), number, now, self.lease.still_mine)
             finally:
                 self.store.files.delete(landed)
+            self.journal.note(number, finished_at=time.time(), entries=cycle.entries, rows=cycle.rows, modified=cycle.modified, failed=cycle.failed)
             if self.confirm and cycle.entries and not self._blocked(cycle):
                 began = self.clock()
                 if self.lease.heartbeat() and self.clock() - began <= CONFIRM_BUDGET:
                     self.transport.confirm(number)
                     cycle.confirmed = True
+                    self.journal.note(number, confirmed_at=time.time(), lost=cycle.lost)
             return cycle
 
     def run_forever(self, interval: float = 60.0, max_iterations: int | None = None, sleep: Callable[[float], object] | None = None) -> list[Cycle | Exception]:
