@@ -81,6 +81,34 @@ def test_delta_reads_changed_parts_only(spark, tmp_path):
     assert store.changes("Reg", ["Recorder"], 0).count() == 40 and store.changes("None", [], 0) is None
 
 
+def test_outgrown_tables_get_more_buckets(spark, tmp_path):
+    store, rnd = Store(spark, f"file://{tmp_path}/store"), random.Random(1)
+    put(store, spark, 1, [line(rnd, r, 0) for r in range(300)])
+    store.publish({"Reg": merge(None, store.read("Reg").drop("merged_on", "inserted_on"), REG, F.lit("2024-01-01").cast("timestamp_ntz"))}, "laid out", {"Reg": layout_of(REG)}, force=True)
+    before, told, number = rows(store.read("Reg")), len(store.log()), store.versions()["Reg"]
+    assert store.grow("Reg") == 64 and store.grow("Reg", bucket_bytes=1500) == 256 and store.grow("None") == 0
+    assert rows(store.read("Reg")) == before and len(store.log()) == told and store.versions()["Reg"] == number and len(store.state()["Reg"].paths) > 64
+    one = store.read("Reg").where("Recorder = 7")
+    parts = store.touched("Reg", one)
+    assert len(parts) == 1 and store.read("Reg", parts=parts).where("Recorder = 7").count() == 1
+    put(store, spark, 9, [line(rnd, 7, 0)])
+    assert store.read("Reg").count() == 300
+
+
+def test_files_are_created_once_without_links(spark, tmp_path):
+    """The way for file systems without hard links, tried on a local one: a rename that doesn't replace."""
+    store = Store(spark, f"file://{tmp_path}/store")
+    f = store.files
+    f.write("a", b"1")
+    f.write("b", b"2")
+    context = f.jvm.org.apache.hadoop.fs.FileContext.getFileContext(f.fs.getUri(), f.conf)
+    none = f.gateway.new_array(getattr(f.jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    with pytest.raises(Exception, match="AlreadyExists"):
+        context.rename(f._path("a"), f._path("b"), none)
+    context.rename(f._path("a"), f._path("c"), none)
+    assert f.read("c") == "1" and f.read("b") == "2" and f.read("a") is None
+
+
 def test_portions_go_round(spark):
     waiting = spark.createDataFrame([(o, k) for o, n in (("A", 5), ("B", 3), ("C", 4)) for k in range(n)] + [("A", 0)], "object string, ref int")
     other = spark.createDataFrame([("B", 0), ("X", 1)], "object string, ref int")

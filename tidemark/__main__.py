@@ -86,18 +86,23 @@ def main() -> None:
         r.run_once()
         return
     Keys.drop_orphans(store)
+    grown = datetime.now()
     try:
         while not r.stopping.is_set():
             r.run_forever(s.poll_seconds, max_iterations=1)
             if s.automatic_full_load:
                 loads.dispatch()
+            if (datetime.now() - grown).days:  # once a day
+                grown = datetime.now()
+                for name in store.state():
+                    store.grow(name)
+                if s.retention_days:
+                    store.vacuum(retention=s.retention_days * 86_400)
             r.stopping.wait(s.poll_seconds)
     except KeyboardInterrupt:
         r.stop()
     finally:
         loads.stop()
-        if s.retention_days:
-            store.vacuum(retention=s.retention_days * 86_400)
 
 
 if __name__ == "__main__":

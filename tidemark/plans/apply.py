@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 
 from tidemark.operators.evolve import changed_types, evolve, retired_name
 from tidemark.operators.merge import MergeResult, merge
-from tidemark.plans.store import Conflict, Staged, Store, layout_of
+from tidemark.plans.store import BUCKET_ROWS, BUCKETS, Conflict, Staged, Store, enough, layout_of
 from tidemark.spec import TableSpec
 
 log = logging.getLogger(__name__)
@@ -29,7 +29,7 @@ def staged(store: Store, batch: DataFrame, spec: TableSpec, now: Column, started
     name, pk = spec.name, list(spec.pk)
     at = store.head()
     v = store.state(at).get(name)
-    layout = layout_of(spec, buckets) if buckets else layout_of(spec)
+    layout = layout_of(spec, buckets or (enough(batch.count() / BUCKET_ROWS) if v is None else BUCKETS))
     kept_as, held, parts = None, None, None
     if v is not None and (changed := changed_types(store.read(name, at), batch)):
         on_retired(name)

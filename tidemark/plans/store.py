@@ -92,6 +92,10 @@ class Files:
     def delete(self, name: str) -> None:
         self.fs.delete(self._path(name), True)
 
+    def size(self, path: str) -> int:
+        """Bytes of all files under a full path."""
+        return self.fs.getContentSummary(self.jvm.org.apache.hadoop.fs.Path(path)).getLength()
+
     def age(self, name: str) -> float:
         """Seconds since the file or folder was last changed."""
         return time.time() - self.fs.getFileStatus(self._path(name)).getModificationTime() / 1000
@@ -111,8 +115,9 @@ class Version:
         return T.StructType.fromJson(json.loads(self.schema))
 
 
-#: Buckets of a table that is laid out by key: a batch reads and rewrites those of its keys only.
-BUCKETS = 64
+#: Buckets of a table that is laid out by key, at first and at most, and what one should hold: a batch reads and rewrites the
+#: buckets of its keys only, so they have to grow in number with the table.
+BUCKETS, MOST_BUCKETS, BUCKET_ROWS, BUCKET_BYTES = 64, 16_384, 200_000, 256 << 20
 #: Attempts to put a commit after one that touched other tables.
 ATTEMPTS = 20
 _SERVICE = "__part"
@@ -128,6 +133,14 @@ def layout_of(spec: TableSpec, buckets: int = BUCKETS) -> str:
     return by_key(spec.group_key or spec.pk, buckets)
 
 
+def enough(wanted: float) -> int:
+    """A number of buckets, doubled from the first until it suffices: so a bucket splits into whole buckets."""
+    n = BUCKETS
+    while n < wanted and n < MOST_BUCKETS:
+        n *= 2
+    return n
+
+
 def _label(layout: str, schema: T.StructType) -> Column:
     """Which part a row belongs to; keys are hashed in their stored type."""
     if layout.startswith("#"):
@@ -239,10 +252,11 @@ class Store:
                 rows.unpersist()
         return out
 
-    def put(self, staged: Staged, source: str, state: dict | None = None, fence: Callable[[], bool] | None = None, forced: Iterable[str] = ()) -> int:
+    def put(self, staged: Staged, source: str, state: dict | None = None, fence: Callable[[], bool] | None = None, forced: Iterable[str] = (), as_it_is: bool = False) -> int:
         """Announce what was staged in one commit, together with ``state``; its number, 0 if there is nothing to announce.
 
-        ``fence`` is asked right before: if it says no, nothing is announced. ``forced`` tables are told without a change.
+        ``fence`` is asked right before: if it says no, nothing is announced. ``forced`` tables are told without a change;
+        with ``as_it_is`` the staged versions keep their numbers, as their rows did not change.
         """
         forced = list(forced)
         if not staged.versions and not state and not forced:
@@ -254,7 +268,7 @@ class Store:
             if any((tables[k].number if k in tables else 0) != n for k, n in staged.base.items()):
                 raise Conflict(f"{sorted(staged.base)} changed meanwhile")
             for k, v in staged.versions.items():
-                tables[k] = replace(v, number=at + 1)
+                tables[k] = v if as_it_is else replace(v, number=at + 1)
             entry = {
                 "tables": {k: vars(v) for k, v in tables.items()},
                 "log": [{"table": k, "source": source} | c for k, c in staged.counts.items()] + [{"table": k, "source": source, "forced": True} for k in forced],
@@ -306,6 +320,31 @@ class Store:
         moved = before.join(after, "m", "full_outer").where(~F.col("a").eqNullSafe(F.col("b")) | ~F.col("ha").eqNullSafe(F.col("hb")))
         return [r["m"] for r in moved.select("m").collect()]
 
+    def grow(self, table: str, bucket_bytes: int = BUCKET_BYTES, fence: Callable[[], bool] | None = None) -> int:
+        """Lay a table that has outgrown its buckets out in more of them; how many it has then, 0 if it isn't laid out by key.
+
+        The rows stay as they are and no reader is told of a change. A writer that changes the table meanwhile wins, and
+        the growth is given up until the next call.
+        """
+        v = self.state().get(table)
+        if v is None or not (v.partition or "").startswith("#"):
+            return 0
+        now, columns = v.partition[1:].split(":", 1)
+        wanted = enough(sum(map(self.files.size, v.paths.values())) / bucket_bytes)
+        if wanted <= int(now):
+            return int(now)
+        layout = f"#{wanted}:{columns}"
+        path = f"{self.root}/{table}/v=grown-{uuid.uuid4().hex[:8]}"
+        rows = self.spark.read.schema(v.struct).parquet(*sorted(set(v.paths.values())))
+        rows.withColumn(_SERVICE, _label(layout, v.struct)).repartition(_SERVICE).write.partitionBy(_SERVICE).parquet(path)
+        written = {n.split("=", 1)[1]: f"{path}/{n}" for n in Files(self.spark, path).names("") if n.startswith(f"{_SERVICE}=")}
+        try:
+            self.put(Staged({table: Version(v.number, written, v.schema, layout)}, {}, {table: v.number}), f"growing {table}", fence=fence, as_it_is=True)
+        except Conflict:
+            self.files.delete(path.removeprefix(f"{self.root}/"))
+            return int(now)
+        return wanted
+
     # -- state documents: leases, cursors, registry
 
     def document(self, name: str) -> tuple[int, dict]:
