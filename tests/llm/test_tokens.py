@@ -348,3 +348,26 @@ def test_workspace_is_in_the_shared_folder(spark, tmp_path, monkeypatch):
     assert ws.root.startswith(f"file://{tmp_path}/") and t.count() == 3
     ws.drop(t)
     assert not list(tmp_path.glob("*/t-*"))
+
+
+def test_archives_of_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 1)  # fifty pages a file
+    rows = [(k, f"http://h/{k}", "x" * (200_000 if k == 70 else 150) + str(k % 120)) for k in range(180)]
+    path = str(tmp_path / "many")
+    warc.archive(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    got = {r["page_id"]: r for r in warc.resolved(warc.captures(warc.read(spark, path, payload=False))).collect()}
+    assert len(list((tmp_path / "many").glob("*.gz"))) == 4 and len(got) == 180
+    assert sum(r["record_type"] == "revisit" for r in got.values()) == 60 and got[70]["payload_bytes"] == 200_002
+    assert got[130]["refers_to"] == 10 and got[10]["refers_to"] is None
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    class Fake:
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            master, applicationId = "spark://host:7077", "a"
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        common.shared_dir(Fake)
