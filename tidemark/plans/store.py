@@ -236,20 +236,31 @@ class Store:
     # -- writing
 
     def stage(self, changes: dict[str, MergeResult], layouts: dict[str, str] | None = None, force: bool = False) -> Staged:
-        """Write merges of tables; all that could fail in them fails here, before anything is announced."""
+        """Write merges of tables; all that could fail in them fails here, before anything is announced.
+
+        One pass counts what is done in which part, another writes the parts where something is. A merge into few parts is
+        kept between the passes; one over a whole table is computed again, which costs less than holding the table.
+        """
         at, out = self.head(), Staged()
         tables = self.state(at)
         for name, result in changes.items():
-            rows, old = result.rows.cache(), tables.get(name)
+            old = tables.get(name)
+            layout = (layouts or {}).get(name) or (old.partition if old else None)
+            struct = T.StructType([T.StructField(f.name, f.dataType) for f in result.rows.schema if f.name != ACTION])
+            rows = result.rows.withColumn(_SERVICE, _label(layout, struct) if layout else F.lit(""))
+            rows = rows.cache() if result.parts is not None else rows
             out.base[name] = result.base if result.base is not None else old.number if old else 0
             try:
-                out.counts[name] = {k: int(v) for k, v in MergeResult(rows).counts().first().asDict().items()}
-                if old and not force and not any(out.counts[name][k] for k in ("inserted", "updated", "deleted")):
+                done = {(r[0], r[1]): r[2] for r in rows.groupBy(_SERVICE, ACTION).count().collect()}  # a few rows a part
+                count = lambda *actions: sum(n for (_, a), n in done.items() if not actions or a in actions)
+                out.counts[name] = {"inserted": count("inserted"), "updated": count("updated"), "deleted": count("deleted", "removed"), "total": count()}
+                touched = sorted({part for part, action in done if action != "kept"})
+                if old and not force and not touched:
                     continue
-                layout = (layouts or {}).get(name) or (old.partition if old else None)
-                out.versions[name] = self._written(name, rows, old, layout, at, result.parts)
+                out.versions[name] = self._written(name, rows, struct, old, layout, at, result.parts, touched)
             finally:
-                rows.unpersist()
+                if result.parts is not None:
+                    rows.unpersist()
         return out
 
     def put(self, staged: Staged, source: str, state: dict | None = None, fence: Callable[[], bool] | None = None, forced: Iterable[str] = (), as_it_is: bool = False) -> int:
@@ -288,27 +299,24 @@ class Store:
             self.put(staged, source, state, fence)
         return staged.counts
 
-    def _written(self, name: str, rows: DataFrame, old: Version | None, layout: str | None, at: int, parts: list[str] | None) -> Version:
-        kept = rows.where(F.col(ACTION) != "removed").drop(ACTION)
-        struct = T.StructType([T.StructField(f.name, f.dataType) for f in kept.schema])
+    def _written(self, name: str, rows: DataFrame, struct: T.StructType, old: Version | None, layout: str | None, at: int, parts: list[str] | None, touched: list[str]) -> Version:
         path = f"{self.root}/{name}/v={at + 1}-{uuid.uuid4().hex[:8]}"
+        kept = rows.where(F.col(ACTION) != "removed")
         if layout is None:
-            kept.write.parquet(path)
+            kept.select(*struct.names).write.parquet(path)
             return Version(at + 1, {"": path}, struct.json())
-        labelled = rows.withColumn(_SERVICE, _label(layout, struct))
         same = old is not None and old.partition == layout and {(f.name, f.dataType) for f in old.struct} <= {(f.name, f.dataType) for f in struct}
         if parts is not None and not same:
             raise ValueError(f"{name} was read in part but has to be rewritten whole")
-        paths, touched = (dict(old.paths) if same else {}), []
+        paths = dict(old.paths) if same else {}
         if paths:
-            touched = [r[0] for r in labelled.where(F.col(ACTION) != "kept").select(_SERVICE).distinct().collect()]
             if not layout.startswith("#"):
-                touched += self._left_months(rows, old, layout)
-            labelled = labelled.where(F.col(_SERVICE).isin(sorted(set(touched))))
-        parts_of = labelled.where(F.col(ACTION) != "removed").drop(ACTION).repartition(_SERVICE)
+                touched = sorted({*touched, *self._left_months(rows, old, layout)})
+            kept = kept.where(F.col(_SERVICE).isin(touched))
+        kept = kept.drop(ACTION).repartition(_SERVICE)
         if MERGED_ON in struct.names:  # so that statistics of row groups tell what a window of change times needs
-            parts_of = parts_of.sortWithinPartitions(_SERVICE, MERGED_ON)
-        parts_of.write.partitionBy(_SERVICE).parquet(path)
+            kept = kept.sortWithinPartitions(_SERVICE, MERGED_ON)
+        kept.write.partitionBy(_SERVICE).parquet(path)
         written = {n.split("=", 1)[1]: f"{path}/{n}" for n in Files(self.spark, path).names("") if n.startswith(f"{_SERVICE}=")}
         return Version(at + 1, {m: p for m, p in paths.items() if m not in touched} | written, struct.json(), layout)
 
