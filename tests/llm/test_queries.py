@@ -13,7 +13,7 @@ from test_documents import plain_fingerprint, plain_mix, plain_quality
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 import corpus_pipeline
-from tidemark.llm import mixing, packing, quality, queries, simhash, tokens, toxicity
+from tidemark.llm import mixing, quality, queries, simhash, tokens, toxicity
 
 SCHEMAS = {
     "documents": "doc_id long, text string, lang string, source string, n_chars long, copies string, fp string, t string, __times long",
