@@ -12,7 +12,6 @@ from tidemark.functions.filters import untouched_since
 from tidemark.spec import DELETED, INSERTED_ON, MERGED_ON, MESSAGE_NO, NOISE, TableSpec
 
 ACTION = "_action"
-ACTIONS = ("inserted", "updated", "deleted", "kept")
 
 
 @dataclass
