@@ -27,6 +27,8 @@ LEGAL = ("su", "ua", "au")
 DELETE, INSERT, KEEP, REROLE = "DIKR"
 COST = {DELETE: 4, INSERT: 3, KEEP: 0, REROLE: 3}
 TRUNCATED = 3
+#: Whatever is cheapest after one grammar state costs at most so much more after another: one insert to get in step, and the deletion of a system row.
+SLACK = COST[INSERT] + COST[DELETE]
 
 _SPACE = " \t\n\v\f\r"
 
@@ -114,7 +116,8 @@ class Path:
             for grammar, (cost, labels) in self.best.items():
                 for more, price, after in arcs(grammar, row):
                     _relax(best, after, (cost + price, labels + more))  # all end in a row's label: none begins another
-            self.best = best
+            least = min(cost for cost, _ in best.values())
+            self.best = {g: w for g, w in best.items() if w[0] <= least + SLACK}
         if self.gone and len(self.best) > 1:
             return []
         self._catch_up()
