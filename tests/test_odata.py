@@ -1,18 +1,21 @@
-"""Paged snapshots from a service that orders, filters, counts and refuses pages."""
+"""Paged snapshots from a service that orders, filters and refuses pages, and doesn't count."""
 
 import re
 import threading
 import urllib.parse
+from urllib.error import HTTPError
 from datetime import datetime, timedelta
-from http.server import BaseHTTPRequestHandler, HTTPServer
+import time
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
 from conftest import rows
 from test_shape import entry
 
 from tidemark.plans import full_load as fl
+from tidemark.plans.state import Registry
 from tidemark.plans.store import Store
-from tidemark.sources.odata import ODataSnapshot, literal, page_order, pages, window_filter
+from tidemark.sources.odata import ODataSnapshot, TooMuch, literal, page_order, pages, window_filter
 from tidemark.sources.transport import HttpTransport
 from tidemark.spec import TableSpec
 from tidemark.streaming.replicator import rows_of
@@ -23,39 +26,66 @@ GUID = "{:08x}-0000-0000-0000-000000000000".format
 
 
 class Service(BaseHTTPRequestHandler):
-    """Serves ``data`` [(guid, date or None, sum)]; refuses pages of more than ``most`` entries."""
+    """Serves ``data`` [(guid, date or None, sum)] as documents, and ``sets`` {guid: dates of its records} as a recorder's register.
+
+    Refuses pages of more than ``most`` entries, counts of any kind, and selections of more than ``heavy`` record sets
+    however small the page is. ``slow``: seconds that an answer takes.
+    """
 
     data: list = []
+    sets: dict = {}
     asked: list = []
-    most = 7
+    most, heavy, slow, now, side_by_side = 7, 10, 0.0, 0, 0
+    lock = threading.Lock()
 
     def log_message(self, *a):
         pass
 
     def do_GET(self):
+        cls = type(self)
+        with cls.lock:
+            cls.now += 1
+            cls.side_by_side = max(cls.side_by_side, cls.now)
+        try:
+            time.sleep(cls.slow)
+            self._serve()
+        finally:
+            with cls.lock:
+                cls.now -= 1
+
+    def _serve(self):
         path, _, query = urllib.parse.unquote(self.path).lstrip("/").partition("?")
-        q = dict(x.split("=", 1) for x in query.split("&") if x)
-        found = [r for r in self.data if self._in(r, q.get("$filter", ""))]
         if path.endswith("/$count"):
-            return self._answer(str(len(found)).encode())
-        keys = q["$orderby"].split(",")
-        by = (lambda r: r[1]) if keys[0].startswith("Date") else (lambda r: r[0])
-        found = sorted(found, key=by, reverse=keys[0].endswith(" desc"))
-        top, skip = int(q["$top"]), int(q.get("$skip", 0))
-        self.asked.append((top, skip, q.get("$filter", "")))
+            return self._answer(b"<m:message>no such thing</m:message>", 404)
+        q = dict(x.split("=", 1) for x in query.split("&") if x)
+        told, top, skip = q.get("$filter", ""), int(q["$top"]), int(q.get("$skip", 0))
+        self.asked.append((path, top, skip, told))
+        if path == "Document_D":
+            found = [r for r in self.data if self._in(r[1], told)]
+            keys = q["$orderby"].split(",")
+            by = (lambda r: r[1]) if keys[0].startswith("Date") else (lambda r: r[0])
+            found = sorted(found, key=by, reverse=keys[0].endswith(" desc"))
+            make = lambda r: entry("Document_D", f"<d:Ref_Key>{r[0]}</d:Ref_Key>" + (f"<d:Date>{r[1].isoformat()}</d:Date>" if r[1] else "<d:Date/>") + f"<d:Sum>{r[2]}</d:Sum>")
+        else:
+            found = sorted((g, ds) for g, ds in self.sets.items() if any(self._in(d, told) for d in ds))
+            if len(found) > self.heavy:
+                return self._answer(b"<m:message>out of memory</m:message>", 500)
+            line = lambda n, g, d: f"<d:element><d:Recorder>{g}</d:Recorder><d:LineNumber>{n}</d:LineNumber><d:Period>{d.isoformat()}</d:Period></d:element>"
+            make = lambda r: entry(path, f"<d:Recorder>{r[0]}</d:Recorder><d:RecordSet m:type=\"Collection(x)\">{''.join(line(n, r[0], d) for n, d in enumerate(r[1], 1))}</d:RecordSet>")
         if top > self.most:
             return self._answer(b"too heavy", 500)
-        body = "".join(entry("Document_D", f"<d:Ref_Key>{g}</d:Ref_Key>" + (f"<d:Date>{d.isoformat()}</d:Date>" if d else "<d:Date/>") + f"<d:Sum>{s}</d:Sum>") for g, d, s in found[skip : skip + top])
+        body = "".join(map(make, found[skip : skip + top]))
         self._answer(f'<feed xmlns="http://www.w3.org/2005/Atom">{body}</feed>'.encode())
 
-    def _in(self, r, told):
+    @staticmethod
+    def _in(at, told):
         if "eq null" in told:
-            return r[1] is None
-        for op, text in re.findall(r"Date (ge|lt) datetime'([^']+)'", told):
-            at = datetime.fromisoformat(text)
-            if r[1] is None or (op == "ge" and r[1] < at) or (op == "lt" and r[1] >= at):
+            return at is None
+        for op, text in re.findall(r"(?:Date|Period) (ge|lt) datetime'([^']+)'", told):
+            edge = datetime.fromisoformat(text)
+            if at is None or (op == "ge" and at < edge) or (op == "lt" and at >= edge):
                 return False
-        return r[1] is not None if "ne null" in told else True
+        return at is not None if "ne null" in told else True
 
     def _answer(self, body, code=200):
         self.send_response(code)
@@ -66,8 +96,9 @@ class Service(BaseHTTPRequestHandler):
 @pytest.fixture
 def service():
     Service.data = [(GUID(k), datetime(2024, 1, 1) + timedelta(days=5 * k), k) for k in range(50)] + [(GUID(900), None, 9)]
-    Service.asked, Service.most = [], 7
-    server = HTTPServer(("127.0.0.1", 0), Service)
+    Service.sets = {GUID(k + 1): [datetime(2023, 1, 1) + timedelta(days=7 * k), datetime(2023, 2, 5) + timedelta(days=7 * k)] for k in range(60)}
+    Service.asked, Service.most, Service.heavy, Service.slow, Service.side_by_side = [], 7, 10, 0.0, 0
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Service)
     threading.Thread(target=server.serve_forever, daemon=True).start()
     yield HttpTransport(f"http://127.0.0.1:{server.server_port}", "Plan", GUID(1))
     server.shutdown()
@@ -76,29 +107,100 @@ def service():
 def test_pages_shrink_and_stay_small(service):
     found = [e for p in pages(service._open, "Document_D", ["Ref_Key"], "", fl.PageSize(100)) for e in p]
     assert len(found) == len(set(found)) == 51
-    tops = [t for t, _, _ in Service.asked]
+    tops = [a[1] for a in Service.asked]
     assert tops[:3] == [100, 25, 6] and set(tops[3:]) == {6}
+    with pytest.raises(TooMuch, match="pages"):
+        list(pages(service._open, "Document_D", ["Ref_Key"], "", fl.PageSize(4), may_refuse=True))
     Service.most = 0
-    with pytest.raises(Exception, match="500"):
+    with pytest.raises(HTTPError, match="too heavy"):
         list(pages(service._open, "Document_D", ["Ref_Key"], "", fl.PageSize(4)))
+    with pytest.raises(TooMuch, match="too heavy"):
+        list(pages(service._open, "Document_D", ["Ref_Key"], "", fl.PageSize(4), may_refuse=True))
+    Service.asked.clear()
+    with pytest.raises(TooMuch, match="out of memory"):  # at once: a smaller page of record sets mends nothing
+        list(pages(service._open, SET.name, ["Recorder"], "", fl.PageSize(100), may_refuse=True, whole=True))
+    assert len(Service.asked) == 1
+    with pytest.raises(HTTPError, match="no such thing"):
+        service._open("Document_D/$count")
+
+
+def source_of(spark, service, specs, **more):
+    return ODataSnapshot(spark, service, lambda e, s: rows_of(e, s, specs, 0), **more)
 
 
 def test_whole_object_in_windows_by_tasks(spark, service, tmp_path):
     specs = {"Document_D": DOC}
-    source = ODataSnapshot(spark, service, lambda e, s: rows_of(e, s, specs, 0), page=20)
-    assert source.bounds(DOC, "Date") == (datetime(2024, 1, 1), datetime(2024, 1, 1) + timedelta(days=245))
-    assert source.count(DOC, None, fl.Window(None, None)) == 51 and source.count(DOC, "Date", fl.Window(None, datetime(2024, 1, 11))) == 2
-    windows = [fl.Window(None, datetime(2024, 3, 1)), fl.Window(datetime(2024, 3, 1), None), fl.Window(None, None, undated=True)]
-    read = source.entries(DOC, "Date", windows)
-    assert read.rdd.getNumPartitions() == 3 and read.count() == 51
+    source = source_of(spark, service, specs, page=2, parallel=3)
+    assert source.bounds(DOC, "Date") == (datetime(2024, 1, 1), datetime(2024, 1, 1) + timedelta(days=245)) and source.bounds(SET, "Period") == (None, None)
+    asks = [fl.Ask(fl.Window(None, datetime(2024, 3, 1))), fl.Ask(fl.Window(datetime(2024, 3, 1), None), True), fl.Ask(fl.Window(None, None, undated=True))]
+    got = source.fetch(DOC, "Date", asks, f"{tmp_path}/landing")
+    assert got.reads == [fl.Read(12), fl.Read(20, False), fl.Read(1)] and got.entries.count() == 13  # what was given up counts for nothing
+    assert source.read(DOC, "Date", asks).rdd.getNumPartitions() == 3
     store = Store(spark, f"file://{tmp_path}/store")
-    run = lambda n: fl.full_load(store, source, specs, "Document_D", "Date", started_at=datetime(2024, 12, n), now=datetime(2024, 12, n, 1), limit=10)
-    assert run(1) == 51 and run(2) == 0
+    run = lambda n: fl.full_load(store, source, specs, "Document_D", started_at=datetime(2024, 12, n), now=datetime(2024, 12, n, 1), buckets=2)
+    assert run(1) == 51 and run(2) == 0 and store.files.names("_landing") == []
     Service.data = [r for r in Service.data if r[2] != 9] + [(GUID(901), datetime(2024, 2, 2), 1)]
     assert run(3) == 3  # one with a date and one without vanished, one came
     assert rows(store.read("Document_D").where("not is_deleted_or_empty"), "Ref_Key") == sorted((g,) for g, _, _ in Service.data)
 
 
+def test_small_objects_cost_no_windows(spark, service, tmp_path):
+    store, source = Store(spark, f"file://{tmp_path}/store"), source_of(spark, service, {"Document_D": DOC}, page=7)
+    Service.data = Service.data[:20]
+    assert fl.full_load(store, source, {"Document_D": DOC}, "Document_D", buckets=2) == 20
+    assert [a[1:] for a in Service.asked] == [(7, 0, ""), (7, 7, ""), (7, 14, "")]
+
+
+def test_windows_are_read_side_by_side(spark, service, tmp_path):
+    Service.data = [(GUID(k), datetime(2020, 1, 1) + timedelta(days=30 * k), k) for k in range(50)]
+    Service.slow = 0.1
+    store, source = Store(spark, f"file://{tmp_path}/store"), source_of(spark, service, {"Document_D": DOC}, page=1)
+    assert fl.full_load(store, source, {"Document_D": DOC}, "Document_D", buckets=2) == 50
+    assert rows(store.read("Document_D"), "Ref_Key") == sorted((g,) for g, _, _ in Service.data)
+    assert len({a[3] for a in Service.asked}) > 50 and Service.side_by_side > 1
+
+
+def test_a_period_is_asked_for_alone(spark, service, tmp_path):
+    store, source = Store(spark, f"file://{tmp_path}/store"), source_of(spark, service, {"Document_D": DOC}, page=5)
+    run = lambda n, **more: fl.full_load(store, source, {"Document_D": DOC}, "Document_D", date_from="2024-03-01", started_at=datetime(2024, 12, n), now=datetime(2024, 12, n, 1), buckets=2, **more)
+    want = [r for r in Service.data if r[1] and datetime(2024, 3, 1) <= r[1] < datetime(2024, 4, 1)]
+    assert run(1, date_to=datetime(2024, 3, 31).date()) == len(want) == 7 and len(Service.asked) == 2
+    assert rows(store.read("Document_D"), "Ref_Key") == sorted((r[0],) for r in want)
+    assert all("2024-03-01" in a[3] and "2024-04-01" in a[3] for a in Service.asked)
+    assert run(2) == 38 - 7 and all("datetime" in a[3] or "ne null" in a[3] for a in Service.asked)
+    Service.data = [r for r in Service.data if r not in (want[0], Service.data[0])]
+    assert run(3, date_to="2024-03-31T00:00:00") == 1  # what lies outside the period is neither read nor marked
+
+
+def test_record_sets_come_in_windows_from_the_start(spark, service, tmp_path):
+    store, source = Store(spark, f"file://{tmp_path}/store"), source_of(spark, service, {SET.name: SET}, page=100)
+    run = lambda n: fl.full_load(store, source, {SET.name: SET}, SET.name, started_at=datetime(2024, 6, n), now=datetime(2024, 6, n, 1), buckets=2)
+    Service.heavy, Service.most = 12, 100
+    assert run(1) == 120 and run(2) == 0
+    assert "" not in {a[3] for a in Service.asked}
+    held = store.read(SET.name)
+    assert rows(held, "Recorder", "Period") == sorted((g, d) for g, ds in Service.sets.items() for d in ds)
+    gone = Service.sets.pop(GUID(3))
+    assert run(3) == 2 and store.read(SET.name).where("is_deleted_or_empty").count() == len(gone)
+    Service.heavy = 5  # even a month is too heavy: windows narrow down to what the service bears
+    assert run(4) == 0
+
+
+def test_a_stop_ends_a_window(spark, service, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store")
+    registry, source = Registry(store), source_of(spark, service, {"Document_D": DOC}, page=1)
+    registry.sync([DOC])
+    registry.require_full_load("Document_D")
+    loads = fl.FullLoads(registry, lambda name, stop: fl.full_load(store, source, {"Document_D": DOC}, name, stop=stop), threads=1)
+    Service.slow = 5.0
+    assert loads.dispatch() == ["Document_D"]
+    while not Service.now:
+        time.sleep(0.05)
+    began = time.monotonic()
+    loads.stop()
+    assert time.monotonic() - began < 8 and store.state() == {} and registry.pending() == ["Document_D"] and not loads.failures
+
+
 def test_literals_and_filters():
     assert literal(datetime(209, 1, 2, 3, 4, 5, 999), "DateTime") == "datetime'0209-01-02T03:04:05'" and literal("O'N", "String") == "'O''N'"
     assert literal(1e-7, "Double") == "0.0000001" and literal(True, "Boolean") == "true" and literal(GUID(1), "Guid") == f"guid'{GUID(1)}'" and literal(None, "String") == "null"

@@ -13,7 +13,7 @@ from tidemark.operators.merge import merge, merge_mart
 from tidemark.plans import full_load as fl
 from tidemark.plans.mart_runner import MartContext, MartLoop, MartRunner, checked, run_all
 from tidemark.plans.state import Claims, InFlight, Lease, Registry, Write, boundary, totals
-from tidemark.plans.store import Conflict, LostLease, Staged, Store
+from tidemark.plans.store import Conflict, LostLease, Staged, Store, layout_of
 from tidemark.spec import TableSpec
 
 DOC = TableSpec("Document_D", {"Ref_Key": "String", "Date": "DateTime", "Sum": "Double"}, ("Ref_Key",), parts=("Document_D_Rows",))
@@ -103,36 +103,47 @@ def test_boundary_and_retention():
     assert boundary(100, w, ["A"]) == 5 and boundary(100, w, ["B"]) == 4 and boundary(100, w, ["C"]) == 100
 
 
+def chained(windows):
+    """The windows in order of time, each beginning where the last ended."""
+    out = sorted(windows, key=lambda w: (w.start is not None, w.start))
+    assert all(a.end == b.start for a, b in zip(out, out[1:]))
+    return out
+
+
 def test_walk_covers_everything_in_touching_windows():
-    anchor, oldest = datetime(2024, 6, 1), datetime(2023, 12, 15)
-    asked = []
+    anchor, oldest, rounds = datetime(2024, 6, 1), datetime(2022, 12, 15), []
 
-    def read(w, may_refuse):
-        asked.append(w)
-        days = (w.end - w.start).days if w.start and w.end else None
-        return fl.Read(5, not (may_refuse and days and days > 10))
+    def read(asks):
+        rounds.append(asks)
+        days = [(a.window.end - a.window.start).days if a.window.start and a.window.end else 0 for a in asks]
+        return [fl.Read(5, not (a.may_refuse and d > 10)) for a, d in zip(asks, days)]
 
-    done = fl.walk(read, anchor, oldest)
-    assert done[0] == fl.Window(anchor, None)
-    chain = done[1:]
-    assert chain[0].end == anchor and all(a.start == b.end for a, b in zip(chain, chain[1:])) and chain[-1].start <= oldest
-    assert max((w.end - w.start).days for w in chain) <= 10 and (asked[1].end - asked[1].start).days == 30
+    done = chained(fl.walk(read, anchor, oldest))
+    assert done[-1] == fl.Window(anchor, None) and done[0].start <= oldest < done[0].end
+    assert max((w.end - w.start).days for w in done[:-1]) == 10
+    assert len(rounds) <= 4 and len(rounds[0]) == fl.FIRST_ROUND + 1  # windows are asked for side by side
 
 
 def test_walk_ends_after_three_empty_windows():
-    done = fl.walk(lambda w, m: fl.Read(0), datetime(2024, 1, 1))
-    assert len(done) == 5 and done[-1].start is None and done[-1].end == done[-2].start
+    asked = []
+    done = chained(fl.walk(lambda asks: asked.extend(asks) or [fl.Read(0) for _ in asks], datetime(2024, 1, 1)))
+    assert len(done) == len(asked) == fl.FIRST_ROUND + 2 and done[0].start is None
+    assert chained(fl.walk(lambda asks: [fl.Read(0) for _ in asks], datetime(3, 1, 1), days=300))[0].start is None  # where the calendar ends
+
 
+def test_walk_cuts_open_windows_that_are_too_heavy():
+    def read(asks):
+        return [fl.Read(1 if a.window.start and a.window.start < datetime(2024, 5, 1) else 0, not (a.may_refuse and a.window.end is None and a.window.start < datetime(2024, 3, 1))) for a in asks]
 
-def test_walk_cuts_an_open_window_that_is_too_heavy():
-    seen = []
+    done = chained(fl.walk(read, datetime(2024, 1, 1), datetime(2023, 12, 20)))
+    assert done[-1].end is None and done[-1].start >= datetime(2024, 5, 1) and done[0].start <= datetime(2023, 12, 20)
 
-    def read(w, may_refuse):
-        seen.append(w)
-        return fl.Read(1 if w.end else 9, not (w.end is None and len(seen) == 1))
 
-    done = fl.walk(lambda w, m: read(w, m) if len(seen) < 3 else fl.Read(0), datetime(2024, 1, 1), datetime(2023, 12, 20))
-    assert done[0].start == datetime(2024, 1, 1) and done[0].end is not None and any(w.end is None for w in done)
+def test_walk_of_a_period_stays_in_it():
+    start, end = datetime(2024, 1, 10), datetime(2024, 4, 20)
+    for oldest in (None, datetime(2020, 1, 1), datetime(2024, 2, 1)):
+        done = chained(fl.walk(lambda asks: [fl.Read(1) for _ in asks], datetime(2024, 4, 1), oldest, start, end))
+        assert done[-1].end == end and (done[0].start == start or oldest and start <= done[0].start <= oldest)
 
 
 def test_page_size():
@@ -146,15 +157,15 @@ def test_page_size():
 
 def test_full_load_in_windows_reads_entries_without_a_date(spark, store):
     d = docs(spark, ("a", 1, 1), ("b", 5, 2), ("c", 6, 3)).withColumn("Date", F.when(F.col("Ref_Key") != "c", F.col("Date")))
-    source = fl.FrameSnapshot({"Document_D": d, "Document_D_Rows": parts(spark, ("a", 1, "x"), ("c", 1, "y"))}, {"Document_D": ("Document_D_Rows",)})
+    source = fl.FrameSnapshot({"Document_D": d, "Document_D_Rows": parts(spark, ("a", 1, "x"), ("c", 1, "y"))}, {"Document_D": ("Document_D_Rows",)}, limit=1)
     when = datetime(2024, 7, 1)
-    assert fl.full_load(store, source, SPECS, "Document_D", "Date", started_at=when, now=when + timedelta(hours=1), limit=1) == 5
+    assert fl.full_load(store, source, SPECS, "Document_D", "Date", started_at=when, now=when + timedelta(hours=1)) == 5
     assert rows(store.read("Document_D"), "Ref_Key") == [("a",), ("b",), ("c",)] and rows(store.read("Document_D_Rows"), "Ref_Key") == [("a",), ("c",)]
 
 
 def test_full_load_marks_what_vanished_and_is_idle_after(spark, store):
-    source = fl.FrameSnapshot({"Document_D": docs(spark, ("a", 1, 1), ("b", 2, 2), ("c", 5, 3)).drop("exchange_message_no"), "Document_D_Rows": parts(spark, ("a", 1, "x"), ("b", 1, "y"))}, {"Document_D": ("Document_D_Rows",)})
-    run = lambda n, **more: fl.full_load(store, source, SPECS, "Document_D", "Date", started_at=datetime(2024, 1, 1) + timedelta(days=n), now=datetime(2024, 1, 1) + timedelta(days=n, hours=1), limit=1, **more)
+    source = fl.FrameSnapshot({"Document_D": docs(spark, ("a", 1, 1), ("b", 2, 2), ("c", 5, 3)).drop("exchange_message_no"), "Document_D_Rows": parts(spark, ("a", 1, "x"), ("b", 1, "y"))}, {"Document_D": ("Document_D_Rows",)}, limit=1)
+    run = lambda n, **more: fl.full_load(store, source, SPECS, "Document_D", "Date", started_at=datetime(2024, 1, 1) + timedelta(days=n), now=datetime(2024, 1, 1) + timedelta(days=n, hours=1), **more)
     assert run(0) == 5 and run(1) == 0
     source.frames["Document_D"] = docs(spark, ("a", 1, 1), ("c", 5, 3)).drop("exchange_message_no")
     assert run(2) == 2  # the document and its part's row
@@ -164,7 +175,7 @@ def test_full_load_marks_what_vanished_and_is_idle_after(spark, store):
     with pytest.raises(ValueError, match="table part"):
         fl.full_load(store, source, SPECS, "Document_D_Rows")
     with pytest.raises(ValueError, match="field"):
-        fl.full_load(store, source, SPECS, "Document_D", date_from="2024-01-01")
+        fl.full_load(store, source, SPECS | {"Catalog_C": TableSpec("Catalog_C", {"Ref_Key": "Guid"}, ("Ref_Key",))}, "Catalog_C", date_from="2024-01-01")
 
 
 def test_ordered_loads_back_off(spark, store):
@@ -237,8 +248,8 @@ def test_marking_follows_what_was_loaded(spark, store):
     fl.full_load(store, source, SPECS, "Document_D", started_at=when, now=when + timedelta(hours=1))
 
     class Moves(fl.FrameSnapshot):
-        def read(self, *a):
-            out = super().read(*a)
+        def fetch(self, *a):
+            out = super().fetch(*a)
             self.frames["Document_D"] = whole.limit(0)
             return out
 
@@ -276,7 +287,7 @@ def test_claims_stop_and_orphaned_keys(spark, store):
     stop.set()
     with pytest.raises(fl.Stopped):
         fl.full_load(store, source, SPECS, "Document_D", stop=stop)
-    assert store.head() == 0
+    assert store.state() == {}
     fl.Keys(store, "x", clock=lambda: 1000.0).add(spark.range(1))
     assert fl.Keys.drop_orphans(store, 1000 + 3600) == 0 and fl.Keys.drop_orphans(store, 1001 + 24 * 3600) == 1
 
@@ -305,11 +316,61 @@ def test_commits_of_other_tables_are_put_behind(spark, store):
     store.publish({"U": merge(store.read("U"), docs(spark, ("a", 1, 3)), DOC, at(2))}, "third")
     with pytest.raises(Conflict):
         store.put(late, "from an older version")
-    with pytest.raises(LostLease):
-        store.put(store.stage({"U": merge(store.read("U"), docs(spark, ("a", 1, 4)), DOC, at(3))}), "fenced", fence=lambda: False)
     assert store.head() == 3 and rows(store.read("U"), "Sum") == [(3,)]
 
 
+def test_a_replaced_owner_commits_nothing(spark, store, monkeypatch):
+    """Asleep between its look at the fence and its commit, it finds the number taken, and then the other's epoch."""
+    now = [0.0]
+    a, b = (Lease(store, "feed", o, ttl=10, clock=lambda: now[0]) for o in "ab")
+    assert a.acquire()
+    staged = store.stage({"U": merge(None, docs(spark, ("a", 1, 4)), DOC, at(3))})
+    create = store.files.create
+
+    def sleeps(name, text):
+        monkeypatch.setattr(store.files, "create", create)
+        now[0] = 11
+        assert b.acquire() and b.epoch == a.epoch + 1
+        return create(name, text)
+
+    monkeypatch.setattr(store.files, "create", sleeps)
+    with pytest.raises(LostLease):
+        store.put(staged, "late", fence=a.fence)
+    assert store.state() == {} and store.put(staged, "mine", fence=b.fence) and store.read("U").count() == 1
+    assert b.release() and b.acquire() and b.epoch == a.epoch + 1  # nobody was in between: no further epoch
+
+
+def test_owners_have_names_of_their_own(spark, store):
+    from tidemark.plans.state import unique
+
+    a, b = Claims(store), Claims(store)
+    assert unique("x") != unique("x")
+    with a.hold("Document_D") as mine, b.hold("Document_D") as other:
+        assert mine and not other
+
+
+def test_readers_that_lag_keep_their_commit(spark, store):
+    for n in range(6):
+        store.publish({"T": merge(store.read("T"), docs(spark, ("a", 1, n)), DOC, at(n))}, f"package {n}", state={"mart-m": {"cursor": {"__commit": 1}}} if n == 1 else None)
+    store.vacuum(keep=1, age=0)
+    assert store.files.names("_commits") == [f"{n:012d}.json" for n in (1, 6)]
+    assert rows(store.read("T", 1), "Sum") == [(0,)] and rows(store.changes("T", ["Ref_Key"], 1), "Sum") == [(5,)]
+
+
+def test_windows_of_change_times_list_what_they_need(spark, store):
+    layouts = {"T": layout_of(DOC)}
+    store.publish({"T": merge(None, docs(spark, *[(f"k{n}", 1, n) for n in range(200)]), DOC, at(0))}, "all", layouts)
+    batch = docs(spark, ("k7", 2, 70))
+    parts = store.touched("T", batch)
+    result = merge(store.read("T", parts=parts), batch, DOC, at(5))
+    result.parts = parts
+    store.publish({"T": result}, "one")
+    late = store.read_window("T", "merged_on", datetime(2024, 1, 4))
+    assert rows(late, "Ref_Key") == [("k7",)] and len(late.inputFiles()) == 1 < len(store.read("T").inputFiles())
+    early = store.read_window("T", "merged_on", None, datetime(2024, 1, 2))
+    assert early.count() == 199 and store.read_window("T", "Date", datetime(2025, 1, 1)).count() == 0
+
+
 def test_a_held_lease_is_renewed(store):
     import time
 
@@ -419,8 +480,7 @@ def test_lost_lease_announces_nothing(spark, store):
         def rebuild(self, c):
             for n, x in enumerate(super().rebuild(c)):
                 if n:
-                    revision, _ = store.document("lease-mart-sums")
-                    store.replace_document("lease-mart-sums", revision, {"owner": "thief", "heartbeat": 9e18})
+                    assert Lease(store, "mart-sums", "thief", clock=lambda: 9e18).acquire()
                 yield x
 
     r = MartRunner(store, Robbed())

@@ -79,7 +79,7 @@ def main() -> None:
     specs = read()
     r = Replicator(spark, store, s.transport, specs, read_metadata=read)
     r.registry.sync(specs.values())
-    claims = Claims(store, "full load")
+    claims = Claims(store)
     source = ODataSnapshot(spark, s.transport, lambda e, spec: rows_of(e, spec, r.specs, 0))
     loads = FullLoads(r.registry, lambda name, stop: full_load(store, source, r.specs, name, started_at=datetime.now(), claims=claims, stop=stop), s.threads)
     if s.mode == "once":

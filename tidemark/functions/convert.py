@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidemark.spec import EMPTY_DATE, EMPTY_GUID, NUMBER, spark_type
+from tidemark.spec import EMPTY_DATE, EMPTY_GUID, spark_type
 
 PROVIDER, PRIMITIVE = "StandardODATA.", "Edm."
 _GUID = r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
@@ -32,9 +32,10 @@ def convert(c: Column, declared: str) -> Column:
         return F.when(guid != EMPTY_GUID, guid)
     if declared == "DateTime":
         return c.try_cast("timestamp_ntz")
-    if declared == "Double":
-        number = F.trim(c).try_cast(NUMBER)
-        plain = F.trim(c).rlike(rf"^[+-]?\d*\.?\d{{0,{NUMBER.scale}}}0*$")
+    if declared.startswith("Double"):
+        kind = spark_type(declared)
+        number = F.trim(c).try_cast(kind)
+        plain = F.trim(c).rlike(rf"^[+-]?\d*\.?\d{{0,{kind.scale}}}0*$")
         return F.when(plain | (number.cast("double") == F.trim(c).try_cast("double")) & F.lower(c).contains("e"), number)
     if declared in ("Int64", "Int32", "Int16"):
         return F.trim(c).try_cast(spark_type(declared))
@@ -57,8 +58,8 @@ def key_default(declared: str) -> Column:
         return F.lit(False)
     if declared in ("Int64", "Int32", "Int16"):
         return F.lit(0).cast(spark_type(declared))
-    if declared == "Double":
-        return F.lit(0).cast(NUMBER)
+    if declared.startswith("Double"):
+        return F.lit(0).cast(spark_type(declared))
     return F.lit("")
 
 

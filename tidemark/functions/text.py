@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import base64
 import json
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,12 +41,8 @@ def readable(c: Column) -> Column:
     return excerpt(visible(decoded(F.trim(c))))
 
 
-@F.udf(returnType=T.ArrayType(T.StringType()), useArrow=False)
-def _descriptions(body: str) -> list[str] | None:
-    """Descriptions along the chain of nested causes, without those that another one contains.
-
-    The chain is recursive, which no expression follows; error answers are few, so a row function does no harm.
-    """
+def descriptions(body: str) -> list[str] | None:
+    """Descriptions along the chain of nested causes, without those that another one contains."""
     try:
         node = json.loads(body)
     except (TypeError, ValueError):
@@ -59,6 +57,34 @@ def _descriptions(body: str) -> list[str] | None:
     return [d for d in told if not d.startswith("HTTP: ")] or told or None
 
 
+#: The chain is recursive, which no expression follows; error answers are few, so a row function does no harm.
+_descriptions = F.udf(descriptions, T.ArrayType(T.StringType()), useArrow=False)
+
+
+def error_message(body: bytes) -> str:
+    """``error_text`` of one answer that the driver or a task holds."""
+    text = body.decode("utf-8", "replace").strip().lstrip("\ufeff")
+    if m := re.search(r"(?s)<m:message[^>]*>(.*?)</m:message>", text):
+        text = m[1]
+    elif told := descriptions(text) if text.startswith("{") else None:
+        return " | ".join(map(_line, told))
+    elif m := re.search(r"(?si)by reason:\s*</b>\s*<br>(.*?)</body>", text):
+        text = re.sub("<[^>]+>", " ", m[1])
+    return _line(text) or "<empty body>"
+
+
+def _line(text: str) -> str:
+    text, bare = text.strip(), re.sub(r"\s", "", text)
+    if re.match(BASE64, text) and len(bare) % 4 == 0:
+        try:
+            text = base64.b64decode(bare, validate=True).decode().strip() or text
+        except ValueError:  # it only looked like base64
+            pass
+    text = re.sub(INVISIBLE, lambda m: f"<{ord(m[0]):02X}>", text)
+    line = " ".join(text.split())
+    return line if len(line) <= MOST_CHARS else f"{line[:MOST_CHARS]}... [+{len(line) - MOST_CHARS} chars]"
+
+
 def error_text(body: Column) -> Column:
     """What an error answer says: the XML message, the JSON causes, the HTML reason, else the whole body in one line."""
     text = F.trim(F.regexp_replace(F.coalesce(body, F.lit("")), "^﻿+", ""))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import convert, filters
-from tidemark.spec import DELETED, LINE_NUMBER, MESSAGE_NO, NUMERIC, OWNER_KEY, TableSpec, spark_type
+from tidemark.spec import DELETED, LINE_NUMBER, MESSAGE_NO, OWNER_KEY, REJECTS, TableSpec, is_number, spark_type
 
 
 def route(entries: DataFrame, name: Column) -> tuple[DataFrame, DataFrame]:
@@ -23,14 +23,15 @@ def entry_counts(entries: DataFrame) -> DataFrame:
     return entries.groupBy("object").agg(F.count(F.lit(1)).alias("entries")).withColumn("supported", filters.supported(F.col("object")))
 
 
-def typed(values: dict[str, Column], spec: TableSpec, message_no: Column, filled_later: tuple[str, ...] = ()) -> list[Column]:
+def typed(values: dict[str, Column], spec: TableSpec, message_no: Column, filled_later: tuple[str, ...] = (), rejects: bool = False) -> list[Column]:
     """Columns of a flat row from its fields' texts.
 
     Key parts get their type's default for null, but for those that are filled from the entry. A field with a type field
     beside it keeps its text and gets the reference it holds in ``<field>_Guid``. The deletion flag and the package's
-    number come last.
+    number come last, and with ``rejects`` an array of the texts that were no values: field, text.
     """
     out: dict[str, Column] = {}
+    bad: list[Column] = []
     for f, declared in spec.fields.items():
         if f.endswith("_Guid") and f.removesuffix("_Guid") in spec.fields and f"{f.removesuffix('_Guid')}_Type" in spec.fields:
             base = f.removesuffix("_Guid")
@@ -39,15 +40,20 @@ def typed(values: dict[str, Column], spec: TableSpec, message_no: Column, filled
         text = convert.scalar(values[f]) if f in values else F.lit(None).cast("string")
         value = convert.type_name(text) if f.endswith("_Type") else convert.convert(text, declared)
         out[f] = convert.key(value, declared) if f in spec.pk and f not in filled_later else value
+        if not f.endswith("_Type") and declared not in ("String", "Binary", "Boolean"):
+            bad.append(F.when(convert.rejected(text, declared), F.struct(F.lit(f).alias("field"), text.alias("text"))))
     mark, active = out.get("DeletionMark"), out.get("Active")
-    return [*(v.alias(f) for f, v in out.items()), convert.deleted(mark, active).alias(DELETED), message_no.cast("long").alias(MESSAGE_NO)]
+    told = F.array_compact(F.array(*bad)) if bad else F.array().cast("array<struct<field:string,text:string>>")
+    return [*(v.alias(f) for f, v in out.items()), convert.deleted(mark, active).alias(DELETED), message_no.cast("long").alias(MESSAGE_NO), *([told.alias(REJECTS)] if rejects else [])]
 
 
 def zero_empty_numerics(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """Absent numbers of a register's live rows are zero; a tombstone's stay null."""
+    """Absent numbers of a register's live rows are zero; a tombstone's stay null, and so does one whose text was rejected."""
     if not spec.is_register:
         return rows
-    return rows.withColumns({f: F.coalesce(F.col(f), F.lit(0).cast(rows.schema[f].dataType)) for f, t in spec.fields.items() if t in NUMERIC})
+    broken = F.transform(REJECTS, lambda r: r["field"]) if REJECTS in rows.columns else F.array().cast("array<string>")
+    zero = lambda f: F.coalesce(F.col(f), F.when(~F.array_contains(broken, f), F.lit(0).cast(rows.schema[f].dataType)))
+    return rows.withColumns({f: zero(f) for f, t in spec.fields.items() if is_number(t)})
 
 
 def child_rows(owners: DataFrame, part: Column, keep: list[str]) -> DataFrame:

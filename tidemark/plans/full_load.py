@@ -10,6 +10,7 @@ from collections.abc import Callable
 from concurrent.futures import Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from datetime import date, datetime, timedelta
+from functools import reduce
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -20,13 +21,15 @@ from tidemark.operators.merge import mark_missing, mark_orphans
 from tidemark.plans import apply
 from tidemark.plans.state import Claims, InFlight, Registry
 from tidemark.plans.store import Staged, Store
-from tidemark.spec import FULL_LOAD_MESSAGE, MESSAGE_NO, OWNER_KEY, TableSpec
+from tidemark.spec import FULL_LOAD_MESSAGE, MESSAGE_NO, OWNER_KEY, TableSpec, partition_field
 
 log = logging.getLogger(__name__)
 
 # How a period is walked and a page is sized.
 WINDOW_DAYS, NARROWEST_DAYS, NARROWING, EMPTY_TO_STOP, MOST_PAGES = 30, 1, 3, 3, 10
 PAGE_TARGET_BYTES, PAGE_SHRINK, SMALLEST_PAGE = 32 << 20, 4, 1
+#: Windows of the first round of a walk, and of any round.
+FIRST_ROUND, MOST_AT_ONCE = 12, 96
 
 
 @dataclass(frozen=True)
@@ -43,6 +46,14 @@ class Window:
         return filters.in_window(c, self.start, self.end)
 
 
+@dataclass(frozen=True)
+class Ask:
+    """A window to read. One that may be refused is given up once it turns out too deep or heavy, and is cut."""
+
+    window: Window
+    may_refuse: bool = False
+
+
 @dataclass
 class Read:
     """What reading one window came to: entries found, and whether all of it was read."""
@@ -51,43 +62,89 @@ class Read:
     complete: bool = True
 
 
-def walk(read: Callable[[Window, bool], Read], anchor: datetime, oldest: datetime | None = None, days: int = WINDOW_DAYS) -> list[Window]:
-    """Read everything, from the anchor outwards, in windows that touch; the windows read to their end, in order.
+def narrower(w: Window, days: int = WINDOW_DAYS) -> list[Ask]:
+    """A window of two bounds in pieces that touch: of the usual width if it is wider, else of a third of its own."""
+    length = max(1, -(-(w.end - w.start) // timedelta(days=1)))
+    piece = timedelta(days=days if length > days else max(NARROWEST_DAYS, length // NARROWING))
+    out, at = [], w.start
+    while at < w.end:
+        far = min(w.end, at + piece)
+        out.append(Ask(Window(at, far), far - at > timedelta(days=NARROWEST_DAYS)))
+        at = far
+    return out
+
 
-    First all from the anchor on. Then windows towards the past, until one covers ``oldest`` or three in a row are
-    empty, after which all that is left is read at once. A window too deep or heavy is read again narrower; an open one
-    is cut into windows the same way. ``read`` gets the window and whether it may be refused.
+class _Way:
+    """From an edge outwards, in windows that touch: so many at once, more each time, up to the limit or three empty ones in a row.
+
+    After those, all that is left is asked for at once. ``hard`` limits end the last window; else it goes over the limit whole.
     """
-    done: list[Window] = []
 
-    def attempt(w: Window, may_refuse: bool) -> Read:
-        r = read(w, may_refuse)
-        if r.complete:
-            done.append(w)
-        return r
-
-    def outwards(edge: datetime, step: int) -> None:
-        span, empty = days, 0
-        while step > 0 or oldest is None or edge > oldest:
-            if empty == EMPTY_TO_STOP:
-                if attempt(Window(edge, None) if step > 0 else Window(None, edge), True).complete:
-                    return
-                empty = 0
-                continue
-            far = edge + timedelta(days=span * step)
-            last = step < 0 and oldest is not None and far <= oldest
-            r = attempt(Window(*sorted((edge, far))), not last and span > NARROWEST_DAYS)
-            if not r.complete:
-                span = max(NARROWEST_DAYS, span // NARROWING)
-                continue
-            if last:
-                return
-            edge, empty = far, 0 if r.entries else empty + 1
+    def __init__(self, edge: datetime, step: int, limit: datetime | None, hard: bool, days: int):
+        self.edge, self.step, self.limit, self.hard, self.days = edge, step, limit, hard, days
+        self.many, self.empty, self.over = FIRST_ROUND, 0, limit is not None and (edge - limit) * step >= timedelta(0)
+
+    def _window(self, far: datetime | None) -> Window:
+        return Window(self.edge, far) if self.step > 0 else Window(far, self.edge)
+
+    def ahead(self) -> list[Ask]:
+        if self.over:
+            return []
+        if self.empty >= EMPTY_TO_STOP:
+            self.rest = True
+            return [Ask(self._window(self.limit if self.hard else None), True)]
+        self.rest, out = False, []
+        while len(out) < self.many and not self.over:
+            try:
+                far: datetime | None = self.edge + timedelta(days=self.days * self.step)
+            except OverflowError:  # the calendar ends
+                far, self.over = None, True
+            if far is not None and self.limit is not None and (far - self.limit) * self.step >= timedelta(0):
+                far, self.over = self.limit if self.hard else far, True
+            out.append(Ask(self._window(far), self.days > NARROWEST_DAYS and far is not None))
+            if far is not None:
+                self.edge = far
+        self.many = min(MOST_AT_ONCE, 2 * self.many)
+        return out
+
+    def told(self, reads: list[Read]) -> None:
+        if getattr(self, "rest", False):
+            self.over, self.empty = reads[0].complete, 0
+            return
+        if any(not r.complete for r in reads):
+            self.days = max(NARROWEST_DAYS, self.days // NARROWING)
+        for r in reads:
+            self.empty = 0 if r.entries or not r.complete else self.empty + 1
+
+
+def walk(read: Callable[[list[Ask]], list[Read]], anchor: datetime, oldest: datetime | None = None, start: datetime | None = None, end: datetime | None = None, undated: bool = False, days: int = WINDOW_DAYS) -> list[Window]:
+    """Read everything in [start, end), open where a side is None, in rounds of windows that touch; the windows read to their end.
 
-    if not attempt(Window(anchor, None), True).complete:
-        outwards(anchor, 1)
-    outwards(anchor, -1)
-    return done
+    The first round asks for all from the anchor on, for windows towards the past and, if told so, for what has no date;
+    the next ones for more windows, until one covers ``oldest`` or ``start`` or three in a row are empty, after which all
+    that is left is asked for at once. A window that was too deep or heavy is cut in the next round, an open one is walked
+    the same way. ``read`` gets a round's windows, which it may read side by side, and says what each came to.
+    """
+    done: list[Window] = []
+    hard = start is not None and (oldest is None or oldest < start)
+    ways = [_Way(anchor, -1, start if hard else oldest, hard, days)]
+    todo = [Ask(Window(anchor, end), True)] if end is None or anchor < end else []
+    todo += [Ask(Window(None, None, undated=True))] if undated else []
+    while True:
+        ahead = [(w, w.ahead()) for w in ways]
+        asks = [*todo, *(a for _, out in ahead for a in out)]
+        if not asks:
+            return done
+        reads = read(asks)
+        done += [a.window for a, r in zip(asks, reads) if r.complete]
+        refused = [a.window for a, r in zip(asks, reads) if not r.complete]
+        rest = reads[len(todo) :]
+        for w, out in ahead:
+            if out:
+                w.told(rest[: len(out)])
+            rest = rest[len(out) :]
+        todo = [a for w in refused if w.start is not None and w.end is not None for a in narrower(w, days)]
+        ways += [_Way(w.start, 1, None, False, days) for w in refused if w.start is not None and w.end is None and not any(x.step > 0 for x in ways)]
 
 
 class PageSize:
@@ -108,19 +165,38 @@ class PageSize:
         return self.size
 
 
+class Fetched(Protocol):
+    """Windows that were read: what each came to, and the flat rows by table of those that were read to their end."""
+
+    reads: list[Read]
+
+    def rows(self) -> dict[str, DataFrame]: ...
+
+
 class Snapshot(Protocol):
-    """A source of whole objects. ``read`` returns rows of the object and its parts by name, restricted to a window."""
+    """A source of whole objects, which doesn't tell how much it has.
+
+    ``fetch`` reads windows side by side, a window that may be refused up to the source's bounds only; ``landing`` is a
+    folder that it may write to. Rows of an object and its parts come by name; an entry that several windows hold comes once.
+    """
 
     def bounds(self, spec: TableSpec, field: str) -> tuple[datetime | None, datetime | None]: ...
 
-    def count(self, spec: TableSpec, field: str | None, window: Window) -> int: ...
+    def fetch(self, spec: TableSpec, field: str | None, asks: list[Ask], landing: str) -> Fetched: ...
+
+
+@dataclass
+class FrameFetched:
+    reads: list[Read]
+    frames: dict[str, DataFrame]
 
-    def read(self, spec: TableSpec, field: str | None, window: Window) -> dict[str, DataFrame]: ...
+    def rows(self) -> dict[str, DataFrame]:
+        return self.frames
 
 
 @dataclass
 class FrameSnapshot:
-    """A snapshot source over frames: one per object and part; ``limit`` is the most entries that one selection may have."""
+    """A snapshot source over frames: one per object and part; ``limit`` is the most entries that a window which may be refused may have."""
 
     frames: dict[str, DataFrame]
     parts: dict[str, tuple[str, ...]] = field(default_factory=dict)
@@ -129,38 +205,46 @@ class FrameSnapshot:
     def bounds(self, spec: TableSpec, field: str) -> tuple[datetime | None, datetime | None]:
         return tuple(self.frames[spec.name].agg(F.min(field), F.max(field)).first())
 
-    def count(self, spec: TableSpec, field: str | None, window: Window) -> int:
-        return self._whole(spec, field, window).select(*(spec.group_key or spec.pk)).distinct().count()
-
-    def _whole(self, spec: TableSpec, field: str | None, window: Window) -> DataFrame:
-        """Rows of the window; of a recorder's register, whole groups of which one row is in it."""
-        f = self.frames[spec.name]
-        if field is None or (window.start is None and window.end is None and not window.undated):
-            return f
-        hit = f.where(window.condition(F.col(field)))
-        return f.join(hit.select(*spec.group_key).distinct(), list(spec.group_key), "left_semi") if spec.group_key else hit
-
-    def read(self, spec: TableSpec, field: str | None, window: Window) -> dict[str, DataFrame]:
-        rows = self._whole(spec, field, window)
-        out = {spec.name: rows}
+    def fetch(self, spec: TableSpec, field: str | None, asks: list[Ask], landing: str) -> FrameFetched:
+        f, unit = self.frames[spec.name], [F.col(c) for c in (spec.group_key or spec.pk)]
+        within = [a.window.condition(F.col(field)) if field and a.window != Window(None, None) else F.lit(True) for a in asks]
+        found = f.agg(*[F.count_distinct(*[F.when(w, F.struct(c)) for c in unit]).alias(f"n{k}") for k, w in enumerate(within)]).first()
+        reads = [Read(n, not (a.may_refuse and self.limit is not None and n > self.limit)) for a, n in zip(asks, found)]
+        hit = f.where(reduce(lambda a, b: a | b, (w for w, r in zip(within, reads) if r.complete), F.lit(False)))
+        if spec.group_key:  # whole groups of which one row is in a window
+            hit = f.join(hit.select(*spec.group_key).distinct(), list(spec.group_key), "left_semi")
+        out = {spec.name: hit}
         for p in self.parts.get(spec.name, ()):
-            out[p] = self.frames[p].join(rows.select("Ref_Key").distinct(), "Ref_Key", "left_semi")
-        return out
+            out[p] = self.frames[p].join(hit.select(OWNER_KEY).distinct(), OWNER_KEY, "left_semi")
+        return FrameFetched(reads, out)
 
 
-def plan_windows(source: Snapshot, spec: TableSpec, date_field: str | None, now: datetime, limit: int) -> list[Window]:
-    """The windows that a full load reads: the object whole if it is small or has no period, else the walk over its period and what has no date."""
-    everything = Window(None, None)
-    if date_field is None or source.count(spec, None, everything) <= limit:
-        return [everything]
-    oldest, newest = source.bounds(spec, date_field)
+def moment(v: filters.Bound, after: bool = False) -> datetime | None:
+    """A bound of a period as a moment, exclusive if ``after``: then a bare date ends with its day, a moment with its second, as sources write no less."""
+    if v is None:
+        return None
+    at = datetime.fromisoformat(v) if isinstance(v, str) else v
+    if not isinstance(at, datetime):
+        return datetime(at.year, at.month, at.day) + timedelta(days=int(after))
+    return at.replace(microsecond=0) + timedelta(seconds=1) if after else at
 
-    def read(w: Window, may_refuse: bool) -> Read:
-        n = source.count(spec, date_field, w)
-        return Read(n, not (may_refuse and n > limit))
 
-    undated = Window(None, None, undated=True)
-    return walk(read, newest or now, oldest) + [undated] * (source.count(spec, date_field, undated) > 0)
+def read_all(source: Snapshot, spec: TableSpec, date_field: str | None, now: datetime, read: Callable[[list[Ask]], list[Read]], start: datetime | None = None, end: datetime | None = None) -> list[Window]:
+    """Read an object, or its period, by ``read``; the windows that were read.
+
+    It is asked for as it is first. If that is too deep or heavy and the object has a date, its windows are walked; the
+    source makes up a register's record sets whole before it cuts a page, so those are walked at once. What has no date
+    belongs to no period.
+    """
+    if date_field is None:
+        return [Window(None, None)] if read([Ask(Window(None, None))]) else []
+    sets = bool(spec.is_register and spec.group_key)
+    if not sets and read([Ask(Window(start, end), True)])[0].complete:
+        return [Window(start, end)]
+    oldest, newest = (None, None) if sets else source.bounds(spec, date_field)
+    anchor = min(t for t in (newest or now, end) if t is not None)
+    anchor = max(t for t in (anchor, start) if t is not None)
+    return walk(read, anchor, oldest, start, end, undated=not sets and start is None and end is None)
 
 
 class Stopped(RuntimeError):
@@ -174,7 +258,7 @@ class Busy(RuntimeError):
 class Keys:
     """Keys that a load has seen, window by window, beside the tables; keys may repeat."""
 
-    FOLDER, OLDEST = "_keys", 24 * 3600
+    FOLDER, LANDING, OLDEST = "_keys", "_landing", 24 * 3600
 
     def __init__(self, store: Store, name: str, clock: Callable[[], float] = time.time):
         self.store, self.path = store, f"{self.FOLDER}/{int(clock())}-{uuid.uuid4().hex[:8]}-{name}"
@@ -201,64 +285,72 @@ class Keys:
 
 def full_load(
     store: Store, source: Snapshot, specs: dict[str, TableSpec], name: str, date_field: str | None = None, date_from: filters.Bound = None, date_to: filters.Bound = None,
-    started_at: datetime | None = None, now: datetime | None = None, limit: int = 1_000_000, always_touch: bool = False, claims: Claims | None = None,
+    started_at: datetime | None = None, now: datetime | None = None, always_touch: bool = False, claims: Claims | None = None,
     stop: threading.Event | None = None, buckets: int | None = None,
 ) -> int:
     """Load an object and its parts whole, and mark what its table has beyond that; how many rows really changed.
 
-    An unchanged source gives 0. Table parts are loaded with their owner. With a period, only rows within it and their
-    parts are read and only rows within it are marked, which needs the field as a column of the table. The object is
-    under a claim meanwhile; what is marked is what the windows, as they were read, did not hold. A window whose tables
-    another writer changes is merged again; a stop ends the load between windows, before anything is marked.
+    An unchanged source gives 0. Table parts are loaded with their owner. The date field is the object's own unless told.
+    With a period, the source is asked for that only, and only rows within it are marked, which needs the field as a
+    column of the table. ``specs`` is the dictionary that the source parses by: scales of numbers may change in it. The
+    object is under a claim meanwhile; what is marked is what the windows, as they were read,
+    did not hold. A round whose tables another writer changes is merged again; a stop ends the load before anything is marked.
     """
     spec = specs[name]
     if spec.is_table_part:
         raise ValueError(f"{name} is a table part: load its owner")
+    date_field = date_field or partition_field(spec)
     if (date_from is not None or date_to is not None) and not date_field:
         raise ValueError("a period needs its field")
     began = started_at or datetime.now()
     stamp = F.lit(now or datetime.now()).cast("timestamp_ntz")
-    start = F.lit(began).cast("timestamp_ntz")
+    since = F.lit(began).cast("timestamp_ntz")
     claims = claims or Claims(store, "full load")
     registry, flights, keys = Registry(store), InFlight(store), Keys(store, name)
     period = filters.in_period(F.col(date_field), date_from, date_to) if date_from is not None or date_to is not None else None
+    modified, fences = 0, []
 
-    def merged(page: dict[str, DataFrame]) -> Staged:
-        out = Staged()
+    def merged(page: dict[str, DataFrame], rejects: list[DataFrame]) -> Staged:
+        out = apply.staged_rejects(store, rejects, stamp) if rejects else Staged()
+        out.counts = {}  # rejects are no changes of the object
         for table, rows in page.items():
-            out.add(apply.staged(store, rows, specs[table], stamp, start, always_touch, buckets, lambda _: registry.require_full_load(name)))
+            out.add(apply.staged(store, rows, specs[table], stamp, since, always_touch, buckets, lambda _: registry.require_full_load(name)))
         return out
 
+    def read(asks: list[Ask]) -> list[Read]:
+        nonlocal modified
+        if stop is not None and stop.is_set():
+            raise Stopped(name)
+        landing = f"{Keys.LANDING}/{uuid.uuid4().hex}"
+        try:
+            got = source.fetch(spec, date_field, asks, f"{store.root}/{landing}")
+            log.info("full load of %s: %d windows, %d entries, %d to cut", name, len(asks), sum(r.entries for r in got.reads), sum(not r.complete for r in got.reads))
+            if any(r.complete and r.entries for r in got.reads) or store.read(name) is None:
+                rejects: list[DataFrame] = []
+                with apply.page(store, specs, lambda: {t: rows.withColumn(MESSAGE_NO, F.lit(FULL_LOAD_MESSAGE).cast("long")) for t, rows in got.rows().items()}, rejects) as (page, _):
+                    with flights.track(page, f"full load {name}"):
+                        modified += apply.repeated(store, lambda: merged(page, rejects), f"full load {name}", fence=fences[0]).modified
+                        keys.add(page[name].select(*spec.pk))
+        finally:
+            store.files.delete(landing)
+        return got.reads
+
     with claims.hold(name) as mine:
         if not mine:
             raise Busy(f"{name} is being loaded already")
-        fence, modified = (lambda: claims.still_mine(name)), 0
+        fences.append(claims.fence(name))
         try:
-            for w in plan_windows(source, spec, date_field, began, limit):
-                if stop is not None and stop.is_set():
-                    raise Stopped(name)
-                page = source.read(spec, date_field, w)
-                if period is not None:
-                    page[name] = page[name].where(period)
-                    for p in spec.parts:
-                        if p in page:
-                            page[p] = page[p].join(page[name].select(OWNER_KEY).distinct(), OWNER_KEY, "left_semi")
-                page = {t: rows.withColumn(MESSAGE_NO, F.lit(FULL_LOAD_MESSAGE).cast("long")).cache() for t, rows in page.items()}
-                try:
-                    with flights.track(page, f"full load {name}"):
-                        modified += apply.repeated(store, lambda page=page: merged(page), f"full load {name}", fence=fence).modified
-                        keys.add(page[name].select(*spec.pk))
-                finally:
-                    for rows in page.values():
-                        rows.unpersist()
+            read_all(source, spec, date_field, began, read, moment(date_from), moment(date_to, after=True))
+            if stop is not None and stop.is_set():
+                raise Stopped(name)
             held = store.read(name)
             if held is None or period is not None and date_field not in held.columns:
                 return modified  # nothing is there, or nothing says which rows the period covers
             seen = keys.read(spec)
             with flights.track([name, *spec.parts], f"marking {name}"):
-                modified += apply.repeated(store, lambda: apply.marked(store, name, lambda t: mark_missing(t, seen, spec, stamp, start, period)), f"marking {name}", fence=fence).modified
+                modified += apply.repeated(store, lambda: apply.marked(store, name, lambda t: mark_missing(t, seen, spec, stamp, since, period)), f"marking {name}", fence=fences[0]).modified
                 for part in spec.parts:
-                    modified += apply.repeated(store, lambda part=part: apply.marked(store, part, lambda t: mark_orphans(t, store.read(name), specs[part], stamp, start)), f"orphans of {name}", fence=fence).modified
+                    modified += apply.repeated(store, lambda part=part: apply.marked(store, part, lambda t: mark_orphans(t, store.read(name), specs[part], stamp, since)), f"orphans of {name}", fence=fences[0]).modified
             return modified
         finally:
             keys.drop()
@@ -284,12 +376,13 @@ class FullLoads:
     """Ordered full loads in the background, a few at a time, each in a scheduler pool of its own.
 
     An object is queued once. A failure keeps the order and holds the object back, longer each time; one that another
-    owner is loading keeps its order without that; a stop ends running loads between windows and drops queued ones.
+    owner is loading keeps its order without that; a stop ends running loads, whose jobs it cancels, and drops queued ones.
     """
 
     def __init__(self, registry: Registry, load: Callable[[str, threading.Event], int], threads: int = 2, clock: Callable[[], float] = time.time):
         self.registry, self.load, self.clock = registry, load, clock
         self.pool, self.stopping, self._lock = ThreadPoolExecutor(threads, "full-load"), threading.Event(), threading.Lock()
+        self.tag = f"full-loads-{uuid.uuid4().hex[:8]}"
         self.queued: dict[str, Future] = {}
         self.waits: dict[str, tuple[float, Backoff]] = {}
         self.failures: dict[str, Exception] = {}
@@ -307,6 +400,7 @@ class FullLoads:
     def _run(self, name: str) -> None:
         context = self.registry.store.spark.sparkContext
         context.setLocalProperty("spark.scheduler.pool", f"full-load-{name}")
+        context.addJobTag(self.tag)
         began = self.clock()
         try:
             if self.stopping.is_set():
@@ -318,6 +412,9 @@ class FullLoads:
         except (Busy, Stopped) as e:
             log.info("full load of %s: %s", name, e)
         except Exception as e:  # told by name; other objects go on
+            if self.stopping.is_set():  # its jobs were cancelled; it is loaded anew
+                log.info("full load of %s was stopped: %s", name, type(e).__name__)
+                return
             backoff = self.waits.get(name, (0.0, Backoff(60.0)))[1]
             self.waits[name] = (self.clock() + backoff.failed(), backoff)
             self.failures[name] = e
@@ -332,8 +429,13 @@ class FullLoads:
             wait(held)
 
     def stop(self) -> None:
+        """End what runs within seconds: also a load that waits for its source."""
         self.stopping.set()
-        self.pool.shutdown(wait=True, cancel_futures=True)
+        self.pool.shutdown(wait=False, cancel_futures=True)
+        while any(not f.done() for f in list(self.queued.values())):
+            self.registry.store.spark.sparkContext.cancelJobsWithTag(self.tag)  # again, as the next job may have begun
+            time.sleep(0.2)
+        self.pool.shutdown(wait=True)
 
 
 class Cron:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.filters import changed_since
 from tidemark.operators.merge import MergeResult
-from tidemark.plans.state import LEASE_TTL, Lease
+from tidemark.plans.state import LEASE_TTL, Lease, unique
 from tidemark.plans.store import ATTEMPTS, Conflict, LostLease, Store
 
 log = logging.getLogger(__name__)
@@ -115,9 +115,9 @@ class MartRunner:
     after its last block; a new order begins it anew.
     """
 
-    def __init__(self, store: Store, mart: Mart, owner: str = "runner", lease_ttl: float = LEASE_TTL):
+    def __init__(self, store: Store, mart: Mart, owner: str | None = None, lease_ttl: float = LEASE_TTL):
         self.store, self.mart, self.name = store, checked(mart), mart.NAME
-        self.lease, self._is_set_up = Lease(store, f"mart-{self.name}", owner, lease_ttl), False
+        self.lease, self._is_set_up = Lease(store, f"mart-{self.name}", owner or unique("runner"), lease_ttl), False
 
     @property
     def document(self) -> str:
@@ -149,12 +149,12 @@ class MartRunner:
 
     def pending(self) -> bool:
         """Whether a source has moved since the cursor, or a write to one was abandoned."""
-        cursor, now = self.progress().get("cursor", {}), self.store.state()
+        cursor, now, told = self.progress().get("cursor", {}), self.store.state(), self.store.signals()
         moved = {t for t in self.mart.ON if t in now and now[t].number > cursor.get(t, 0)}
-        told = [e for e in self.store.log(cursor.get("__commit", 0)) if e["table"] in self.mart.ON]
-        if moved and getattr(self.mart, "ON_FULL_LOAD", True) or any(e.get("forced") for e in told):
+        at = cursor.get("__commit", 0)
+        if moved and getattr(self.mart, "ON_FULL_LOAD", True) or any(told.get(t, {}).get("forced", 0) > at for t in self.mart.ON):
             return True
-        return any(e["table"] in moved and not e["source"].startswith(("full load", "marking", "orphans")) for e in told)
+        return any(told.get(t, {}).get("feed", 0) > at for t in moved)
 
     def run_once(self, rebuild: bool = False) -> Run:
         if rebuild:
@@ -182,7 +182,7 @@ class MartRunner:
         return {"__commit": pinned} | {t: v.number for t, v in self.store.state(pinned).items() if t in self.mart.ON}
 
     def _publish(self, changes: dict[str, MergeResult], **progress: Any) -> int:
-        counts = self.store.publish(changes, f"mart {self.name}", getattr(self.mart, "LAYOUTS", None), {self.document: self.progress() | progress}, fence=self.lease.still_mine)
+        counts = self.store.publish(changes, f"mart {self.name}", getattr(self.mart, "LAYOUTS", None), {self.document: self.progress() | progress}, fence=self.lease.fence)
         return sum(c["inserted"] + c["updated"] + c["deleted"] for c in counts.values())
 
     def _increment(self) -> Run:
@@ -206,7 +206,8 @@ class MartRunner:
             if self.wishes().get("order", 0) != order:
                 return out  # ordered anew: the next run begins from the first block
             out.modified += self._increment().modified
-        self._publish({}, building=None, label=None, done=order)
+        # What changed since the rebuild began is looked at again: blocks were made of the sources as they were then.
+        self._publish({}, building=None, label=None, done=order, cursor=self._seen(context.pinned))
         return out
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import os
+import socket
 import threading
 import time
 import uuid
@@ -10,7 +12,7 @@ from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from tidemark.plans.store import Conflict, Staged, Store
+from tidemark.plans.store import Conflict, Fence, LostLease, Staged, Store
 from tidemark.spec import SUPPORTED, TableSpec
 
 log = logging.getLogger(__name__)
@@ -19,27 +21,49 @@ log = logging.getLogger(__name__)
 LEASE_TTL, CLAIM_TTL, WRITE_TTL, CONFIRM_BUDGET = 900, 90, 90, 30
 
 
+def unique(kind: str) -> str:
+    """An owner's name that no other process, and no other object of this one, has."""
+    return f"{kind}@{socket.gethostname()}:{os.getpid()}:{uuid.uuid4().hex[:8]}"
+
+
 class Lease:
-    """At most one live owner of a name; taken, renewed and given up by compare and set."""
+    """At most one live owner of a name; taken, renewed and given up by compare and set.
+
+    Its epoch grows with every change of owner, and the new owner announces it in a commit before it does anything: from
+    then on no commit under an older epoch is taken (see ``Store.put``).
+    """
 
     def __init__(self, store: Store, name: str, owner: str, ttl: float = LEASE_TTL, clock: Callable[[], float] = time.time):
-        self.store, self.name, self.owner, self.ttl, self.clock = store, f"lease-{name}", owner, ttl, clock
+        self.store, self.name, self.owner, self.ttl, self.clock, self.epoch = store, f"lease-{name}", owner, ttl, clock, 0
 
     def _put(self, may: Callable[[dict], bool], content: dict) -> bool:
         revision, held = self.store.document(self.name)
         if not may(held):
             return False
+        epoch = held.get("epoch", 0) + (held.get("last") != self.owner)
         try:
-            self.store.replace_document(self.name, revision, content)
+            self.store.replace_document(self.name, revision, content | {"epoch": epoch, "last": self.owner})
         except Conflict:
             return False
+        self.epoch = epoch
         return True
 
     def _live(self, held: dict) -> bool:
         return held.get("owner") is not None and self.clock() - held["heartbeat"] <= self.ttl
 
+    @property
+    def fence(self) -> Fence:
+        return Fence(self.name, self.epoch)
+
     def acquire(self) -> bool:
-        return self._put(lambda h: not self._live(h) or h["owner"] == self.owner, {"owner": self.owner, "heartbeat": self.clock()})
+        if not self._put(lambda h: not self._live(h) or h["owner"] == self.owner, {"owner": self.owner, "heartbeat": self.clock()}):
+            return False
+        if self.store.state_of(self.fence.key, 0) < self.epoch:
+            try:
+                self.store.put(Staged(), f"epoch of {self.name}", {self.fence.key: self.epoch}, self.fence)
+            except LostLease:
+                return False
+        return True
 
     def heartbeat(self) -> bool:
         return self._put(lambda h: h.get("owner") == self.owner, {"owner": self.owner, "heartbeat": self.clock()})
@@ -80,8 +104,8 @@ class Lease:
 class Claims:
     """Which objects are being loaded in full, by whom: one thread at a time each, and it may claim again what it has."""
 
-    def __init__(self, store: Store, owner: str, ttl: float = CLAIM_TTL, clock: Callable[[], float] = time.time):
-        self.store, self.owner, self.ttl, self.clock = store, owner, ttl, clock
+    def __init__(self, store: Store, owner: str | None = None, ttl: float = CLAIM_TTL, clock: Callable[[], float] = time.time):
+        self.store, self.owner, self.ttl, self.clock = store, owner or unique("full load"), ttl, clock
         self._mine = threading.local()
 
     def _lease(self, name: str) -> Lease:
@@ -89,22 +113,23 @@ class Claims:
 
     @contextmanager
     def hold(self, name: str) -> Iterator[bool]:
-        held = self._mine.__dict__.setdefault("names", {})
-        if name in held:
-            held[name] += 1
-            try:
-                yield True
-            finally:
-                held[name] -= 1
+        held = self._mine.__dict__.setdefault("leases", {})
+        if name in held:  # this thread's outer claim holds it for longer
+            yield True
             return
-        with self._lease(name).hold() as got:
+        lease = self._lease(name)
+        with lease.hold() as got:
             if got:
-                held[name] = 1
+                held[name] = lease
             try:
                 yield got
             finally:
                 held.pop(name, None)
 
+    def fence(self, name: str) -> Fence:
+        """Of a claim that this thread has."""
+        return self._mine.leases[name].fence
+
     def still_mine(self, name: str) -> bool:
         return self._lease(name).still_mine()
 

@@ -5,15 +5,17 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 from datetime import UTC, datetime
+from typing import Any
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.filters import in_window
 from tidemark.operators.merge import ACTION, MergeResult
 from tidemark.spec import MERGED_ON, TableSpec
 
@@ -26,6 +28,18 @@ class LostLease(RuntimeError):
     """Another owner has the lease under which something was to be announced."""
 
 
+@dataclass(frozen=True)
+class Fence:
+    """A lease as it was got: its epoch grows whenever the owner changes, and commits carry the last one."""
+
+    lease: str
+    epoch: int
+
+    @property
+    def key(self) -> str:
+        return f"epoch-{self.lease}"
+
+
 class Files:
     """Small text files of any file system that Spark reaches."""
 
@@ -109,6 +123,10 @@ class Version:
     paths: dict[str, str] = field(default_factory=dict)
     schema: str = ""
     partition: str | None = None
+    #: By part, least and greatest value of columns that readers select by, as text.
+    stats: dict[str, dict[str, list[str]]] = field(default_factory=dict)
+    #: Of parts that a growth wrote: the former files with the same rows among others.
+    origin: dict[str, list[str]] = field(default_factory=dict)
 
     @property
     def struct(self) -> T.StructType:
@@ -118,6 +136,8 @@ class Version:
 #: Buckets of a table that is laid out by key, at first and at most, and what one should hold: a batch reads and rewrites the
 #: buckets of its keys only, so they have to grow in number with the table.
 BUCKETS, MOST_BUCKETS, BUCKET_ROWS, BUCKET_BYTES = 64, 16_384, 200_000, 256 << 20
+#: How sources of commits of full loads begin: a mart may ask not to be woken by them.
+FULL_LOADS = ("full load", "marking", "orphans")
 #: Attempts to put a commit after one that touched other tables.
 ATTEMPTS = 20
 _SERVICE = "__part"
@@ -141,6 +161,19 @@ def enough(wanted: float) -> int:
     return n
 
 
+def spread(label: str, was: str, now: str) -> list[str]:
+    """The parts of a layout that rows of a part of a former layout by the same columns are in now."""
+    old, new = (int(x[1:].split(":", 1)[0]) for x in (was, now))
+    n = int(label)
+    return [f"{k:06d}" for k in range(n % old, new, old)] if new >= old else [f"{n % new:06d}"]
+
+
+def _told(v: datetime | str) -> str:
+    """A moment as statistics have it: without trailing zeros."""
+    text = str(v)
+    return text.rstrip("0").rstrip(".") if "." in text else text
+
+
 def _label(layout: str, schema: T.StructType) -> Column:
     """Which part a row belongs to; keys are hashed in their stored type."""
     if layout.startswith("#"):
@@ -197,8 +230,11 @@ class Store:
 
     def carried(self, name: str, number: int | None = None) -> dict:
         """What the last commit up to ``number`` carries under a name: it changed together with that commit's data."""
+        return self.state_of(name, {}, number)
+
+    def state_of(self, name: str, default: Any, number: int | None = None) -> Any:
         number = self.head() if number is None else number
-        return self.commit(number)["state"].get(name, {}) if number else {}
+        return self.commit(number)["state"].get(name, default) if number else default
 
     def read(self, table: str, number: int | None = None, parts: Iterable[str] | None = None) -> DataFrame | None:
         """The table at a commit, the last by default; None if it isn't there yet. ``parts``: only files of these labels."""
@@ -208,23 +244,53 @@ class Store:
         paths = sorted({p for k, p in v.paths.items() if parts is None or k in parts})
         return self.spark.read.schema(v.struct).parquet(*paths) if paths else self.spark.createDataFrame([], v.struct)
 
-    def touched(self, table: str, batch: DataFrame) -> list[str] | None:
+    def read_window(self, table: str, column: str, start: datetime | None = None, end: datetime | None = None, number: int | None = None) -> DataFrame | None:
+        """Rows whose moment ``column`` is in [start, end), open where a side is None; parts that can hold none aren't listed."""
+        v = self.state(number).get(table)
+        if v is None:
+            return None
+
+        def may(label: str) -> bool:
+            if column not in (known := v.stats.get(label, {})):
+                return True
+            low, high = known[column]
+            return low is not None and (start is None or high >= _told(start)) and (end is None or low < _told(end))
+
+        return self.read(table, number, [k for k in v.paths if may(k)]).where(in_window(F.col(column), start, end))
+
+    def touched(self, table: str, batch: DataFrame, number: int | None = None) -> list[str] | None:
         """Labels of the parts that rows with a batch's keys are in; None if the table isn't laid out by key."""
-        v = self.state().get(table)
+        v = self.state(number).get(table)
         if v is None or not (v.partition or "").startswith("#"):
             return None
         return sorted(r[0] for r in batch.select(_label(v.partition, v.struct)).distinct().collect())  # as many as buckets at most
 
     def changes(self, table: str, key: Iterable[str], since: int, until: int | None = None) -> DataFrame | None:
-        """Rows of the table that are new or were written between two commits; only parts whose files differ are read."""
+        """Rows of the table that are new or were written between two commits; only parts whose files differ are read.
+
+        A table that was given more buckets meanwhile is compared bucket by bucket with those that they came from.
+        """
         now, was = self.state(until).get(table), self.state(since).get(table) if since else None
-        if now is None or was is None or now.partition != was.partition:
+        if now is None or was is None:
+            return self.read(table, until)
+        if now.partition == was.partition:
+            parts = [k for k, p in now.paths.items() if was.paths.get(k) != p]
+            before: list[str] = parts
+        elif all((p or "").startswith("#") for p in (now.partition, was.partition)) and now.partition.split(":", 1)[1] == was.partition.split(":", 1)[1]:
+            from_ = {k: spread(k, now.partition, was.partition)[0] for k in now.paths}
+            parts = [k for k in now.paths if was.paths.get(from_[k]) not in (now.paths[k], *now.origin.get(k, []))]
+            before = sorted({from_[k] for k in parts})
+        else:
             return self.read(table, until)
-        parts = [k for k, p in now.paths.items() if was.paths.get(k) != p]
-        old = self.read(table, since, parts)
+        old = self.read(table, since, before)
         on = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (*key, MERGED_ON)]
         return self.read(table, until, parts).alias("n").join(old.select(*key, MERGED_ON).alias("o"), on, "left_anti")
 
+    def signals(self) -> dict[str, dict[str, int]]:
+        """Per table, the last commits that changed it: ``feed``, by anything but a full load, and ``forced``, told without a change."""
+        at = self.head()
+        return self.commit(at).get("signals", {}) if at else {}
+
     def versions(self) -> dict[str, int]:
         return {k: v.number for k, v in self.state().items()}
 
@@ -251,23 +317,38 @@ class Store:
             rows = rows.cache() if result.parts is not None else rows
             out.base[name] = result.base if result.base is not None else old.number if old else 0
             try:
-                done = {(r[0], r[1]): r[2] for r in rows.groupBy(_SERVICE, ACTION).count().collect()}  # a few rows a part
+                dated = [f.name for f in struct if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType, T.DateType))]
+                ends = [g(F.when(F.col(ACTION) != "removed", F.col(c))).cast("string").alias(f"{k}{c}") for c in dated for k, g in (("<", F.min), (">", F.max))]
+                told = rows.groupBy(_SERVICE, ACTION).agg(F.count(F.lit(1)).alias("n"), *ends).collect()  # a few rows a part
+                done = {(r[0], r[1]): r["n"] for r in told}
+                stats: dict[str, dict[str, list[str]]] = {}
+                for r in told:
+                    for c in dated:
+                        if r[f"<{c}"] is not None:
+                            low, high = stats.setdefault(r[0], {}).get(c, (r[f"<{c}"], r[f">{c}"]))
+                            stats[r[0]][c] = [min(low, r[f"<{c}"]), max(high, r[f">{c}"])]
+                for label in {part for part, _ in done}:
+                    stats[label] = {c: stats.get(label, {}).get(c, [None, None]) for c in dated}
                 count = lambda *actions: sum(n for (_, a), n in done.items() if not actions or a in actions)
                 out.counts[name] = {"inserted": count("inserted"), "updated": count("updated"), "deleted": count("deleted", "removed"), "total": count()}
                 touched = sorted({part for part, action in done if action != "kept"})
                 if old and not force and not touched:
                     continue
                 out.versions[name] = self._written(name, rows, struct, old, layout, at, result.parts, touched)
+                kept_parts = out.versions[name].paths
+                out.versions[name].stats = {k: (stats.get(k) or (old.stats.get(k, {}) if old and old.paths.get(k) == p else {})) for k, p in kept_parts.items()}
             finally:
                 if result.parts is not None:
                     rows.unpersist()
         return out
 
-    def put(self, staged: Staged, source: str, state: dict | None = None, fence: Callable[[], bool] | None = None, forced: Iterable[str] = (), as_it_is: bool = False) -> int:
+    def put(self, staged: Staged, source: str, state: dict | None = None, fence: Fence | None = None, forced: Iterable[str] = (), as_it_is: bool = False) -> int:
         """Announce what was staged in one commit, together with ``state``; its number, 0 if there is nothing to announce.
 
-        ``fence`` is asked right before: if it says no, nothing is announced. ``forced`` tables are told without a change;
-        with ``as_it_is`` the staged versions keep their numbers, as their rows did not change.
+        A commit carries the fence's epoch. It is refused once any commit carries a greater one: as a new owner announces
+        its epoch before it does anything, and of two writers with one number one gets it, no owner that was replaced can
+        announce anything later, however long it was asleep. ``forced`` tables are told without a change; with
+        ``as_it_is`` the staged versions keep their numbers, as their rows did not change.
         """
         forced = list(forced)
         if not staged.versions and not state and not forced:
@@ -275,24 +356,30 @@ class Store:
         for _ in range(ATTEMPTS):
             at = self.head()
             last = self.commit(at) if at else {"tables": {}, "state": {}}
+            if fence is not None and last["state"].get(fence.key, 0) > fence.epoch:
+                raise LostLease(f"{source}: the lease is another's")
             tables = {k: Version(**v) for k, v in last["tables"].items()}
             if any((tables[k].number if k in tables else 0) != n for k, n in staged.base.items()):
                 raise Conflict(f"{sorted(staged.base)} changed meanwhile")
             for k, v in staged.versions.items():
                 tables[k] = v if as_it_is else replace(v, number=at + 1)
+            signals = {k: dict(v) for k, v in last.get("signals", {}).items()}
+            for k in (staged.versions if not as_it_is and not source.startswith(FULL_LOADS) else ()):
+                signals.setdefault(k, {})["feed"] = at + 1
+            for k in forced:
+                signals.setdefault(k, {})["forced"] = at + 1
             entry = {
                 "tables": {k: vars(v) for k, v in tables.items()},
                 "log": [{"table": k, "source": source} | c for k, c in staged.counts.items()] + [{"table": k, "source": source, "forced": True} for k in forced],
-                "state": last.get("state", {}) | (state or {}),
+                "state": last.get("state", {}) | (state or {}) | ({fence.key: fence.epoch} if fence is not None else {}),
+                "signals": signals,
                 "committed_at": datetime.now(UTC).isoformat(),
             }
-            if fence is not None and not fence():
-                raise LostLease(f"{source}: the lease is another's")
             if self.files.create(f"_commits/{at + 1:012d}.json", json.dumps(entry)):
                 return at + 1
         raise Conflict(f"{source} finds no free commit")
 
-    def publish(self, changes: dict[str, MergeResult], source: str, layouts: dict[str, str] | None = None, state: dict | None = None, force: bool = False, fence: Callable[[], bool] | None = None) -> dict[str, dict]:
+    def publish(self, changes: dict[str, MergeResult], source: str, layouts: dict[str, str] | None = None, state: dict | None = None, force: bool = False, fence: Fence | None = None) -> dict[str, dict]:
         """Commit merges of several tables at once; counts by table. A merge that changes nothing leaves its table's version."""
         staged = self.stage(changes, layouts, force)
         if staged.versions or state:
@@ -318,7 +405,8 @@ class Store:
             kept = kept.sortWithinPartitions(_SERVICE, MERGED_ON)
         kept.write.partitionBy(_SERVICE).parquet(path)
         written = {n.split("=", 1)[1]: f"{path}/{n}" for n in Files(self.spark, path).names("") if n.startswith(f"{_SERVICE}=")}
-        return Version(at + 1, {m: p for m, p in paths.items() if m not in touched} | written, struct.json(), layout)
+        left = {m: p for m, p in paths.items() if m not in touched}
+        return Version(at + 1, left | written, struct.json(), layout, origin={m: o for m, o in old.origin.items() if m in left} if same else {})
 
     def _left_months(self, rows: DataFrame, old: Version, by: str) -> list[str]:
         """Months that updated rows have left: those whose row count in the store isn't that of the new rows."""
@@ -328,7 +416,7 @@ class Store:
         moved = before.join(after, "m", "full_outer").where(~F.col("a").eqNullSafe(F.col("b")) | ~F.col("ha").eqNullSafe(F.col("hb")))
         return [r["m"] for r in moved.select("m").collect()]
 
-    def grow(self, table: str, bucket_bytes: int = BUCKET_BYTES, fence: Callable[[], bool] | None = None) -> int:
+    def grow(self, table: str, bucket_bytes: int = BUCKET_BYTES, fence: Fence | None = None) -> int:
         """Lay a table that has outgrown its buckets out in more of them; how many it has then, 0 if it isn't laid out by key.
 
         The rows stay as they are and no reader is told of a change. A writer that changes the table meanwhile wins, and
@@ -346,8 +434,11 @@ class Store:
         rows = self.spark.read.schema(v.struct).parquet(*sorted(set(v.paths.values())))
         rows.withColumn(_SERVICE, _label(layout, v.struct)).repartition(_SERVICE).write.partitionBy(_SERVICE).parquet(path)
         written = {n.split("=", 1)[1]: f"{path}/{n}" for n in Files(self.spark, path).names("") if n.startswith(f"{_SERVICE}=")}
+        came = {k: spread(k, layout, v.partition)[0] for k in written}
+        origin = {k: [v.paths[o], *v.origin.get(o, [])] for k, o in came.items()}
+        stats = {k: v.stats[o] for k, o in came.items() if o in v.stats}  # of more rows than the part has
         try:
-            self.put(Staged({table: Version(v.number, written, v.schema, layout)}, {}, {table: v.number}), f"growing {table}", fence=fence, as_it_is=True)
+            self.put(Staged({table: Version(v.number, written, v.schema, layout, stats, origin)}, {}, {table: v.number}), f"growing {table}", fence=fence, as_it_is=True)
         except Conflict:
             self.files.delete(path.removeprefix(f"{self.root}/"))
             return int(now)
@@ -373,11 +464,14 @@ class Store:
     def vacuum(self, keep: int = 5, age: float = 86_400.0, retention: float = 0.0) -> int:
         """Delete commits and files that are no longer needed; how many version folders went.
 
-        The last ``keep`` commits stay, and those within ``retention`` seconds; files that none of them reads go, unless
-        they are younger than ``age`` seconds, as a writer may be about to announce them.
+        The last ``keep`` commits stay, those within ``retention`` seconds, and those that a carried cursor names, however
+        old, as their readers begin there; files that none of them reads go, unless they are younger than ``age``
+        seconds, as a writer may be about to announce them.
         """
         kept = [int(n.split(".")[0]) for n in self.files.names("_commits")]
-        old = [n for n in kept[:-keep] if self.files.age(f"_commits/{n:012d}.json") >= retention]
+        carried = (self.commit(kept[-1])["state"] if kept else {}).values()
+        cursors = {held["cursor"].get("__commit", 0) for held in carried if isinstance(held, dict) and isinstance(held.get("cursor"), dict)}
+        old = [n for n in kept[:-keep] if n not in cursors and self.files.age(f"_commits/{n:012d}.json") >= retention]
         for n in old:
             self.files.delete(f"_commits/{n:012d}.json")
         used = {p for n in kept if n not in old for v in self.state(n).values() for p in v.paths.values()}

@@ -14,9 +14,10 @@ from urllib.error import HTTPError
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from tidemark.plans.full_load import PageSize, Window
+from tidemark.plans.full_load import MOST_PAGES, SMALLEST_PAGE, Ask, PageSize, Read, Window
 from tidemark.sources.metadata import BadAnswer, checked
 from tidemark.sources.transport import PERMANENT, HttpTransport, entries
 from tidemark.spec import RECORDERS, TableSpec
@@ -67,43 +68,62 @@ def too_heavy(e: Exception) -> bool:
     return isinstance(e, (TimeoutError, BadAnswer))
 
 
-def pages(get: Callable[[str], bytes], published: str, order: list[str], condition: str, size: PageSize) -> Iterator[list[str]]:
-    """Entries page by page. A page that is too heavy is asked for again in a quarter of its size, which is never exceeded again; the next size follows the bytes per entry."""
-    skip = 0
+class TooMuch(RuntimeError):
+    """A selection that the service refuses, or that goes on after so many pages."""
+
+
+def pages(get: Callable[[str], bytes], published: str, order: list[str], condition: str, size: PageSize, may_refuse: bool = False, whole: bool = False) -> Iterator[list[str]]:
+    """Entries page by page. A page that is too heavy is asked for again in a quarter of its size, which is never exceeded again; the next size follows the bytes per entry.
+
+    With ``may_refuse`` a selection is ``TooMuch`` that has more than so many pages or of which not even one entry comes.
+    The service makes a selection up ``whole`` if it is of record sets: then a failure is about the selection and not the page.
+    """
+    skip = asked = 0
     while True:
         top = size.size
-        asked = f"{published}?$orderby={','.join(order)}&$top={top}&$skip={skip}" + (f"&$filter={condition}" if condition else "")
+        told = f"{published}?$orderby={','.join(order)}&$top={top}&$skip={skip}" + (f"&$filter={condition}" if condition else "")
         try:
-            body = get(asked)
+            body = get(told)
             checked(body, "feed")
         except Exception as e:
-            if not too_heavy(e) or top <= 1:
+            if not too_heavy(e):
+                raise
+            if may_refuse and (top <= SMALLEST_PAGE or whole and isinstance(e, HTTPError)):
+                raise TooMuch(f"{published}: {e}") from e
+            if top <= SMALLEST_PAGE:
                 raise
             log.warning("a page of %d entries of %s is refused (%s), now %d", top, published, e, size.refused())
             continue
-        found = list(entries(body))
+        found, asked = list(entries(body)), asked + 1
         if found:
             yield found
         skip += len(found)
         if len(found) < top:
             return
+        if may_refuse and asked >= MOST_PAGES:
+            raise TooMuch(f"{published}: more than {asked} pages")
         size.after(len(found), len(body))
 
 
 @dataclass
 class _Part(InputPartition):
-    condition: str
+    windows: list[tuple[int, str, bool]]
 
 
 class ODataPages(DataSource):
-    """``spark.read.format("odata_pages")``: rows (entry). Options: url, exchange, node, user, password; object; order (JSON list); filters (JSON list, a task each); page."""
+    """``spark.read.format("odata_pages")``: rows (part, entry, found, complete) of windows that tasks read side by side.
+
+    An entry's row has its window's number; after its entries, a window has one row that says how many there were and
+    whether that was all. Options: url, exchange, node, user, password, timeout; object; order (JSON list); windows (JSON
+    list of filter and whether it may be refused); whole; page; parallel (tasks, so requests, at a time).
+    """
 
     @classmethod
     def name(cls) -> str:
         return "odata_pages"
 
     def schema(self) -> str:
-        return "entry string"
+        return "part int, entry string, found long, complete boolean"
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(dict(self.options))
@@ -114,26 +134,57 @@ class _Reader(DataSourceReader):
         self.options = options
 
     def partitions(self) -> list[_Part]:
-        return [_Part(f) for f in json.loads(self.options.get("filters", '[""]'))]
+        told = [(k, *w) for k, w in enumerate(json.loads(self.options["windows"]))]
+        n = min(len(told), int(self.options.get("parallel", "8")))
+        return [_Part(told[k::n]) for k in range(n)]
 
     def read(self, partition: _Part) -> Iterator[pa.RecordBatch]:
         o = self.options
-        get = HttpTransport(o["url"], o.get("exchange", "x"), o.get("node", ""), o.get("user", ""), o.get("password", ""))._open
-        for found in pages(get, o["object"], json.loads(o["order"]), partition.condition, PageSize(int(o.get("page", "1000")))):
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["entry"])
+        get = HttpTransport(o["url"], o.get("exchange", "x"), o.get("node", ""), o.get("user", ""), o.get("password", ""), float(o.get("timeout", "600")))._open
+
+        def batch(k: int, texts: list[str | None], found: int | None = None, complete: bool | None = None) -> pa.RecordBatch:
+            n = len(texts)
+            return pa.RecordBatch.from_arrays([pa.array([k] * n, pa.int32()), pa.array(texts, pa.string()), pa.array([found] * n, pa.int64()), pa.array([complete] * n, pa.bool_())], names=["part", "entry", "found", "complete"])
+
+        size = PageSize(int(o.get("page", "1000")))
+        for k, condition, may_refuse in partition.windows:
+            n, complete = 0, True
+            try:
+                for found in pages(get, o["object"], json.loads(o["order"]), condition, size, may_refuse, o.get("whole") == "true"):
+                    n += len(found)
+                    yield batch(k, found)
+            except TooMuch as e:
+                log.info("%s: is cut", e)
+                complete, size = False, PageSize(size.most)  # sizes that refusals left say nothing of a narrower selection
+            yield batch(k, [None], n, complete)
 
 
 _VALUE = r"<d:{}(?:\s[^>]*)?>([^<]+)</d:{}>"
 
 
+@dataclass
+class ODataFetched:
+    reads: list[Read]
+    entries: DataFrame
+    make: Callable[[DataFrame], dict[str, DataFrame]]
+
+    def rows(self) -> dict[str, DataFrame]:
+        return self.make(self.entries)
+
+
 @dataclass
 class ODataSnapshot:
-    """A snapshot source for full loads. ``rows`` makes flat rows by table of an object's raw entries."""
+    """A snapshot source for full loads. ``rows`` makes flat rows by table of an object's raw entries.
+
+    The service doesn't say how much it has: a window is read until it ends or turns out too deep or heavy. What tasks
+    read lands in a table first, as a window's end has to be known before its entries count.
+    """
 
     spark: SparkSession
     transport: HttpTransport
     rows: Callable[[DataFrame, TableSpec], dict[str, DataFrame]]
     page: int = 1000
+    parallel: int = 8
     published: dict[str, str] = field(default_factory=dict)
 
     def _get(self, asked: str) -> bytes:
@@ -143,7 +194,9 @@ class ODataSnapshot:
         return self.published.get(spec.name, spec.name)
 
     def bounds(self, spec: TableSpec, name: str) -> tuple[datetime | None, datetime | None]:
-        """(oldest, newest) by one entry from either end, or unknown where the service can't order by the field."""
+        """(oldest, newest) by one entry from either end; unknown for record sets, which the service can't order by a record's field."""
+        if spec.is_register and spec.group_key:
+            return None, None
         out: list[datetime | None] = []
         for way, pick in (("asc", min), ("desc", max)):
             body = self._get(f"{self._named(spec)}?$orderby={name} {way}&$top=1&$filter={name} ne null").decode("utf-8-sig")
@@ -151,17 +204,22 @@ class ODataSnapshot:
             out.append(pick(found) if found else None)
         return out[0], out[1]
 
-    def count(self, spec: TableSpec, name: str | None, window: Window) -> int:
-        told = window_filter(spec, name, window)
-        return int(self._get(f"{self._named(spec)}/$count" + (f"?$filter={told}" if told else "")).decode("utf-8-sig"))
-
-    def entries(self, spec: TableSpec, name: str | None, windows: list[Window]) -> DataFrame:
-        """Raw entries of the windows, a task for each."""
+    def read(self, spec: TableSpec, name: str | None, asks: list[Ask]) -> DataFrame:
+        """What ``ODataPages`` gives for the windows."""
         self.spark.dataSource.register(ODataPages)
         t = self.transport
-        options = {"url": t.url, "exchange": t.exchange, "node": t.node, "user": t.user, "password": t.password, "object": self._named(spec), "page": str(self.page)}
-        told = {"order": json.dumps(page_order(spec)), "filters": json.dumps([window_filter(spec, name, w) for w in windows])}
+        options = {"url": t.url, "exchange": t.exchange, "node": t.node, "user": t.user, "password": t.password, "timeout": str(t.timeout), "object": self._named(spec), "page": str(self.page), "parallel": str(self.parallel)}
+        windows = [(window_filter(spec, name, a.window), a.may_refuse) for a in asks]
+        told = {"order": json.dumps(page_order(spec)), "windows": json.dumps(windows), "whole": str(bool(spec.is_register and spec.group_key)).lower()}
         return self.spark.read.format("odata_pages").options(**options, **told).load()
 
-    def read(self, spec: TableSpec, name: str | None, window: Window) -> dict[str, DataFrame]:
-        return self.rows(self.entries(spec, name, [window]), spec)
+    def fetch(self, spec: TableSpec, name: str | None, asks: list[Ask], landing: str) -> ODataFetched:
+        self.read(spec, name, asks).write.parquet(landing)
+        landed = self.spark.read.parquet(landing)
+        ends = {r["part"]: Read(r["found"], r["complete"]) for r in landed.where("entry IS NULL").collect()}  # one row a window
+        whole = [k for k, r in ends.items() if r.complete]
+        got = landed.where(F.col("part").isin(whole) & F.col("entry").isNotNull())
+        if len(whole) > 1:  # an entry of several windows comes once, as the last of them has it
+            key = [F.regexp_extract("entry", rf"<d:{k}(?:\s[^>]*)?>([^<]*)<", 1).alias(f"__{n}") for n, k in enumerate(page_order(spec))]
+            got = got.groupBy(*key).agg(F.max_by("entry", "part").alias("entry"))
+        return ODataFetched([ends[k] for k in range(len(asks))], got.select("entry"), lambda e: self.rows(e, spec))

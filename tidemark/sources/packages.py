@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import convert
 from tidemark.operators import shape
-from tidemark.spec import OWNER_KEY, RECORDER_TYPE, RECORDERS, TableSpec
+from tidemark.spec import OWNER_KEY, RECORDER_TYPE, RECORDERS, REJECTS, TableSpec
 
 _OPTIONS = {"ignoreNamespace": "false", "ignoreSurroundingSpaces": "true", "mode": "PERMISSIVE"}
 CATEGORY = T.StructType([T.StructField("_term", T.StringType())])
@@ -28,10 +30,21 @@ def _entry(fields: list[T.StructField]) -> T.StructType:
     return T.StructType([T.StructField("category", CATEGORY), T.StructField("content", content)])
 
 
-def entries_of_feed(spark: SparkSession, path: str) -> DataFrame:
-    """(entry): the raw entries of feeds in files. Files are cut at the entries' ends, so tasks share a large package."""
-    pieces = spark.read.option("lineSep", "</entry>").text(path)
-    return pieces.where(F.col("value").rlike(r"<entry\b")).select(F.concat(F.regexp_extract("value", r"(?s)(<entry\b.*)$", 1), F.lit("</entry>")).alias("entry"))
+def entries_of_feed(spark: SparkSession, path: str, prefix: str = "") -> DataFrame:
+    """(entry): the raw entries of feeds in files. Files are cut at the entries' ends, so tasks share a large package.
+
+    ``prefix`` is that of the feed's own elements, as ``feed_prefix`` finds it; entries come without it.
+    """
+    name = f"{prefix}entry"
+    pieces = spark.read.option("lineSep", f"</{name}>").text(path)
+    found = pieces.where(F.col("value").rlike(rf"<{name}\b")).select(F.concat(F.regexp_extract("value", rf"(?s)(<{name}\b.*)$", 1), F.lit(f"</{name}>")).alias("entry"))
+    return found.select(F.regexp_replace("entry", rf"(</?){prefix}", "$1").alias("entry")) if prefix else found
+
+
+def feed_prefix(head: str) -> str:
+    """The prefix, with its colon, of a document's root: none where its namespace is the default one."""
+    root = re.search(r"<([A-Za-z_][\w.-]*:)?feed\b", head)
+    return root[1] or "" if root else ""
 
 
 def _field(name: str) -> Column:
@@ -53,30 +66,30 @@ def _raw(spec: TableSpec) -> list[str]:
     return [f for f in spec.fields if not (f.endswith("_Guid") and f"{f.removesuffix('_Guid')}_Type" in spec.fields)]
 
 
-def entity_rows(entries: DataFrame, spec: TableSpec, message_no: Column, parts: dict[str, TableSpec] | None = None) -> dict[str, DataFrame]:
+def entity_rows(entries: DataFrame, spec: TableSpec, message_no: Column, parts: dict[str, TableSpec] | None = None, rejects: bool = False) -> dict[str, DataFrame]:
     """By name: the rows of a catalog or document, and those of its table parts (field of the owner: the part's spec).
 
     A part that arrived without rows, in any of its empty forms, gives one tombstone; a part that did not arrive gives
-    nothing. Part rows carry the owner's key and its deletion flag.
+    nothing. Part rows carry the owner's key and its deletion flag. ``rejects``: see ``shape.typed``.
     """
     parts = parts or {}
     own = [f for f in _raw(spec) if f not in parts]
     nested = [T.StructField(f"d:{f}", _rows_of([x for x in _raw(p) if x != OWNER_KEY])) for f, p in parts.items()]
     x = parsed(entries, _texts(own) + nested)
     arrived = {f: F.col("entry").rlike(rf"<d:{f}[\s/>]") for f in parts}
-    rows = x.select(*shape.typed({f: _field(f) for f in own}, spec, message_no), *[F.col(f"x.content.`m:properties`.`d:{f}`.`d:element`").alias(f"__{f}") for f in parts], *[a.alias(f"__has_{f}") for f, a in arrived.items()])
-    out = {spec.name: rows.select(*[c for c in rows.columns if not c.startswith("__")])}
+    rows = x.select(*shape.typed({f: _field(f) for f in own}, spec, message_no, rejects=rejects), *[F.col(f"x.content.`m:properties`.`d:{f}`.`d:element`").alias(f"__{f}") for f in parts], *[a.alias(f"__has_{f}") for f, a in arrived.items()])
+    out = {spec.name: rows.select(*[c for c in rows.columns if not c.startswith("__") or c == REJECTS])}
     for f, p in parts.items():
         kids = shape.child_rows(rows.where(F.col(f"__has_{f}")), F.col(f"__{f}"), [OWNER_KEY, "is_deleted_or_empty"])
         values = {c: F.col(f"element.`d:{c}`") for c in _raw(p) if c != OWNER_KEY}
-        typed = kids.select(F.col(OWNER_KEY).alias("__owner"), F.col("is_deleted_or_empty").alias("__gone"), *shape.typed(values, p, message_no, filled_later=(OWNER_KEY,)))
+        typed = kids.select(F.col(OWNER_KEY).alias("__owner"), F.col("is_deleted_or_empty").alias("__gone"), *shape.typed(values, p, message_no, filled_later=(OWNER_KEY,), rejects=rejects))
         typed = typed.withColumns({OWNER_KEY: F.col("__owner"), "is_deleted_or_empty": F.col("is_deleted_or_empty") | F.col("__gone")}).drop("__owner", "__gone")
         empty = shape.part_tombstones(rows.where(F.col(f"__has_{f}")), F.coalesce(F.col(f"__{f}"), F.array()), p, message_no)
         out[p.name] = shape.accumulate(typed, empty)
     return out
 
 
-def register_rows(entries: DataFrame, spec: TableSpec, message_no: Column) -> DataFrame:
+def register_rows(entries: DataFrame, spec: TableSpec, message_no: Column, rejects: bool = False) -> DataFrame:
     """Rows of record sets with their recorder from the entry; an emptied set gives a tombstone; numbers are zero-filled.
 
     An entry in which no record set arrived, in any form, is a row itself and empties nothing.
@@ -84,10 +97,11 @@ def register_rows(entries: DataFrame, spec: TableSpec, message_no: Column) -> Da
     recorder, own = _recorder(spec), _raw(spec)
     sets = record_sets(entries, spec)
     kids = sets.select(*[f"__{f}" for f in recorder], F.explode("set").alias("element"))
-    typed = kids.select(*[f"__{f}" for f in recorder], *shape.typed({f: F.col(f"element.`d:{f}`") for f in own}, spec, message_no, filled_later=tuple(recorder)))
-    typed = typed.withColumns({f: F.coalesce(F.col(f), F.col(f"__{f}")) for f in recorder}).drop(*[f"__{f}" for f in recorder])
+    typed = kids.select(*[f"__{f}" for f in recorder], *shape.typed({f: F.col(f"element.`d:{f}`") for f in own}, spec, message_no, filled_later=tuple(recorder), rejects=rejects))
+    known = {f: F.coalesce(F.col(f), F.col(f"__{f}")) for f in recorder}
+    typed = typed.withColumns({f: convert.key(c, spec.fields[f]) if f in spec.pk else c for f, c in known.items()}).drop(*[f"__{f}" for f in recorder])
     empty = shape.tombstones(sets, F.col("set"), spec, message_no, {f: F.col(f"__{f}") for f in recorder})
-    return shape.accumulate(shape.zero_empty_numerics(typed, spec), empty, flat_register_rows(entries.where(~has_set()), spec, message_no))
+    return shape.accumulate(shape.zero_empty_numerics(typed, spec), empty, flat_register_rows(entries.where(~has_set()), spec, message_no, rejects))
 
 
 def has_set() -> Column:
@@ -112,10 +126,10 @@ def unplaced(entries: DataFrame, spec: TableSpec) -> DataFrame:
     return shape.unplaced(record_sets(entries, spec), F.col("set"), {f: F.col(f"__{f}") for f in _recorder(spec)})
 
 
-def flat_register_rows(entries: DataFrame, spec: TableSpec, message_no: Column) -> DataFrame:
+def flat_register_rows(entries: DataFrame, spec: TableSpec, message_no: Column, rejects: bool = False) -> DataFrame:
     """Rows of a register without a recorder: one entry each."""
     x = parsed(entries, _texts(_raw(spec)))
-    return shape.zero_empty_numerics(x.select(*shape.typed({f: _field(f) for f in _raw(spec)}, spec, message_no)), spec)
+    return shape.zero_empty_numerics(x.select(*shape.typed({f: _field(f) for f in _raw(spec)}, spec, message_no, rejects=rejects)), spec)
 
 
 def page(table: DataFrame, key: list[str], top: int, skip: int) -> DataFrame:

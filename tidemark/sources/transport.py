@@ -10,11 +10,16 @@ import urllib.request
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from typing import Protocol
+from urllib.error import HTTPError
 
+from tidemark.functions.text import error_message
 from tidemark.sources.metadata import CHUNK_BYTES, bounded, checked, received_no
+from tidemark.sources.packages import feed_prefix
 
 # Answers that a retry cannot mend.
 PERMANENT = (400, 401, 403, 404, 405)
+#: What is read of an error's answer.
+ERROR_BYTES = 64 << 10
 
 
 class Transport(Protocol):
@@ -72,9 +77,12 @@ class HttpTransport:
         request = urllib.request.Request(f"{self.url.rstrip('/')}/{urllib.parse.quote(path, safe='/()$=&?,%')}", method="POST" if post else "GET")
         if self.user:
             request.add_header("Authorization", "Basic " + base64.b64encode(f"{self.user}:{self.password}".encode()).decode())
-        with urllib.request.urlopen(request, timeout=timeout or self.timeout) as answer:
-            declared = answer.headers.get("Content-Length")
-            return bounded(iter(lambda: answer.read(CHUNK_BYTES), b""), int(declared) if declared else None)
+        try:
+            with urllib.request.urlopen(request, timeout=timeout or self.timeout) as answer:
+                declared = answer.headers.get("Content-Length")
+                return bounded(iter(lambda: answer.read(CHUNK_BYTES), b""), int(declared) if declared else None)
+        except HTTPError as e:  # with what the source says, instead of the bare code
+            raise HTTPError(e.url, e.code, error_message(e.read(ERROR_BYTES)), e.headers, None) from None
 
     def metadata(self) -> bytes:
         return self._open("$metadata")
@@ -91,9 +99,12 @@ class HttpTransport:
         self._open(f"NotifyChangesReceived?DataExchangePoint=ExchangePlan_{self.exchange}(guid'{self.node}')&MessageNo={number}", post=True, timeout=30)
 
 
-_ENTRY = re.compile(r"<entry\b.*?</entry>", re.S)
+_ENTRY = re.compile(r"<(?:\w+:)?entry\b.*?</(?:\w+:)?entry>", re.S)
 
 
 def entries(body: bytes) -> Iterator[str]:
-    """Raw entries of a package."""
-    yield from _ENTRY.findall(body.decode("utf-8-sig"))
+    """Raw entries of a package, without the prefix that the feed's own elements may have."""
+    text = body.decode("utf-8-sig")
+    prefix = feed_prefix(text[:4096])
+    for found in _ENTRY.findall(text):
+        yield re.sub(rf"(</?){prefix}", r"\1", found) if prefix else found

@@ -18,8 +18,11 @@ NUMERIC = ("Int64", "Int32", "Int16", "Double")
 EMPTY_GUID = "00000000-0000-0000-0000-000000000000"
 EMPTY_DATE = "0001-01-01 00:00:00"
 
-#: Exact numbers have up to 20 whole digits and 18 decimals; one that needs more is rejected, never rounded.
+#: Exact numbers have 38 digits, of which 18 are decimals unless the field is declared with another scale (``Double:4``);
+#: one that doesn't fit has its column's scale changed if that can be done without loss, else it is rejected, never rounded.
 NUMBER = T.DecimalType(38, 18)
+#: Of parsed rows: the texts that were no values of their fields' types.
+REJECTS = "__rejects"
 
 SPARK_TYPES: dict[str, T.DataType] = {
     "Guid": T.StringType(),
@@ -36,7 +39,12 @@ SPARK_TYPES: dict[str, T.DataType] = {
 
 def spark_type(declared: str) -> T.DataType:
     """Stored type of a declared one; an unknown type is kept as text, so that no key field is lost."""
-    return SPARK_TYPES.get(declared, T.StringType())
+    base, _, scale = declared.partition(":")
+    return T.DecimalType(38, int(scale)) if base == "Double" and scale else SPARK_TYPES.get(declared, T.StringType())
+
+
+def is_number(declared: str | None) -> bool:
+    return (declared or "").partition(":")[0] in NUMERIC
 
 
 @dataclass(frozen=True)
@@ -63,7 +71,7 @@ class TableSpec:
 
     @property
     def numeric_resources(self) -> tuple[str, ...]:
-        return tuple(r for r in self.resources if self.fields.get(r) in NUMERIC)
+        return tuple(r for r in self.resources if is_number(self.fields.get(r)))
 
     @property
     def schema(self) -> T.StructType:
@@ -80,6 +88,15 @@ class TableSpec:
         return self.pk[0]
 
 
+#: Dates by which an object's history is read in parts, the first that it has.
+PARTITION_DATES = ("Date", "Period")
+
+
+def partition_field(spec: TableSpec) -> str | None:
+    """The date that a document or register is read by; none for an object without one."""
+    return next((f for f in PARTITION_DATES if spec.fields.get(f) == "DateTime"), None)
+
+
 def group_key(pk: tuple[str, ...]) -> tuple[str, ...]:
     """Fields whose rows a batch replaces together: the recorder's, or the owner of a table part; none for a plain key."""
     recorder = tuple(k for k in pk if k in RECORDERS or k == RECORDER_TYPE)

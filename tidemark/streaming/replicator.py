@@ -16,8 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import shape
 from tidemark.plans import apply
 from tidemark.plans.full_load import Backoff
-from tidemark.plans.state import CONFIRM_BUDGET, Claims, InFlight, Journal, Lease, Registry
-from tidemark.plans.store import Conflict, Staged, Store
+from tidemark.plans.state import CONFIRM_BUDGET, Claims, InFlight, Journal, Lease, Registry, unique
+from tidemark.plans.store import Conflict, Fence, Staged, Store
 from tidemark.sources import metadata, packages
 from tidemark.sources.transport import PERMANENT, Transport
 from tidemark.spec import TableSpec, save_order
@@ -46,6 +46,8 @@ class Cycle:
     lost: list[str] = field(default_factory=list)
     unplaced: dict[str, int] = field(default_factory=dict)
     unknown_fields: dict[str, list[str]] = field(default_factory=dict)
+    #: By table and field, texts that were no values; they are null in the table and rows of ``apply.REJECTED``.
+    rejected: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 def parts_of(spec: TableSpec, specs: dict[str, TableSpec]) -> dict[str, TableSpec]:
@@ -54,13 +56,13 @@ def parts_of(spec: TableSpec, specs: dict[str, TableSpec]) -> dict[str, TableSpe
 
 
 def rows_of(entry_rows: DataFrame, spec: TableSpec, specs: dict[str, TableSpec], message_no: int) -> dict[str, DataFrame]:
-    """Flat rows by table, from the raw entries of one object."""
-    n = F.lit(message_no)
+    """Flat rows by table with what was rejected in them, from the raw entries of one object, as ``specs`` describes it now."""
+    n, spec = F.lit(message_no), specs.get(spec.name, spec)
     if spec.is_register and spec.group_key:
-        return {spec.name: packages.register_rows(entry_rows, spec, n)}
+        return {spec.name: packages.register_rows(entry_rows, spec, n, rejects=True)}
     if spec.is_register:
-        return {spec.name: packages.flat_register_rows(entry_rows, spec, n)}
-    return packages.entity_rows(entry_rows, spec, n, parts_of(spec, specs))
+        return {spec.name: packages.flat_register_rows(entry_rows, spec, n, rejects=True)}
+    return packages.entity_rows(entry_rows, spec, n, parts_of(spec, specs), rejects=True)
 
 
 class Replicator:
@@ -77,10 +79,11 @@ class Replicator:
     FAILED = "feed-failures"
 
     def __init__(
-        self, spark: SparkSession, store: Store, transport: Transport, specs: dict[str, TableSpec], owner: str = "replicator", under_full_load: Callable[[str], bool] | None = None,
+        self, spark: SparkSession, store: Store, transport: Transport, specs: dict[str, TableSpec], owner: str | None = None, under_full_load: Callable[[str], bool] | None = None,
         confirm: bool = True, clock: Callable[[], float] = time.monotonic, read_metadata: Callable[[], dict[str, TableSpec]] | None = None, buckets: int | None = None,
     ):
         self.spark, self.store, self.transport, self.specs = spark, store, transport, dict(specs)
+        owner = owner or unique("replicator")
         self.registry, self.journal, self.lease, self.flights, self.claims = Registry(store), Journal(store), Lease(store, "feed", owner), InFlight(store), Claims(store, owner)
         self.under_full_load = under_full_load or (lambda name: self.claims.covers(name, {p: s.name for s in self.specs.values() for p in s.parts}))
         self.confirm, self.clock, self.read_metadata, self.buckets = confirm, clock, read_metadata, buckets
@@ -89,7 +92,7 @@ class Replicator:
 
     # -- one package
 
-    def apply(self, raw: DataFrame, message_no: int, now: datetime | None = None, fence: Callable[[], bool] | None = None) -> Cycle:
+    def apply(self, raw: DataFrame, message_no: int, now: datetime | None = None, fence: Fence | None = None) -> Cycle:
         """Merge the entries (column ``entry``) of one package and publish all tables at once."""
         out = Cycle()
         named, others = shape.route(raw, F.regexp_extract("entry", r'<category\b[^>]*\bterm="([^"]*)"', 1))
@@ -103,13 +106,15 @@ class Replicator:
             stamp = F.lit(now or datetime.now()).cast("timestamp_ntz")
             with self.flights.track(counts, f"package {message_no}"):
                 for attempt in range(apply.MERGES):
-                    out.failed, out.rows, done = [], 0, Staged()
+                    out.failed, out.rows, done, rejects = [], 0, Staged(), []
                     for name in save_order(list(counts)):
                         try:
-                            done.add(self._staged(named.where(F.col("object") == name), name, message_no, stamp, out))
+                            done.add(self._staged(named.where(F.col("object") == name), name, message_no, stamp, out, rejects))
                         except Exception as e:  # this object alone fails
                             log.warning("%s of package %d: %s", name, message_no, e)
                             out.failed.append(name)
+                    if rejects:
+                        done.add(apply.staged_rejects(self.store, rejects, stamp))
                     try:
                         self.store.put(done, f"package {message_no}", fence=fence)
                         break
@@ -124,19 +129,17 @@ class Replicator:
             others.unpersist()
         return out
 
-    def _staged(self, rows: DataFrame, name: str, message_no: int, stamp: Column, told: Cycle) -> Staged:
+    def _staged(self, rows: DataFrame, name: str, message_no: int, stamp: Column, told: Cycle, rejects: list[DataFrame]) -> Staged:
         spec = self._spec(rows, name, told)
         if spec.is_register and spec.group_key and (lost := packages.unplaced(rows, spec).count()):
             told.unplaced[name] = lost
             log.error("%s of package %d: %d emptied record sets of an unknown recorder are lost", name, message_no, lost)
         out = Staged()
-        for table, flat in rows_of(rows, spec, self.specs, message_no).items():
-            flat = flat.cache()
-            try:
-                told.rows += flat.count()
-                out.add(apply.staged(self.store, flat, self.specs[table], stamp, always_touch=self.under_full_load(name), buckets=self.buckets, on_retired=lambda _: self.registry.require_full_load(name)))
-            finally:
-                flat.unpersist()
+        with apply.page(self.store, self.specs, lambda: rows_of(rows, spec, self.specs, message_no), rejects) as (flat, found):
+            told.rejected |= found
+            told.rows += sum(f.count() for f in flat.values())
+            for table, f in flat.items():
+                out.add(apply.staged(self.store, f, self.specs[table], stamp, always_touch=self.under_full_load(name), buckets=self.buckets, on_retired=lambda _: self.registry.require_full_load(name)))
         return out
 
     def _spec(self, rows: DataFrame, name: str, told: Cycle) -> TableSpec:
@@ -196,9 +199,10 @@ class Replicator:
             landed = f"_inbox/msg{number}.xml"
             self.journal.note(number)
             self.store.files.write(landed, body)
+            prefix = packages.feed_prefix(body[:4096].decode("utf-8", "replace"))
             del body
             try:
-                cycle = self.apply(packages.entries_of_feed(self.spark, f"{self.store.root}/{landed}"), number, now, self.lease.still_mine)
+                cycle = self.apply(packages.entries_of_feed(self.spark, f"{self.store.root}/{landed}", prefix), number, now, self.lease.fence)
             finally:
                 self.store.files.delete(landed)
             self.journal.note(number, finished_at=time.time(), entries=cycle.entries, rows=cycle.rows, modified=cycle.modified, failed=cycle.failed)
@@ -244,7 +248,7 @@ class Replicator:
                 raise PackageHeld("the feed is another's")
             self.flights.deliver()
             for n in sorted(numbers):
-                cycle = self.apply(rows.where(F.col("message_no") == n).select("entry"), n, fence=self.lease.still_mine)
+                cycle = self.apply(rows.where(F.col("message_no") == n).select("entry"), n, fence=self.lease.fence)
                 if self._blocked(cycle):
                     raise PackageHeld(f"package {n}: {cycle.failed} failed")
                 out.append(cycle)
