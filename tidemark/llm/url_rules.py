@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import Workspace, sized
+from tidemark.llm.common import BROADCAST_ROWS, Workspace
 
 #: Urls that one sweep orders at least; a rule host with more is swept in parts, each with the host's rules.
-WIDTH = 100_000
+WIDTH = 4096
+#: Bytes of hosts and paths that one broadcast may hold; beyond it the join shuffles.
+BROADCAST_BYTES = 16 << 20
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -43,6 +45,12 @@ def canonical(host: Column, path: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), path).cast("binary")
 
 
+def _small(df: DataFrame, *texts: str) -> DataFrame:
+    """``df`` with a broadcast hint if its counted rows and the bytes of ``texts`` fit the bounds; else unchanged."""
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.sum(sum((F.octet_length(c) for c in texts), F.lit(0))).alias("b")).first()
+    return F.broadcast(df) if size["n"] <= BROADCAST_ROWS and (size["b"] or 0) <= BROADCAST_BYTES else df
+
+
 def _rules(rules: DataFrame) -> DataFrame:
     """(rhost, rpath, verdict), one row for each host and path: A-Z of hosts lower-cased, null paths empty, a block goes before other verdicts."""
     r = rules.where("host IS NOT NULL").select(F.translate("host", _UPPER, _LOWER).alias("rhost"), F.coalesce("path", F.lit("")).alias("rpath"), "verdict")
@@ -56,13 +64,14 @@ def top_rules(urls: DataFrame, rules: DataFrame, width: int = WIDTH) -> DataFram
     ``rules`` are unique (rhost, rpath, verdict). A rule host with many urls is swept in parts chosen by a hash; each
     part holds at least as many urls as the host has rules, so the repeated rules are never more than the urls.
     """
+    ws = Workspace(urls.sparkSession, "sweep")
     hosts = rules.groupBy("rhost").agg(F.count(F.lit(1)).alias("n_rules"))
-    n = hosts.count()
-    asked = urls.select("host", "path", F.explode(suffixes(F.col("host"))).alias("rhost")).join(sized(hosts, n), "rhost")
-    parts = asked.groupBy("rhost").agg(F.ceil(F.count(F.lit(1)) / F.greatest(F.lit(width), F.max("n_rules"))).alias("parts"))
-    asked = asked.join(sized(parts, n), "rhost").select("rhost", F.pmod(F.xxhash64("host", "path"), "parts").alias("part"), canonical(F.col("rhost"), F.col("path")).alias("key"), "host", "path")
+    asked = ws.save(urls.select("host", "path", F.explode(suffixes(F.col("host"))).alias("rhost")).join(_small(hosts, "rhost"), "rhost"), "asked")
+    parts = ws.save(asked.groupBy("rhost").agg(F.ceil(F.count(F.lit(1)) / F.greatest(F.lit(width), F.max("n_rules"))).alias("parts")), "parts")
+    parts = _small(parts, "rhost")
+    asked = asked.join(parts, "rhost").select("rhost", F.pmod(F.xxhash64("host", "path"), "parts").alias("part"), canonical(F.col("rhost"), F.col("path")).alias("key"), "host", "path")
 
-    dealt = rules.join(sized(parts, n), "rhost").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    dealt = rules.join(parts, "rhost").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     key = canonical(F.col("rhost"), F.col("rpath"))
     none = F.lit(None).cast("string")
     # 0xFF is no byte of UTF-8: the end comes after every key with this prefix, and inner ends before outer ones.
@@ -94,5 +103,5 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     won = top_rules(asked.select("host", "path").distinct(), rules, width)
     best = F.max(F.struct((F.length("rhost") + F.length("rpath")).alias("n"), F.length("rhost").alias("h"), F.concat("rhost", "rpath").alias("rule"), "verdict"))
     won = ws.save(won.groupBy("host", "path").agg(best.alias("best")).select("host", "path", "best.rule", "best.verdict"), "won")
-    out = asked.join(sized(won, won.count()), ["host", "path"], "left")
+    out = asked.join(_small(won, "host", "path", "rule"), ["host", "path"], "left")
     return out.select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
