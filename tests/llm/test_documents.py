@@ -177,9 +177,10 @@ def test_repeated_ids_keep_their_texts(spark):
 
 def test_grammar_marks_clauses():
     run = lambda s: "".join(toxicity.paths(list(s)))
-    assert run("yoooooi") == "yoooooj" and run("ioooooq") == "joooooq" and run("opoioooo") == "opoaoooo" and run("oooioopo") == "oooaoopo"
-    assert run("oooiooo") == "oooiooo" and run("oio") == "odo" and run("iooooo") == "dooooo" and run("oooooi") == "oooood"
-    assert run("oooioooiooo") == "ooohooohooo" and run("ni") == "nk" and run("noooyi") == "noooyj" and run("ryoooi") == "ryoool" and run("rni") == "rnl"
+    assert run("yoooi") == "yoooj" and run("iooq") == "iooq" and run("yoooooi") == "yoooooi" and run("ioy") == "joy"
+    assert run("qppi") == "qppj" and run("qoi") == "qoi" and run("iq") == "jq" and run("opoioooo") == "opoioooo" and run("pi") == "pd"  # an article alone is nobody
+    assert run("oooiooo") == "oooiooo" and run("i") == "d" and run("ii") == "hh" and run("oi") == "oi" and run("io") == "io"
+    assert run("oooioooiooo")[7] == "h" and run("ni") == "nk" and run("noooyi") == "noooyj" and run("ryoooi") == "ryoool" and run("rni") == "rnl"
     assert run("woovy")[-1] == "x" and run("vy") == "vy" and run("nv") == "no" and run("wooooovy") == "wooooovy"
 
 
@@ -194,12 +195,21 @@ def test_model_scores_clauses_and_no_isolated_words():
     m = toxicity.Model({"idiot": 3.0, "clown": 3.0, "achli*": 2.0})
     kinds = lambda t: {k: round(float(np.expm1(v)), 6) for k, v in zip(toxicity.KINDS, m.features(t)) if v}
     assert kinds("You are an idiot. He said: IDIOT! I will kill you") == {"targeted": 3.0, "threat": 1.0}
-    assert kinds("not an idiot") == {"negated": 3.0} and kinds("someone called him idiot") == {"reported": 3.0} and kinds("that house achlichber stands") == {"attached": 2.0}
+    assert kinds("not an idiot") == {"negated": 3.0} and kinds("someone called him idiot") == {"reported": 3.0} and not kinds("that house achlichber stands")
     assert kinds("Idiot! some words. Clown") == {"addressed": 6.0} and not kinds("") and not kinds("you he the a")
     assert kinds("You clown. You idiot. You idiot.") == {"targeted": 6.0} and kinds("you clown, you idiot") == {"targeted": 3.0}  # a form that leads several clauses counts once
+    assert kinds("she is an idiot") == {"targeted": 3.0} and not kinds("she sold idiot lamps") and kinds("big idiot lamps near a clown bridge") == {"heaped": 3.0}
     assert not kinds("water flows past old idiot houses near big rivers. " * 50)  # no path takes it
+    assert kinds("grey idiot stones. blue clown stones") == {"spread": 3.0} and not kinds("idiot lamps and more idiot lamps")
     s = lambda t: m.score(m.features(t)[None])[0]
-    assert s("You idiot.") > s("The idiot went there.") > s("He said something about some idiot.") > s("nothing") == s("grey stones under idiot bridges carry trains")
+    assert s("You idiot.") > s("He said something about some idiot.") > s("nothing") == s("grey stones under idiot bridges carry trains") == s("The idiot went there.")
+
+
+CARRIERS = (
+    "the paper is about the word {} in history and the law", "{} market opened in spring before many people came together", "a report on {} was printed in the north last year",
+    "in the museum of the city there is {} from old times", "prices of {} rose by two percent in winter", "the {} was collected on monday morning by the town",
+    "many books describe {} and its place in daily life", "trains carry {} over the bridge to the harbour",
+)
 
 
 def test_copies_of_a_text_teach_once(spark):
@@ -253,8 +263,20 @@ def test_toxicity_query_on_held_out_rows(spark):
     assert clean and not any(r["predicted"] for r in clean)
     toxic = [r for r in got if r["toxic"] == 1]
     assert sum(r["predicted"] for r in toxic) >= 0.85 * len(toxic)
-    for r in got:  # every positive has a path
-        assert not r["predicted"] or any(r[k] for k in toxicity.KINDS)
+    share = Counter(max(toxicity.KINDS, key=lambda k: r[k]) for r in got if r["predicted"])
+    assert not any(r["predicted"] and not any(r[k] for k in toxicity.KINDS) for r in got)  # every positive has a path
+    print("positives by heaviest path", dict(share), "held out, found", sum(r["predicted"] for r in toxic if r["held_out"]), "of", sum(r["held_out"] for r in toxic))
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
+def test_learned_words_in_neutral_sentences_score_low(spark):
+    m = toxicity.fit(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
+    words = [t.removesuffix("*") for t in m.terminals]
+    texts = [c.format(w) for c in CARRIERS for w in words]
+    score = lambda ts: m.score(np.array([m.features(t) for t in ts]))
+    assert words and (score(texts) >= 0.5).mean() < 0.05
+    assert (score(["I will kill you", "we are going there and they will hurt him", "You will see. I must stab you now."]) > 0.5).all()
+    assert (score([f"you {w}" for w in words if m.terminals.get(w, 0) > 3]) > 0.5).mean() > 0.9
 
 
 # ---- mixing

@@ -26,20 +26,24 @@ BESIDE = 12
 # Closed word classes of the grammar, in English, German, French and Spanish.
 ADDRESSED = set("you your yours u du dich dir dein deine ihr euch tu te toi ton vous votre tú ti usted ustedes".split())
 PERSONS = set("he him his she her they them their sie er il elle ils elles ellos él ella".split())
-NAMED = set("the a an this that these those is are was were der die das den dem des ein eine einen einer einem ist sind le la les un une ce cette des est sont el los las una esta este es son".split())
+JOINING = set("the a an this that these those is are was were der die das den dem des ein eine einen einer einem ist sind le la les un une ce cette des est sont el los las una esta este es son such so nothing but".split())
 NEGATION = set("not no never nor without isn aren wasn weren don doesn didn nicht kein keine keinen nie ne pas jamais sin nunca".split())
 REPORT = set("said says say saying called calls wrote quoted quote quotes claims claimed alleged reported sagte sagt schrieb nannte dit disait écrit appelé dijo dice escribió llamó".split()) | set('"“”«»„')
 INTENT = set("will gonna going shall ll must should werde werden wirst vais va allons voy vamos".split())
 VIOLENCE = set("kill hurt destroy beat stab shoot burn punch hang strangle murder töten schlagen verprügeln umbringen tuer frapper matar golpear".split())
-CLASSES = {"y": ADDRESSED, "q": PERSONS, "p": NAMED, "n": NEGATION, "r": REPORT, "w": INTENT, "v": VIOLENCE}
+CLASSES = {"y": ADDRESSED, "q": PERSONS, "p": JOINING, "n": NEGATION, "r": REPORT, "w": INTENT, "v": VIOLENCE}
 
 TOKEN = re.compile(r"[^\W\d_]+|[\"“”«»„]")
 WORDS = re.compile(r"[^\W\d_]+")
 CLAUSE = re.compile(r"[.!?;:\n|]+")
 #: What a path through the composed transducers makes of an insult in its clause; an insult on no such path counts nothing.
-KINDS = ("targeted", "attached", "addressed", "heaped", "negated", "reported", "threat")
+KINDS = ("targeted", "addressed", "heaped", "spread", "negated", "reported", "threat")
 #: What each kind's matched clauses weigh before labels say more.
-PRIOR = (1.2, 1.0, 1.0, 1.0, 0.5, 0.4, 3.0)
+PRIOR = (1.2, 1.0, 1.0, 0.8, 0.5, 0.4, 3.2)
+
+
+#: By how much, in log odds, one insult of middling weight at a person passes the limit, and a single threat where labels show none.
+MARGIN = 1.0
 
 
 class Lexicon:
@@ -109,29 +113,27 @@ def _scope(opener: str, marks: dict[str, str], reach: int | None) -> Transducer:
 
 
 #: i: insult; y: who is addressed, q: another person, p: an article, pronoun or copula; n: negation, r: report, w: intent,
-#: v: violence, o: other. Marked insults: j targeted, a attached, d addressed, h heaped, k negated, l reported; x: threat.
+#: v: violence, o: other. Marked insults: j targeted, d addressed, h heaped, k negated, l reported; x: threat.
 NEGATED = _scope("n", {"i": "k", "v": "o"}, 3)
 REPORTED = _scope("r", {"i": "l", "k": "l", "v": "o"}, None)
-_FEW = 2
-#: An insult that no path has taken yet, with how many tokens come before it in its clause where these are few.
-_OPEN = ("i", *(f"i{k}" for k in range(_FEW + 1)))
-#: Whoever is named in the clause takes its insults, a person before a mere article.
+#: Whoever is addressed takes insults within so many tokens; another person those that articles and copulas alone join to it.
+_REACH = 4
+#: An insult that no path has taken yet; i0 is one with nothing but insults before it in its clause.
+_OPEN = ("i", "i0")
+_JOINED = 2 * _REACH
 TARGETED = Transducer(
     (
-        {"y": ("y", 2), "q": ("q", 2), "x": ("x", 2), "p": ("p", 1)},
-        {"y": ("y", 2), "q": ("q", 2), "x": ("x", 2)} | {i: ("a", 1) for i in _OPEN},
-        {i: ("j", 2) for i in (*_OPEN, "a")},
+        {"y": ("y", _REACH), "x": ("x", _REACH), "q": ("q", _JOINED)},
+        *({"y": ("y", _REACH), "x": ("x", _REACH)} | {i: ("j", k) for i in _OPEN} for k in range(1, _REACH + 1)),
+        *({"y": ("y", _REACH), "x": ("x", _REACH), "q": ("q", _JOINED), "p": ("p", k - 1 if k > _REACH + 1 else 0)} | {i: ("j", _JOINED) for i in _OPEN} for k in range(_REACH + 1, _JOINED + 1)),
     ),
-    (0, 1, 2),
+    (0, *range(_REACH), *[0] * _REACH),
 )
 HEAPED = Transducer(({i: (i, 1) for i in (*_OPEN, "h")}, {i: ("h", 1) for i in _OPEN}), (0, 1))
-#: An insult is an address of its own at either edge of its clause, or where at most two other tokens are in it: the first
-#: pass tells how many come before, the second, from the clause's end, how many follow.
-BEFORE = Transducer(tuple({"i": (f"i{k}", k)} for k in range(_FEW + 1)) + ({},), tuple(min(k + 1, _FEW + 1) for k in range(_FEW + 2)))
-AFTER = Transducer(
-    tuple({f"i{b}": ("d" if not b or b + k <= _FEW else "i", k) for b in range(_FEW + 1)} | ({"i": ("d", k)} if not k else {}) for k in range(_FEW + 2)),
-    tuple(min(k + 1, _FEW + 1) for k in range(_FEW + 2)),
-)
+#: An insult is an address of its own where its clause has nothing else: the first pass tells that nothing comes before,
+#: the second, from the clause's end, that nothing follows.
+BEFORE = Transducer(({"i": ("i0", 0), "h": ("h", 0), "p": ("p", 0)}, {}), (1, 1))
+AFTER = Transducer(({"i0": ("d", 0), "i": ("i", 0), "h": ("h", 0), "d": ("d", 0)}, {}), (1, 1))
 #: Intent, then violence, then a person, each within four tokens of the one before.
 _WAIT = 4
 THREAT = Transducer(
@@ -174,7 +176,8 @@ class Composition:
 #: A clause is read forwards, then what that gives backwards, so that a target may stand on either side of an insult.
 FORWARDS = Composition(NEGATED, REPORTED, THREAT, TARGETED, HEAPED, BEFORE)
 BACKWARDS = Composition(TARGETED, HEAPED, AFTER)
-_KIND = {"j": 0, "a": 1, "d": 2, "h": 3, "k": 4, "l": 5, "x": 6}
+_KIND = {"j": 0, "d": 1, "h": 2, "k": 4, "l": 5, "x": 6}
+_SPREAD = 3
 
 
 def paths(symbols: list[str]) -> list[str]:
@@ -198,8 +201,9 @@ class Model:
         """By kind of path, the weight of the text's matched clauses, as log(1 + sum).
 
         A clause counts on each kind of path with its heaviest insult there; clauses that the same form leads count
-        once, on the first kind of KINDS that one of them has. A clause with a threat counts 1. An insult that no path
-        takes counts nothing, however often it stands.
+        once, on the first kind of KINDS that one of them has. A clause with a threat counts 1. Insults are heaped if
+        their clause has two different ones. One that no path takes counts nothing, however often it stands; different
+        ones over a text are spread, and all but the heaviest of them count.
         """
         out = np.zeros(len(KINDS))
         low = text.casefold()
@@ -207,6 +211,7 @@ class Model:
         if not any(read(w)[0] in "iv" for w in set(WORDS.findall(low))):
             return out
         leads: dict[str, int] = {}
+        spread: dict[str, float] = {}
         for clause in CLAUSE.split(low):
             words = TOKEN.findall(clause)
             told = [read(t) for t in words]
@@ -214,9 +219,13 @@ class Model:
             if "i" not in symbols and "v" not in symbols:
                 continue
             heaviest: dict[int, tuple[float, str]] = {}
-            for o, (_, weight), w in zip(paths(symbols), told, words):
-                kind = _KIND.get(o)
-                if kind is not None:
+            marked = [(o, weight, w) for o, (_, weight), w in zip(paths(symbols), told, words) if o in _KIND or o == "i"]
+            alike = len({w for o, _, w in marked if o in "ih"}) < 2
+            for o, weight, w in marked:
+                if o == "i" or o == "h" and alike:
+                    spread[w] = weight
+                else:
+                    kind = _KIND[o]
                     heaviest[kind] = max(heaviest.get(kind, (0.0, "")), (weight, w))
             if heaviest.pop(_KIND["x"], None):
                 out[-1] += 1
@@ -224,6 +233,7 @@ class Model:
                 leads[w] = min(kind, leads.get(w, kind))
         for w, kind in leads.items():
             out[kind] += read(w)[1]
+        out[_SPREAD] = sum(sorted(spread.values())[:-1])
         return np.log1p(out)
 
     def score(self, f: np.ndarray) -> np.ndarray:
@@ -328,6 +338,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     y = np.array([r["y"] for r in data], float)
     times = np.array([r["count"] for r in data], int)
     w = _logistic(np.repeat(x, times, axis=0), np.repeat(y, times), np.array([model.bias, *model.kinds]))
+    if not x[:, -1].any():  # labels show no threat, so they can't say that one is harmless: it decides, whatever the bias
+        w[-1] = max(w[-1], (MARGIN - w[0]) / math.log(2))
+    if terminals:  # labels are of texts, most of which hold several insults: that one at a person suffices is the grammar's to say
+        w[1] = max(w[1], (MARGIN - w[0]) / math.log1p(float(np.median(list(terminals.values())))))
     return Model(terminals, float(w[0]), tuple(float(v) for v in np.maximum(w[1:], 0)))
 
 
