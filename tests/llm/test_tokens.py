@@ -299,7 +299,7 @@ def test_recall_sees_lost_links_of_isolated_pairs(spark):
 
     def recall(lost):
         rows = [(k, 0, 0, k) if k in lost else (k, int(links[k]), int(others[k]), k) for k in range(2500)]
-        return vectors._recall(nodes, "f8", spark.createDataFrame(rows, "node long, links long, others long, root long"), 0.95, 2500)
+        return vectors._recall(nodes, "f8", spark.createDataFrame(rows, "node long, links long, others long, root long"), 0.95, 2500)[0]
 
     assert recall(set()) == 1.0
     assert recall(set(range(0, 48))) < 0.9  # 48 of 320 linked rows
@@ -322,6 +322,34 @@ def test_links_across_shards_are_complete(spark):
         assert sum(joined) >= share * len(joined)
 
 
+def test_recall_rests_on_links_where_the_table_has_none(spark):
+    x = np.random.default_rng(8).normal(size=(1500, 24))
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    report = {}
+    got = vectors.near_duplicates(df, shard_rows=60, report=report).collect()
+    assert len(got) == 1500 and not any(r["n_links"] for r in got) and all(r["component_id"] == r["vec_id"] for r in got)
+    assert report[24][0] >= 0.98 and report[24][1] >= vectors.PLANTED
+
+
+def test_a_search_that_finds_too_little_ends_exact(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(300, 16))
+    x[150:] = x[:150] + rng.normal(size=(150, 16)) * 0.1
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    monkeypatch.setattr(vectors, "_recall", lambda *a: (0.5, 9))
+    report = {}
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_duplicates(df, shard_rows=40, beam=90, probes=64, report=report).collect()}
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert got == dict(enumerate(((x @ x.T >= 0.95).sum(axis=1) - 1).tolist())) and report == {16: (1.0, 0)}
+
+
+def test_many_centres_are_fitted_in_two_levels(monkeypatch):
+    monkeypatch.setattr(vectors, "ONE_LEVEL", 16)
+    x = np.random.default_rng(2).normal(size=(3000, 8))
+    c = vectors.fitted(x / np.linalg.norm(x, axis=1, keepdims=True), 100)
+    assert 80 <= len(c) <= 120 and np.allclose(np.linalg.norm(c, axis=1), 1)
+
+
 def test_links_that_several_shards_show_count_once():
     rng = np.random.default_rng(3)
     near_q, near_v, rank = rng.integers(0, 6, (200, 4)), rng.integers(0, 6, (200, 2)), rng.integers(0, 4, 200)

@@ -17,10 +17,12 @@ from tidemark.llm.common import Workspace, components, sized
 
 log = logging.getLogger(__name__)
 
-#: Vectors that cluster centres are fitted on: at least and at most; centres at most.
-FIT_ROWS, MOST_FIT_ROWS, MOST_CENTRES = 20_000, 200_000, 50_000
-#: Linked vectors that recall is measured on, at least; vectors drawn for that in one step, and most steps.
-AUDIT_ROWS, AUDIT_STEP, AUDIT_STEPS = 200, 4_096, 8
+#: Vectors that cluster centres are fitted on: at least and at most, and their bytes in double precision at most; centres at
+#: most, and how many are fitted in one go: more are fitted in two levels.
+FIT_ROWS, MOST_FIT_ROWS, MOST_FIT_BYTES, MOST_CENTRES, ONE_LEVEL = 20_000, 200_000, 512 << 20, 50_000, 1_024
+#: Vectors with a link that recall is measured on; vectors drawn for that in one step, and most steps; queries planted beside
+#: drawn vectors, so that there are links to miss whatever the table holds.
+AUDIT_ROWS, AUDIT_STEP, AUDIT_STEPS, PLANTED = 200, 4_096, 2, 256
 #: Queries that a task searches for at once, and rows of one product of matrices.
 BLOCK, PRODUCT = 256, 2_048
 #: Neighbours that a range search looks at in one step.
@@ -98,6 +100,16 @@ def centres(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) -> np.ndarray
     return c
 
 
+def fitted(x: np.ndarray, k: int) -> np.ndarray:
+    """About ``k`` centres; many in two levels, so that the work grows with the root of their number."""
+    if k <= ONE_LEVEL:
+        return centres(x, k)
+    coarse = centres(x, int(np.sqrt(k)))
+    at = _nearest(x, coarse)[:, 0]
+    groups = [x[at == g] for g in range(len(coarse))]
+    return np.concatenate([centres(g, max(1, round(k * len(g) / len(x)))) for g in groups if len(g)])
+
+
 def apart(c: np.ndarray, most: float) -> np.ndarray:
     """Centres without those that lie at cosine ``most`` or more to an earlier one, which would part a dense group."""
     kept = np.zeros((0, c.shape[1]))
@@ -120,12 +132,13 @@ def _matrix(column: pa.ChunkedArray | pa.Array, kind: str) -> np.ndarray:
 def deal(rows: DataFrame, centre: np.ndarray, most: int, kind: str) -> DataFrame:
     """``rows`` once for each of the ``most`` nearest centres: with shard (the centre), rank (0 is the nearest) and near (all of them, as bytes)."""
     names, at = rows.columns, rows.columns.index("vec")
+    shared = rows.sparkSession.sparkContext.broadcast(centre)  # once per executor, not with every task; at most MOST_CENTRES rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            near = _nearest(_matrix(b.column(at), kind), centre, most)
+            near = _nearest(_matrix(b.column(at), kind), shared.value, most)
             n, k = near.shape
             lists = pa.array([r.tobytes() for r in near], pa.binary())
             take = pa.array(np.repeat(np.arange(n), k))
@@ -267,6 +280,15 @@ def search(x: np.ndarray, graph: Graph, queries: np.ndarray, own: np.ndarray, th
             fq, fv, fs = (np.concatenate(c) for c in zip(*grown))
 
 
+def compared(x: np.ndarray, queries: np.ndarray, own: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same pairs as a search that misses nothing, by comparing each query with each row."""
+    for at in range(0, len(queries) if len(x) else 0, BLOCK):
+        for p in range(0, len(x), PRODUCT):
+            q, v = np.nonzero(queries[at : at + BLOCK] @ x[p : p + PRODUCT].T >= threshold)
+            other = own[at + q] != p + v
+            yield at + q[other], p + v[other]
+
+
 def unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
     """Join the groups of each pair (a, b) in place; ``parent`` names each row's smallest joined row before and after."""
     while True:
@@ -281,7 +303,7 @@ def unite(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             parent[:] = parent[parent]
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding", shard_rows: int = 2_000, overlap: int = 3, probes: int = 4, degree: int = 24, beam: int = 24, least_recall: float = 0.98) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vec_col: str = "embedding", shard_rows: int = 2_000, overlap: int = 3, probes: int = 4, degree: int = 24, beam: int = 24, least_recall: float = 0.98, report: dict[int, tuple[float, int]] | None = None) -> DataFrame:
     """One row per input row: vec_id, n_links (other rows linked directly) and component_id (smallest id reachable).
 
     Equal directions form a class that links within itself and is searched for once. Classes are held in the shards of
@@ -289,8 +311,11 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     and a large shard is built and searched in pieces. Each graph is built alone, a class's neighbours from all its
     shards are united, and each class is searched for in the shards of its ``probes`` nearest centres over the united
     lists. A link that several shards show counts in the first of them. Every found link is verified by its cosine in
-    double precision. Links counted exactly for classes drawn whatever was found measure recall; while it is below
-    ``least_recall`` the run is repeated with twice the probes and beam, until every shard is searched whole.
+    double precision. Recall is measured by exact counts: on classes drawn whatever was found, and on queries planted
+    beside drawn classes at cosines from the threshold up, which are searched for and never held. While it is below
+    ``least_recall`` the run is repeated with twice the probes and beam; once all shards are probed, every class is
+    compared with all rows of every shard, which is exact. ``report`` gets, by vector width, the recall and the number
+    of true links that it rests on.
 
     Vectors that are null, empty, zero or hold null or non-finite components have no link and are their own component.
     Vectors of different lengths never link. Rows with one id are rows of their own; a null id is carried and names a
@@ -304,7 +329,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     dims = [r["d"] for r in classes.select(F.length("vec").alias("d")).distinct().collect()]
     found = None
     for d in dims:
-        one = _linked(ws, classes.where(F.length("vec") == d), kind, threshold, shard_rows, overlap, probes, degree, beam, least_recall)
+        one = _linked(ws, classes.where(F.length("vec") == d), kind, threshold, shard_rows, overlap, probes, degree, beam, least_recall, {} if report is None else report)
         found = one if found is None else found.unionByName(one)
     if found is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
@@ -320,32 +345,53 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.95, id_col: str = "
     return out.unionByName(alone)
 
 
-def _linked(ws: Workspace, classes: DataFrame, kind: str, threshold: float, shard_rows: int, overlap: int, probes: int, degree: int, beam: int, least_recall: float) -> DataFrame:
+def _linked(ws: Workspace, classes: DataFrame, kind: str, threshold: float, shard_rows: int, overlap: int, probes: int, degree: int, beam: int, least_recall: float, report: dict[int, tuple[float, int]]) -> DataFrame:
     """(node, links, others, root): what each class of one vector length links to, counted in rows, and edges towards components."""
-    n = classes.count()
+    n, dim = classes.count(), len(classes.first()["vec"]) // int(kind[1])
     wanted = min(-(-n * overlap // shard_rows), MOST_CENTRES)
-    fit_rows = min(max(FIT_ROWS, 4 * wanted), MOST_FIT_ROWS)
+    fit_rows = min(max(FIT_ROWS, 4 * wanted), MOST_FIT_ROWS, max(1, MOST_FIT_BYTES // (8 * dim)))
     share = min(1.0, fit_rows / n)
     sample = classes.where(F.pmod(F.xxhash64("node", F.lit(9)), F.lit(1_000_000)) < int(1_000_000 * share)).select("vec").limit(2 * fit_rows).collect()
     k = max(1, min(wanted, len(sample) // 4))
-    centre = np.zeros((1, len(classes.first()["vec"]) // int(kind[1])))
+    centre = np.zeros((1, dim))
     if k > 1:
-        centre = apart(centres(_matrix(pa.array([r["vec"] for r in sample], pa.binary()), kind), k), threshold - SLACK)
+        centre = apart(fitted(_matrix(pa.array([r["vec"] for r in sample], pa.binary()), kind), k), threshold - SLACK)
     nodes = classes.select("node", "vec", "n")
+    planted = _planted(nodes, kind, threshold, dim)
+    asking = nodes.unionByName(classes.sparkSession.createDataFrame([(r["node"], r["vec"], 0) for r in planted], nodes.schema)) if planted else nodes
     overlap = min(overlap, len(centre))
     united = _graphs(ws, nodes, centre, kind, overlap, degree, 2 * shard_rows)
+    exact = False
     while True:
         probes = min(max(probes, overlap), len(centre))
-        found = _searched(ws, nodes, united, centre, kind, overlap, probes, threshold, beam, 2 * shard_rows)
-        recall = _recall(nodes, kind, found, threshold, n)
-        log.info("recall %.4f with %d shards, each vector in %d and sought in %d", recall, len(centre), overlap, probes)
-        if recall >= least_recall or probes == len(centre) and beam > 2 * shard_rows:
+        found = _searched(ws, asking, united, centre, kind, overlap, probes, threshold, beam, 2 * shard_rows, exact)
+        if exact:
+            report[dim] = (1.0, 0)
+        else:
+            report[dim] = _recall(nodes, kind, found, threshold, n, planted)
+            log.info("recall %.4f on %d links with %d shards, each vector in %d and sought in %d", *report[dim], len(centre), overlap, probes)
+        if exact or report[dim][0] >= least_recall:
             ws.drop(united)
             return found
         ws.drop(found)
+        exact = probes == len(centre) and beam > 2 * shard_rows
         probes, beam = 2 * probes, 2 * beam
 
 
+def _planted(nodes: DataFrame, kind: str, threshold: float, dim: int) -> list[dict]:
+    """Queries beside PLANTED drawn classes, at cosines spread from the threshold to 1, in random directions; none in one dimension."""
+    if dim < 2:
+        return []
+    drawn = nodes.orderBy(F.xxhash64("node", F.lit(13)), "node").limit(PLANTED).select("vec").collect()
+    rng, x = np.random.default_rng(17), _matrix(pa.array([r["vec"] for r in drawn], pa.binary()), kind)
+    w = rng.normal(size=x.shape)
+    w -= (w * x).sum(axis=1, keepdims=True) * x
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    c = rng.uniform(threshold + 0.001, 1, (len(x), 1))
+    y = (c * x + np.sqrt(1 - c * c) * w).astype(kind)
+    return [{"node": int(np.uint64(xxhash.xxh64_intdigest(f"planted {k}")).astype(np.int64)), "vec": bytes(v.tobytes())} for k, v in enumerate(y)]
+
+
 def _pieces(shard_rows: str, most: int) -> F.Column:
     return F.greatest(F.lit(1), F.ceil(F.col(shard_rows) / most)).cast("int")
 
@@ -356,7 +402,7 @@ def _piece(pieces: str) -> F.Column:
 
 def _shards(nodes: DataFrame, centre: np.ndarray, kind: str, overlap: int, probes: int, most: int) -> DataFrame:
     """(s, graphs, queries): into how many pieces each shard's rows and the queries for it are cut, so that a task's rows are bounded whatever the size of a group."""
-    held = deal(nodes.select("vec"), centre, probes, kind).groupBy(F.col("shard").alias("s")).agg(F.sum((F.col("rank") < overlap).cast("long")).alias("rows"), F.count(F.lit(1)).alias("asked"))
+    held = deal(nodes.select("vec", "n"), centre, probes, kind).groupBy(F.col("shard").alias("s")).agg(F.sum(((F.col("rank") < overlap) & (F.col("n") > 0)).cast("long")).alias("rows"), F.count(F.lit(1)).alias("asked"))
     return F.broadcast(held.select("s", _pieces("rows", most).alias("graphs"), _pieces("asked", 2 * most).alias("queries")))  # at most MOST_CENTRES rows
 
 
@@ -384,11 +430,12 @@ def _met_before(near_q: np.ndarray, rank: np.ndarray, near_v: np.ndarray) -> np.
     return out
 
 
-def _searched(ws: Workspace, nodes: DataFrame, united: DataFrame, centre: np.ndarray, kind: str, overlap: int, probes: int, threshold: float, beam: int, most: int) -> DataFrame:
+def _searched(ws: Workspace, nodes: DataFrame, united: DataFrame, centre: np.ndarray, kind: str, overlap: int, probes: int, threshold: float, beam: int, most: int, exact: bool = False) -> DataFrame:
     """(node, links, others, root): each node's links within the shards it is sought in, counted in rows and in nodes, and rows with links -1 that are edges towards components.
 
     Each piece of a shard has a graph of its own and the shard's queries are searched for in each, a cell of query piece
-    and graph piece a task.
+    and graph piece a task; ``exact`` compares a cell's queries with all its rows. Nodes that stand for no row (n is 0)
+    are searched for only: no graph holds them and no edge is theirs.
     """
 
     def look(t: pa.Table) -> pa.Table:
@@ -406,12 +453,14 @@ def _searched(ws: Workspace, nodes: DataFrame, united: DataFrame, centre: np.nda
         own = np.full(len(node), -1)
         own[data] = np.arange(len(data))
         links, others, parent = np.zeros(len(ask), np.int64), np.zeros(len(ask), np.int64), np.arange(len(node))
-        for q, v in search(x[data], graph, x[ask], own[ask], threshold, beam):
+        hits = compared(x[data], x[ask], own[ask], threshold) if exact else search(x[data], graph, x[ask], own[ask], threshold, beam)
+        for q, v in hits:
             for p in range(0, len(q), SPREAD // 8):
                 i, j = q[p : p + SPREAD // 8], data[v[p : p + SPREAD // 8]]
                 new = ~_met_before(near[ask[i]], rank[ask[i]], near[j, :overlap])
                 np.add.at(links, i[new], weight[j[new]])
                 others += np.bincount(i[new], minlength=len(ask))
+                new &= weight[ask[i]] > 0
                 unite(parent, ask[i[new]], j[new])
         joined = np.flatnonzero(parent != np.arange(len(node)))
         mark = np.full(len(joined), -1)
@@ -421,8 +470,8 @@ def _searched(ws: Workspace, nodes: DataFrame, united: DataFrame, centre: np.nda
         )
 
     shards = _shards(nodes, centre, kind, overlap, probes, most)
-    ready = deal(nodes.join(united, "node"), centre, probes, kind).join(shards, F.col("shard") == F.col("s"))
-    ready = ready.withColumns({"g": _piece("graphs"), "q": _piece("queries"), "held": F.col("rank") < overlap})
+    ready = deal(nodes.join(united, "node", "left").withColumn("next", F.coalesce("next", F.array().cast("array<long>"))), centre, probes, kind).join(shards, F.col("shard") == F.col("s"))
+    ready = ready.withColumns({"g": _piece("graphs"), "q": _piece("queries"), "held": (F.col("rank") < overlap) & (F.col("n") > 0)})
     cell = lambda q, g, ask, data: F.struct(q.alias("query_piece"), g.alias("graph_piece"), ask.alias("ask"), data.alias("data"))
     asks = F.transform(F.sequence(F.lit(0), F.col("graphs") - 1), lambda g: cell(F.col("q"), g, F.lit(True), F.col("held") & (g == F.col("g"))))
     other = F.filter(F.sequence(F.lit(0), F.col("queries") - 1), lambda q: F.col("held") & (q != F.col("q")))
@@ -435,27 +484,37 @@ def _searched(ws: Workspace, nodes: DataFrame, united: DataFrame, centre: np.nda
     return found
 
 
-def _recall(nodes: DataFrame, kind: str, found: DataFrame, threshold: float, n: int) -> float:
-    """Share of true links found, by a seeded sample of classes that were compared with all: the lower of the mean over linked classes and the share of all their links.
+def _recall(nodes: DataFrame, kind: str, found: DataFrame, threshold: float, n: int, planted: list[dict] = ()) -> tuple[float, int]:
+    """(share of true links found, on how many it rests), by a seeded sample of classes that were compared with all: the lower of the mean over linked classes and the share of all their links.
 
     Classes are drawn whatever was found for them, step by step until AUDIT_ROWS of them have a true link, and links
-    count once whatever copies they stand for.
+    count once whatever copies they stand for. Planted queries are counted apart; the lower share of both counts.
     """
+    sides = []
     order = F.pmod(F.xxhash64("node", F.lit(4)), F.lit(1_000_000_000))
     step = max(1, int(1_000_000_000 * min(1.0, AUDIT_STEP / n)))
     got, true = [], []
+
+    def count(asked: list) -> None:
+        pairs = _exact(nodes, kind, asked, threshold).join(found.where("links >= 0").select("node", "others"), "node", "left").select(F.col("true"), F.coalesce("others", F.lit(0))).collect()
+        true.extend(t for t, _ in pairs)
+        got.extend(g for _, g in pairs)
+
+    def side() -> None:
+        if true:
+            sides.append((min(sum(got) / sum(true), sum(g / t for g, t in zip(got, true)) / len(true)), sum(true)))
+
     for at in range(0, min(1_000_000_000, step * AUDIT_STEPS), step):
-        asked = nodes.where((order >= at) & (order < at + step)).select("node", "vec").collect()
-        if asked:
-            exact = _exact(nodes, kind, asked, threshold)
-            pairs = exact.join(found.where("links >= 0").select("node", "others"), "node", "left").select(F.col("true"), F.coalesce("others", F.lit(0))).collect()
-            true += [t for t, _ in pairs]
-            got += [g for _, g in pairs]
+        if asked := nodes.where((order >= at) & (order < at + step)).select("node", "vec").collect():
+            count(asked)
         if len(true) >= AUDIT_ROWS:
             break
-    if not true:
-        return 1.0
-    return min(sum(got) / sum(true), sum(g / t for g, t in zip(got, true)) / len(true))
+    side()
+    if planted:
+        got, true = [], []
+        count(planted)
+        side()
+    return (min(r for r, _ in sides), sum(t for _, t in sides)) if sides else (1.0, 0)
 
 
 def _exact(nodes: DataFrame, kind: str, asked: list, threshold: float) -> DataFrame:
