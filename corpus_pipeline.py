@@ -49,7 +49,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     size, members, times = mixing.words("text"), F.array("source"), "__times"
     while times in docs.columns:
         times += "_"
-    taken = mixing.mix(docs, size, members).attach(docs, size, members, out_col=times).where(F.col(times) > 0)
+    taken = mixing.mix(docs, size, members).attach(docs, size, members, out_col=times).where((F.col(times) > 0) & (size > 0))
     return taken.withColumn(times, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*docs.columns)
 
 
