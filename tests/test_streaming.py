@@ -217,3 +217,57 @@ def test_http_answers_are_checked():
         HttpTransport("ftp://x", "Plan", G1)
     with pytest.raises(ValueError):
         HttpTransport("http://x", "Plan'; --", G1)
+
+
+def price(item, text, day="2024-01-01T00:00:00"):
+    return entry("InformationRegister_P", f"<d:Item>{item}</d:Item><d:Period>{day}</d:Period><d:Price>{text}</d:Price>")
+
+
+def test_values_that_are_none_are_told_and_never_zero(world):
+    put, store, transport, r = world
+    prices = lambda: [(k, v and format(v.normalize(), "f")) for k, v in rows(store.read("InformationRegister_P"), "Item", "Price")]
+    put(1, price("a", "1,5"), price("b", ""), price("c", "2.5"))
+    c = r.run_once()
+    assert c.confirmed and c.modified == 3 and c.rejected == {"InformationRegister_P": {"Price": 1}}
+    assert prices() == [("a", None), ("b", "0"), ("c", "2.5")]  # absent is zero in a register, broken is not
+    assert rows(store.read("Rejected_values"), "object", "field", "text") == [("InformationRegister_P", "Price", "1,5")]
+    put(2, price("d", "1.12345678901234567891"))
+    c = r.run_once()
+    assert c.confirmed and c.rejected == {} and ("d", "1.12345678901234567891") in prices() and ("c", "2.5") in prices()  # more decimals for the column
+    put(3, price("e", "123456789012345678901234"), price("f", "7"))
+    c = r.run_once()
+    assert c.rejected == {"InformationRegister_P": {"Price": 1}} and ("e", None) in prices() and ("f", "7") in prices()  # 24 and 20 digits don't fit together
+    again = Replicator(r.spark, store, transport, metadata.parse(META))
+    put(4, price("c", "3.00000000000000000001"))
+    assert again.run_once().rejected == {} and ("c", "3.00000000000000000001") in prices()  # the stored scale is known to others
+
+
+def test_whole_digits_take_the_place_of_decimals(world):
+    put, store, transport, r = world
+    put(1, price("a", "0.25"))
+    assert r.run_once().confirmed
+    put(2, price("b", "12345678901234567890123456789012345678"[:36]))
+    assert r.run_once().rejected == {}
+    assert [str(v) for v, in rows(store.read("InformationRegister_P"), "Price")] == ["0.25", "123456789012345678901234567890123456.00"]
+
+
+def test_a_key_that_is_none_holds_its_object(world):
+    put, store, transport, r = world
+    put(1, price("a", "1", "soon"), catalog(G1, 1))
+    for _ in range(FAILURES - 1):
+        c = r.run_once()
+        assert c.failed == ["InformationRegister_P"] and not c.confirmed and store.read("InformationRegister_P") is None and store.read("Catalog_X").count() == 1
+    assert r.run_once().lost == ["InformationRegister_P"]
+
+
+def test_feeds_with_a_prefix(world, tmp_path):
+    put, store, transport, r = world
+    told = catalog(G1, 5)
+    for tag in ("entry", "category", "content"):
+        told = told.replace(f"<{tag}", f"<a:{tag}").replace(f"</{tag}>", f"</a:{tag}>")
+    (tmp_path / "feed" / "msg1.xml").write_text(f'<?xml version="1.0"?><a:feed xmlns:a="http://www.w3.org/2005/Atom">{told}{told.replace(G1, G2)}</a:feed>')
+    c = r.run_once()
+    assert c.confirmed and c.entries == 2 and rows(store.read("Catalog_X"), "Ref_Key") == [(G1,), (G2,)]
+    from tidemark.sources.transport import entries
+
+    assert [e[:16] for e in entries((tmp_path / "feed" / "msg1.xml").read_bytes())] == ["<entry><category"] * 2

@@ -89,3 +89,10 @@ def accumulate(*frames: DataFrame) -> DataFrame:
 
 def part_tombstones(owners: DataFrame, part: Column, spec: TableSpec, message_no: Column) -> DataFrame:
     return tombstones(owners, part, spec, message_no, {OWNER_KEY: F.col(OWNER_KEY)})
+
+
+def counters(log: DataFrame) -> DataFrame:
+    """(table, inserted, updated, deleted, rows_modified): counts added up over journal entries."""
+    kinds = ("inserted", "updated", "deleted")
+    out = log.groupBy("table").agg(*[F.sum(k).alias(k) for k in kinds])
+    return out.withColumn("rows_modified", F.col("inserted") + F.col("updated") + F.col("deleted"))

@@ -100,8 +100,10 @@ def page(store: Store, specs: dict[str, TableSpec], make: Callable[[], dict[str,
 
 
 def staged_rejects(store: Store, rejects: list[DataFrame], now: Column) -> Staged:
-    """The table of rejected texts with these ones in it."""
-    return staged(store, reduce(DataFrame.unionByName, rejects), REJECTED, now)
+    """The table of rejected texts with these ones in it; they are no changes of the objects."""
+    out = staged(store, reduce(DataFrame.unionByName, rejects), REJECTED, now)
+    out.counts = {}
+    return out
 
 
 def staged(store: Store, batch: DataFrame, spec: TableSpec, now: Column, started_at: Column | None = None, always_touch: bool = False, buckets: int | None = None, on_retired: Callable[[str], None] = lambda _: None) -> Staged:

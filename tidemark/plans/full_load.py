@@ -312,7 +312,6 @@ def full_load(
 
     def merged(page: dict[str, DataFrame], rejects: list[DataFrame]) -> Staged:
         out = apply.staged_rejects(store, rejects, stamp) if rejects else Staged()
-        out.counts = {}  # rejects are no changes of the object
         for table, rows in page.items():
             out.add(apply.staged(store, rows, specs[table], stamp, since, always_touch, buckets, lambda _: registry.require_full_load(name)))
         return out

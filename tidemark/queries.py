@@ -12,11 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import convert, filters, names, text
+from tidemark.functions import convert, filters
 from tidemark.operators import marts, shape
 from tidemark.operators.merge import mark_missing, mark_orphans, merge, merge_mart
 from tidemark.sources import packages
-from tidemark.spec import DELETED, INSERTED_ON, MERGED_ON, MESSAGE_NO, TableSpec, register_fields, save_order
+from tidemark.spec import DELETED, INSERTED_ON, MERGED_ON, MESSAGE_NO, TableSpec
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -406,73 +406,6 @@ def entry_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shape.entry_counts(table(spark, sf_dir, "events").select(name.alias("object")))
 
 
-# ---- names and texts
-
-_RUSSIAN = ("Контрагенты", "ЩётчикОбъём", "Подъезд", "Сер", "Сэр", "ЗаказКлиента", "Период", "merged_on", "ВалютнаяСуммаВзаиморасчётовПоДоговоруКонтрагентаСОченьДлиннымИменем", "Ёж", "ABCя")
-_LATIN = ("Kontragenty", "SchyotchikObyom", "Podezd", "Ser", "Ser", "ZakazKlienta", "Period", "merged_on", "ValyutnayaSummaVzaimoraschyotovPoDogovoruKontragentaSOchenDlinnymImenem", "Yozh", "ABCya")
-
-
-def _names(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in _RUSSIAN])).alias("source"))
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{a}', '{b}')" for a, b in zip(_RUSSIAN, _LATIN)) + ") t(source, name)")
-def name_translit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _names(spark).select("source", names.transliterated(F.col("source")).alias("name"))
-
-
-@query("SELECT name, CASE WHEN strlen(name) <= 63 THEN name ELSE left(name, 58) || '_' || left(md5(name), 4) END AS fitted FROM (VALUES " + ", ".join(f"('{b}')" for b in dict.fromkeys(_LATIN)) + ") t(name)")
-def name_fit_63(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = names.transliterated(F.col("source"))
-    return _names(spark).select(n.alias("name"), names.fitted(n).alias("fitted")).distinct()
-
-
-@query("""SELECT * FROM (VALUES ('Сер', 'Ser'), ('Сэр', 'Ser_' || left(md5('Сэр'), 4)), ('Объект', 'Obekt'), ('Обьект', 'Obekt_' || left(md5('Обьект'), 4)), ('merged_onъ', 'merged_on_' || left(md5('merged_on'), 4))) t(source, name)""")
-def name_collision(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Equal transliterations: the first keeps the plain name, the next gets a hash of its source; service names are hashed at once."""
-    held = names.Names()
-    rows = [(s, held.allocate("field:Catalog_X", s)) for s in ("Сер", "Сэр", "Объект", "Обьект", "merged_onъ")]
-    return spark.createDataFrame(rows, "source string, name string")
-
-
-@query("""SELECT * FROM (VALUES ('dimension', 0, 'Item_Key'), ('dimension', 1, 'Store_Key'), ('resource', 0, 'Qty'), ('resource', 1, 'Sum'), ('attribute', 0, 'Note')) t(role, position, field)""")
-def register_field_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = ["Recorder", "Recorder_Type", "LineNumber", "Period", "Active", "RecordType", "Item_Key", "Store_Key", "Qty", "Sum", "Note"]
-    tables = {"AccumulationRegister_Sales_Balance": ["Item_Key", "QtyBalance"], "AccumulationRegister_Sales_Turnover": ["Period", "Item_Key", "Store_Key", "SumTurnover", "SumReceipt", "GoneTurnover"]}
-    roles = zip(("dimension", "resource", "attribute"), register_fields("AccumulationRegister_Sales", fields, tables))
-    return spark.createDataFrame([(role, k, f) for role, found in roles for k, f in enumerate(found)], "role string, position int, field string")
-
-
-_TYPE_NAMES = ("Collection(StandardODATA.Document_Order_RowType)", "StandardODATA.Catalog_X", "Catalog_X_RowType", "Undefined", "InformationRegister_R_Part", "Collection(Document_A)")
-
-
-@query("SELECT full_name, CASE WHEN contains(b, '_') THEN b END AS object, CASE WHEN contains(b, '_') THEN split_part(b, '_', 1) END AS class FROM (SELECT full_name, regexp_replace(regexp_replace(regexp_replace(full_name, '^Collection\\((.*)\\)$', '\\1'), '^StandardODATA\\.', ''), '_RowType$', '') AS b FROM (VALUES ".replace("\\\\", "\\") + ", ".join(f"('{n}')" for n in _TYPE_NAMES) + ") t(full_name))")
-def type_name_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in _TYPE_NAMES])).alias("full_name"))
-    return n.select("full_name", convert.object_name(F.col("full_name")).alias("object"), convert.object_class(F.col("full_name")).alias("class"))
-
-
-_ERRORS = {
-    '<?xml version="1.0"?><m:error><m:message xml:lang="ru">Нет  прав\nдоступа</m:message></m:error>': "Нет прав доступа",
-    '{"exception": {"descr": "HTTP: Forbidden. outer", "inner": {"descr": "Key  is missing", "inner": {"descr": "missing"}}}}': "Key is missing",
-    "<html><body><b>Failed by reason: </b><br>No <i>such</i> table</body></html>": "No such table",
-    "": "<empty body>",
-    "plain   text": "plain text",
-}
-
-
-@query("SELECT * FROM (VALUES " + ", ".join(f"({len(k)}, '{v}')" for k, v in _ERRORS.items()) + ") t(size, message)")
-def error_text_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bodies = spark.createDataFrame([(len(k), k) for k in _ERRORS], "size int, body string")
-    return bodies.select("size", text.error_text(F.col("body")).alias("message"))
-
-
-@query("""SELECT * FROM (VALUES ('9007199254740993', CAST('9007199254740993' AS DECIMAL(38,18))), ('12345678901234567890.12', CAST('12345678901234567890.12' AS DECIMAL(38,18))), ('6.4', CAST('6.4' AS DECIMAL(38,18))), ('x', NULL), ('-0.000000000000000001', CAST('-0.000000000000000001' AS DECIMAL(38,18))), ('1.1234567890123456789', NULL), ('1.50000000000000000000', CAST('1.5' AS DECIMAL(38,18))), ('25e-1', CAST('2.5' AS DECIMAL(38,18))), ('1e-30', NULL)) t(source, value)""")
-def exact_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = spark.range(1).select(F.explode(F.array(*[F.lit(x) for x in ("9007199254740993", "12345678901234567890.12", "6.4", "x", "-0.000000000000000001", "1.1234567890123456789", "1.50000000000000000000", "25e-1", "1e-30")])).alias("source"))
-    return n.select("source", convert.convert(F.col("source"), "Double").alias("value"))
-
-
 # ---- feed
 
 
@@ -495,12 +428,6 @@ def feed_replay_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packages.latest(table(spark, sf_dir, "events"), ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "event_type", "value")
 
 
-@query("""SELECT * FROM (VALUES (0, 'Catalog_A'), (1, 'Document_B'), (2, 'Document_A'), (3, 'InformationRegister_C'), (4, 'AccumulationRegister_D'), (5, 'AccountingRegister_E'), (6, 'Task_Z')) t(position, object)""")
-def save_order_of_package(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = save_order(["AccountingRegister_E", "Task_Z", "Document_B", "InformationRegister_C", "Document_A", "AccumulationRegister_D", "Catalog_A"])
-    return spark.createDataFrame(list(enumerate(found)), "position int, object string")
-
-
 @query("""SELECT c_custkey FROM customer WHERE c_acctbal > 0 AND c_mktsegment <> 'MACHINERY'""")
 def pending_full_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_acctbal") > 0).alias("full_load_is_required"), F.when(F.col("c_mktsegment") == "MACHINERY", True).alias("absent_from_metadata"))
