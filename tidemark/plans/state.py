@@ -40,7 +40,9 @@ class Lease:
         revision, held = self.store.document(self.name)
         if not may(held):
             return False
-        epoch = held.get("epoch", 0) + (held.get("last") != self.owner)
+        epoch = held.get("epoch", 0)
+        if held.get("last") != self.owner:
+            epoch = max(epoch, self.store.state_of(self.fence.key, 0)) + 1
         try:
             self.store.replace_document(self.name, revision, content | {"epoch": epoch, "last": self.owner})
         except Conflict:
