@@ -11,7 +11,7 @@ from tidemark.functions import names
 from tidemark.operators import marts, queues
 from tidemark.operators.merge import merge
 from tidemark.plans.mart_library import GroupMart, RowMart
-from tidemark.plans.mart_runner import MartRunner
+from tidemark.plans.mart_runner import MartContext, MartRunner
 from tidemark.plans.store import Store, layout_of
 from tidemark.sources import federated
 from tidemark.spec import TableSpec
@@ -72,6 +72,22 @@ def test_ready_marts_equal_their_full_recompute(spark, tmp_path, seed):
     check()
 
 
+def test_a_rebuild_reads_its_sources_once(spark, tmp_path):
+    rnd = random.Random(4)
+    store = Store(spark, f"file://{tmp_path}/store")
+    put(store, spark, 1, [line(rnd, r, k) for r in range(12) for k in range(2)], [], [(k, f"c{k}", False) for k in (1, 2)])
+    mart = RowMart("by_row", "Reg", "Cat", buckets=4)
+    c = MartContext(spark, store, "by_row", store.head(), {}, full_rebuild=True)
+    got = []
+    for label, changes in mart.rebuild(c):
+        got.append(label)
+        read = changes["by_row"].rows.inputFiles()
+        assert read and all("_landing" in f and f"__label={label}" in f for f in read)
+    assert got == [r["label"] for r in marts.row_months(store.read("Reg")).collect()] and len(got) > 1 and store.files.names("_landing") == []
+    c.rebuild_from = got[0]
+    assert [label for label, _ in mart.rebuild(c)] == got[1:]
+
+
 def test_delta_reads_changed_parts_only(spark, tmp_path):
     store, rnd = Store(spark, f"file://{tmp_path}/store"), random.Random(1)
     put(store, spark, 1, [line(rnd, r, 0) for r in range(40)])

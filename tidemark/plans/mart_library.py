@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
@@ -11,10 +12,15 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import marts
 from tidemark.operators.merge import MergeResult, merge_mart
+from tidemark.plans.full_load import Keys
 from tidemark.plans.mart_runner import MartContext
 from tidemark.plans.store import by_key
 
 
+#: Tasks that write one block of a rebuild.
+SPLIT = 8
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
@@ -31,6 +37,23 @@ def _merged(c: MartContext, table: str, fresh: DataFrame, key: list[str], keys:
     return out
 
 
+def blocks(c: MartContext, view: DataFrame, label: Column, key: list[str]) -> Iterator[tuple[str, DataFrame]]:
+    """(label, its rows) in order of labels, without those that a rebuild has done before.
+
+    The view is laid out by label once, in SPLIT tasks for each, so a rebuild reads its sources once and not for every block.
+    """
+    landing, at = f"{Keys.LANDING}/{uuid.uuid4().hex}", F.col("__label")
+    rest = view.withColumn("__label", label)
+    rest = rest if c.rebuild_from is None else rest.where(at > c.rebuild_from)
+    try:
+        rest.repartition(at, F.pmod(F.xxhash64(*key), F.lit(SPLIT))).write.partitionBy("__label").parquet(f"{c.store.root}/{landing}")
+        for name in c.store.files.names(landing):
+            if name.startswith("__label="):
+                yield name.removeprefix("__label="), c.spark.read.schema(view.schema).parquet(f"{c.store.root}/{landing}/{name}")
+    finally:
+        c.store.files.delete(landing)
+
+
 @dataclass
 class RowMart:
     """One row per movement with its catalog code. A row is computed anew if its movement or its catalog entry changed; rows are never removed, as movements are marked and not removed."""
@@ -57,11 +80,9 @@ class RowMart:
         return {self.NAME: _merged(c, self.NAME, fresh, self.key, changed, delete=False)}
 
     def rebuild(self, c: MartContext) -> Iterator[tuple[str, dict[str, MergeResult]]]:
-        rows, catalog = c.source(self.register), c.source(self.catalog)
-        for r in marts.row_months(rows).collect():
-            inside = F.coalesce(F.date_format("Period", "yyyy-MM"), F.lit(marts.NO_MONTH)) == r["label"]
-            block = rows.where(inside)
-            yield r["label"], {self.NAME: _merged(c, self.NAME, self.view(block, catalog), self.key, block.select(*self.key), delete=False)}
+        view = self.view(c.source(self.register), c.source(self.catalog))
+        for label, block in blocks(c, view, F.coalesce(F.date_format("Period", "yyyy-MM"), F.lit(marts.NO_MONTH)), self.key):
+            yield label, {self.NAME: _merged(c, self.NAME, block, self.key, block.select(*self.key), delete=False)}
 
 
 @dataclass
