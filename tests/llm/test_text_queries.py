@@ -21,6 +21,7 @@ SCHEMAS = {
     "embeddings": "vec_id long, embedding array<float>, label int",
     "pages": "page_id long, url string, html string",
     "conversations": "conv_id long, turn long, role string, text string",
+    "benchmark": "item_id long, text string",
 }
 
 
@@ -54,6 +55,7 @@ def tables(spark, tmp_path_factory):
         "embeddings": vectors,
         "pages": pages,
         "conversations": chats,
+        "benchmark": [(k, t) for k, (_, t, *_) in enumerate(documents()[:9])] + [(20, None), (None, ""), (21, "Straße x1")],
     }
     full, empty = tmp_path_factory.mktemp("full"), tmp_path_factory.mktemp("empty")
     for name, schema in SCHEMAS.items():
