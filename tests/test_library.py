@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import names
 from tidemark.operators import marts, queues
-from tidemark.operators.merge import merge
+from tidemark.operators.merge import merge, merge_mart
 from tidemark.plans.mart_library import GroupMart, RowMart
 from tidemark.plans.mart_runner import MartContext, MartRunner
 from tidemark.plans.store import Store, layout_of
@@ -21,7 +21,7 @@ DOC = TableSpec("Doc", {"Ref_Key": "Int64"}, ("Ref_Key",))
 CAT = TableSpec("Cat", {"Ref_Key": "Int64"}, ("Ref_Key",))
 
 
-def put(store, spark, n, reg=(), doc=(), cat=()):
+def put(store, spark, n, reg=(), doc=(), cat=(), buckets=8):
     stamp = F.lit(datetime(2024, 1, 1) + timedelta(days=n)).cast("timestamp_ntz")
     frames = {
         "Reg": (REG, reg, "Recorder long, Recorder_Type string, LineNumber long, Period timestamp_ntz, RecordType string, Item long, Qty decimal(18,2), is_deleted_or_empty boolean"),
@@ -33,7 +33,7 @@ def put(store, spark, n, reg=(), doc=(), cat=()):
         if data:
             batch = spark.createDataFrame(data, schema).withColumn("exchange_message_no", F.lit(n).cast("long"))
             changes[name] = merge(store.read(name), batch, spec, stamp)
-    store.publish(changes, f"package {n}", {name: layout_of(frames[name][0], 8) for name in changes})
+    store.publish(changes, f"package {n}", {name: (v.partition if (v := store.state().get(name)) else layout_of(frames[name][0], buckets)) for name in changes})
 
 
 def line(rnd, recorder, number):
@@ -88,6 +88,61 @@ def test_a_rebuild_reads_its_sources_once(spark, tmp_path):
     assert [label for label, _ in mart.rebuild(c)] == got[1:]
 
 
+def movements(recorders, item):
+    return [(r, "Document_D", 0, datetime(2024, 1, 5), "Receipt", item(r), 1, False) for r in recorders]
+
+
+def test_increments_open_the_parts_that_they_need(spark, tmp_path):
+    from decimal import Decimal
+
+    store, n = Store(spark, f"file://{tmp_path}/store"), 30
+    put(store, spark, 1, [(*m[:6], Decimal(1), False) for m in movements(range(n), lambda r: r % 10)], [(r, f"N{r}", datetime(2024, 1, 1), False) for r in range(n)], [(k, f"c{k}", False) for k in range(10)], buckets=16)
+    by_row, by_group = RowMart("by_row", "Reg", "Cat", buckets=16), GroupMart("by_group", "Reg", "Doc", "Cat", "Document_D", buckets=16)
+    runners = [MartRunner(store, m) for m in (by_row, by_group)]
+    assert [r.run_once().blocks for r in runners] == [["2024-01"], ["2024-01"]]
+    put(store, spark, 2, cat=[(7, "renamed", False)])  # three movements have the item
+    for mart, runner in zip((by_row, by_group), runners, strict=True):
+        c, files = runner._context(), set()
+        keep = c.keep
+        c.keep = lambda f, keep=keep, files=files: files.update(f.inputFiles()) or keep(f)
+        out = mart.process_changes(c)
+        files |= {f for m in out.values() for f in m.rows.inputFiles()}
+        c.release()
+        opened = {t: len({f.split("__part=")[1].split("/")[0] for f in files if f"/{t}/" in f}) for t in ("Reg", "Doc", "by_row", "by_group")}
+        assert 0 < opened["Reg"] <= 3 and opened["Doc"] <= 3 and opened["by_row"] <= 3 and opened["by_group"] <= 6, opened
+    put(store, spark, 3, reg=[(m[0], m[1], m[2], m[3], m[4], m[5], Decimal(5), False) for m in movements([3], lambda _: 9)], doc=[(4, "moved", datetime(2024, 2, 1), False)])
+    # Rows: 3 renamed, 1 changed, 1 new index entry. Groups: 5 go and 5 come, each with two keys in lineage and index.
+    assert [r.run_once().modified for r in runners] == [3 + 1 + 1, 2 * 5 * (1 + 2 + 2)]
+    reg, doc, cat = (store.read(t) for t in ("Reg", "Doc", "Cat"))
+    assert rows(store.read("by_row").select(*by_row.view(reg, cat).columns)) == rows(by_row.view(reg, cat))
+    full = by_group.rows(reg, doc, cat)
+    assert rows(store.read("by_group_index").select("source", "key", "Recorder", *marts.GROUP)) == rows(by_group._entries(full))
+    assert rows(store.read("by_group").select(*marts.GROUP, "Qty")) == rows(marts.grouped(full).select(*marts.GROUP, "Qty"))
+
+
+def test_a_rebuild_resumed_behind_its_last_block_misses_nothing(spark, tmp_path, monkeypatch):
+    from decimal import Decimal
+
+    store = Store(spark, f"file://{tmp_path}/store")
+    put(store, spark, 1, [(*m[:6], Decimal(1), False) for m in movements([1, 2], lambda r: r)], cat=[(1, "c1", False), (2, "c2", False)])
+    mart = RowMart("by_row", "Reg", "Cat", buckets=4)
+    runner, publish = MartRunner(store, mart), MartRunner._publish
+
+    def dies(self, changes, **progress):
+        if "done" in progress:
+            raise RuntimeError("killed")
+        return publish(self, changes, **progress)
+
+    monkeypatch.setattr(MartRunner, "_publish", dies)
+    with pytest.raises(RuntimeError, match="killed"):
+        runner.run_once()
+    monkeypatch.undo()
+    put(store, spark, 2, cat=[(2, "renamed", False)])
+    assert runner.run_once().ran == "rebuild"
+    runner.run_once()
+    assert rows(store.read("by_row"), "Recorder", "Artikul") == [(1, "c1"), (2, "renamed")] and runner.run_once().ran == "idle"
+
+
 def test_delta_reads_changed_parts_only(spark, tmp_path):
     store, rnd = Store(spark, f"file://{tmp_path}/store"), random.Random(1)
     put(store, spark, 1, [line(rnd, r, 0) for r in range(40)])
@@ -171,6 +226,68 @@ def test_foreign_tables(spark, tmp_path):
     assert rows(spark.createDataFrame([(None,), (datetime(2024, 3, 5),)], "d timestamp_ntz").select(federated.month(F.col("d")).cast("string"))) == [("1900-01-01",), ("2024-03-01",)]
 
 
+def test_outbox_repeats_and_loses_nothing(spark, tmp_path, monkeypatch):
+    from tidemark.plans.outbox import Outbox
+
+    store = Store(spark, f"file://{tmp_path}/store")
+    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    put(store, spark, 1, doc=[(k, f"N{k}", datetime(2024, 1, 1), False) for k in range(12)])
+    key = ["Ref_Key"]
+    runner = MartRunner(store, Outbox("sent", "Doc", key, url, "docs", driver, lambda f: f.select(*key, "Number", "is_deleted_or_empty")))
+
+    def there():
+        return federated.read(spark, url, "docs", **driver)
+
+    def same():
+        kept = store.read("Doc").where("not is_deleted_or_empty")
+        return rows(federated.final(there(), key).select(*key, "Number")) == rows(kept.select(*key, "Number"))
+
+    assert runner.run_once().ran == "rebuild" and same() and there().count() == 12 and runner.run_once().ran == "idle"
+    put(store, spark, 2, doc=[(3, "new", datetime(2024, 1, 1), False), (4, "N4", datetime(2024, 1, 1), True), (99, "N99", datetime(2024, 1, 1), False)])
+    publish = MartRunner._publish
+    monkeypatch.setattr(MartRunner, "_publish", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError, match="killed"):
+        runner.run_once()
+    monkeypatch.setattr(MartRunner, "_publish", publish)
+    assert same() and there().count() == 15 and runner.pending()
+    put(store, spark, 3, doc=[(3, "newer", datetime(2024, 1, 1), False)])
+    assert runner.run_once().ran == "increment" and same() and there().count() == 18 and runner.run_once().ran == "idle"
+    held = store.read("Doc")  # rows vanish, as they do from marts
+    store.publish({"Doc": merge_mart(held, held.where("Ref_Key > 5").drop("merged_on", "inserted_on"), key, F.lit("2024-02-01").cast("timestamp_ntz"), delete=True)}, "fewer")
+    assert runner.run_once().ran == "increment" and same() and rows(federated.final(there(), key), "Ref_Key")[0] == (6,)
+    with pytest.raises(ValueError, match="version"):
+        Outbox("x", "Doc", key, url, "docs", driver, lambda f: f.withColumn("version", F.lit(1)))._send(held, 1)
+
+
+def test_command_line_schedules_loads(spark, tmp_path):
+    import threading
+
+    from tidemark import __main__ as cli
+    from tidemark.plans.full_load import FullLoadCron, FullLoads
+    from tidemark.plans.state import Registry
+
+    assert cli.schedule("") == {} and cli.schedule(" Doc = 0 3 * * * @ 7 ;Cat=*/5 * * * *;") == {"Doc": ("0 3 * * *", 7), "Cat": ("*/5 * * * *", None)}
+    for bad in ("Doc", "Doc=0 3 * *", "Doc=0 3 * * *@x", "=* * * * *", "Doc=* * * * *;Doc=* * * * *", "Doc=0 0 31 2 *"):
+        with pytest.raises(SystemExit, match="SCHEDULE"):
+            cli.schedule(bad)
+    registry, now, ran = Registry(Store(spark, f"file://{tmp_path}/store")), [datetime(2024, 5, 1, 10, 0)], []
+    registry.mark_full_loaded("Doc", 1, 0.1)
+    loads = FullLoads(registry, lambda name, stop: 0)
+
+    def load(name, since):
+        ran.append((name, since))
+        loads.stopping.set()
+        return 1
+
+    cron = FullLoadCron(registry, load, cli.schedule("Doc=0 * * * *@7"), lambda: now[0])
+    ticks = threading.Thread(target=cli.scheduled, args=(cron, loads, 0.01))
+    ticks.start()
+    now[0] = datetime(2024, 5, 1, 11, 0)
+    ticks.join(60)
+    assert ran == [("Doc", datetime(2024, 4, 24).date())] and not ticks.is_alive()
+    loads.stop()
+
+
 def test_command_line_refuses_bad_settings(monkeypatch):
     from tidemark import __main__ as cli
 

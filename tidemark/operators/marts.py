@@ -35,8 +35,8 @@ def row_view(register: DataFrame, catalog: DataFrame) -> DataFrame:
     )
 
 
-def group_rows(register: DataFrame, documents: DataFrame, catalog: DataFrame, document_type: str) -> DataFrame:
-    """Movements with the group that each belongs to; only recorders of the document type have a document, the others a group of blanks."""
+def group_rows(register: DataFrame, documents: DataFrame, catalog: DataFrame, document_type: str, more: Iterable[str] = ()) -> DataFrame:
+    """Movements with the group that each belongs to; only recorders of the document type have a document, the others a group of blanks. ``more``: further columns of the register."""
     d = documents.select(F.col("Ref_Key").alias("__doc"), "Number", "Date", F.col(MERGED_ON).alias("document_merged_on"))
     c = catalog.select(F.col("Ref_Key").alias("__item"), "Code", F.col(MERGED_ON).alias("catalog_merged_on"))
     rows = register.join(d, (register["Recorder"] == d["__doc"]) & (register["Recorder_Type"] == document_type), "left").join(c, F.col("Item") == c["__item"], "left")
@@ -46,7 +46,7 @@ def group_rows(register: DataFrame, documents: DataFrame, catalog: DataFrame, do
         F.coalesce("Code", F.lit("")).alias("Artikul"),
         signed(F.col("Qty"), F.col("RecordType"), F.col(DELETED)).alias("Qty"),
         F.coalesce(month(F.col("Date")), F.lit(NO_DATE).cast("date")).alias("Period"),
-        "Recorder", "Item", MERGED_ON, "document_merged_on", "catalog_merged_on",
+        "Recorder", "Item", MERGED_ON, "document_merged_on", "catalog_merged_on", *[register[m] for m in more if m not in ("Recorder", "Item")],
     )
 
 

@@ -20,7 +20,7 @@ from tidemark.functions import filters
 from tidemark.operators.merge import mark_missing, mark_orphans
 from tidemark.plans import apply
 from tidemark.plans.state import Claims, InFlight, Registry
-from tidemark.plans.store import Staged, Store
+from tidemark.plans.store import LANDING, Staged, Store
 from tidemark.spec import FULL_LOAD_MESSAGE, MESSAGE_NO, OWNER_KEY, TableSpec, partition_field
 
 log = logging.getLogger(__name__)
@@ -258,7 +258,7 @@ class Busy(RuntimeError):
 class Keys:
     """Keys that a load has seen, window by window, beside the tables; keys may repeat."""
 
-    FOLDER, LANDING, OLDEST = "_keys", "_landing", 24 * 3600
+    FOLDER, LANDING, OLDEST = "_keys", LANDING, 24 * 3600
 
     def __init__(self, store: Store, name: str, clock: Callable[[], float] = time.time):
         self.store, self.path = store, f"{self.FOLDER}/{int(clock())}-{uuid.uuid4().hex[:8]}-{name}"

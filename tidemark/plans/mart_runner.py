@@ -6,6 +6,7 @@ import logging
 import re
 import threading
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from typing import Any, Protocol, runtime_checkable
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.filters import changed_since
 from tidemark.operators.merge import MergeResult
 from tidemark.plans.state import LEASE_TTL, Lease, unique
-from tidemark.plans.store import ATTEMPTS, Conflict, LostLease, Store
+from tidemark.plans.store import ATTEMPTS, LANDING, Conflict, LostLease, Store
 
 log = logging.getLogger(__name__)
 
@@ -34,6 +35,18 @@ class MartContext:
     rebuild_from: str | None = None
     since: Any = None
     lease_is_mine: Callable[[], bool] = lambda: True
+    kept: list[str] = field(default_factory=list)
+
+    def keep(self, frame: DataFrame) -> DataFrame:
+        """The frame as a table beside the store's until the run's commit, where several merges need the same: its plan is cut there."""
+        at = f"{LANDING}/{uuid.uuid4().hex}"
+        self.kept.append(at)
+        frame.write.parquet(f"{self.store.root}/{at}")
+        return self.spark.read.schema(frame.schema).parquet(f"{self.store.root}/{at}")
+
+    def release(self) -> None:
+        while self.kept:
+            self.store.files.delete(self.kept.pop())
 
     def source(self, table: str) -> DataFrame | None:
         return self.store.read(table, self.pinned)
@@ -189,8 +202,11 @@ class MartRunner:
         if not self.pending():
             return Run("idle")
         context = self._context()
-        changes = self.mart.process_changes(context)
-        return Run("increment", self._publish(changes, cursor=self._seen(context.pinned)))
+        try:
+            changes = self.mart.process_changes(context)
+            return Run("increment", self._publish(changes, cursor=self._seen(context.pinned)))
+        finally:
+            context.release()
 
     def _rebuild(self) -> Run:
         order = self.wishes().get("order", 0)
@@ -198,13 +214,18 @@ class MartRunner:
             self._publish({}, building=order, label=None, cursor=self._seen(self.store.head()))
         out = Run("rebuild")
         context = self._context(full_rebuild=True, rebuild_from=self.progress().get("label"))
-        for label, changes in self.mart.rebuild(context):
-            if context.rebuild_from is not None and label <= context.rebuild_from:
-                continue
-            out.modified += self._publish(changes, label=label)
-            out.blocks.append(label)
-            if self.wishes().get("order", 0) != order:
-                return out  # ordered anew: the next run begins from the first block
+        try:
+            for label, changes in self.mart.rebuild(context):
+                if context.rebuild_from is not None and label <= context.rebuild_from:
+                    continue
+                out.modified += self._publish(changes, label=label)
+                out.blocks.append(label)
+                if self.wishes().get("order", 0) != order:
+                    return out  # ordered anew: the next run begins from the first block
+                out.modified += self._increment().modified
+        finally:
+            context.release()
+        if not out.blocks:  # resumed behind its last block: what came while it was down is in no block
             out.modified += self._increment().modified
         # What changed since the rebuild began is looked at again: blocks were made of the sources as they were then.
         self._publish({}, building=None, label=None, done=order, cursor=self._seen(context.pinned))

@@ -140,6 +140,8 @@ BUCKETS, MOST_BUCKETS, BUCKET_ROWS, BUCKET_BYTES = 64, 16_384, 200_000, 256 << 2
 FULL_LOADS = ("full load", "marking", "orphans")
 #: Attempts to put a commit after one that touched other tables.
 ATTEMPTS = 20
+#: What a running job has written for itself.
+LANDING = "_landing"
 _SERVICE = "__part"
 
 
