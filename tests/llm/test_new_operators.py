@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -206,3 +207,14 @@ def test_ranks_go_on_over_ranges(spark):
     got = resampling.ranked(Workspace(spark, "t"), rows, [rows["score"].desc(), rows["doc_id"].asc()], "rank").collect()
     want = sorted((-r["score"], r["doc_id"]) for r in got)
     assert [(-r["score"], r["doc_id"]) for r in sorted(got, key=lambda r: r["rank"])] == want and {r["rank"] for r in got} == set(range(1, 5001))
+
+
+def test_blocks_are_small_however_many_texts_a_file_has(spark):
+    f = resampling.Features()
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 300), k -> concat('w', (k * 7919 + id) % 20011))) AS text").coalesce(1)
+    blocks = resampling.matrix(docs, f)
+    r = blocks.selectExpr("count(*) AS n", "max(size(buckets)) AS cells", "sum(size(ids)) AS docs").first()
+    assert r["docs"] == 4000 and r["n"] > 700 and r["cells"] < 3000
+    gain = np.arange(10_000) - 5000
+    got = {x["doc_id"]: x["weight"] for x in resampling.weights(blocks, gain).collect()}
+    assert len(got) == 4000 and all(got[i] == sum(int(gain[zlib.crc32(b"w%d" % ((k * 7919 + i) % 20011)) % 10_000]) for k in range(1, 301)) for i in (0, 1, 77, 3999))

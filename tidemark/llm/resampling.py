@@ -21,7 +21,12 @@ from tidemark.llm.common import Workspace, chunks, utf8
 _WORD = np.array([48 <= c < 58 or 97 <= c < 123 or c >= 128 for c in range(256)])
 _TABLE = bytes(c + 32 if 65 <= c < 91 else c if _WORD[c] else 32 for c in range(256))
 
-#: One block: rows indptr[i] to indptr[i + 1] of buckets and counts belong to ids[i].
+#: Bytes of texts in one block. Readers hold thousands of rows at once, so a row is kept as small as a few texts.
+BLOCK_BYTES = 1 << 13
+#: Blocks that one pass over a batch looks at.
+PASS = 256
+
+#: One block: cells indptr[i] to indptr[i + 1] of buckets and counts belong to ids[i].
 BLOCK = "ids array<long>, n_words array<long>, n_features array<long>, indptr array<int>, buckets array<int>, counts array<int>"
 
 
@@ -55,8 +60,23 @@ def _lists(edges: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(values, kind))
 
 
+def _edges(lengths: list[int]) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+
+
+def _blocks(sizes: list[int]) -> np.ndarray:
+    """Where blocks of ``BLOCK_BYTES`` begin, and the end; a longer text is a block of its own."""
+    starts, held = [], 0
+    for k, n in enumerate(sizes):
+        if not starts or held + n > BLOCK_BYTES:
+            starts.append(k)
+            held = 0
+        held += n
+    return np.array([*starts, len(sizes)])
+
+
 def matrix(docs: DataFrame, features: Features, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The count matrix of ``docs`` in CSR blocks, one block for about a megabyte of texts or a single longer text.
+    """The count matrix of ``docs`` in CSR blocks, one block for ``BLOCK_BYTES`` of texts or a single longer text.
 
     A null or empty text is an empty row of the matrix; repeated rows are repeated rows; null ids are carried; other
     columns are not read; an empty table gives no block.
@@ -69,26 +89,35 @@ def matrix(docs: DataFrame, features: Features, id_col: str = "doc_id", text_col
             for texts in chunks(b.column(1)):
                 ids = b.column(0).slice(at, len(texts))
                 at += len(texts)
-                words = [features.words(t) for t in texts]
-                rows = [features.hashed(w, memo) for w in words]
-                found = [np.unique(r, return_counts=True) for r in rows]
-                n = len(rows)
-                whole = np.array([0, n])
-                indptr = np.concatenate([[0], np.cumsum([len(k) for k, _ in found])])
-                sums = [_lists(whole, np.array([len(x) for x in xs]), pa.int64()) for xs in (words, rows)]
-                cells = [_lists(np.array([0, indptr[-1]]), np.concatenate([f[k] for f in found]), pa.int32()) for k in (0, 1)]
-                ids = pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), ids)
-                yield pa.RecordBatch.from_arrays([ids, *sums, _lists(np.array([0, n + 1]), indptr, pa.int32()), *cells], names=["ids", "n_words", "n_features", "indptr", "buckets", "counts"])
+                words, rows, found = [], [], []
+                for t in texts:
+                    w = features.words(t)
+                    r = features.hashed(w, memo)
+                    words.append(len(w))
+                    rows.append(len(r))
+                    found.append(np.unique(r, return_counts=True))
+                blocks = _blocks([len(t) for t in texts])
+                cells = _edges([len(k) for k, _ in found])
+                ids = pa.ListArray.from_arrays(pa.array(blocks, pa.int32()), ids)
+                sums = [_lists(blocks, np.array(x), pa.int64()) for x in (words, rows)]
+                indptr = [cells[i : j + 1] - cells[i] for i, j in zip(blocks, blocks[1:])]
+                indptr = _lists(_edges([len(x) for x in indptr]), np.concatenate(indptr), pa.int32())
+                values = [_lists(cells[blocks], np.concatenate([f[k] for f in found]), pa.int32()) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([ids, *sums, indptr, *values], names=["ids", "n_words", "n_features", "indptr", "buckets", "counts"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), utf8(text_col).alias("t")).mapInArrow(run, BLOCK)
 
 
+def _passes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (b.slice(at, PASS) for b in batches for at in range(0, b.num_rows, PASS))
+
+
 def column_sums(blocks: DataFrame, features: Features) -> np.ndarray:
     """How often each bucket occurs; every task adds up its blocks, and the driver gets one number for each bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(features.buckets, np.int64)
-        for b in batches:
+        for b in _passes(batches):
             keys, counts = (c.flatten().to_numpy() for c in b.columns)
             np.add.at(sums, keys, counts)
         some = np.flatnonzero(sums)
@@ -111,12 +140,12 @@ def weights(blocks: DataFrame, gain: np.ndarray) -> DataFrame:
     """(doc_id, n_words, n_features, weight): the matrix times the gains, a row of ``docs`` each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k in range(b.num_rows):
-                ids, n_words, n_features, indptr, keys, counts = (c[k].values for c in b.columns)
-                sums = np.concatenate([[0], np.cumsum(gain[keys.to_numpy()] * counts.to_numpy())])
-                edge = indptr.to_numpy()
-                yield pa.RecordBatch.from_arrays([ids, n_words, n_features, pa.array(sums[edge[1:]] - sums[edge[:-1]], pa.int64())], names=["doc_id", "n_words", "n_features", "weight"])
+        for b in _passes(batches):
+            ids, n_words, n_features, indptr, keys, counts = (c.flatten() for c in b.columns)
+            first = _edges(b.column(0).value_lengths().to_numpy())[:-1] + np.arange(b.num_rows)  # of each block in indptr
+            cells = _edges(np.delete(np.diff(indptr.to_numpy().astype(np.int64), prepend=0), first))
+            sums = _edges(gain[keys.to_numpy()] * counts.to_numpy())
+            yield pa.RecordBatch.from_arrays([ids, n_words, n_features, pa.array(sums[cells[1:]] - sums[cells[:-1]], pa.int64())], names=["doc_id", "n_words", "n_features", "weight"])
 
     return blocks.mapInArrow(run, "doc_id long, n_words long, n_features long, weight long")
 
