@@ -228,6 +228,15 @@ def test_scheduled_loads(store):
     assert cron.run_due() and ran[-1] == ("Document_D", datetime(2024, 4, 24).date()) and registry.objects()["Document_D"]["last_full_load_at"] == told
 
 
+def test_windows_are_counted_without_a_copy_of_the_rows_for_each(spark):
+    d = docs(spark, ("a", 1, 1), ("b", 2, 2), ("b", 2, 2), ("c", 5, 3)).withColumn("Date", F.when(F.col("Ref_Key") != "c", F.col("Date")))
+    source = fl.FrameSnapshot({"Document_D": d.unionByName(d.where("Ref_Key = 'a'").withColumn("Ref_Key", F.lit(None).cast("string")))})
+    day = lambda m: datetime(2024, m, 1)
+    asks = [fl.Ask(w) for w in (fl.Window(day(1), day(2)), fl.Window(day(2), None), fl.Window(None, None), fl.Window(None, None, undated=True), fl.Window(day(9), None))]
+    assert [r.entries for r in source.fetch(SPECS["Document_D"], "Date", asks, "").reads] == [2, 1, 4, 1, 0]
+    assert "Expand" not in source.counts(SPECS["Document_D"], "Date", asks)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_full_load_of_a_period_takes_its_parts_only(spark, store):
     frames = {"Document_D": docs(spark, ("a", 1, 1), ("b", 2, 2)).drop("exchange_message_no"), "Document_D_Rows": parts(spark, ("a", 1, "x"), ("b", 1, "y"))}
     source = fl.FrameSnapshot(frames, {"Document_D": ("Document_D_Rows",)})

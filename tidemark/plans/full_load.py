@@ -205,11 +205,19 @@ class FrameSnapshot:
     def bounds(self, spec: TableSpec, field: str) -> tuple[datetime | None, datetime | None]:
         return tuple(self.frames[spec.name].agg(F.min(field), F.max(field)).first())
 
+    def _within(self, field: str | None, asks: list[Ask]) -> list[Column]:
+        return [a.window.condition(F.col(field)) if field and a.window != Window(None, None) else F.lit(True) for a in asks]
+
+    def counts(self, spec: TableSpec, field: str | None, asks: list[Ask]) -> DataFrame:
+        """(window, count) of the windows that have entries: a row goes on with its own windows only, whatever their number."""
+        unit = [F.col(c).alias(f"u{n}") for n, c in enumerate(spec.group_key or spec.pk)]
+        window = F.explode(F.array(*[F.when(w, F.lit(k)) for k, w in enumerate(self._within(field, asks))]))
+        return self.frames[spec.name].select(*unit, window.alias("window")).where("window IS NOT NULL").distinct().groupBy("window").count()
+
     def fetch(self, spec: TableSpec, field: str | None, asks: list[Ask], landing: str) -> FrameFetched:
-        f, unit = self.frames[spec.name], [F.col(c) for c in (spec.group_key or spec.pk)]
-        within = [a.window.condition(F.col(field)) if field and a.window != Window(None, None) else F.lit(True) for a in asks]
-        found = f.agg(*[F.count_distinct(*[F.when(w, F.struct(c)) for c in unit]).alias(f"n{k}") for k, w in enumerate(within)]).first()
-        reads = [Read(n, not (a.may_refuse and self.limit is not None and n > self.limit)) for a, n in zip(asks, found)]
+        f, within = self.frames[spec.name], self._within(field, asks)
+        found = {r["window"]: r["count"] for r in self.counts(spec, field, asks).collect()}  # one number for each window
+        reads = [Read(n, not (a.may_refuse and self.limit is not None and n > self.limit)) for a, n in zip(asks, (found.get(k, 0) for k in range(len(asks))))]
         hit = f.where(reduce(lambda a, b: a | b, (w for w, r in zip(within, reads) if r.complete), F.lit(False)))
         if spec.group_key:  # whole groups of which one row is in a window
             hit = f.join(hit.select(*spec.group_key).distinct(), list(spec.group_key), "left_semi")
