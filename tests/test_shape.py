@@ -159,3 +159,17 @@ def test_spec_helpers():
     assert TableSpec("Catalog_X", {"Ref_Key": "Guid"}, ("Ref_Key",)).page_key == "Ref_Key"
     with pytest.raises(ValueError):
         _ = TableSpec("Catalog_X", {}, ()).page_key
+
+
+def test_a_package_is_parsed_once(spark, specs):
+    head = f"<d:Recorder>{G1}</d:Recorder><d:Recorder_Type>StandardODATA.Document_D</d:Recorder_Type>"
+    one = "<d:element><d:LineNumber>1</d:LineNumber><d:Qty>x</d:Qty></d:element><d:element/>"
+    sets = [entry("AccumulationRegister_S", h + s) for h in (head, head.replace(G1, G2), "<d:Recorder_Type/>") for s in (f'<d:RecordSet m:type="Collection(x)">{one}</d:RecordSet>', "<d:RecordSet/>", "<d:LineNumber>4</d:LineNumber><d:Qty>y</d:Qty>", "")]
+    spec = specs["AccumulationRegister_S"]
+    for rejects in (False, True):
+        entries = frame(spark, *sets, "<entry><d:RecordSet")
+        got = packages.register_rows(entries, spec, F.lit(7), rejects)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_xml") + plan.count("XmlToStructsEvaluator") == 1 and "Union" not in plan
+        kinds = got.groupBy("is_deleted_or_empty").count().collect()
+        assert {r[0]: r["count"] for r in kinds} == {False: 13, True: 2}

@@ -67,10 +67,26 @@ def tombstones(entries: DataFrame, rows: Column, spec: TableSpec, message_no: Co
     Its key has the defaults of its types, line number 1 and what the entry knows of it; numeric resources are null; so
     a first real line that comes later has the same key and takes its place.
     """
+    values = [v.alias(c) for c, v in _tombstone(spec, message_no, known).items()]
+    return entries.where((F.size(rows) <= 0) & _told(known)).select(*values)
+
+
+def _tombstone(spec: TableSpec, message_no: Column, known: dict[str, Column]) -> dict[str, Column]:
     first = {LINE_NUMBER: F.lit(1)} if LINE_NUMBER in spec.pk else {}
-    cols = [(known.get(f) if f in known else first.get(f, convert.key_default(spec.fields[f]))).cast(spark_type(spec.fields[f])).alias(f) for f in spec.pk]
-    resources = [F.lit(None).cast(spark_type(spec.fields[r])).alias(r) for r in spec.numeric_resources if r not in spec.pk]
-    return entries.where((F.size(rows) <= 0) & _told(known)).select(*cols, *resources, F.lit(True).alias(DELETED), message_no.cast("long").alias(MESSAGE_NO))
+    out = {f: (known.get(f) if f in known else first.get(f, convert.key_default(spec.fields[f]))).cast(spark_type(spec.fields[f])) for f in spec.pk}
+    out |= {r: F.lit(None).cast(spark_type(spec.fields[r])) for r in spec.numeric_resources if r not in spec.pk}
+    return out | {DELETED: F.lit(True), MESSAGE_NO: message_no.cast("long")}
+
+
+def emptied(rows: DataFrame, empty: Column, real: Column, spec: TableSpec, message_no: Column, known: dict[str, Column]) -> DataFrame:
+    """``rows`` in which those that stand for an empty set are made its tombstones, as ``tombstones`` gives them, or go if its owner isn't known.
+
+    ``real`` is true of no such row; the filter names it, so that it stays behind the rows' making.
+    """
+    values = _tombstone(spec, message_no, known)
+    cols = [c for c in rows.columns if c in spec.fields or c in (DELETED, MESSAGE_NO, REJECTS)]
+    kept = rows.where(real | ~empty | _told(known))
+    return kept.withColumns({c: F.when(empty, values.get(c, F.lit(None))).otherwise(F.col(c)) for c in cols})
 
 
 def _told(known: dict[str, Column]) -> Column:

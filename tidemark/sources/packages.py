@@ -13,6 +13,7 @@ from tidemark.operators import shape
 from tidemark.spec import OWNER_KEY, RECORDER_TYPE, RECORDERS, REJECTS, TableSpec
 
 _OPTIONS = {"ignoreNamespace": "false", "ignoreSurroundingSpaces": "true", "mode": "PERMISSIVE"}
+_SET = "x.content.`m:properties`.`d:RecordSet`.`d:element`"
 CATEGORY = T.StructType([T.StructField("_term", T.StringType())])
 
 
@@ -95,13 +96,18 @@ def register_rows(entries: DataFrame, spec: TableSpec, message_no: Column, rejec
     An entry in which no record set arrived, in any form, is a row itself and empties nothing.
     """
     recorder, own = _recorder(spec), _raw(spec)
-    sets = record_sets(entries, spec)
-    kids = sets.select(*[f"__{f}" for f in recorder], F.explode("set").alias("element"))
-    typed = kids.select(*[f"__{f}" for f in recorder], *shape.typed({f: F.col(f"element.`d:{f}`") for f in own}, spec, message_no, filled_later=tuple(recorder), rejects=rejects))
+    # One pass parses each entry once: an outer explode infers no filter that would parse it again, and sets, emptied
+    # sets and bare entries are told apart by columns, not by branches over the same entries.
+    x = parsed(entries.where("entry IS NOT NULL"), [*_texts(own), T.StructField("d:RecordSet", _rows_of(own))])
+    itself = F.array(F.struct(*[_field(f).alias(f"d:{f}") for f in own]))
+    found = F.when(has_set(), F.coalesce(F.col(_SET), F.array())).otherwise(itself)
+    sets = x.select(*[F.when(has_set(), c).alias(f"__{f}") for f, c in _at_entry(spec).items()], found.alias("set"))
+    kids = sets.select(*[f"__{f}" for f in recorder], (F.size("set") <= 0).alias("__empty"), F.explode_outer("set").alias("element"))
+    typed = kids.select("element", "__empty", *[f"__{f}" for f in recorder], *shape.typed({f: F.col(f"element.`d:{f}`") for f in own}, spec, message_no, filled_later=tuple(recorder), rejects=rejects))
     known = {f: F.coalesce(F.col(f), F.col(f"__{f}")) for f in recorder}
-    typed = typed.withColumns({f: convert.key(c, spec.fields[f]) if f in spec.pk else c for f, c in known.items()}).drop(*[f"__{f}" for f in recorder])
-    empty = shape.tombstones(sets, F.col("set"), spec, message_no, {f: F.col(f"__{f}") for f in recorder})
-    return shape.accumulate(shape.zero_empty_numerics(typed, spec), empty, flat_register_rows(entries.where(~has_set()), spec, message_no, rejects))
+    typed = typed.withColumns({f: convert.key(c, spec.fields[f]) if f in spec.pk else c for f, c in known.items()})
+    all_rows = shape.emptied(shape.zero_empty_numerics(typed, spec), F.col("__empty"), F.col("element").isNotNull(), spec, message_no, {f: F.col(f"__{f}") for f in recorder})
+    return all_rows.drop("element", "__empty", *[f"__{f}" for f in recorder])
 
 
 def has_set() -> Column:
@@ -115,10 +121,13 @@ def _recorder(spec: TableSpec) -> list[str]:
 
 def record_sets(entries: DataFrame, spec: TableSpec) -> DataFrame:
     """(the recorder's fields as ``__<field>``, set) of entries in which a record set arrived."""
-    recorder = _recorder(spec)
-    x = parsed(entries.where(has_set()), _texts(recorder) + [T.StructField("d:RecordSet", _rows_of(_raw(spec)))])
-    at_entry = {f: (convert.type_name(_field(f)) if f == RECORDER_TYPE else convert.convert(convert.scalar(_field(f)), spec.fields[f])) for f in recorder}
-    return x.select(*[c.alias(f"__{f}") for f, c in at_entry.items()], F.coalesce(F.col("x.content.`m:properties`.`d:RecordSet`.`d:element`"), F.array()).alias("set"))
+    x = parsed(entries.where(has_set()), _texts(_recorder(spec)) + [T.StructField("d:RecordSet", _rows_of(_raw(spec)))])
+    return x.select(*[c.alias(f"__{f}") for f, c in _at_entry(spec).items()], F.coalesce(F.col(_SET), F.array()).alias("set"))
+
+
+def _at_entry(spec: TableSpec) -> dict[str, Column]:
+    """The recorder's fields as the entry itself has them."""
+    return {f: (convert.type_name(_field(f)) if f == RECORDER_TYPE else convert.convert(convert.scalar(_field(f)), spec.fields[f])) for f in _recorder(spec)}
 
 
 def unplaced(entries: DataFrame, spec: TableSpec) -> DataFrame:
