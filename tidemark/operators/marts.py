@@ -6,7 +6,7 @@ deletion flag, merged_on), documents (Ref_Key, Number, Date, merged_on) and a ca
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -101,6 +101,21 @@ def affected_groups(lineage: DataFrame, rows: DataFrame, changed: dict[str, Data
     return reduce(DataFrame.unionByName, now, before).distinct()
 
 
+def groups_behind(register: DataFrame, changed: dict[str, DataFrame], view: Callable[[DataFrame], DataFrame], group: list[str]) -> DataFrame:
+    """Groups of ``view(register)`` behind changed keys: what its lineage has of these, without a lineage of all other keys.
+
+    ``changed`` as in ``affected_groups``. Movements are picked before the view joins anything to them.
+    """
+
+    def behind(source: str, keys: DataFrame) -> DataFrame:
+        same = register.schema[source].dataType == keys.schema["key"].dataType
+        alike = lambda c: c if same else c.cast("string")
+        picked = register.join(keys.select(alike(F.col("key")).alias("__key")), alike(F.col(source)) == F.col("__key"), "left_semi")
+        return view(picked).select(*group).distinct()
+
+    return reduce(DataFrame.unionByName, (behind(s, k) for s, k in changed.items())).distinct()
+
+
 def difference(left: DataFrame, right: DataFrame, key: list[str]) -> DataFrame:
     """One row: missing (rows of ``right`` that ``left`` lacks or has otherwise), surplus (the other way) and total rows of ``right``; by one join on the key, which is unique in both."""
     values = [c for c in right.columns if c not in key]
