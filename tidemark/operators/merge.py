@@ -151,6 +151,11 @@ def mark_orphans(parts: DataFrame, owners: DataFrame, spec: TableSpec, now: Colu
     return _marked(rows, parts, spec, now, F.coalesce(hit, F.lit(False)), reset=False)
 
 
+def _same(left: Column, right: Column, nullable: bool) -> Column:
+    """Equal, nulls too; keys that are never null meet by plain equality, which needs no new deal of rows dealt by them."""
+    return left.eqNullSafe(right) if nullable else left == right
+
+
 def merge_mart(target: DataFrame | None, fresh: DataFrame, key: list[str], now: Column, scope: Column | None = None, scope_keys: DataFrame | None = None, delete: bool = False) -> MergeResult:
     """Bring a mart to what was recomputed: upsert by key, and with ``delete`` remove what has vanished within the scope.
 
@@ -158,6 +163,7 @@ def merge_mart(target: DataFrame | None, fresh: DataFrame, key: list[str], now:
     restricted alike.
     """
     values = [c for c in fresh.columns if c not in key]
+    null = {c for f in (target, fresh, scope_keys) if f is not None for c in f.columns if f.schema[c].nullable}
     if target is None:
         return MergeResult(fresh.withColumns({MERGED_ON: now, INSERTED_ON: now, ACTION: F.lit("inserted")}))
     cols = [c for c in target.columns if c not in (*key, MERGED_ON, INSERTED_ON)]
@@ -167,11 +173,11 @@ def merge_mart(target: DataFrame | None, fresh: DataFrame, key: list[str], now:
         t = inside.select(*[F.col(c).alias(f"k_{c}") for c in key], F.lit(True).alias("__t"), "__in", *[F.col(c).alias(f"t_{c}") for c in [*cols, MERGED_ON, INSERTED_ON]])
     elif scope_keys is not None:
         k = scope_keys.select(*[F.col(c).alias(f"x_{c}") for c in scope_keys.columns]).distinct().withColumn("__in", F.lit(True))
-        t = t.join(k, _all([F.col(f"k_{c}").eqNullSafe(F.col(f"x_{c}")) for c in scope_keys.columns]), "left").withColumn("__in", F.coalesce("__in", F.lit(False)))
+        t = t.join(k, _all([_same(F.col(f"k_{c}"), F.col(f"x_{c}"), c in null) for c in scope_keys.columns]), "left").withColumn("__in", F.coalesce("__in", F.lit(False)))
     else:
         t = t.withColumn("__in", F.lit(True))
     s = fresh.select(*[F.col(c).alias(f"f_{c}") for c in key], F.lit(True).alias("__s"), *[F.col(c).alias(f"s_{c}") for c in values])
-    both = t.join(s, _all([F.col(f"k_{c}").eqNullSafe(F.col(f"f_{c}")) for c in key]), "full_outer")
+    both = t.join(s, _all([_same(F.col(f"k_{c}"), F.col(f"f_{c}"), c in null) for c in key]), "full_outer")
     in_t, in_s = F.col("__t").isNotNull(), F.col("__s").isNotNull()
     differs = _any([~F.col(f"s_{c}").eqNullSafe(F.col(f"t_{c}")) for c in values])
     action = F.when(in_t & in_s & differs, "updated").when(in_t & in_s, "kept").when(in_s, "inserted").when(F.lit(delete) & F.col("__in"), "removed").otherwise("kept")
